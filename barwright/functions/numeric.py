@@ -52,8 +52,3 @@ def month_index(day: Column) -> Column:
     """Running number of the calendar month, so differences are months elapsed."""
     return F.year(day) * 12 + F.month(day)
 
-
-def compounded_pct(pct: Column) -> Column:
-    """Aggregate: total return in percent of a chain of percentage changes."""
-    return (F.product(1.0 + pct / 100.0) - 1.0) * 100.0
-

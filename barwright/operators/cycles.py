@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barwright.functions.numeric import compounded_pct, ratio
+from barwright.functions.numeric import ratio
 from barwright.operators.windows import ERA, Bars
 
 CYCLE_COLUMNS = ["cycle_bull", "cycle_months", "cycle_pct"]
@@ -84,7 +84,7 @@ def append_cycle_stats(df: DataFrame) -> DataFrame:
         "__cwon": F.sum(F.when(gain > 0, gain)),
         "__clost": F.sum(F.when(gain <= 0, gain)),
         "cycle_avg_pullback": F.avg("__dip"),
-        "cycle_signal_return": compounded_pct(gain),
+        "__growth": F.product(1.0 + gain / 100.0),
     }
     df = df.withColumns({name: c.over(whole) for name, c in aggregates.items()})
     count = F.col("cycle_count").cast("double")
@@ -93,9 +93,9 @@ def append_cycle_stats(df: DataFrame) -> DataFrame:
             "cycle_win_rate": ratio(F.col("__cwins") * 100.0, count),
             "cycle_geo_avg_gain": F.when(
                 count > 0,
-                (F.pow(F.col("cycle_signal_return") / 100.0 + 1.0, 1.0 / F.nullif(count, F.lit(0.0))) - 1.0)
-                * 100.0,
+                (F.pow(F.col("__growth"), 1.0 / F.nullif(count, F.lit(0.0))) - 1.0) * 100.0,
             ),
+            "cycle_signal_return": (F.col("__growth") - 1.0) * 100.0,
             "cycle_rvr": ratio(F.col("cycle_avg_win"), F.abs(F.col("cycle_avg_loss"))),
             "cycle_profit_factor": ratio(F.col("__cwon"), F.abs(F.col("__clost"))),
         }

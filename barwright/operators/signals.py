@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barwright.functions.numeric import compounded_pct, ratio
+from barwright.functions.numeric import ratio
 from barwright.operators.windows import Bars
 
 # Fixed values of the entry zone.
@@ -173,7 +173,7 @@ def _stats(pct: Column, target: Column, again: Column) -> dict[str, Column]:
         "bt_avg_sl_pct": F.avg(F.when(~target, pct)),
         "__won": F.sum(F.when(pct > 0, pct)),
         "__lost": F.sum(F.when(pct <= 0, pct)),
-        "bt_geo_return": compounded_pct(pct),
+        "__growth": F.product(1.0 + pct / 100.0),
         "__again_wins": F.count(F.when(again & (pct > 0), 1)),
     }
 
@@ -183,11 +183,12 @@ def _finish_stats(df: DataFrame) -> DataFrame:
         {
             "bt_win_rate": ratio(F.col("__wins") * 100.0, F.col("bt_trades").cast("double")),
             "bt_profit_factor": ratio(F.col("__won"), F.abs(F.col("__lost"))),
+            "bt_geo_return": (F.col("__growth") - 1.0) * 100.0,
             "bt_reentry_win_rate": ratio(
                 F.col("__again_wins") * 100.0, F.col("bt_reentry_count").cast("double")
             ),
         }
-    ).drop("__wins", "__won", "__lost", "__again_wins")
+    ).drop("__wins", "__won", "__lost", "__growth", "__again_wins")
 
 
 STAT_COLUMNS = [
