@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-# Beyond this size a double has no digits left below 1e-6, so rounding is moot.
-_ROUNDING_LIMIT = 1e9
+# From here on half_up keeps nine significant digits instead of a number of decimals.
+LARGE = 1e9
 
 
 def half_up(x: Column, digits: int) -> Column:
@@ -18,7 +18,10 @@ def half_up(x: Column, digits: int) -> Column:
     values; without the first step the last bit of the sum would decide."""
     snapped = F.floor(x * 1e8 + 0.5) / 1e8
     scale = float(10**digits)
-    return F.when(F.abs(x) < _ROUNDING_LIMIT, F.floor(snapped * scale + 0.5) / scale).otherwise(x)
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))) - 8)
+    return F.when(F.abs(x) < LARGE, F.floor(snapped * scale + 0.5) / scale).otherwise(
+        F.floor(x / unit + 0.5) * unit
+    )
 
 
 def round_doubles(df: DataFrame, digits: int = 4, **special: int) -> DataFrame:
