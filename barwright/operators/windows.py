@@ -205,6 +205,12 @@ def run_number(starts: Column, bars: Bars) -> Column:
     return F.sum(starts.cast("int")).over(bars.upto)
 
 
+def running_peak(x: str, run: str, ts: str) -> Column:
+    """Maximum so far inside a run."""
+    inside = Window.partitionBy("symbol", run).orderBy(ts)
+    return F.max(x).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+
+
 # --- recursive averages -----------------------------------------------------
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TIME_COLUMN = {"daily": "date", "weekly": "week_start"}
@@ -141,8 +141,16 @@ def resample_monthly_close(candles: DataFrame, ts: str) -> DataFrame:
     )
 
 
-__all__ = [
-    "TIME_COLUMN", "daily_from_lineitem", "load_symbol_history", "read_candles",
-    "register_views", "resample_monthly_close", "resample_weekly", "select_candles", "sql",
-    "symbol_name", "universe_from_suppliers",
-]
+def attach_monthly(candles: DataFrame, monthly: DataFrame, ts: str) -> DataFrame:
+    """Bring the close of the previous month with bars to each bar: lag on the monthly
+    frame, then an equi join keyed by symbol and month."""
+    by_month = Window.partitionBy("symbol").orderBy("month")
+    shifted = monthly.select(
+        "symbol",
+        "month",
+        F.lag("month", 1).over(by_month).alias("prev_month"),
+        F.lag("close", 1).over(by_month).alias("prev_close"),
+    )
+    return candles.withColumn("month", F.trunc(F.col(ts), "MM")).join(
+        shifted, ["symbol", "month"], "left"
+    )
