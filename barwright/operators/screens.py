@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.functions.numeric import pct_from
-from barwright.operators.signals import STAT_COLUMNS, deep_dive_metrics, equity_curve
+from barwright.operators.reports import last_n
+from barwright.operators.signals import STAT_COLUMNS, deep_dive_metrics, equity_curve, trades
+from barwright.operators.windows import PLAIN_WEEKLY
 
 NO_VALUE = "--"
 
@@ -184,17 +186,17 @@ def price_history_window(weekly: DataFrame, years: int = 5) -> DataFrame:
 
 
 def screen_deep_dive(
-    trade_list: DataFrame, weekly: DataFrame, snapshot: DataFrame, view: DataFrame,
-    symbol: str | None = None,
+    weekly: DataFrame, universe: DataFrame, symbol: str | None = None
 ) -> dict[str, DataFrame]:
-    """Five frames; ``symbol`` is only a filter, all symbols are computed alike."""
-    frames = {
-        "metrics": deep_dive_metrics(trade_list, weekly, snapshot),
-        "status": current_status(view),
+    """Five frames from the full weekly history; ``symbol`` is only a filter on it, all
+    symbols are computed alike."""
+    if symbol is not None:
+        weekly = weekly.where(F.col("symbol") == symbol)
+    trade_list = trades(weekly, PLAIN_WEEKLY)
+    return {
+        "metrics": deep_dive_metrics(weekly, PLAIN_WEEKLY),
+        "status": current_status(load_backtest_snapshot(last_n(weekly, 1, "week_start"), universe)),
         "equity": equity_curve(trade_list),
         "prices": price_history_window(weekly),
         "trades": trade_list,
     }
-    if symbol is not None:
-        frames = {name: df.where(F.col("symbol") == symbol) for name, df in frames.items()}
-    return frames

@@ -220,33 +220,30 @@ def append_backtest_stats(df: DataFrame, bars: Bars) -> DataFrame:
     return _finish_stats(df).select(*kept, *STAT_COLUMNS)
 
 
-def weeks_in_trade(df: DataFrame) -> DataFrame:
-    """Weeks in position over the whole history, an open trade included."""
-    return df.groupBy("symbol").agg(F.sum("sig_in_position").alias("bt_weeks_in_trade"))
-
-
-def deep_dive_metrics(trade_list: DataFrame, weekly: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Per-symbol performance figures rebuilt from the trades."""
-    stats = backtest_stats(trade_list)
-    holds = trade_list.groupBy("symbol").agg(F.avg("hold_weeks").alias("avg_hold"))
-    return (
-        weeks_in_trade(weekly)
-        .join(stats, "symbol", "left")
-        .join(holds, "symbol", "left")
-        .join(snapshot.select("symbol", "cycle_avg_pullback"), "symbol", "left")
-        .select(
-            "symbol",
-            F.coalesce("bt_trades", F.lit(0).cast("bigint")).alias("trades"),
-            F.col("bt_win_rate").alias("accuracy"),
-            F.col("bt_avg_tp_pct").alias("avg_tp_gain"),
-            F.col("bt_avg_sl_pct").alias("avg_sl_loss"),
-            F.col("bt_profit_factor").alias("profit_factor"),
-            F.col("bt_geo_return").alias("geo_return"),
-            F.abs(ratio(F.col("bt_avg_tp_pct"), F.col("bt_avg_sl_pct"))).alias("risk_reward"),
-            F.col("bt_weeks_in_trade").alias("weeks_in_trade"),
-            "avg_hold",
-            F.col("cycle_avg_pullback").alias("avg_bull_pullback"),
-        )
+def deep_dive_metrics(weekly: DataFrame, bars: Bars) -> DataFrame:
+    """Per-symbol performance figures, rebuilt from the signal columns of full histories
+    in one aggregate.  The pullback is a cycle figure and is taken from the latest bar."""
+    held = F.datediff("week_start", "__entry.day") / 7.0
+    aggregates = _stats(F.col("__pct"), F.col("sig_tp") == 1, F.col("__entry.again") == 1) | {
+        "bt_weeks_in_trade": F.sum("sig_in_position"),
+        "avg_hold": F.avg(F.when(F.col("__pct").isNotNull(), held)),
+        "cycle_avg_pullback": F.max_by("cycle_avg_pullback", "week_start"),
+    }
+    stats = with_exits(weekly, bars).groupBy("symbol").agg(
+        *[c.alias(name) for name, c in aggregates.items()]
+    )
+    return _finish_stats(stats).select(
+        "symbol",
+        F.col("bt_trades").alias("trades"),
+        F.col("bt_win_rate").alias("accuracy"),
+        F.col("bt_avg_tp_pct").alias("avg_tp_gain"),
+        F.col("bt_avg_sl_pct").alias("avg_sl_loss"),
+        F.col("bt_profit_factor").alias("profit_factor"),
+        F.col("bt_geo_return").alias("geo_return"),
+        F.abs(ratio(F.col("bt_avg_tp_pct"), F.col("bt_avg_sl_pct"))).alias("risk_reward"),
+        F.col("bt_weeks_in_trade").alias("weeks_in_trade"),
+        "avg_hold",
+        F.col("cycle_avg_pullback").alias("avg_bull_pullback"),
     )
 
 
@@ -258,13 +255,18 @@ def equity_curve(trade_list: DataFrame, base: float = 100.0) -> DataFrame:
     chain = F.collect_list("pct_gain").over(order.rowsBetween(Window.unboundedPreceding, 0))
     grown = trade_list.select(
         "symbol",
-        F.row_number().over(order).alias("trade_no"),
-        F.aggregate(chain, F.lit(base), lambda acc, pct: acc * (1.0 + pct / 100.0)).alias("equity"),
+        F.row_number().over(order).alias("no"),
+        F.aggregate(chain, F.lit(base), lambda acc, pct: acc * (1.0 + pct / 100.0)).alias("value"),
     )
-    seed = trade_list.select("symbol").distinct().select(
-        "symbol", F.lit(0).alias("trade_no"), F.lit(base).alias("equity")
+
+    def point(no: Column, value: Column) -> Column:
+        return F.struct(no.alias("trade_no"), value.alias("equity"))
+
+    own = point(F.col("no"), F.col("value"))
+    points = F.when(F.col("no") == 1, F.array(point(F.lit(0), F.lit(base)), own)).otherwise(
+        F.array(own)
     )
-    return seed.unionByName(grown)
+    return grown.select("symbol", F.explode(points).alias("p")).select("symbol", "p.*")
 
 
 def stats_vs_snapshot(trade_list: DataFrame, snapshot: DataFrame) -> DataFrame:

@@ -188,20 +188,27 @@ DIVE = f"""SELECT symbol, bt_trades AS trades, {rounded('bt_win_rate')} AS accur
 
 @register("deep_dive_metrics", query(DIVE))
 def _(x):
-    return screens.screen_deep_dive(x.trades(), x.signals(), x.snapshot(), x.view())["metrics"]
+    return screens.screen_deep_dive(x.signals(), x.universe())["metrics"]
 
 
 @register("deep_dive_status", query(f"""SELECT symbol, {rounded('close')} AS price, _fvb33_label, _bx_monthly_label, _bx_mo_wk,
   sig_in_position, {rounded('sig_entry_price')} AS entry_price, {rounded('_unrealised_pct')} AS unrealised_pct,
   {rounded('tgt')} AS target FROM (SELECT *, CASE WHEN sig_in_position = 1 THEN tpx1 END AS tgt FROM screen)"""))
 def _(x):
-    return screens.current_status(x.view())
+    return screens.screen_deep_dive(x.signals(), x.universe())["status"]
+
+
+@register("deep_dive_prices", query(f"""SELECT symbol, week_start, {rounded("close")} AS close,
+  {rounded("fvb_upper_thresh")} AS fvb_upper_thresh, {rounded("fvb_lower_thresh")} AS fvb_lower_thresh, {rounded("tpx1")} AS tpx1
+  FROM (SELECT *, max(week_start) OVER (PARTITION BY symbol) AS newest FROM w_tgt)
+  WHERE week_start >= newest - INTERVAL 60 MONTH"""))
+def _(x):
+    return screens.screen_deep_dive(x.signals(), x.universe())["prices"]
 
 
 @register("deep_dive_one_symbol", table("trades", TRADE_SPEC, "symbol = 'SYM00003'"))
 def _(x):
-    return screens.screen_deep_dive(
-        x.trades(), x.signals(), x.snapshot(), x.view(), "SYM00003")["trades"]
+    return screens.screen_deep_dive(x.signals(), x.universe(), "SYM00003")["trades"]
 
 
 EQUITY = {"grown": """SELECT symbol, CAST(row_number() OVER w AS INTEGER) AS trade_no,
@@ -241,7 +248,11 @@ def _(x):
 @register("stats_vs_snapshot", query(f"""SELECT symbol, bt_trades AS live_bt_trades, bt_trades AS stored_bt_trades,
   {rounded('bt_geo_return')} AS live_bt_geo_return, {rounded('bt_geo_return')} AS stored_bt_geo_return, 0 AS mismatch FROM snap"""))
 def _(x):
-    return signals.stats_vs_snapshot(x.trades(), x.snapshot()).select(
+    from barwright.plans.stages import build_snapshot
+
+    weekly = x.settled(x.signals())
+    live = signals.trades(weekly, win.PLAIN_WEEKLY)
+    return signals.stats_vs_snapshot(live, build_snapshot(weekly)).select(
         "symbol", "live_bt_trades", "stored_bt_trades", "live_bt_geo_return",
         "stored_bt_geo_return", "mismatch")
 
