@@ -125,7 +125,7 @@ def score_band_position(signals: DataFrame) -> DataFrame:
 
 
 def percent_rank_within(
-    df: DataFrame, groups: list[str], value: str, out: str, slices: int = 32
+    df: DataFrame, groups: list[str], value: str, out: str, slices: int = 16
 ) -> DataFrame:
     """``percent_rank`` of a value inside large groups, without one task per group.
 
@@ -198,6 +198,7 @@ def scores(
     )
     if done is not None:
         rows = new_weeks_only(rows, done, force)
+    rows = settled(rows)  # read three times below
     metric = F.explode(
         F.array(*[F.struct(F.lit(s).alias("metric"), F.col(s).alias("value")) for s in SCORES])
     )

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.functions.numeric import half_up, ratio
-from barwright.operators.windows import PLAIN_DAILY, Bars, rolling_high, rolling_low
 
 MOVING_AVERAGES = ["sma_20", "sma_33", "ema_20", "ema_33"]
+BARS_PER_YEAR = 252
 
 
 def scan_not_null(df: DataFrame, column: str = "sma_20") -> DataFrame:
@@ -51,29 +51,29 @@ def screen_sma_cross(df: DataFrame, limit: int = 50) -> DataFrame:
     )
 
 
-def screen_52w_range(
-    daily: DataFrame, symbols: Iterable[str] | None = None, bars: Bars = PLAIN_DAILY
-) -> DataFrame:
-    """Where the last close stands in the range of the last 252 bars.  The symbol filter
-    is on the partition key, so it goes below the window; the day filter must not."""
-    ranged = daily.select(
-        "symbol",
-        "date",
-        "close",
-        rolling_high(F.col("high"), 252, bars).alias("high_52w"),
-        rolling_low(F.col("low"), 252, bars).alias("low_52w"),
-    )
-    last = daily.select(F.max("date")).scalar()
+def screen_52w_range(daily: DataFrame, symbols: Iterable[str] | None = None) -> DataFrame:
+    """Where the last close stands in the range of the last 252 bars, for symbols with a
+    bar on the newest day.  The rolling extremes at a symbol's last bar are those of its
+    last 252 bars, so only these rows are shuffled and no frame slides."""
+    newest_day = daily.select(F.max("date")).scalar()
+    wanted = daily.select("symbol", "date", "close", "high", "low")
     if symbols is not None:
-        ranged = ranged.where(F.col("symbol").isin(list(symbols)))
-    place = ratio(F.col("close") - F.col("low_52w"), F.col("high_52w") - F.col("low_52w")) * 100
+        wanted = wanted.where(F.col("symbol").isin(list(symbols)))
+    ranged = last_n(wanted, BARS_PER_YEAR, "date").groupBy("symbol").agg(
+        F.max("date").alias("date"),
+        F.max_by("close", "date").alias("last_close"),
+        F.max("high").alias("high_52w"),
+        F.min("low").alias("low_52w"),
+    )
+    low, high = F.col("low_52w"), F.col("high_52w")
+    place = ratio(F.col("last_close") - low, high - low) * 100
     return (
-        ranged.where(F.col("date") == last)
+        ranged.where(F.col("date") == newest_day)
         .select(
             "symbol",
-            half_up(F.col("close"), 2).alias("last_close"),
-            half_up(F.col("high_52w"), 2).alias("high_52w"),
-            half_up(F.col("low_52w"), 2).alias("low_52w"),
+            half_up(F.col("last_close"), 2).alias("last_close"),
+            half_up(high, 2).alias("high_52w"),
+            half_up(low, 2).alias("low_52w"),
             half_up(place, 1).alias("pct_of_range"),
         )
         .orderBy(F.col("pct_of_range").desc_nulls_last(), "symbol")

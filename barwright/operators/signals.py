@@ -248,15 +248,14 @@ def deep_dive_metrics(weekly: DataFrame, bars: Bars) -> DataFrame:
 
 
 def equity_curve(trade_list: DataFrame, base: float = 100.0) -> DataFrame:
-    """Compounded value after each trade, from a starting row 0.  The running product
-    is a fold, so a loss of 100 % or more is no special case; a symbol has fewer trades
-    than weeks, which bounds the list that is folded."""
+    """Compounded value after each trade, from a starting row 0.  A running product, so a
+    loss of 100 % or more is no special case."""
     order = Window.partitionBy("symbol").orderBy("trade_id")
-    chain = F.collect_list("pct_gain").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    growth = F.product(1.0 + F.col("pct_gain") / 100.0).over(
+        order.rowsBetween(Window.unboundedPreceding, 0)
+    )
     grown = trade_list.select(
-        "symbol",
-        F.row_number().over(order).alias("no"),
-        F.aggregate(chain, F.lit(base), lambda acc, pct: acc * (1.0 + pct / 100.0)).alias("value"),
+        "symbol", F.row_number().over(order).alias("no"), (base * growth).alias("value")
     )
 
     def point(no: Column, value: Column) -> Column:

@@ -24,6 +24,7 @@ ERA = "__era"
 ERA_ROW = "__era_row"
 ERA_ENDS = "__era_ends"
 ROW = "__row"
+NEWEST = "__newest"
 
 # The weights of a recursive average grow by 1/(1-alpha) per bar inside an era
 # and must stay below the double range (1e308) with room for the prices.
@@ -113,6 +114,7 @@ def lay_out(
             {
                 ROW: F.row_number().over(bars.order),
                 ERA_ENDS: F.coalesce(F.lead(ERA, 1).over(bars.order) != F.col(ERA), F.lit(False)),
+                NEWEST: F.lead(ERA, 1).over(bars.order).isNull(),
             }
         )
         .withColumn(ERA_ROW, F.count(F.lit(1)).over(bars.era_upto))

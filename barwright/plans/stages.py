@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from barwright.operators.cycles import append_cycle_stats, append_cycles
 from barwright.operators.indicators import append_signal_inputs, compute_indicators
 from barwright.operators.signals import append_backtest_stats, append_signals
-from barwright.operators.windows import drop_internal, lay_out
+from barwright.operators.windows import NEWEST, drop_internal, lay_out
 
 
-def weekly_signals(candles: DataFrame) -> DataFrame:
+def weekly_signals(candles: DataFrame, newest_only: bool = False) -> DataFrame:
     """Signals, cycles and statistics straight from weekly candles, in one exchange.
-    A query that reads only some of the columns prunes the passes behind the others."""
+    A query that reads only some of the columns prunes the passes behind the others.
+    ``newest_only`` keeps each symbol's last bar: the snapshot, without a sort of its own."""
     df, bars = lay_out(candles, "week_start", days_per_bar=7)
     df = append_signals(append_signal_inputs(df, bars), bars)
     df = append_backtest_stats(df, bars)
     df = append_cycle_stats(append_cycles(df, bars))
+    if newest_only:
+        df = df.where(NEWEST)
     return drop_internal(df)
 
 

@@ -13,7 +13,7 @@ from barwright.functions.numeric import round_doubles
 from barwright.operators.screens import load_backtest_snapshot
 from barwright.operators.signals import trades
 from barwright.operators.windows import PLAIN_WEEKLY
-from barwright.plans.stages import build_snapshot, weekly_signals
+from barwright.plans.stages import weekly_signals
 from barwright.sources.candles import (
     daily_from_lineitem,
     resample_weekly,
@@ -53,7 +53,7 @@ class Inputs:
         return trades(self.signals(), PLAIN_WEEKLY)
 
     def snapshot(self) -> DataFrame:
-        return build_snapshot(self.signals())
+        return weekly_signals(self.weekly(), newest_only=True)
 
     def view(self) -> DataFrame:
         return load_backtest_snapshot(self.snapshot(), self.universe())
