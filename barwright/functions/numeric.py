@@ -18,7 +18,9 @@ def half_up(x: Column, digits: int) -> Column:
     values; without the first step the last bit of the sum would decide."""
     snapped = F.floor(x * 1e8 + 0.5) / 1e8
     scale = float(10**digits)
-    unit = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))) - 8)
+    power = F.floor(F.log10(F.abs(x))) - 8
+    exact = F.least(power, F.lit(22))  # larger powers of ten are no exact doubles
+    unit = F.pow(F.lit(10.0), exact) * F.pow(F.lit(10.0), power - exact)
     return F.when(F.abs(x) < LARGE, F.floor(snapped * scale + 0.5) / scale).otherwise(
         F.floor(x / unit + 0.5) * unit
     )

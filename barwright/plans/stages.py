@@ -7,20 +7,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barwright.operators.cycles import append_cycle_stats, append_cycles
+from barwright.operators.cycles import (
+    CYCLE_COLUMNS,
+    CYCLE_STAT_COLUMNS,
+    append_cycle_stats,
+    append_cycles,
+)
 from barwright.operators.indicators import append_signal_inputs, compute_indicators
-from barwright.operators.signals import append_backtest_stats, append_signals
-from barwright.operators.windows import NEWEST, drop_internal, lay_out
+from barwright.operators.signals import (
+    SIGNAL_COLUMNS,
+    STAT_COLUMNS,
+    append_backtest_stats,
+    append_signals,
+)
+from barwright.operators.windows import ERA, NEWEST, Bars, drop_internal, lay_out, pack, unpack
+
+
+# What the passes after the indicators read; the rest travels packed.
+_READ_BY_SIGNALS = {
+    "symbol", "week_start", "high", "low", "close", "fvb_upper_thresh", "fvb_lower_thresh",
+    "fvb_band_green", "bx_monthly_dark_red", "tpx1", ERA, NEWEST,
+}
+_READ_BY_CYCLES = {
+    "symbol", "week_start", "low", "close", "fvb_band_green", "bx_monthly_dark_red", ERA, NEWEST,
+}
+
+
+def _append_signal_stage(df: DataFrame, bars: Bars) -> DataFrame:
+    """Signals, trade statistics, cycles and cycle statistics.  Columns are packed by the
+    stage that made them, so a query that reads none of a stage's columns still prunes
+    the passes behind it."""
+    names = list(df.columns)
+    df = pack(df, [c for c in names if c not in _READ_BY_SIGNALS], "__ind")
+    df = append_backtest_stats(append_signals(df, bars), bars)
+    df = pack(df, STAT_COLUMNS, "__bt")
+    df = pack(df, SIGNAL_COLUMNS, "__sig")
+    zone = [c for c in names if c in _READ_BY_SIGNALS - _READ_BY_CYCLES]
+    df = pack(df, zone, "__zone")
+    df = append_cycle_stats(append_cycles(df, bars))
+    for packed in ("__zone", "__sig", "__bt", "__ind"):
+        df = unpack(df, packed)
+    return df.select(
+        *names, *SIGNAL_COLUMNS, *STAT_COLUMNS, *CYCLE_COLUMNS, *CYCLE_STAT_COLUMNS
+    )
 
 
 def weekly_signals(candles: DataFrame, newest_only: bool = False) -> DataFrame:
     """Signals, cycles and statistics straight from weekly candles, in one exchange.
-    A query that reads only some of the columns prunes the passes behind the others.
     ``newest_only`` keeps each symbol's last bar: the snapshot, without a sort of its own."""
     df, bars = lay_out(candles, "week_start", days_per_bar=7)
-    df = append_signals(append_signal_inputs(df, bars), bars)
-    df = append_backtest_stats(df, bars)
-    df = append_cycle_stats(append_cycles(df, bars))
+    df = _append_signal_stage(append_signal_inputs(df, bars), bars)
     if newest_only:
         df = df.where(NEWEST)
     return drop_internal(df)
@@ -29,8 +65,7 @@ def weekly_signals(candles: DataFrame, newest_only: bool = False) -> DataFrame:
 def signals_from_indicators(weekly: DataFrame) -> DataFrame:
     """The same stage on a stored weekly indicator table."""
     df, bars = lay_out(weekly, "week_start", days_per_bar=7)
-    df = append_backtest_stats(append_signals(df, bars), bars)
-    return drop_internal(append_cycle_stats(append_cycles(df, bars)))
+    return drop_internal(_append_signal_stage(df, bars))
 
 
 def full_weekly(candles: DataFrame) -> DataFrame:
