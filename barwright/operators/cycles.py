@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.functions.numeric import ratio
-from barwright.operators.windows import ERA, Bars
+from barwright.operators.windows import CLOSE_WAS, ERA, Bars
 
 CYCLE_COLUMNS = ["cycle_bull", "cycle_months", "cycle_pct"]
 CYCLE_STAT_COLUMNS = [
@@ -15,41 +15,35 @@ CYCLE_STAT_COLUMNS = [
 ]
 
 
-def append_cycles(df: DataFrame, bars: Bars) -> DataFrame:
-    """``cycle_bull`` turns on with a green band outside dark red and off with dark red.
-    A cycle's entry price is the close before its first bar (its own first close for
-    the first cycle of a history).  Leaves ``__run`` and ``__run_ends``."""
-    kept = [f"`{c}`" for c in df.columns]
-    return (
-        df.selectExpr(
-            "*",
+def cycle_levels(bars: Bars) -> list[list[str]]:
+    """Levels (see ``windows.run_levels``) of the cycle columns.  ``cycle_bull`` turns on
+    with a green band outside dark red and off with dark red.  A cycle's entry price is
+    the close before its first bar (its own first close for the first cycle of a
+    history).  Also gives ``__run`` and ``__run_ends``."""
+    return [
+        [],
+        [
             "coalesce(last(case when bx_monthly_dark_red = 0 and fvb_band_green = 1 then 1"
             f" when bx_monthly_dark_red = 1 then 0 end, true) over ({bars.sql_upto}), 0)"
-            " as cycle_bull",
-            f"lag(close, 1) over ({bars.sql_order}) as __close_was",
-        )
-        .selectExpr(
-            "*",
+            " as cycle_bull"
+        ],
+        [
             f"coalesce(lag(cycle_bull, 1) over ({bars.sql_order}) <> cycle_bull, true) as __starts",
             f"coalesce(lead(cycle_bull, 1) over ({bars.sql_order}) <> cycle_bull, false)"
             " as __run_ends",
-        )
-        .selectExpr(
-            "*",
+        ],
+        [],
+        [
             f"sum(int(__starts)) over ({bars.sql_upto}) as __run",
             "last(if(__starts, named_struct('day', week_start, 'price',"
-            f" coalesce(__close_was, close)), null), true) over ({bars.sql_upto}) as __start",
-        )
-        .selectExpr(
-            *kept,
-            "cycle_bull",
+            f" coalesce({CLOSE_WAS}, close)), null), true) over ({bars.sql_upto}) as __start",
+        ],
+        [
             "(year(week_start) - year(__start.day)) * 12 + month(week_start) - month(__start.day)"
             " as cycle_months",
             "(close - __start.price) / nullif(__start.price, 0D) * 100D as cycle_pct",
-            "__run",
-            "__run_ends",
-        )
-    )
+        ],
+    ]
 
 
 def with_drawdown(df: DataFrame) -> DataFrame:
@@ -63,20 +57,19 @@ def with_drawdown(df: DataFrame) -> DataFrame:
     return peak.withColumn("__drawdown", F.min(dip).over(run) * 100.0)
 
 
-def append_cycle_stats(df: DataFrame) -> DataFrame:
-    """Figures over the completed bull cycles, on every bar of the symbol.  A cycle's
-    gain is the ``cycle_pct`` of its last bar; the cycle still running is left out."""
-    kept = [c for c in df.columns if c not in ("__run", "__run_ends")]
-    df = with_drawdown(df)
+def closing_marks() -> dict[str, Column]:
+    """A cycle's gain and dip on its last bar; the cycle still running has none."""
     closing = F.col("__run_ends") & (F.col("cycle_bull") == 1)
-    df = df.withColumns(
-        {
-            "__gain": F.when(closing, F.col("cycle_pct")),
-            "__dip": F.when(closing, F.col("__drawdown")),
-        }
-    )
-    gain, whole = F.col("__gain"), Window.partitionBy("symbol")
-    aggregates = {
+    return {
+        "__gain": F.when(closing, F.col("cycle_pct")),
+        "__dip": F.when(closing, F.col("__drawdown")),
+    }
+
+
+def cycle_stat_columns() -> dict[str, Column]:
+    """Aggregates over the completed bull cycles, to be taken over the symbol."""
+    gain = F.col("__gain")
+    return {
         "cycle_count": F.count(gain),
         "__cwins": F.count(F.when(gain > 0, 1)),
         "cycle_avg_win": F.avg(F.when(gain > 0, gain)),
@@ -84,20 +77,20 @@ def append_cycle_stats(df: DataFrame) -> DataFrame:
         "__cwon": F.sum(F.when(gain > 0, gain)),
         "__clost": F.sum(F.when(gain <= 0, gain)),
         "cycle_avg_pullback": F.avg("__dip"),
-        "__growth": F.product(1.0 + gain / 100.0),
+        "__cycle_growth": F.product(1.0 + gain / 100.0),
     }
-    df = df.withColumns({name: c.over(whole) for name, c in aggregates.items()})
+
+
+def finish_cycle_stats(df: DataFrame) -> DataFrame:
     count = F.col("cycle_count").cast("double")
-    df = df.withColumns(
+    growth = F.col("__cycle_growth")
+    mean = F.pow(growth, 1.0 / F.nullif(count, F.lit(0.0))) - 1.0
+    return df.withColumns(
         {
             "cycle_win_rate": ratio(F.col("__cwins") * 100.0, count),
-            "cycle_geo_avg_gain": F.when(
-                count > 0,
-                (F.pow(F.col("__growth"), 1.0 / F.nullif(count, F.lit(0.0))) - 1.0) * 100.0,
-            ),
-            "cycle_signal_return": (F.col("__growth") - 1.0) * 100.0,
+            "cycle_geo_avg_gain": F.when(count > 0, mean * 100.0),
+            "cycle_signal_return": (growth - 1.0) * 100.0,
             "cycle_rvr": ratio(F.col("cycle_avg_win"), F.abs(F.col("cycle_avg_loss"))),
             "cycle_profit_factor": ratio(F.col("__cwon"), F.abs(F.col("__clost"))),
         }
     )
-    return df.select(*kept, *CYCLE_STAT_COLUMNS)

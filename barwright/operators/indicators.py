@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from barwright.functions.numeric import flag, ratio
 from barwright.operators.windows import (
+    CLOSE_WAS,
     Bars,
     Counter,
     alpha_of_span,
@@ -19,6 +20,7 @@ from barwright.operators.windows import (
     ema,
     gains_and_losses,
     lay_out,
+    month_counter,
     pack,
     recursive_means,
     rolling_std,
@@ -27,7 +29,6 @@ from barwright.operators.windows import (
     sma,
     true_range,
     unpack,
-    value_counter,
 )
 
 # Fixed values of the indicator definitions.
@@ -41,9 +42,9 @@ def typical_price() -> Column:
     return (F.col("open") + F.col("high") + F.col("low") + F.col("close")) / 4.0
 
 
-def with_price_basis(df: DataFrame, bars: Bars) -> DataFrame:
+def with_price_basis(df: DataFrame) -> DataFrame:
     """Source columns that several indicators share."""
-    return df.withColumns({"fvb_src": typical_price(), "__tr": true_range(bars)})
+    return df.withColumns({"fvb_src": typical_price(), "__tr": true_range(F.col(CLOSE_WAS))})
 
 
 def base_mas(df: DataFrame, bars: Bars) -> DataFrame:
@@ -111,11 +112,9 @@ def oscillators(
     """Chart and monthly oscillator, with further exponential means (output -> (input,
     span)) computed in the same window passes.
 
-    A month's close is the close of its last bar, known only once a bar of a later
-    month exists, so the last bar of the data never counts as one.  The monthly
-    series is averaged in place on those rows: the state just before a bar is the
-    state of the last completed month.  This needs neither a second copy of the
-    bars nor a join.
+    The monthly series is averaged in place on the month-end rows: the state just
+    before a bar is the state of the last completed month.  This needs neither a
+    second copy of the bars nor a join.
 
     * ``bx_monthly_completed``: previous month, constant inside a month;
     * ``bx_monthly_prev``: the month before that;
@@ -129,12 +128,7 @@ def oscillators(
         wanted["__fast"] = ("close", alpha_of_span(FAST_SPAN), by_row)
         wanted["__slow"] = ("close", alpha_of_span(SLOW_SPAN), by_row)
     if months:
-        month = f"year({bars.ts}) * 12 + month({bars.ts})"
-        df = df.selectExpr(
-            "*",
-            f"coalesce(lead({month}, 1) over ({bars.sql_order}) <> {month}, false) as __month_ends",
-        ).selectExpr("*", "if(__month_ends, close, null) as __mclose")
-        df, by_month = value_counter(df, bars, "__mclose")
+        df, by_month = month_counter(df, bars)
         wanted["__mfast"] = ("__mclose", alpha_of_span(FAST_SPAN), by_month)
         wanted["__mslow"] = ("__mclose", alpha_of_span(SLOW_SPAN), by_month)
     df = recursive_means(df, bars, wanted)
@@ -309,7 +303,7 @@ def append_indicators(df: DataFrame, bars: Bars, weekly: bool) -> DataFrame:
     """The whole chain.  Columns are grouped by the depth of their dependencies, so
     that each level is one window pass over the same sorted rows, and finished columns
     travel packed."""
-    df = with_price_basis(df, bars).withColumns(_slides(bars, ALL_SLIDES))
+    df = with_price_basis(df).withColumns(_slides(bars, ALL_SLIDES))
     packed = ["fvb_src", *ALL_SLIDES, *[c for c in BAR_COLUMNS if c in df.columns]]
     df = df.withColumn("__src", F.col("fvb_src"))
     df = pack(df, packed)
@@ -341,7 +335,7 @@ def append_indicators(df: DataFrame, bars: Bars, weekly: bool) -> DataFrame:
 def append_signal_inputs(df: DataFrame, bars: Bars) -> DataFrame:
     """Only the weekly columns that signals, cycles and the screens read."""
     slides = ["fvb_basis", "fvb_dev", "fvb20_basis"]
-    df = with_price_basis(df, bars).withColumns(_slides(bars, slides))
+    df = with_price_basis(df).withColumns(_slides(bars, slides))
     df = pack(df.withColumn("__src", F.col("fvb_src")), [*slides, "open", "high", "low"])
     means = {"fvb_smooth_vwap": ("__src", 5), "__tr_ema": ("__tr", 66)}
     df = unpack(oscillators(df, bars, chart=True, months=True, means=means))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.functions.numeric import ratio
-from barwright.operators.windows import Bars
+from barwright.operators.windows import Bars, run_levels
 
 # Fixed values of the entry zone.
 ZONE_BELOW_LOWER, ZONE_ABOVE_UPPER = 0.75, 1.03
@@ -49,69 +49,64 @@ def signal_rule_versions(df: DataFrame) -> DataFrame:
     return gates.where("gate_v12 <> gate_v13")
 
 
-def position_state(df: DataFrame, bars: Bars, entry: str, target: str, stop: str) -> DataFrame:
-    """Append ``__long`` (after the bar) and ``__was_long`` (before it) for three boolean
-    SQL conditions without NULLs, of which ``entry`` and ``stop`` exclude each other."""
-    return (
-        df.selectExpr(
-            "*",
+def position_levels(bars: Bars, entry: str, target: str, stop: str) -> list[list[str]]:
+    """Levels (see ``windows.run_levels``) that give ``__long`` (after the bar) and
+    ``__was_long`` (before it) for three boolean SQL conditions without NULLs, of which
+    ``entry`` and ``stop`` exclude each other."""
+    return [
+        [
             f"case when ({entry}) and not ({target}) then 1"
             f" when not ({entry}) and (({target}) or ({stop})) then 0 end as __event",
             f"int(({entry}) and ({target})) as __flip",
-        )
-        .selectExpr(
-            "*",
+        ],
+        [
             f"last(__event, true) over ({bars.sql_upto}) as __set",
             f"sum(__flip) over ({bars.sql_upto}) as __flips",
-        )
-        .selectExpr(
-            "*",
-            f"last(if(__event is null, null, __flips), true) over ({bars.sql_upto}) as __flips_then",
-        )
-        .selectExpr(
-            "*",
-            "int(pmod(coalesce(__set, 0) + __flips - coalesce(__flips_then, 0), 2)) as __long",
-        )
-        .selectExpr("*", f"coalesce(lag(__long, 1) over ({bars.sql_order}), 0) as __was_long")
-        .drop("__event", "__flip", "__set", "__flips", "__flips_then")
-    )
-
-
-def append_signals(df: DataFrame, bars: Bars) -> DataFrame:
-    """``sig_*`` columns from the weekly indicator columns."""
-    kept = [f"`{c}`" for c in df.columns]
-    df = in_entry_zone(df)
-    df = df.selectExpr(
-        "*",
+        ],
+        [f"last(if(__event is null, null, __flips), true) over ({bars.sql_upto}) as __flips_then"],
+        ["int(pmod(coalesce(__set, 0) + __flips - coalesce(__flips_then, 0), 2)) as __long"],
+        [f"coalesce(lag(__long, 1) over ({bars.sql_order}), 0) as __was_long"],
+    ]
+
+
+def signal_levels(bars: Bars) -> list[list[str]]:
+    """Levels from ``in_entry_zone`` and the indicator columns to the ``sig_*`` columns.
+    ``__entry_close`` is the price of the latest entry and ``__exit_before`` the kind of
+    the latest exit before the bar; on a bar that closes a trade they tell how and at
+    what price it was opened."""
+    conditions = [
         "fvb_band_green = 1 and bx_monthly_dark_red = 0 and in_entry_zone = 1"
         " and tpx1 is not null as __e",
         "coalesce(high >= tpx1, false) as __t",
         "bx_monthly_dark_red = 1 as __l",
-    )
-    df = position_state(df, bars, "__e", "__t", "__l")
-    df = df.selectExpr(
-        "*",
-        "__was_long = 0 and __long = 1 as __entered",
-        "int(__was_long = 1 and __long = 0 and __t) as sig_tp",
-        "int(__was_long = 1 and __long = 0 and not __t) as sig_sl",
-        "int(__was_long = 1 and __e and not __t) as sig_add",
-    ).selectExpr(
-        "*",
-        f"last(case when sig_tp = 1 then 'TP' when sig_sl = 1 then 'SL' end, true)"
-        f" over ({bars.sql_before}) as __exit_before",
-        f"last(if(__entered, close, null), true) over ({bars.sql_upto}) as __entry_close",
-    )
-    return df.selectExpr(
-        *kept,
-        "in_entry_zone",
-        "int(__entered and coalesce(__exit_before, 'SL') = 'SL') as sig_entry",
-        "int(__entered and coalesce(__exit_before, 'SL') = 'TP') as sig_reentry",
-        "sig_add",
-        "sig_tp",
-        "sig_sl",
-        "__long as sig_in_position",
-        "if(__long = 1, __entry_close, null) as sig_entry_price",
-    )
+    ]
+    return [
+        conditions,
+        *position_levels(bars, "__e", "__t", "__l"),
+        [
+            "__was_long = 0 and __long = 1 as __entered",
+            "int(__was_long = 1 and __long = 0 and __t) as sig_tp",
+            "int(__was_long = 1 and __long = 0 and not __t) as sig_sl",
+            "int(__was_long = 1 and __e and not __t) as sig_add",
+        ],
+        [
+            "coalesce(last(case when sig_tp = 1 then 'TP' when sig_sl = 1 then 'SL' end, true)"
+            f" over ({bars.sql_before}), 'SL') as __exit_before",
+            f"last(if(__entered, close, null), true) over ({bars.sql_upto}) as __entry_close",
+        ],
+        [
+            "int(__entered and __exit_before = 'SL') as sig_entry",
+            "int(__entered and __exit_before = 'TP') as sig_reentry",
+            "__long as sig_in_position",
+            "if(__long = 1, __entry_close, null) as sig_entry_price",
+        ],
+    ]
+
+
+def append_signals(df: DataFrame, bars: Bars) -> DataFrame:
+    """``sig_*`` columns from the weekly indicator columns."""
+    kept = list(df.columns)
+    return run_levels(in_entry_zone(df), signal_levels(bars)).select(*kept, *SIGNAL_COLUMNS)
 
 
 # --- trades -----------------------------------------------------------------------
@@ -173,22 +168,22 @@ def _stats(pct: Column, target: Column, again: Column) -> dict[str, Column]:
         "bt_avg_sl_pct": F.avg(F.when(~target, pct)),
         "__won": F.sum(F.when(pct > 0, pct)),
         "__lost": F.sum(F.when(pct <= 0, pct)),
-        "__growth": F.product(1.0 + pct / 100.0),
+        "__trade_growth": F.product(1.0 + pct / 100.0),
         "__again_wins": F.count(F.when(again & (pct > 0), 1)),
     }
 
 
-def _finish_stats(df: DataFrame) -> DataFrame:
+def finish_stats(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "bt_win_rate": ratio(F.col("__wins") * 100.0, F.col("bt_trades").cast("double")),
             "bt_profit_factor": ratio(F.col("__won"), F.abs(F.col("__lost"))),
-            "bt_geo_return": (F.col("__growth") - 1.0) * 100.0,
+            "bt_geo_return": (F.col("__trade_growth") - 1.0) * 100.0,
             "bt_reentry_win_rate": ratio(
                 F.col("__again_wins") * 100.0, F.col("bt_reentry_count").cast("double")
             ),
         }
-    ).drop("__wins", "__won", "__lost", "__growth", "__again_wins")
+    ).drop("__wins", "__won", "__lost", "__trade_growth", "__again_wins")
 
 
 STAT_COLUMNS = [
@@ -203,21 +198,23 @@ def backtest_stats(trade_list: DataFrame) -> DataFrame:
     aggregates = _stats(
         F.col("pct_gain"), F.col("exit_type") == "TP", F.col("entry_type") == "Re-Entry"
     )
-    return _finish_stats(
+    return finish_stats(
         trade_list.groupBy("symbol").agg(*[c.alias(name) for name, c in aggregates.items()])
     )
 
 
-def append_backtest_stats(df: DataFrame, bars: Bars) -> DataFrame:
-    """The same statistics on every bar of the symbol, as frames over the partition
-    the bars are already in: no aggregate to join back."""
-    kept = list(df.columns)
-    df = with_exits(df, bars)
-    aggregates = _stats(
-        F.col("__pct"), F.col("sig_tp") == 1, F.col("__entry.again") == 1
+EXIT_GAIN = (
+    "case when sig_tp = 1 then (tpx1 - __entry_close) / nullif(__entry_close, 0D) * 100D"
+    " when sig_sl = 1 then (close - __entry_close) / nullif(__entry_close, 0D) * 100D end as __pct"
+)
+
+
+def stat_columns() -> dict[str, Column]:
+    """The same statistics on every bar of the symbol, to be taken over the whole
+    partition the bars are already in: no aggregate to join back."""
+    return _stats(
+        F.col("__pct"), F.col("sig_tp") == 1, F.col("__exit_before") == "TP"
     ) | {"bt_weeks_in_trade": F.sum("sig_in_position")}
-    df = df.withColumns({name: c.over(bars.whole) for name, c in aggregates.items()})
-    return _finish_stats(df).select(*kept, *STAT_COLUMNS)
 
 
 def deep_dive_metrics(weekly: DataFrame, bars: Bars) -> DataFrame:
@@ -232,7 +229,7 @@ def deep_dive_metrics(weekly: DataFrame, bars: Bars) -> DataFrame:
     stats = with_exits(weekly, bars).groupBy("symbol").agg(
         *[c.alias(name) for name, c in aggregates.items()]
     )
-    return _finish_stats(stats).select(
+    return finish_stats(stats).select(
         "symbol",
         F.col("bt_trades").alias("trades"),
         F.col("bt_win_rate").alias("accuracy"),

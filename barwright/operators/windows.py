@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 from dataclasses import dataclass
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -25,6 +26,9 @@ ERA_ROW = "__era_row"
 ERA_ENDS = "__era_ends"
 ROW = "__row"
 NEWEST = "__newest"
+CLOSE_WAS = "__close_was"
+MONTH_ENDS = "__month_ends"
+MONTH_CLOSE = "__mclose"
 
 # The weights of a recursive average grow by 1/(1-alpha) per bar inside an era
 # and must stay below the double range (1e308) with room for the prices.
@@ -104,20 +108,36 @@ PLAIN_WEEKLY = Bars("week_start", ())
 def lay_out(
     df: DataFrame, ts: str, alpha: float = FASTEST_ALPHA, days_per_bar: int = 1
 ) -> tuple[DataFrame, Bars]:
-    """Add the era and the row counters; counters nobody reads are pruned away."""
+    """Add the era, the row counters, the neighbours of each bar and the month-end closes
+    in two window passes; what nobody reads is pruned away.
+
+    A month's close is the close of its last bar, known only once a bar of a later
+    month exists, so the last bar of the data never counts as a month end."""
     bars = Bars(ts)
     days = F.datediff(F.col(ts), F.lit("1900-01-01").cast("date"))
     era = F.floor(days / float(era_days(alpha, days_per_bar))).cast("int")
+    month = f"year({ts}) * 12 + month({ts})"
     df = (
         df.withColumn(ERA, era)
-        .withColumns(
-            {
-                ROW: F.row_number().over(bars.order),
-                ERA_ENDS: F.coalesce(F.lead(ERA, 1).over(bars.order) != F.col(ERA), F.lit(False)),
-                NEWEST: F.lead(ERA, 1).over(bars.order).isNull(),
-            }
+        .selectExpr(
+            "*",
+            f"row_number() over ({bars.sql_order}) as {ROW}",
+            f"lead({ERA}, 1) over ({bars.sql_order}) as __era_next",
+            f"lag(close, 1) over ({bars.sql_order}) as {CLOSE_WAS}",
+            f"coalesce(lead({month}, 1) over ({bars.sql_order}) <> {month}, false) as {MONTH_ENDS}",
+        )
+        .selectExpr(
+            "*",
+            f"coalesce(__era_next <> {ERA}, false) as {ERA_ENDS}",
+            f"__era_next is null as {NEWEST}",
+            f"if({MONTH_ENDS}, close, null) as {MONTH_CLOSE}",
         )
-        .withColumn(ERA_ROW, F.count(F.lit(1)).over(bars.era_upto))
+        .selectExpr(
+            "*",
+            f"count(1) over ({bars.sql_era_upto}) as {ERA_ROW}",
+            f"count({MONTH_CLOSE}) over ({bars.sql_era_upto}) as {MONTH_CLOSE}__m",
+        )
+        .drop("__era_next")
     )
     return df, bars
 
@@ -137,6 +157,14 @@ def unpack(df: DataFrame, name: str = "__done") -> DataFrame:
     return df.select(*[c for c in df.columns if c != name], f"{name}.*")
 
 
+def run_levels(df: DataFrame, *chains: list[list[str]]) -> DataFrame:
+    """Append SQL columns level by level, the chains side by side: columns of one level
+    do not depend on each other, so its window functions share one pass."""
+    for level in zip_longest(*chains, fillvalue=[]):
+        df = df.selectExpr("*", *[column for part in level for column in part])
+    return df
+
+
 # --- sliding frames ---------------------------------------------------------
 
 
@@ -168,13 +196,11 @@ def pct_change(x: Column, bars: Bars) -> Column:
     return x / F.nullif(prev, F.lit(0.0)) - 1.0
 
 
-def true_range(bars: Bars) -> Column:
+def true_range(close_was: Column) -> Column:
     """Largest of high-low and the two gaps to the previous close.  ``greatest``
     ignores the NULLs of the first bar, which leaves high-low there."""
-    prev = F.lag("close", 1).over(bars.order)
-    return F.greatest(
-        F.col("high") - F.col("low"), F.abs(F.col("high") - prev), F.abs(F.col("low") - prev)
-    )
+    high, low = F.col("high"), F.col("low")
+    return F.greatest(high - low, F.abs(high - close_was), F.abs(low - close_was))
 
 
 # --- state over time --------------------------------------------------------
@@ -230,12 +256,10 @@ def row_counter(first: int = 1) -> Counter:
     return Counter(f"({ROW} - {first - 1})", ERA_ROW)
 
 
-def value_counter(df: DataFrame, bars: Bars, x: str) -> tuple[DataFrame, Counter]:
-    """For a series given on some of the rows only."""
-    df = df.selectExpr("*", f"count({x}) over ({bars.sql_upto}) as {x}__n").selectExpr(
-        "*", f"count({x}) over ({bars.sql_era_upto}) as {x}__m"
-    )
-    return df, Counter(f"{x}__n", f"{x}__m")
+def month_counter(df: DataFrame, bars: Bars) -> tuple[DataFrame, Counter]:
+    """For the month-end closes, which exist on some of the rows only."""
+    df = df.selectExpr("*", f"count({MONTH_CLOSE}) over ({bars.sql_upto}) as {MONTH_CLOSE}__n")
+    return df, Counter(f"{MONTH_CLOSE}__n", f"{MONTH_CLOSE}__m")
 
 
 def recursive_means(

@@ -293,7 +293,7 @@ def _(x):
 
 @register("true_range", query(f"SELECT symbol, ts AS week_start, {rounded('tr')} AS true_range FROM w_bar"))
 def _(x):
-    return one(x, "true_range", win.true_range(win.PLAIN_WEEKLY))
+    return one(x, "true_range", win.true_range(win.previous(F.col("close"), 1, win.PLAIN_WEEKLY)))
 
 
 @register("rolling_std", query(f"SELECT symbol, ts AS week_start, {rounded('std_20')} AS rolling_std FROM w_win"))

@@ -21,7 +21,7 @@ def laid_weekly(x: Inputs):
 
 def priced(x: Inputs):
     df, bars = laid_weekly(x)
-    return ind.with_price_basis(df, bars), bars
+    return ind.with_price_basis(df), bars
 
 
 def marked(names: list[str], digits: str = "") -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barwright.operators import indicators as ind
 from barwright.operators import windows as win
-from barwright.operators.signals import position_state
+from barwright.operators.signals import position_levels
 
 START = dt.date(1980, 1, 7)
 
@@ -137,7 +137,7 @@ def test_position_state_for_all_short_sequences(spark):
         wanted[n] = loop_positions(seq)
         rows += [(str(n), i, e, t, l) for i, (e, t, l) in enumerate(seq)]
     df = spark.createDataFrame(rows, "symbol string, week_start int, e boolean, t boolean, l boolean")
-    got = position_state(df, win.PLAIN_WEEKLY, "e", "t", "l")
+    got = win.run_levels(df, position_levels(win.PLAIN_WEEKLY, "e", "t", "l"))
     lists = got.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct("week_start", "__long"))).alias("p"))
     for r in lists.collect():
         assert [x["__long"] for x in r["p"]] == wanted[int(r["symbol"])]

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 from barwright.functions.numeric import half_up, pct_from, ratio
 from barwright.operators import quality, signals
 from barwright.operators import windows as win
-from barwright.operators.cycles import append_cycle_stats, append_cycles
 from barwright.operators.indicators import compute_indicators
 from barwright.operators.portfolio import percent_rank_within, select_top_by_upside
 from barwright.operators.screens import position_summary
-from barwright.plans.stages import full_weekly
+from barwright.plans.stages import append_signal_stage, full_weekly
 from barwright.sources.candles import symbol_name
 
 MONDAY = dt.date(2020, 1, 6)
@@ -87,9 +86,10 @@ def test_equity_curve_survives_a_total_loss(spark):
 
 
 def test_open_trade_counts_only_for_weeks_in_trade(spark):
-    df, w = bars_of(spark, [(100, 110, 1, 0), (90, 95, 0, 1), (100, 110, 1, 0), (105, 110, 0, 0)])
+    bars = [(100, 110, 1, 0), (90, 95, 0, 1), (100, 110, 1, 0), (105, 110, 0, 0)]
+    df, w = bars_of(spark, bars)
     df = signals.append_signals(df, w).withColumn("cycle_avg_pullback", F.lit(-1.0))
-    row = signals.append_backtest_stats(df, w).collect()[0]
+    row = append_signal_stage(bars_of(spark, bars)[0], w).collect()[0]
     assert (row["bt_trades"], row["bt_weeks_in_trade"]) == (1, 3)
     dive = signals.deep_dive_metrics(df, w).collect()[0]
     assert (dive["trades"], dive["weeks_in_trade"], dive["avg_hold"]) == (1, 3, 1.0)
@@ -106,7 +106,7 @@ def test_risk_reward(spark):
 def test_cycles(spark):
     df, w = bars_of(spark, [(100, 1, 0, 0), (110, 1, 1, 0), (121, 1, 1, 0), (99, 1, 0, 1), (80, 1, 1, 0), (88, 1, 0, 0)])
     df = df.withColumn("low", F.col("close") - 10.0)
-    rows = append_cycle_stats(append_cycles(df, w)).orderBy("week_start").collect()
+    rows = append_signal_stage(df, w).orderBy("week_start").collect()
     assert [r["cycle_bull"] for r in rows] == [0, 1, 1, 0, 1, 1]
     assert [round(r["cycle_pct"], 6) for r in rows] == [0.0, 10.0, 21.0, round((99 - 121) / 121 * 100, 6), round((80 - 99) / 99 * 100, 6), round((88 - 99) / 99 * 100, 6)]
     assert {(r["cycle_count"], round(r["cycle_signal_return"], 6), r["cycle_win_rate"]) for r in rows} == {(1, 21.0, 100.0)}
