@@ -28,25 +28,6 @@ def select_candles(
     return df
 
 
-def read_candles(
-    spark: SparkSession,
-    root: str,
-    period: str,
-    symbols: Iterable[str] | None = None,
-    start: str | None = None,
-    end: str | None = None,
-    fmt: str = "parquet",
-) -> DataFrame:
-    """Filtered read of the stored daily or weekly table."""
-    table = spark.read.format(fmt).load(f"{root}/{period}")
-    return select_candles(table, period, symbols, start, end)
-
-
-def load_symbol_history(spark: SparkSession, root: str, symbol: str) -> DataFrame:
-    """Full weekly history of one symbol."""
-    return read_candles(spark, root, "weekly", [symbol])
-
-
 def register_views(daily: DataFrame, weekly: DataFrame) -> None:
     daily.createOrReplaceTempView("daily")
     weekly.createOrReplaceTempView("weekly")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwright.operators.quality import table_inventory
-from barwright.sources.candles import TIME_COLUMN
+from barwright.sources.candles import TIME_COLUMN, select_candles
 
 STATE_SCHEMA = "period string, symbol string, last_date date, logic_version string"
 
@@ -59,8 +59,23 @@ class Store:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.format(self.fmt).load(self.path(table)).drop("bucket")
 
-    def bucket(self) -> Column:
-        return F.pmod(F.hash("symbol"), F.lit(self.buckets))
+    def bucket(self, symbol: Column | str = "symbol") -> Column:
+        return F.pmod(F.hash(symbol), F.lit(self.buckets))
+
+    def candles(
+        self,
+        table: str,
+        symbols: list[str] | None = None,
+        start: str | None = None,
+        end: str | None = None,
+    ) -> DataFrame:
+        """Filtered read of a bar table.  A symbol list also prunes the bucket folders;
+        within a file rows are sorted by symbol, so it skips row groups as well."""
+        df = self.spark.read.format(self.fmt).load(self.path(table))
+        if symbols is not None:
+            df = df.where(F.col("bucket").isin(*[self.bucket(F.lit(s)) for s in symbols]))
+        period = "weekly" if "weekly" in table else "daily"
+        return select_candles(df, period, symbols, start, end).drop("bucket")
 
     def overwrite(self, df: DataFrame, table: str) -> None:
         """Replace a small unpartitioned table; staged, as df may read the old one."""
@@ -70,7 +85,12 @@ class Store:
     def write_bars(self, df: DataFrame, table: str) -> None:
         """Replace exactly the symbol buckets that occur in df.  Rebalancing lets Spark
         size the files: small buckets share a task, large ones are split."""
-        laid_out = df.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
+        ts = "week_start" if "week_start" in df.columns else "date"
+        laid_out = (
+            df.withColumn("bucket", self.bucket())
+            .hint("rebalance", "bucket")
+            .sortWithinPartitions("bucket", "symbol", ts)
+        )
         (
             laid_out.write.format(self.fmt)
             .mode("overwrite")

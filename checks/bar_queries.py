@@ -35,7 +35,7 @@ def daily_mas(x: Inputs):
 def _(x):
     store = x.store()
     store.write_bars(x.daily(), "daily")
-    return candles.read_candles(x.spark, store.root, "daily", NAMES, "1998-01-01").drop("bucket")
+    return store.candles("daily", NAMES, "1998-01-01")
 
 
 @register("register_views", table("weekly", f"symbol week_start {BAR} trading_days"))
@@ -59,7 +59,7 @@ def _(x):
 def _(x):
     store = x.store()
     store.write_bars(x.weekly(), "weekly")
-    return candles.load_symbol_history(x.spark, store.root, "SYM00003").drop("bucket")
+    return store.candles("weekly", ["SYM00003"])
 
 
 # --- projections and filters ----------------------------------------------------------

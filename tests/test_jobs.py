@@ -56,3 +56,13 @@ def test_broadcast_only_below_the_limit(spark):
     large = broadcast_if_small(spark.range(11), 10)
     assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in large._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_symbol_list_prunes_buckets_and_is_pushed_down(spark, sf_dir):
+    store = Store(spark, new_workspace(spark), buckets=8)
+    store.write_bars(Inputs(spark, sf_dir).daily(), "daily")
+    df = store.candles("daily", ["SYM00001"], "1998-01-01")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+    assert "EqualTo(symbol,SYM00001)" in plan and "GreaterThanOrEqual(date,1998-01-01)" in plan
+    assert 0 < df.count() < store.read("daily").where("symbol = 'SYM00001'").count()
