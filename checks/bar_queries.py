@@ -333,7 +333,7 @@ LATCH = f"CAST(coalesce(last_value(CASE WHEN close > open * 1.5::DOUBLE THEN 1 W
 
 def latched(x: Inputs):
     on, off = F.col("close") > F.col("open") * 1.5, F.col("close") < F.col("open") * 0.7
-    return one(x, "latch", win.latch(on, off, win.PLAIN_WEEKLY)).withColumn("close", F.lit(0.0)).drop("close")
+    return one(x, "latch", win.latch(on, off, win.PLAIN_WEEKLY))
 
 
 @register("latch", query(f"SELECT symbol, week_start, {LATCH} AS latch FROM weekly"))
