@@ -11,7 +11,7 @@ from barwright.plans.stages import build_snapshot
 from barwright.sources import tables
 from checks.base_sql import columns, query, rounded, table
 from checks.registry import Inputs, register
-from checks.signal_queries import BT_COUNTS, BT_DOUBLES, SIG_SPEC
+from checks.signal_queries import SIG_SPEC
 
 BAR = "open~ high~ low~ close~ volume~"
 NUMBER = "CAST(substr(symbol, 4) AS BIGINT)"

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from barwright.operators import indicators as ind
 from barwright.operators import reports, screens, signals
 from barwright.operators import windows as win
-from barwright.operators.cycles import CYCLE_COLUMNS, CYCLE_STAT_COLUMNS
+from barwright.operators.cycles import CYCLE_STAT_COLUMNS
 from barwright.plans.stages import full_weekly
 from checks.base_sql import columns, query, rounded, table
 from checks.registry import Inputs, register
