@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from barwright.session import new_workspace
@@ -67,7 +68,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa
         column = batch.column(text)
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
-        sizes = np.asarray(pa.compute.binary_length(column).fill_null(0))
+        sizes = np.asarray(pc.binary_length(column).fill_null(0))
         start, total = 0, 0
         for i, n in enumerate(sizes):
             if i > start and total + n > SLICE_BYTES:
