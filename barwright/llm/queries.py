@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barwright.llm import packing, token_blocks
+from barwright.llm import hyperminhash, language, packing, quality, token_blocks
 from barwright.llm.common import drop_staged, staged
 from barwright.session import new_workspace
 
@@ -29,14 +30,39 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.with_global_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: three-word shingles, 85 of 100 in common."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 ids."""
     return packing.packed_documents(table(spark, sf_dir, "documents"), VOCABULARY, 2, 1024, with_ids=False)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from three of four labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from three of four of them."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.train(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
+    "op3_hyperminhash": op3_hyperminhash,
     "op4_packing": op4_packing,
+    "op7_quality": op7_quality,
+    "op8_language": op8_language,
 }
 
 ORACLE: dict[str, str] = {}
