@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.llm import hyperminhash, language, packing, quality, token_blocks
+from barwright.llm import hyperminhash, language, packing, quality, ring, syncmers, token_blocks, warc
 from barwright.llm.common import drop_staged, staged
 from barwright.session import new_workspace
 
@@ -30,6 +30,11 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.with_global_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: three-word shingles, 85 of 100 in common."""
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
@@ -40,6 +45,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), VOCABULARY, 2, 1024, with_ids=False)
 
 
+def op6_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents on sixteen shards of a ring with 64 virtual nodes each, loads bounded so
+    tightly that counts differ by one at most."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    )
+    placed = ring.shard_rows(docs, "doc_id", shards=16, vnodes=64, slack=0.0)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learned from three of four labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,12 +75,37 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, read back; sizes of revisits come from the originals."""
+    place = f"{new_workspace(spark)}/archives"
+    warc.write_archives(table(spark, sf_dir, "pages"), place, date="2020-01-01T00:00:00Z")
+    rows = staged(warc.read_archives(spark, place, with_html=False), "records")
+    drop_staged(spark.read.format("binaryFile").load(place))
+    return warc.with_originals(rows).select(
+        "page_id", F.col("content_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
+    "op2_syncmers": op2_syncmers,
     "op3_hyperminhash": op3_hyperminhash,
     "op4_packing": op4_packing,
+    "op6_ring": op6_ring,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
+    "op9_warc": op9_warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_warc": """
+        WITH p AS (
+          SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                 sha1(coalesce(html, '')) AS payload_digest
+          FROM pages),
+        o AS (SELECT payload_digest, max(page_id) AS original FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN original IS NOT NULL AND original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN original <> page_id THEN original END AS refers_to
+        FROM p LEFT JOIN o USING (payload_digest)""",
+}
