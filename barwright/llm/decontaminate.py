@@ -58,10 +58,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 12, min_sh
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     items = benchmark.select("item_id", "text").distinct()
-    items = staged(items.select("item_id", "text", tokens("text").alias("item")), "items")
-    seeds = staged(_with_seeds(items.select("item_id", "text"), "item_id").join(
-        items.select("item_id", F.size("item").alias("item_tokens")), "item_id"
-    ).select("item_id", "item_tokens", "seed", "place").distinct(), "seeds")
+    items = items.withColumn("item", tokens("text"))
+    items = staged(items.withColumn("item_mark", F.xxhash64("text")).withColumn("item_tokens", F.size("item")), "items")
+    seeds = _with_seeds(items.select("item_id", "item_mark", "item_tokens", "text"), "item_id", "item_mark", "item_tokens")
+    seeds = staged(seeds.where("seed IS NOT NULL").distinct(), "seeds")
     blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
     windows = _with_seeds(docs, "doc_id", "mark").withColumnRenamed("place", "doc_place")
     hits = None
@@ -70,7 +70,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 12, min_sh
         part = F.broadcast(seeds.where(F.pmod("seed", F.lit(blocks)) == b))
         found = windows.join(part, "seed")
         hits = found if hits is None else hits.unionByName(found)
-    region = hits.groupBy("doc_id", "mark", "item_id", "item_tokens", (F.col("doc_place") - F.col("place")).alias("shift"))
+    region = hits.groupBy("doc_id", "mark", "item_id", "item_mark", "item_tokens", (F.col("doc_place") - F.col("place")).alias("shift"))
     region = region.agg(F.min("place").alias("first"), (F.max("place") + SPAN).alias("end"))
     long_enough = F.col("end") - F.col("first") >= F.least(F.lit(min_tokens), F.col("item_tokens"))
     # Written first, so Spark knows its size when it chooses how to fetch the texts.
@@ -78,9 +78,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 12, min_sh
     wanted = regions.select("doc_id", "mark").distinct()
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["mark"] == wanted["mark"]), "left_semi")
     texts = texts.dropDuplicates(["doc_id", "mark"]).select("doc_id", "mark", tokens("text").alias("words"))
-    r, t, i = regions.alias("r"), texts.alias("t"), items.select("item_id", "item").alias("i")
+    r, t, i = regions.alias("r"), texts.alias("t"), items.select("item_id", "item_mark", "item").alias("i")
     both = r.join(t, F.col("r.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("r.mark") == F.col("t.mark")))
-    both = both.join(i, F.col("r.item_id").eqNullSafe(F.col("i.item_id")))
+    both = both.join(i, F.col("r.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("r.item_mark") == F.col("i.item_mark")))
     equal = F.filter(F.sequence("first", F.col("end") - 1), lambda p: F.get("item", p) == F.get("words", p + F.col("shift")))
     both = both.select(
         "r.doc_id", "r.item_id", (F.col("first") + F.col("shift")).alias("start"), (F.col("end") - F.col("first")).alias("length"),

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.llm import hyperminhash, language, packing, quality, ring, syncmers, token_blocks, warc
+from barwright.llm import decontaminate, hyperminhash, language, licences, packing, quality, ring, syncmers, token_blocks, warc
 from barwright.llm.common import drop_staged, staged
 from barwright.session import new_workspace
 
@@ -45,6 +45,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), VOCABULARY, 2, 1024, with_ids=False)
 
 
+def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark: pairs with their longest overlap."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents on sixteen shards of a ring with 64 virtual nodes each, loads bounded so
     tightly that counts differ by one at most."""
@@ -86,15 +91,23 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence paragraphs of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op2_syncmers": op2_syncmers,
     "op3_hyperminhash": op3_hyperminhash,
     "op4_packing": op4_packing,
+    "op5_spaced_seeds": op5_spaced_seeds,
     "op6_ring": op6_ring,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
     "op9_warc": op9_warc,
+    "op10_licences": op10_licences,
 }
 
 ORACLE: dict[str, str] = {
