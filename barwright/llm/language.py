@@ -12,10 +12,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barwright.llm.common import ship, slices, span_hashes
+from barwright.llm.common import chosen_by_hash, ship, slices, span_hashes
 
 ORDERS = (4, 3, 2, 1)
 UNKNOWN = "und"
@@ -73,9 +73,7 @@ def train(docs: DataFrame, per_language: int = 600, min_count: int = 2) -> Model
     ship(docs.sparkSession)
     able = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     able = able.where(~held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = able.select("doc_id", "lang").distinct().withColumn("i", F.row_number().over(order))
-    chosen = chosen.where(F.col("i") <= per_language).select("doc_id", "lang")
+    chosen = chosen_by_hash(able.select("doc_id", "lang").distinct(), "lang", per_language)
 
     def count(batches):
         for part in slices(batches):

@@ -12,10 +12,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwright.llm.common import lowered, ship, slices, span_hashes, text_bytes, word_spans
+from barwright.llm.common import chosen_by_hash, lowered, ship, slices, span_hashes, text_bytes, word_spans
 from barwright.llm.language import held_out
 
 FEATURES = [
@@ -158,11 +158,9 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 1200) -> Model |
     left out; None if a label is missing, as nothing can be learned then."""
     ship(docs.sparkSession)
     able = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
     known = able.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     rate = known.agg(F.avg("quality")).first()[0] or 0.0
-    chosen = known.withColumn("i", F.row_number().over(order))
-    chosen = chosen.where(F.col("i") <= per_label).select("doc_id", "quality")
+    chosen = chosen_by_hash(known, "quality", per_label)
 
     def lines(batches):
         for part in slices(batches):
