@@ -7,34 +7,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-# From here on half_up keeps nine significant digits instead of a number of decimals.
-LARGE = 1e9
+_EXACT = "decimal(38,8)"
 
 
 def half_up(x: Column, digits: int) -> Column:
-    """Round half up, after removing floating noise below 1e-8.
-
-    Averages of two-digit prices often lie exactly half way between two rounded
-    values; without the first step the last bit of the sum would decide."""
-    snapped = F.floor(x * 1e8 + 0.5) / 1e8
-    scale = float(10**digits)
-    power = F.floor(F.log10(F.abs(x))) - 8
-    exact = F.least(power, F.lit(22))  # larger powers of ten are no exact doubles
-    unit = F.pow(F.lit(10.0), exact) * F.pow(F.lit(10.0), power - exact)
-    return F.when(F.abs(x) < LARGE, F.floor(snapped * scale + 0.5) / scale).otherwise(
-        F.floor(x / unit + 0.5) * unit
-    )
+    """Round halves away from zero, after removing floating noise below 1e-8.
+
+    Averages of two-digit prices often lie exactly half way between two rounded values;
+    without the first step the last bit of the sum would decide.  The decimal keeps every
+    digit that a double has down to the eighth place; what it cannot hold (infinite, NaN,
+    30 digits and more) has no such digits and stays as it is."""
+    return F.coalesce(F.round(x.try_cast(_EXACT), digits).cast("double"), x)
 
 
 def round_doubles(df: DataFrame, digits: int = 4, **special: int) -> DataFrame:
-    """Round every double column for presentation; ``special`` overrides per column."""
-    return df.select(
-        *[
-            half_up(F.col(f.name), special.get(f.name, digits)).alias(f.name)
-            if isinstance(f.dataType, DoubleType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
+    """Round every double column for presentation; ``special`` overrides per column.  Columns
+    of one precision are rounded as one array, which keeps the generated code short however
+    wide the frame is."""
+    groups: dict[int, list[str]] = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, DoubleType):
+            groups.setdefault(special.get(f.name, digits), []).append(f.name)
+    place = {n: (d, i) for d, names in groups.items() for i, n in enumerate(names)}
+
+    def rounded(names: list[str], to: int) -> Column:
+        return F.transform(F.array(*[F.col(f"`{n}`") for n in names]), lambda x: half_up(x, to))
+
+    packed = [rounded(names, d).alias(f"__round_{d}") for d, names in groups.items()]
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in place]
+    return df.select(*rest, *packed).select(
+        *[F.get(F.col(f"__round_{place[c][0]}"), F.lit(place[c][1])).alias(c) if c in place else F.col(f"`{c}`") for c in df.columns]
     )
 
 

@@ -19,13 +19,8 @@ def cte(name: str, body: str, materialized: bool = False) -> None:
 def rounded(name: str, digits: int = 4) -> str:
     """The same rounding rule as functions.numeric.half_up, on a column name."""
     x = f'"{name}"' if re.match(r"^[a-zA-Z_]\w*$", name) else f"({name})"
-    power = f"floor(log10(abs({x}))) - 8"
-    unit = f"(pow(10.0::DOUBLE, least({power}, 22)) * pow(10.0::DOUBLE, {power} - least({power}, 22)))"
-    scale = f"1e{digits}"
-    return (
-        f"CASE WHEN abs({x}) < 1e9 THEN floor(floor({x} * 1e8 + 0.5) / 1e8 * {scale} + 0.5) / {scale}"
-        f" ELSE floor({x} / {unit} + 0.5) * {unit} END"
-    )
+    exact = f"TRY_CAST({x} AS DECIMAL(38, 8))"
+    return f"coalesce(CAST(round({exact}, {digits}) AS DOUBLE), {x})"
 
 
 def columns(spec: str) -> str:

@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 from checks.compare import compare, connect
+from checks.registry import REGISTRY
 
-RUNS, TEXTS = entry_point.queries(), entry_point.oracle_sql()
+RUNS = {name: run for name, run in entry_point.queries().items() if name in REGISTRY}
+TEXTS = {name: sql for name, sql in entry_point.oracle_sql().items() if name in REGISTRY}
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from barwright.functions.numeric import half_up, pct_from, ratio
+from barwright.functions.numeric import half_up, pct_from, ratio, round_doubles
 from barwright.operators import quality, signals
 from barwright.operators import windows as win
 from barwright.operators.indicators import compute_indicators
@@ -119,7 +119,29 @@ def test_zero_divisors_give_null(spark):
         ratio(F.lit(1.0), F.lit(0.0)).alias("r"), pct_from(F.lit(0.0), F.lit(5.0)).alias("p"),
         half_up(F.lit(2.675), 2).alias("h"), half_up(F.lit(-2.5), 0).alias("n"), half_up(F.lit(12345678901.0), 2).alias("big"),
     ).collect()[0]
-    assert (row["r"], row["p"], row["h"], row["n"], row["big"]) == (None, None, 2.68, -2.0, 12345678900.0)
+    assert (row["r"], row["p"], row["h"], row["n"], row["big"]) == (None, None, 2.68, -3.0, 12345678901.0)
+
+
+@pytest.mark.parametrize("x, want", [
+    (1234567890.12, 1234567890.12), (98765432109.0, 98765432109.0), (1e12 + 0.25, 1e12 + 0.25), (12345678901.236, 12345678901.24),
+    (-12345678901.235, -12345678901.24), (3e29, 3e29), (1e300, 1e300), (float("inf"), float("inf")), (0.125, 0.13), (1e-12, 0.0),
+])
+def test_rounding_keeps_large_numbers(spark, x, want):
+    df = spark.range(1).select(F.lit(x).alias("x"), F.lit("t").alias("t"))
+    assert df.select(half_up(F.col("x"), 2)).first()[0] == want
+    assert round_doubles(df, 2).first() == (want, "t")
+
+
+def test_wide_rounding_compiles(spark, sf_dir, capfd):
+    """Rounding all columns of the indicator chain leaves its generated code compilable."""
+    from __spark_entry__ import queries
+
+    for name in ("compute_indicators_weekly", "compute_indicators_daily"):
+        spark.sparkContext.setLogLevel("WARN")
+        queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        spark.sparkContext.setLogLevel("ERROR")
+    said = capfd.readouterr()
+    assert "64 KB" not in said.err + said.out and "failed to compile" not in said.err + said.out
 
 
 def test_quality_rules(spark):
