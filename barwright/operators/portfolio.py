@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barwright.functions.numeric import ratio
 from barwright.operators.incremental import new_weeks_only, universe_semi_join
 from barwright.operators.screens import upside_to_tp_pct
-from barwright.session import broadcast_if_small, settled
+from barwright.session import settled
 
 CAPS = (60, 50, 40, 30)
 RELATIVE_STRENGTH_WEEKS = 52
@@ -82,7 +82,7 @@ def sector_relative(weekly: DataFrame, universe: DataFrame) -> DataFrame:
     return (
         weekly.select("symbol", "week_start", "close")
         .join(universe.where(F.col("sector").isNotNull()).select("symbol", "sector"), "symbol")
-        .join(broadcast_if_small(series), ["sector", "week_start"])
+        .join(series, ["sector", "week_start"])
         .withColumn("relative", ratio(F.col("close"), F.col("sector_close")))
     )
 
@@ -132,8 +132,8 @@ def percent_rank_within(
     Equal values are counted together first.  Quantiles cut each group into slices of
     whole values; a row's rank is the number of rows in lower slices plus the number
     with smaller values in its own.  Rough quantiles only make slices uneven.  They are
-    settled so that both uses see the same cuts, and there are ``slices`` of them for a
-    group, which are calendar weeks here: small enough to broadcast."""
+    settled so that both uses see the same cuts.  Raise ``slices`` with the largest group.
+    Spark chooses the joins by size."""
     ranked = df.where(F.col(value).isNotNull())
     counts = ranked.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__n"))
     steps = [i / slices for i in range(1, slices)]
@@ -141,7 +141,7 @@ def percent_rank_within(
         counts.groupBy(*groups).agg(F.percentile_approx(value, steps).alias("__cuts"))
     )
     sliced = (
-        counts.join(F.broadcast(cuts), groups)
+        counts.join(cuts, groups)
         .withColumn("__slice", F.size(F.filter("__cuts", lambda c: c < F.col(value))))
         .drop("__cuts")
     )
@@ -166,7 +166,7 @@ def percent_rank_within(
     )
     ranks = (
         sliced.withColumn("__smaller", F.coalesce(smaller, F.lit(0)))
-        .join(F.broadcast(totals), [*groups, "__slice"])
+        .join(totals, [*groups, "__slice"])
         .select(
             *groups,
             value,

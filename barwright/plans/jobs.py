@@ -1,5 +1,10 @@
-"""Jobs that write stage tables.  Each is safe to repeat: tables are replaced bucket by
-bucket from staged files, and the state is written last."""
+"""Jobs that write stage tables.  Each is safe to repeat: slices are replaced from staged
+files, and state and marks are written last.
+
+Stages: ``daily`` and ``weekly_indicators`` read the daily bars, ``weekly`` (signals) reads the
+weekly indicators.  A stage's state says up to which daily bar its input reached.  A symbol is
+due when its input was marked as changed, when it has no state, when its state has another
+logic version, or when its input is newer than its state."""
 
 from __future__ import annotations
 
@@ -12,53 +17,88 @@ from barwright.operators.quality import repair_anti_join, reset_state
 from barwright.operators.signals import SIGNAL_VERSION
 from barwright.plans.stages import build_snapshot, signals_from_indicators
 from barwright.sources.candles import resample_weekly
-from barwright.sources.tables import Store, state_of
+from barwright.sources.tables import SLICES, Store
+
+STAGE_OF = {"daily": "daily", "weekly": "weekly_indicators"}
 
 
-def touched_symbols(store: Store, period: str, force: bool) -> DataFrame:
-    newest = store.read("daily").groupBy("symbol").agg(F.max("date").alias("newest"))
+def _due(store: Store, stage: str, inputs: DataFrame, force: bool) -> DataFrame:
+    """Symbols a stage has to recompute, staged; ``inputs`` holds (symbol, newest)."""
+    symbols = store.read_dirty(stage).select("symbol")
     if force:
-        return newest.select("symbol")
-    return versioned_recompute(newest, store.read_state(period), SIGNAL_VERSION).select("symbol")
+        return store.staged(symbols.unionByName(inputs.select("symbol")).distinct())
+    stale = versioned_recompute(inputs, store.read_state(stage), SIGNAL_VERSION).select("symbol")
+    return store.staged(symbols.unionByName(stale).distinct())
+
+
+def _newest_bars(store: Store) -> DataFrame:
+    return store.read("daily").groupBy("symbol").agg(F.max("date").alias("newest"))
+
 
+def _finish(store: Store, stage: str, symbols: DataFrame, inputs: DataFrame) -> None:
+    """State of the symbols as their input was read; a symbol without input has none."""
+    done = symbols.select(F.lit(stage).alias("period"), "symbol")
+    fresh = inputs.join(symbols, "symbol", "left_semi").select(
+        F.lit(stage).alias("period"), "symbol", F.col("newest").alias("last_date"), F.lit(SIGNAL_VERSION).alias("logic_version")
+    )
+    store.write_state(fresh, done)
+    store.clear_dirty(symbols, stage)
 
-def _with_bucket_mates(store: Store, symbols: DataFrame) -> DataFrame:
-    """Daily rows of all buckets that hold a touched symbol: a bucket is rewritten whole,
-    and indicators need the whole history of a symbol anyway."""
-    return store.same_buckets("daily", symbols)
+
+def _rewrite(store: Store, table: str, rows: DataFrame, symbols: DataFrame) -> None:
+    """Write the rows of all buckets that hold one of the symbols; slices of these buckets that
+    have no row any more are emptied."""
+    scope = store.same_buckets(table, symbols).select(*SLICES).distinct() if store.exists(table) else None
+    store.write_bars(rows, table, None if scope is None else store.staged(scope))
 
 
 def run_indicators(store: Store, period: str = "weekly", force: bool = False) -> bool:
-    """Indicators of the touched symbols; False when nothing was to be done."""
-    symbols = store._staged(touched_symbols(store, period, force))
+    """Indicators of the symbols that are due; False when nothing was to be done.  A bucket is
+    rewritten whole, with the whole history of its symbols."""
+    stage = STAGE_OF[period]
+    newest = store.staged(_newest_bars(store))
+    symbols = _due(store, stage, newest, force)
     if symbols.isEmpty():
+        store.clean()
         return False
-    daily = _with_bucket_mates(store, symbols)
+    daily = store.same_buckets("daily", symbols).drop(*SLICES, "arrival")
     candles = resample_weekly(daily) if period == "weekly" else daily
-    store.write_bars(compute_indicators(candles, period), f"{period}_indicators")
+    _rewrite(store, f"{period}_indicators", compute_indicators(candles, period), symbols)
+    if period == "weekly":
+        store.mark_dirty(symbols, "weekly")
+    _finish(store, stage, symbols, newest)
+    store.clean()
     return True
 
 
 def run_signals(store: Store, force: bool = False) -> bool:
-    """Signals of the touched symbols from the stored weekly indicators, then the snapshot
-    and the state."""
-    symbols = store._staged(touched_symbols(store, "weekly", force))
+    """Signals of the symbols that are due, from the stored weekly indicators and no newer
+    bars, then the snapshot and the state."""
+    inputs = store.staged(store.read_state("weekly_indicators").select("symbol", F.col("last_date").alias("newest")))
+    symbols = _due(store, "weekly", inputs, force)
     if symbols.isEmpty():
+        store.clean()
         return False
-    bars = store.same_buckets("weekly_indicators", symbols)
-    store.write_bars(signals_from_indicators(bars), "weekly")
+    bars = store.same_buckets("weekly_indicators", symbols).drop(*SLICES)
+    _rewrite(store, "weekly", signals_from_indicators(bars), symbols)
     write_snapshot(store)
-    newest = store.read("daily").join(symbols, "symbol", "left_semi")
-    fresh = state_of(newest, "daily", SIGNAL_VERSION).withColumn("period", F.lit("weekly"))
-    store.write_state(fresh)
+    _finish(store, "weekly", symbols, inputs)
+    store.clean()
     return True
 
 
 def run_weekly(store: Store, force: bool = False) -> bool:
-    """Indicators and signals: only symbols with new bars, without state or with another
-    logic version, unless forced."""
-    run_indicators(store, "weekly", force)
-    return run_signals(store, force)
+    """Indicators and signals: only symbols that are due, unless forced."""
+    changed = run_indicators(store, "weekly", force)
+    return run_signals(store, force) or changed
+
+
+def run_full(store: Store, landing: DataFrame | None = None, force: bool = False) -> bool:
+    """Landed bars, daily indicators, weekly indicators, signals, snapshot."""
+    if landing is not None:
+        store.ingest_bars(landing)
+    changed = run_indicators(store, "daily", force)
+    return run_weekly(store, force) or changed
 
 
 def write_snapshot(store: Store) -> int:
@@ -66,12 +106,37 @@ def write_snapshot(store: Store) -> int:
     return store.read("weekly_snapshot").count()
 
 
-def run_repair(store: Store, bad: DataFrame) -> None:
-    """Delete bad daily bars and set their symbols back, so the next load refills them."""
+def _drop_bars(store: Store, bad: DataFrame) -> None:
+    """Remove the named daily bars; slices without any other bar are emptied."""
+    stored = store.same_slices("daily", bad)
+    kept = repair_anti_join(stored.drop(*SLICES), bad, "date")
+    store.replace_slices(kept, "daily", stored.select(*SLICES).distinct())
+    store.mark_dirty(bad.select("symbol").distinct(), "daily", "weekly_indicators")
 
 
-    bad = store._staged(bad.select("symbol", "date").distinct())
-    stored = store.same_buckets("daily", bad)
-    store.replace_buckets(repair_anti_join(stored, bad, "date"), "daily")
-    state = reset_state(store.read_state(), bad, "date", "daily")
-    store.write_state(reset_state(state, bad, "date", "weekly"))
+def run_repair(store: Store, bad: DataFrame) -> None:
+    """Delete bad daily bars, set their symbols back so that the next load refills them, and
+    mark them, so that the next run recomputes them even if no bar comes."""
+    bad = store.staged(bad.select("symbol", "date").distinct())
+    _drop_bars(store, bad)
+    state = store.read_state()
+    for stage in ("daily", "weekly_indicators", "weekly"):
+        state = reset_state(state, bad, "date", stage)
+    store.write_state(state)
+    store.clean()
+
+
+def run_repair_all(store: Store, from_date: str) -> None:
+    """Drop every daily bar from a date on, set all symbols of all periods back to it, and
+    recompute what was derived from the bars."""
+    day = F.lit(from_date).cast("date")
+    bad = store.staged(store.read("daily").where(F.col("date") >= day).select("symbol", "date"))
+    _drop_bars(store, bad)
+    state = store.read_state().withColumn("last_date", F.least("last_date", F.date_sub(day, 1)))
+    store.write_state(state)
+    for period in ("daily", "weekly"):
+        if store.exists(f"{period}_indicators"):
+            run_indicators(store, period)
+    if store.exists("weekly"):
+        run_signals(store)
+    store.clean()

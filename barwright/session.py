@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def local_session(cpus: str | int = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -30,18 +28,13 @@ def local_session(cpus: str | int = "*", partitions: int = 8, memory: str = "8g"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.  Only a local session
-    without that setting gets a temporary one of its own."""
+    """The folder the cluster names in ``spark.checkpoint.dir`` (or that was given to
+    ``setCheckpointDir``): all executors reach it.  There is no other default."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        jsc = spark.sparkContext._jsc.sc()
-        known = jsc.getCheckpointDir()
-        if known.isDefined():
-            return known.get()
-        if not spark.sparkContext.master.startswith("local"):
+    known = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not known.isDefined():
+        if not folder:
             raise ValueError("set spark.checkpoint.dir to a folder all executors reach")
-        folder = tempfile.mkdtemp(prefix="barwright-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
@@ -55,11 +48,3 @@ def settled(df: DataFrame) -> DataFrame:
     """Cut the lineage through the reliable checkpoint folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Broadcast a frame only after counting it; beyond the limit leave the choice to
-    Spark, which then shuffles and splits skewed keys.  The frame is settled first, so
-    counting does not compute it twice."""
-    kept = settled(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept

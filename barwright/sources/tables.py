@@ -1,23 +1,31 @@
 """Stored tables: layout, upsert of landed bars, state, exports.
 
 Tables are files of one format (Parquet by default) under one root.  Bar tables are
-partitioned by a symbol bucket, so an incremental run rewrites only the buckets of the
-symbols it touched."""
+partitioned by year and by a symbol bucket.  A day's bars touch the slices of one year, a
+recompute touches all years of the buckets of its symbols; only touched slices are rewritten.
+
+The bucket count and the schema of a bar table are stored beside it, so every reader uses the
+count the table was written with.  Small tables are replaced by writing a new folder and
+renaming it into place; a reader that finds a half-done replacement finishes it."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from barwright.operators.quality import table_inventory
 from barwright.sources.candles import TIME_COLUMN, select_candles
 
 STATE_SCHEMA = "period string, symbol string, last_date date, logic_version string"
+DIRTY_SCHEMA = "stage string, symbol string"
+SLICES = ["year", "bucket"]
 
 
 def flatten(df: DataFrame) -> DataFrame:
@@ -31,36 +39,109 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def newest_record(df: DataFrame, keys: list[str], arrival: str = "arrival") -> DataFrame:
-    """One record per key, the last to arrive.  An aggregate, so copies are combined
-    before the exchange, however many a single key has."""
+def newest_record(
+    df: DataFrame, keys: list[str], arrival: str = "arrival", keep_arrival: bool = False
+) -> DataFrame:
+    """One record per key, the last to arrive (of equal arrivals the largest record).  An
+    aggregate, so copies are combined before the exchange, however many a single key has."""
     rest = [c for c in df.columns if c not in (*keys, arrival)]
-    record = F.max_by(F.struct(*rest), F.struct(arrival, *rest)).alias("r")
-    return df.groupBy(*keys).agg(record).select(*keys, "r.*")
+    out = df.groupBy(*keys).agg(F.max(F.struct(arrival, *rest)).alias("r")).select(*keys, "r.*")
+    return out if keep_arrival else out.drop(arrival)
+
+
+def time_column(columns: Iterable[str]) -> str:
+    return "week_start" if "week_start" in columns else "date"
 
 
 @dataclass(frozen=True)
 class Store:
+    """``buckets`` is the count for tables that this store creates; an existing table keeps
+    its own until ``relayout``."""
+
     spark: SparkSession
     root: str
     buckets: int = 32
     fmt: str = "parquet"
+    _temporary: list[str] = field(default_factory=list, compare=False, repr=False)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    # --- files ----------------------------------------------------------------
+
+    def _files(self, path: str):
+        """The file system of a path, and the path as its own kind of object."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _delete(self, path: str) -> None:
+        fs, p = self._files(path)
+        fs.delete(p, True)
+
+    def _complete(self, path: str) -> bool:
+        fs, p = self._files(f"{path}/_SUCCESS")
+        return fs.exists(p)
+
+    def _rename(self, old: str, new: str) -> None:
+        fs, p = self._files(old)
+        if not fs.rename(p, self._files(new)[1]):
+            raise OSError(f"cannot rename {old} to {new}")
+
+    def _recover(self, table: str) -> None:
+        """Finish a replacement that stopped between its renames."""
+        path = self.path(table)
+        fs, p = self._files(path)
+        if fs.exists(p):
+            return
+        if self._complete(f"{path}.next"):
+            self._rename(f"{path}.next", path)
+        elif self._complete(f"{path}.old"):
+            self._rename(f"{path}.old", path)
+
     def exists(self, table: str) -> bool:
+        """Whether there is such a table.  Errors other than a missing path are raised."""
+        self._recover(table)
         try:
-            self.spark.read.format(self.fmt).load(self.path(table))
-        except AnalysisException:
-            return False
+            self._load(table)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
         return True
 
+    # --- layout ---------------------------------------------------------------
+
+    def _layout(self, table: str) -> tuple[int, StructType | None]:
+        """Bucket count and schema of a bar table; the store's count where it has none."""
+        try:
+            row = self.spark.read.schema("buckets int, columns string").json(f"{self.root}/_layouts/{table}").first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            row = None
+        if row is None:
+            return self.buckets, None
+        import json
+
+        return row["buckets"], StructType.fromJson(json.loads(row["columns"]))
+
+    def _note_layout(self, table: str, buckets: int, schema: StructType) -> None:
+        if self._layout(table) != (buckets, schema):
+            row = self.spark.createDataFrame([(buckets, schema.json())], "buckets int, columns string")
+            row.coalesce(1).write.mode("overwrite").json(f"{self.root}/_layouts/{table}")
+
+    def _load(self, table: str) -> DataFrame:
+        """All columns, slice columns and arrival included."""
+        schema = self._layout(table)[1]
+        reader = self.spark.read.format(self.fmt)
+        return (reader.schema(schema) if schema is not None else reader).load(self.path(table))
+
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self.path(table)).drop("bucket")
+        self._recover(table)
+        return self._load(table).drop(*SLICES, "arrival")
 
-    def bucket(self, symbol: Column | str = "symbol") -> Column:
-        return F.pmod(F.hash(symbol), F.lit(self.buckets))
+    def bucket(self, symbol: Column | str = "symbol", buckets: int | None = None) -> Column:
+        return F.pmod(F.hash(symbol), F.lit(buckets or self.buckets))
 
     def candles(
         self,
@@ -69,82 +150,162 @@ class Store:
         start: str | None = None,
         end: str | None = None,
     ) -> DataFrame:
-        """Filtered read of a bar table.  A symbol list also prunes the bucket folders;
-        within a file rows are sorted by symbol, so it skips row groups as well."""
-        df = self.spark.read.format(self.fmt).load(self.path(table))
+        """Filtered read of a bar table.  A symbol list prunes the bucket folders and a date
+        range the year folders; within a file rows are sorted by symbol, so it skips row
+        groups as well."""
+        buckets, _ = self._layout(table)
+        df = self._load(table)
         if symbols is not None:
-            df = df.where(F.col("bucket").isin(*[self.bucket(F.lit(s)) for s in symbols]))
+            df = df.where(F.col("bucket").isin(*[self.bucket(F.lit(s), buckets) for s in symbols]))
+        for day, compare in ((start, "__ge__"), (end, "__le__")):
+            if day is not None:
+                df = df.where(getattr(F.col("year"), compare)(F.year(F.lit(day).cast("date"))))
         period = "weekly" if "weekly" in table else "daily"
-        return select_candles(df, period, symbols, start, end).drop("bucket")
+        return select_candles(df, period, symbols, start, end).drop(*SLICES, "arrival")
+
+    # --- writing --------------------------------------------------------------
 
     def overwrite(self, df: DataFrame, table: str) -> None:
-        """Replace a small unpartitioned table; staged, as df may read the old one."""
-        staged = self._staged(df)
-        staged.write.format(self.fmt).mode("overwrite").save(self.path(table))
-
-    def write_bars(self, df: DataFrame, table: str) -> None:
-        """Replace exactly the symbol buckets that occur in df.  Rebalancing lets Spark
-        size the files: small buckets share a task, large ones are split."""
-        ts = "week_start" if "week_start" in df.columns else "date"
-        laid_out = (
-            df.withColumn("bucket", self.bucket())
-            .hint("rebalance", "bucket")
-            .sortWithinPartitions("bucket", "symbol", ts)
-        )
+        """Replace a small unpartitioned table; df may read the old one.  There is a whole
+        table under one of its names at every moment."""
+        self._recover(table)
+        path = self.path(table)
+        self._delete(f"{path}.next")
+        df.write.format(self.fmt).save(f"{path}.next")
+        self._delete(f"{path}.old")
+        fs, p = self._files(path)
+        if fs.exists(p):
+            self._rename(path, f"{path}.old")
+        self._rename(f"{path}.next", path)
+        self._delete(f"{path}.old")
+        self.spark.catalog.refreshByPath(path)
+
+    def write_bars(self, df: DataFrame, table: str, scope: DataFrame | None = None) -> None:
+        """Replace exactly the slices (year, bucket) that occur in df, and empty those of
+        ``scope`` (rows of slices) that do not.  Rebalancing lets Spark size the files: small
+        slices share a task, large ones are split."""
+        buckets, known = self._layout(table)
+        ts = time_column(df.columns)
+        laid_out = df.withColumns({"year": F.year(ts), "bucket": self.bucket(buckets=buckets)})
+        gone = []
+        if scope is not None:
+            # One row per slice: years times buckets at most.
+            gone = scope.select(*SLICES).distinct().join(laid_out.select(*SLICES).distinct(), SLICES, "left_anti").collect()
         (
-            laid_out.write.format(self.fmt)
+            laid_out.hint("rebalance", *SLICES)
+            .sortWithinPartitions(*SLICES, "symbol", ts)
+            .write.format(self.fmt)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket")
+            .partitionBy(*SLICES)
             .save(self.path(table))
         )
-
-    def replace_buckets(self, df: DataFrame, table: str) -> None:
+        for r in gone:
+            self._delete(f"{self.path(table)}/year={r['year']}/bucket={r['bucket']}")
+        schema = StructType([f for f in laid_out.schema.fields if f.name not in SLICES])
+        for f in known.fields if known is not None else []:
+            if f.name not in schema.names and f.name not in SLICES:
+                schema = schema.add(f)
+        self._note_layout(table, buckets, schema.add("year", IntegerType()).add("bucket", IntegerType()))
+        self.spark.catalog.refreshByPath(self.path(table))
+
+    def replace_slices(self, df: DataFrame, table: str, scope: DataFrame | None = None) -> None:
         """``write_bars`` for rows that were read from the table itself."""
-        self.write_bars(self._staged(df), table)
+        self.write_bars(self.staged(df), table, None if scope is None else self.staged(scope))
+
+    def relayout(self, table: str, buckets: int) -> None:
+        """Rewrite a bar table with another bucket count, by way of a staged copy."""
+        rows = self.staged(self._load(table).drop(*SLICES))
+        self._delete(f"{self.root}/_layouts/{table}")
+        fresh = Store(self.spark, self.root, buckets, self.fmt)
+        fresh.write_bars(rows, f"{table}.next")
+        self._delete(self.path(table))
+        self._rename(self.path(f"{table}.next"), self.path(table))
+        _, schema = fresh._layout(f"{table}.next")
+        self._delete(f"{self.root}/_layouts/{table}.next")
+        self._note_layout(table, buckets, schema)
+        self.spark.catalog.refreshByPath(self.path(table))
 
     def same_buckets(self, table: str, symbols: DataFrame) -> DataFrame:
-        """Stored rows of every bucket that holds one of the symbols.  The list of
-        buckets has at most ``buckets`` rows, so broadcasting it is safe, and it prunes
-        the partition folders."""
-        touched = symbols.select(self.bucket().alias("bucket")).distinct()
-        stored = self.spark.read.format(self.fmt).load(self.path(table))
-        return stored.join(F.broadcast(touched), "bucket", "left_semi").drop("bucket")
-
-    def _staged(self, df: DataFrame) -> DataFrame:
+        """Stored rows, slice columns included, of every bucket that holds one of the symbols.
+        The list of buckets has at most ``buckets`` rows, so broadcasting it is safe, and it
+        prunes the partition folders."""
+        buckets, _ = self._layout(table)
+        touched = symbols.select(self.bucket(buckets=buckets).alias("bucket")).distinct()
+        return self._load(table).join(F.broadcast(touched), "bucket", "left_semi")
+
+    def same_slices(self, table: str, bars: DataFrame) -> DataFrame:
+        """Stored rows of the slices that the given bars fall into; the list has at most one
+        row per year and bucket."""
+        buckets, _ = self._layout(table)
+        touched = bars.select(F.year(time_column(bars.columns)).alias("year"), self.bucket(buckets=buckets).alias("bucket")).distinct()
+        return self._load(table).join(F.broadcast(touched), SLICES, "left_semi")
+
+    def staged(self, df: DataFrame) -> DataFrame:
         place = f"{self.root}/_staging/{uuid.uuid4().hex}"
         df.write.format(self.fmt).save(place)
-        return self.spark.read.format(self.fmt).load(place)
+        self._temporary.append(place)
+        return self.spark.read.format(self.fmt).schema(df.schema).load(place)
+
+    def clean(self) -> None:
+        """Remove what this store staged.  Jobs call it after the state is written."""
+        while self._temporary:
+            self._delete(self._temporary.pop())
 
     # --- state --------------------------------------------------------------
 
     def read_state(self, period: str | None = None) -> DataFrame:
-        """Last processed date per symbol; empty while there is no state table."""
+        """Last processed date per period and symbol; empty while there is no state table."""
         if not self.exists("state"):
             return self.spark.createDataFrame([], STATE_SCHEMA)
         state = self.read("state")
         return state if period is None else state.where(F.col("period") == period)
 
-    def write_state(self, fresh: DataFrame) -> None:
-        """Upsert by (period, symbol)."""
+    def write_state(self, fresh: DataFrame, done: DataFrame | None = None) -> None:
+        """Upsert by (period, symbol).  ``done`` (period, symbol) names rows that go where
+        ``fresh`` has none for them."""
         fresh = fresh.select("period", "symbol", "last_date", "logic_version")
-        kept = self.read_state().join(fresh, ["period", "symbol"], "left_anti")
+        old = fresh.select("period", "symbol")
+        old = old if done is None else old.unionByName(done.select("period", "symbol")).distinct()
+        kept = self.read_state().join(old, ["period", "symbol"], "left_anti")
         self.overwrite(kept.unionByName(fresh), "state")
 
+    def read_dirty(self, stage: str | None = None) -> DataFrame:
+        """Symbols whose input of a stage has changed since it ran."""
+        if not self.exists("dirty"):
+            return self.spark.createDataFrame([], DIRTY_SCHEMA)
+        dirty = self.read("dirty")
+        return dirty if stage is None else dirty.where(F.col("stage") == stage)
+
+    def mark_dirty(self, symbols: DataFrame, *stages: str) -> None:
+        marks = symbols.select(F.explode(F.array(*[F.lit(s) for s in stages])).alias("stage"), "symbol")
+        self.overwrite(self.read_dirty().unionByName(marks).distinct(), "dirty")
+
+    def clear_dirty(self, symbols: DataFrame, stage: str) -> None:
+        done = symbols.select(F.lit(stage).alias("stage"), "symbol")
+        self.overwrite(self.read_dirty().join(done, ["stage", "symbol"], "left_anti"), "dirty")
+
     # --- ingest -------------------------------------------------------------
 
     def ingest_bars(self, landing: DataFrame, table: str = "daily") -> None:
-        """Upsert landed bars: flatten, keep the newest record per (symbol, time), replace
-        stored rows of the same key."""
+        """Upsert landed bars: flatten, keep the newest record per (symbol, time) of landed and
+        stored ones.  The arrival is stored with a bar, so a late copy of an older record
+        changes nothing; a stored bar without arrival is older than any other.  Only slices
+        of the landed times are read and written.  Symbols of landed bars are marked for the
+        stages that read the table."""
         ts = TIME_COLUMN["weekly" if "weekly" in table else "daily"]
-        fresh = newest_record(flatten(landing), ["symbol", ts])
-        if not self.exists(table):
-            self.write_bars(fresh, table)
-            return
-        fresh = self._staged(fresh)
-        stored = self.same_buckets(table, fresh)
-        kept = stored.join(fresh.select("symbol", ts), ["symbol", ts], "left_anti")
-        self.replace_buckets(kept.unionByName(fresh, allowMissingColumns=True), table)
+        fresh = self.staged(newest_record(flatten(landing), ["symbol", ts], keep_arrival=True))
+        rows = fresh
+        if self.exists(table):
+            stored = self.same_slices(table, fresh).drop(*SLICES)
+            if "arrival" not in stored.columns:
+                stored = stored.withColumn("arrival", F.lit(None).cast(fresh.schema["arrival"].dataType))
+            both = stored.unionByName(fresh, allowMissingColumns=True)
+            rows = self.staged(newest_record(both, ["symbol", ts], keep_arrival=True))
+        self.write_bars(rows, table)
+        if table == "daily":
+            self.mark_dirty(fresh.select("symbol").distinct(), "daily", "weekly_indicators")
+        self.clean()
 
     def sync_sectors(self, landing: DataFrame) -> None:
         """Refresh sectors from a bulk file; a symbol the file lacks, or lists without a
@@ -164,19 +325,19 @@ class Store:
     # --- inventory and export -------------------------------------------------
 
     def inventory(self, tables: list[str], symbol: str | None = None) -> DataFrame:
-        """Inventory of stored tables; one that cannot be opened is reported as such."""
-        frames: dict[str, DataFrame] = {}
-        broken = []
-        for name in tables:
-            try:
-                frames[name] = self.spark.read.format(self.fmt).load(self.path(name))
-            except AnalysisException:
-                broken.append((name, None, None, None, "not readable"))
+        """Inventory of stored tables, one row each.  A table that cannot be opened or counted
+        is reported as such, and the others still are."""
         schema = (
             "tbl string, total_rows bigint, latest_day date, latest_close double, status string"
         )
-        report = self.spark.createDataFrame(broken, schema)
-        return report.unionByName(table_inventory(frames, symbol)) if frames else report
+        rows = []
+        for name in tables:
+            try:
+                found = table_inventory({name: self.read(name)}, symbol).select(*[f.split()[0] for f in schema.split(", ")])
+                rows += [tuple(r) for r in found.collect()]
+            except (PySparkException, Py4JError):
+                rows.append((name, None, None, None, "not readable"))
+        return self.spark.createDataFrame(rows, schema)
 
 
 def export_trades(trade_list: DataFrame, path: str, fmt: str = "csv") -> None:

@@ -3,6 +3,7 @@ DuckDB text that must give the same rows."""
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -79,6 +80,20 @@ class Inputs:
         return self.spark.read.parquet(place)
 
 
+def with_folder(run: Callable[[SparkSession, str], DataFrame]):
+    """A single-machine session without ``spark.checkpoint.dir``, as in tests, gets a folder of
+    its own; anywhere else the setting is required."""
+
+    def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+        context = spark.sparkContext
+        unset = not spark.conf.get("spark.checkpoint.dir", None) and not context._jsc.sc().getCheckpointDir().isDefined()
+        if unset and context.master.startswith("local") and not context.master.startswith("local-cluster"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="barwright-"))
+        return run(spark, sf_dir)
+
+    return prepared
+
+
 def register(name: str, sql: str | None, digits: int | None = 4):
     """Add a query; its double columns are rounded like the columns of the SQL."""
 
