@@ -24,11 +24,11 @@ from barwright.operators.windows import (
     pack,
     recursive_means,
     rolling_std,
-    row_counter,
     rsi_from_means,
     sma,
     true_range,
     unpack,
+    value_counters,
 )
 
 # Fixed values of the indicator definitions.
@@ -122,11 +122,11 @@ def oscillators(
       of the current month, by one more step of each recursion."""
     means = dict(means or {})
     kept = [f"`{c}`" for c in df.columns]
-    by_row = row_counter()
-    wanted = {out: (x, alpha_of_span(n), by_row) for out, (x, n) in means.items()}
+    df, counts = value_counters(df, bars, [*(x for x, _ in means.values()), *(["close"] if chart else [])])
+    wanted = {out: (x, alpha_of_span(n), counts[x]) for out, (x, n) in means.items()}
     if chart:
-        wanted["__fast"] = ("close", alpha_of_span(FAST_SPAN), by_row)
-        wanted["__slow"] = ("close", alpha_of_span(SLOW_SPAN), by_row)
+        wanted["__fast"] = ("close", alpha_of_span(FAST_SPAN), counts["close"])
+        wanted["__slow"] = ("close", alpha_of_span(SLOW_SPAN), counts["close"])
     if months:
         df, by_month = month_counter(df, bars)
         wanted["__mfast"] = ("__mclose", alpha_of_span(FAST_SPAN), by_month)
@@ -135,9 +135,10 @@ def oscillators(
 
     spreads, previous, steps, smooth = [], [], [], {}
     if chart:
-        counter = row_counter(SLOW_SPAN + 1)
-        spreads.append(f"if({by_row.seen} >= {SLOW_SPAN}, __fast - __slow, null) as __spread")
-        previous.append(f"lag(__spread, 1) over ({bars.sql_order}) as __spread_was")
+        seen = counts["close"].seen
+        counter = Counter(f"greatest({seen} - {SLOW_SPAN}, 0)", counts["close"].in_era)
+        spreads.append(f"if(close is not null and {seen} >= {SLOW_SPAN}, __fast - __slow, null) as __spread")
+        previous.append(f"last(__spread, true) over ({bars.sql_before}) as __spread_was")
         up, down = gains_and_losses("__spread", "__spread_was")
         steps += [f"{up} as __up", f"{down} as __down"]
         smooth |= {"__gain": ("__up", counter), "__loss": ("__down", counter)}
@@ -159,7 +160,7 @@ def oscillators(
     )
 
     results = [
-        f"if({by_row.seen} >= {n}, {out}, null) as {out}" for out, (_, n) in means.items()
+        f"if({counts[x].seen} >= {n}, {out}, null) as {out}" for out, (x, n) in means.items()
     ]
     names = list(means)
     if chart:

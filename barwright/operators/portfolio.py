@@ -76,9 +76,21 @@ def load_reference_series(
     return candles.join(sectors, "symbol").groupBy("sector", ts).agg(F.avg("close").alias("close"))
 
 
-def sector_relative(weekly: DataFrame, universe: DataFrame) -> DataFrame:
-    """Each bar next to the series of its symbol's sector."""
-    series = load_reference_series(weekly, universe).withColumnRenamed("close", "sector_close")
+def landed_series(candles: DataFrame, funds: DataFrame | str, ts: str = "week_start") -> DataFrame:
+    """Reference series from landed fund bars: of one fund symbol, or with a frame (sector,
+    symbol) one series per sector."""
+    if isinstance(funds, str):
+        return candles.where(F.col("symbol") == funds).select(ts, "close")
+    return candles.join(funds.select("sector", "symbol"), "symbol").select("sector", ts, "close")
+
+
+def sector_relative(
+    weekly: DataFrame, universe: DataFrame, series: DataFrame | None = None
+) -> DataFrame:
+    """Each bar next to the series of its symbol's sector: landed fund bars, or the mean of the
+    sector's symbols."""
+    series = load_reference_series(weekly, universe) if series is None else series
+    series = series.withColumnRenamed("close", "sector_close")
     return (
         weekly.select("symbol", "week_start", "close")
         .join(universe.where(F.col("sector").isNotNull()).select("symbol", "sector"), "symbol")
@@ -90,14 +102,17 @@ def sector_relative(weekly: DataFrame, universe: DataFrame) -> DataFrame:
 # --- scores -----------------------------------------------------------------------
 
 
-def score_rs(weekly: DataFrame, weeks: int = RELATIVE_STRENGTH_WEEKS) -> DataFrame:
-    """Return over the last ``weeks`` bars less that of the market series.  The series
-    has one row per calendar week, some 5,200 a century, so it is broadcast."""
+def score_rs(
+    weekly: DataFrame, weeks: int = RELATIVE_STRENGTH_WEEKS, market: DataFrame | None = None
+) -> DataFrame:
+    """Return over the last ``weeks`` bars less that of the market series: landed bars of an
+    index fund, or the mean of all symbols.  The series has one row per calendar week, some
+    5,200 a century, so it is broadcast."""
 
     def grown(order) -> Column:
         return ratio(F.col("close"), F.lag("close", weeks).over(order)) - 1.0
 
-    market = load_reference_series(weekly)
+    market = load_reference_series(weekly) if market is None else market
     market = market.select("week_start", grown(Window.orderBy("week_start")).alias("market_return"))
     own = weekly.select(
         "symbol",

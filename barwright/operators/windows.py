@@ -14,7 +14,7 @@ sorted by (symbol, __era, time), so the chain also keeps a single sort.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from itertools import zip_longest
 
@@ -53,6 +53,7 @@ class Bars:
 
     ts: str
     prefix: tuple[str, ...] = (ERA,)
+    alpha: float = FASTEST_ALPHA  # fastest average that the eras have room for
 
     @property
     def order(self) -> WindowSpec:
@@ -113,7 +114,7 @@ def lay_out(
 
     A month's close is the close of its last bar, known only once a bar of a later
     month exists, so the last bar of the data never counts as a month end."""
-    bars = Bars(ts)
+    bars = Bars(ts, alpha=alpha)
     days = F.datediff(F.col(ts), F.lit("1900-01-01").cast("date"))
     era = F.floor(days / float(era_days(alpha, days_per_bar))).cast("int")
     month = f"year({ts}) * 12 + month({ts})"
@@ -251,9 +252,17 @@ class Counter:
     in_era: str
 
 
-def row_counter(first: int = 1) -> Counter:
-    """For a series given on every row from row number ``first`` on."""
-    return Counter(f"({ROW} - {first - 1})", ERA_ROW)
+def value_counters(
+    df: DataFrame, bars: Bars, columns: Iterable[str]
+) -> tuple[DataFrame, dict[str, Counter]]:
+    """Counters of columns that may lack values on some rows, also inside their history."""
+    names = list(dict.fromkeys(columns))
+    counts = [
+        f"count({x}) over ({frame}) as {x}__{mark}"
+        for x in names
+        for mark, frame in (("n", bars.sql_upto), ("m", bars.sql_era_upto))
+    ]
+    return df.selectExpr("*", *counts), {x: Counter(f"{x}__n", f"{x}__m") for x in names}
 
 
 def month_counter(df: DataFrame, bars: Bars) -> tuple[DataFrame, Counter]:
@@ -269,7 +278,9 @@ def recursive_means(
 
     ``specs`` maps an output to (input column, a, counter of the input).  A row
     without a value keeps the mean of the row before, so the same code averages a
-    series that exists only on some rows, such as month ends.
+    series that exists only on some rows, such as month ends, or bars without a close: these
+    neither count nor decay.  With a = 1 the mean is the last value.  An a above that of the
+    layout would overflow and is refused.
 
     Inside an era the recursion is a weighted running sum.  What earlier eras
     contribute is folded from one (sum, length) pair per era, so the work per row
@@ -279,6 +290,12 @@ def recursive_means(
     thousands of driver round trips."""
     sums, pairs, totals = [], [], []
     for out, (x, a, counter) in specs.items():
+        if a >= 1.0:
+            sums.append(f"last({x}, true) over ({bars.sql_upto}) as {out}__s")
+            totals.append(f"{out}__s as {out}")
+            continue
+        if a > bars.alpha + 1e-12:
+            raise ValueError(f"{out}: lay the bars out for a smoothing factor of {a:.3f}")
         keep, rows = f"{1.0 - a!r}D", f"cast({counter.in_era} as double)"
         weight = f"if({counter.seen} = 1, 1D, {a!r}D) * pow({keep}, -{rows})"
         sums.append(f"sum({weight} * {x}) over ({bars.sql_era_upto}) as {out}__s")
@@ -290,6 +307,8 @@ def recursive_means(
             f"if({counter.seen} > 0, {decay} *"
             f" if(size(__past) = 0, {here}, {here} + {carried}), null) as {out}"
         )
+    if not pairs:
+        return df.selectExpr("*", *sums).selectExpr(*[f"`{c}`" for c in df.columns], *totals)
     past = f"collect_list(if({ERA_ENDS}, named_struct({', '.join(pairs)}), null))"
     kept = [f"`{c}`" for c in df.columns]
     return (
@@ -300,17 +319,17 @@ def recursive_means(
 
 
 def ema(
-    df: DataFrame, bars: Bars, specs: Mapping[str, tuple[str, int]], counter: Counter | None = None
+    df: DataFrame, bars: Bars, specs: Mapping[str, tuple[str, int]]
 ) -> DataFrame:
-    """Exponential means by span n; NULL until n values have been seen.  Without a
-    counter the inputs must be given on every row."""
-    counter = counter or row_counter()
+    """Exponential means by span n; NULL until n values have been seen.  Spans below five need
+    bars laid out for them: ``lay_out(..., alpha=alpha_of_span(n))``."""
     kept = [f"`{c}`" for c in df.columns]
+    df, counts = value_counters(df, bars, [x for x, _ in specs.values()])
     raw = recursive_means(
-        df, bars, {out: (x, alpha_of_span(n), counter) for out, (x, n) in specs.items()}
+        df, bars, {out: (x, alpha_of_span(n), counts[x]) for out, (x, n) in specs.items()}
     )
     return raw.selectExpr(
-        *kept, *[f"if({counter.seen} >= {n}, {out}, null) as {out}" for out, (_, n) in specs.items()]
+        *kept, *[f"if({counts[x].seen} >= {n}, {out}, null) as {out}" for out, (x, n) in specs.items()]
     )
 
 
@@ -331,16 +350,17 @@ def rsi_from_means(gain: str, loss: str) -> str:
 
 
 def wilder_rsi(
-    df: DataFrame, bars: Bars, x: str, n: int, out: str, first: int = 1
+    df: DataFrame, bars: Bars, x: str, n: int, out: str
 ) -> DataFrame:
-    """RSI of column x with smoothing factor 1/n; NULL until n differences exist.
-    ``first`` is the row number of the first value of x."""
+    """RSI of column x with smoothing factor 1/n; NULL until n differences exist.  A row
+    without a value takes no step; the next value's step is from the last value."""
     kept = [f"`{c}`" for c in df.columns]
     up, down = gains_and_losses(x, "__x_was")
-    df = df.selectExpr("*", f"lag({x}, 1) over ({bars.sql_order}) as __x_was").selectExpr(
+    df = df.selectExpr("*", f"last({x}, true) over ({bars.sql_before}) as __x_was").selectExpr(
         "*", f"{up} as __up", f"{down} as __down"
     )
-    counter = row_counter(first + 1)
+    df, counts = value_counters(df, bars, ["__up"])
+    counter = counts["__up"]
     df = recursive_means(
         df, bars, {"__gain": ("__up", 1.0 / n, counter), "__loss": ("__down", 1.0 / n, counter)}
     )

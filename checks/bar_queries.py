@@ -277,6 +277,37 @@ def _(x):
         "symbol", "week_start", "ema_20", "ema_33")
 
 
+# Every seventh week has no close; it neither counts nor decays.
+GAP = "((ts - DATE '1900-01-01') // 7) % 7 = 3"
+GAPS = f"""SELECT symbol, i, ts, CASE WHEN {GAP} THEN NULL ELSE close END AS e, CASE WHEN {GAP} THEN 0 ELSE 1 END AS k FROM w_bar WHERE i = 1
+  UNION ALL SELECT b.symbol, b.i, b.ts,
+    CASE WHEN {GAP.replace('ts', 'b.ts')} THEN r.e WHEN r.e IS NULL THEN b.close ELSE r.e * (1 - 2.0::DOUBLE / 21) + b.close * (2.0::DOUBLE / 21) END,
+    CASE WHEN {GAP.replace('ts', 'b.ts')} THEN r.k ELSE r.k + 1 END
+  FROM gap_rows r JOIN w_bar b ON b.symbol = r.symbol AND b.i = r.i + 1"""
+
+
+@register("ema_with_gaps", query(f"SELECT symbol, ts AS week_start, {rounded('v')} AS ema_20 FROM (SELECT symbol, ts, CASE WHEN k >= 20 THEN e END AS v FROM gap_rows)", {"gap_rows": GAPS}))
+def _(x):
+    gap = F.pmod(F.floor(F.datediff("week_start", F.lit("1900-01-01").cast("date")) / 7), F.lit(7)) == 3
+    holed = x.weekly().withColumn("close", F.when(~gap, F.col("close")))
+    df, bars = win.lay_out(holed, "week_start", days_per_bar=7)
+    return win.ema(df, bars, {"ema_20": ("close", 20)}).select("symbol", "week_start", "ema_20")
+
+
+SHORT = "SELECT symbol, i, ts, close AS e2, close AS e3, close AS e4, close FROM w_bar WHERE i = 1 UNION ALL SELECT b.symbol, b.i, b.ts, " + ", ".join(
+    f"r.e{n} * (1 - 2.0::DOUBLE / {n + 1}) + b.close * (2.0::DOUBLE / {n + 1})" for n in (2, 3, 4)
+) + ", b.close FROM short_rows r JOIN w_bar b ON b.symbol = r.symbol AND b.i = r.i + 1"
+
+
+@register("ema_short_spans", query(f"SELECT symbol, ts AS week_start, {rounded('close')} AS ema_1, " + ", ".join(
+    f"{rounded(f'v{n}')} AS ema_{n}" for n in (2, 3, 4)) + " FROM (SELECT *, " + ", ".join(
+    f"CASE WHEN i >= {n} THEN e{n} END AS v{n}" for n in (2, 3, 4)) + " FROM short_rows)", {"short_rows": SHORT}))
+def _(x):
+    df, bars = win.lay_out(x.weekly(), "week_start", alpha=win.alpha_of_span(2), days_per_bar=7)
+    return win.ema(df, bars, {f"ema_{n}": ("close", n) for n in (1, 2, 3, 4)}).select(
+        "symbol", "week_start", *[f"ema_{n}" for n in (1, 2, 3, 4)])
+
+
 RSI14 = """SELECT symbol, i, ts, close, CAST(0 AS DOUBLE) AS g, CAST(0 AS DOUBLE) AS l FROM w_bar WHERE i = 1 UNION ALL
   SELECT b.symbol, b.i, b.ts, b.close,
     CASE WHEN b.i = 2 THEN greatest(b.close - r.close, 0) ELSE r.g * (1 - 1.0::DOUBLE / 14) + greatest(b.close - r.close, 0) * (1.0::DOUBLE / 14) END,

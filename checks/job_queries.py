@@ -66,17 +66,49 @@ def _(x):
     return store.read("daily")
 
 
-@register("drain_landing", query(f"SELECT {columns('symbol date ' + BAR)} FROM ingested WHERE date >= DATE '2000-01-01'", {"ingested": INGESTED}))
+ALL_INGESTED = """SELECT symbol, date, open, high, low, close,
+  CASE WHEN (date - DATE '1990-01-01') % 3 = 0 THEN volume + 1 ELSE volume END AS volume FROM daily"""
+
+
+@register("drain_landing", query(f"SELECT {columns('symbol date ' + BAR)} FROM ingested", {"ingested": ALL_INGESTED}))
 def _(x):
+    """All bars, in three batches; corrections come before some of the records they replace."""
     from barwright.streaming.landing import drain_landing
 
     store = x.store()
-    files = landed(x)
-    files.write.parquet(store.path("landing"))
-    drain_landing(store, store.path("landing"), store.path("_progress"), files.schema).awaitTermination()
+    first = x.daily().withColumn("arrival", F.lit(1))
+    third = F.datediff("date", F.lit("1990-01-01").cast("date")) % 3 == 0
+    fixed = first.where(third).withColumns({"volume": F.col("volume") + 1, "arrival": F.lit(2)})
+    early = F.col("date") < F.lit("1998-01-01").cast("date")
+    batches = [
+        first.where(early),
+        first.where(~early & ~third).unionByName(fixed),
+        first.withColumns({"volume": F.lit(-1.0), "arrival": F.lit(0)}).unionByName(first.where(~early & third)),
+    ]
+    for i, files in enumerate(batches):
+        files.write.mode("append").parquet(store.path("landing"))
+        drain_landing(store, store.path("landing"), store.path("_progress"), files.schema).awaitTermination()
+    return store.read("daily")
+
+
+@register("ingest_late_record", query(f"SELECT {columns('symbol date ' + BAR)} FROM daily"))
+def _(x):
+    store = x.store()
+    store.ingest_bars(x.daily().withColumn("arrival", F.lit(2)))
+    store.ingest_bars(x.daily().withColumns({"arrival": F.lit(1), "close": F.lit(-1.0)}))
     return store.read("daily")
 
 
+LISTED = [f"SYM{i:05d}" for i in range(1, 8)]
+
+
+@register("read_with_other_buckets", query(f"SELECT {columns('symbol date ' + BAR)} FROM daily WHERE symbol IN ({', '.join(repr(s) for s in LISTED)})"))
+def _(x):
+    store = x.store()
+    store.write_bars(x.daily(), "daily")
+    return tables.Store(x.spark, store.root, buckets=store.buckets * 2).candles("daily", LISTED)
+
+
 @register("sync_sectors", query("""SELECT symbol, coalesce(CASE WHEN right(symbol, 1) = '3' THEN 'NEW' END, sector) AS sector FROM universe"""))
 def _(x):
     store = x.store()
@@ -156,15 +188,27 @@ def old(x: Inputs, period: str):
 
 
 @register("reconcile_layers", query(f"""SELECT symbol, week_start, {rounded('a')} AS source_close, {rounded('b')} AS daily_close,
-  {rounded('c')} AS snapshot_close, {rounded('b - a')} AS daily_diff, {rounded('c - a')} AS snapshot_diff,
-  concat_ws(',', CASE WHEN a IS NULL THEN 'source' END, CASE WHEN b IS NULL THEN 'daily' END, CASE WHEN c IS NULL THEN 'snapshot' END) AS not_found
-  FROM (SELECT symbol, week_start, s.close AS a, d.close AS b, n.close AS c FROM weekly s
-    FULL JOIN old_rolled d USING (symbol, week_start) FULL JOIN old_snap n USING (symbol, week_start))""", LAYERS))
+  {rounded('w')} AS weekly_close, {rounded('c')} AS snapshot_close, {rounded('b - a')} AS daily_diff, {rounded('w - a')} AS weekly_diff, {rounded('c - a')} AS snapshot_diff,
+  concat_ws(',', CASE WHEN a IS NULL THEN 'source' END, CASE WHEN b IS NULL THEN 'daily' END, CASE WHEN w IS NULL THEN 'weekly' END,
+    CASE WHEN c IS NULL THEN 'snapshot' END) AS not_found
+  FROM (SELECT symbol, week_start, s.close AS a, d.close AS b, o.close AS w, n.close AS c FROM weekly s
+    FULL JOIN old_rolled d USING (symbol, week_start) FULL JOIN old_weekly o USING (symbol, week_start)
+    FULL JOIN old_snap n USING (symbol, week_start))""", LAYERS))
 def _(x):
     from barwright.sources.candles import resample_weekly
 
+    daily = x.settled(x.daily())  # the lines are read once; all layers start from stored bars
+    state = daily.groupBy("symbol").agg(F.max("date").alias("newest"))
+    shift = (number() % 3 * 7).cast("int")
+    dated = daily.join(state, "symbol")
+    stored_weekly = x.settled(
+        resample_weekly(daily)
+        .join(resample_weekly(daily).groupBy("symbol").agg(F.max("week_start").alias("newest")), "symbol")
+        .where(F.col("week_start") <= F.date_sub("newest", shift)).drop("newest")
+    )
+    kept = dated.where(F.col("date") <= F.date_sub("newest", shift)).drop("newest")
     return quality.reconcile_layers(
-        {"source": x.weekly(), "daily": resample_weekly(old(x, "daily")), "snapshot": build_snapshot(old(x, "weekly"))},
+        {"source": resample_weekly(daily), "daily": resample_weekly(kept), "weekly": stored_weekly, "snapshot": build_snapshot(stored_weekly)},
         "source",
     )
 
@@ -338,6 +382,68 @@ def _(x):
     return store.read("weekly").select(*[c.partition("~")[0] for c in WEEKLY_SPEC.split()])
 
 
+def loaded(x: Inputs, before: str | None = None):
+    """A store with all bars, or those before a day, landed and computed."""
+    store = x.store()
+    daily = x.daily().withColumn("arrival", F.lit(1))
+    store.ingest_bars(daily if before is None else daily.where(F.col("date") < F.lit(before).cast("date")))
+    jobs.run_weekly(store)
+    return store, daily
+
+
+@register("run_signals_then_weekly", table("w_sig", WEEKLY_SPEC))
+def _(x):
+    store, daily = loaded(x, "2001-03-01")
+    store.ingest_bars(daily.where("date >= date'2001-03-01'"))
+    jobs.run_signals(store)  # the indicators have not seen the new bars: nothing to do yet
+    jobs.run_weekly(store)
+    return store.read("weekly").select(*[c.partition("~")[0] for c in WEEKLY_SPEC.split()])
+
+
+@register("run_full", table("w_sig", WEEKLY_SPEC))
+def _(x):
+    store = x.store()
+    jobs.run_full(store, x.daily().withColumn("arrival", F.lit(1)))
+    return store.read("weekly").select(*[c.partition("~")[0] for c in WEEKLY_SPEC.split()])
+
+
+@register("daily_second_run_writes_nothing", query("""SELECT stage, count(DISTINCT symbol) AS symbols, 0 AS second_run
+  FROM daily, (SELECT unnest(['daily', 'weekly', 'weekly_indicators']) AS stage) GROUP BY stage"""))
+def _(x):
+    store = x.store()
+    jobs.run_full(store, x.daily().withColumn("arrival", F.lit(1)))
+    again = [jobs.run_indicators(store, "daily"), jobs.run_weekly(store)]
+    return store.read_state().groupBy(F.col("period").alias("stage")).agg(
+        F.count(F.lit(1)).alias("symbols"), F.lit(int(any(again))).alias("second_run"))
+
+
+CUT = "2001-03-05"  # a Monday: no week is cut in two
+BEFORE_CUT = query(f"SELECT {columns('symbol week_start close~ ema_20~ fvb_basis~')} FROM w_ind WHERE week_start < DATE '{CUT}'")
+
+
+@register("repair_newest_bars", BEFORE_CUT)
+def _(x):
+    store, _ = loaded(x)
+    jobs.run_repair(store, store.read("daily").where(F.col("date") >= F.lit(CUT).cast("date")))
+    jobs.run_weekly(store)
+    return store.read("weekly").select("symbol", "week_start", "close", "ema_20", "fvb_basis")
+
+
+@register("run_repair_all", BEFORE_CUT)
+def _(x):
+    store, _ = loaded(x)
+    jobs.run_repair_all(store, CUT)
+    return store.read("weekly").select("symbol", "week_start", "close", "ema_20", "fvb_basis")
+
+
+@register("repair_empties_bucket", query(f"SELECT {columns('symbol week_start close~')} FROM weekly WHERE {NUMBER} % 4 = 0"))
+def _(x):
+    store, _ = loaded(x)
+    jobs.run_repair(store, store.read("daily").where(number() % 4 != 0))
+    jobs.run_weekly(store)
+    return store.read("weekly").select("symbol", "week_start", "close")
+
+
 # --- selection and scores ---------------------------------------------------------------------
 
 
@@ -385,6 +491,18 @@ def _(x):
     return portfolio.score_rs(x.weekly())
 
 
+LANDED = {
+    "fund": "SELECT week_start, close / nullif(lag(close, 52) OVER (ORDER BY week_start), 0) - 1 AS mr FROM weekly WHERE symbol = 'SYM00001'",
+    "rs_fund": SCORE["rs"].replace("JOIN market m", "JOIN fund m"),
+}
+
+
+@register("score_rs_landed", query(f"SELECT symbol, week_start, {rounded('score_rs', 6)} AS score_rs FROM rs_fund", LANDED), 6)
+def _(x):
+    weekly = x.weekly()
+    return portfolio.score_rs(weekly, market=portfolio.landed_series(weekly, "SYM00001"))
+
+
 @register("score_rvr", query(f"SELECT symbol, week_start, {rounded('score_rvr')} AS score_rvr FROM scored", SCORE))
 def _(x):
     return portfolio.score_rvr(x.signals())

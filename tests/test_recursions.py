@@ -155,3 +155,29 @@ def test_one_exchange_and_one_sort(spark):
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_means_skip_bars_without_a_value(spark):
+    import pandas as pd
+
+    xs = [None if i % 5 == 3 or i in (0, 1, 40, 41, 42) else 100.0 + (i * 37) % 11 for i in range(900)]
+    rows = [("A", dt.date(2000, 1, 1) + dt.timedelta(days=i), x) for i, x in enumerate(xs)]
+    df, bars = win.lay_out(spark.createDataFrame(rows, "symbol string, date date, close double"), "date", alpha=win.alpha_of_span(2))
+    got = win.ema(df, bars, {f"e{n}": ("close", n) for n in (1, 2, 3, 5, 20)}).orderBy("date").toPandas()
+    known = pd.Series(xs, dtype="float64")
+    for n in (1, 2, 3, 5, 20):
+        want = known.ewm(span=n, adjust=False, ignore_na=True).mean().where(known.notna().cumsum() >= n)
+        pd.testing.assert_series_equal(got[f"e{n}"], want, check_names=False, rtol=1e-9)
+
+
+def test_a_constant_close_with_a_gap_stays_constant(spark):
+    rows = [("A", dt.date(2000, 1, 1) + dt.timedelta(days=i), None if i == 6 else 100.0) for i in range(30)]
+    df, bars = win.lay_out(spark.createDataFrame(rows, "symbol string, date date, close double"), "date")
+    got = win.ema(df, bars, {"e": ("close", 5)}).where("e is not null").select("e").distinct().collect()
+    assert len(got) == 1 and abs(got[0][0] - 100) < 1e-9
+
+
+def test_a_span_that_is_too_short_for_the_layout_is_refused(spark):
+    df, bars = win.lay_out(spark.createDataFrame([("A", dt.date(2000, 1, 1), 1.0)], "symbol string, date date, close double"), "date")
+    with pytest.raises(ValueError):
+        win.ema(df, bars, {"e": ("close", 3)})
