@@ -8,9 +8,17 @@ corrected for registers that agree by chance, then confirmed on the full sets.
 
 Groups of copies are never expanded into pairs:
 * documents with one set are one class; only classes are compared;
-* in a band each class meets the band's first class; the links give components;
-* only classes of a band that still lie in different components meet each other, and where
-  those are many, a second band has to agree as well.
+* in a band each class meets the band's pivot, the class that shares most bands with others;
+  the links give components;
+* classes of a small band that still lie in different components meet each other, if few
+  enough buckets differ (two bits a bucket are compared inside the join);
+* in a large band they meet through what sets them apart from the pivot.  Let D(x) be the
+  shingles that x and the pivot p do not share, and s = (1 - t) / (1 + t) for the threshold t.
+  x links with y exactly if the two differ in at most s (|x| + |y|) shingles.  If x does not
+  link with p, then |D(x)| > s (|x| + |p|), so a link of x and y needs more than
+  (1 - s) / 2 * |D(y)| shingles common to D(x) and D(y).  Edits made independently share
+  hardly any.  So only the rarest shingles of D are join keys (prefix filter), and no link is
+  lost by it.
 A pair at the threshold shares some sixteen of 42 bands, so the chance to miss it is below
 one in 10^8 at 0.85 (3 in 10^6 at 0.8)."""
 
@@ -20,7 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.llm.common import drop_staged, mix, shingle_sets, ship, slices, staged, text_bytes
@@ -32,8 +40,7 @@ BAND_ROWS = 6
 BANDS = BUCKETS // BAND_ROWS
 EMPTY = np.uint16(0xFFFF)
 CHANCE = 0.169919487159739  # fixed value: chance agreements of the published estimator
-CROWD = 100  # unlinked classes of one band that may all meet each other
-SECOND_BANDS = 8
+CROWD = 64  # classes of one band that may all meet each other
 
 
 # --- registers ------------------------------------------------------------------------
@@ -64,6 +71,12 @@ def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(same - chance, 0) / np.maximum(n, 1), n
 
 
+def bucket_marks(row: np.ndarray) -> np.ndarray:
+    """Two bits per bucket, 32 buckets in a 64-bit number: 0 for an empty one, else 1 to 3."""
+    mark = np.where(row == EMPTY, 0, 1 + row % 3).astype(np.uint64).reshape(-1, 32)
+    return np.bitwise_or.reduce(mark << (2 * np.arange(32, dtype=np.uint64)), axis=1).view(np.int64)
+
+
 def band_keys(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all bands of all rows of registers, and which of them hold a register."""
     cut = rows[:, : BANDS * BAND_ROWS].reshape(len(rows), BANDS, BAND_ROWS)
@@ -81,19 +94,21 @@ def _register_rows(column: pa.Array) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (one per distinct set), registers."""
+    """doc_id, n_shingles, set_key (one per distinct set), registers, marks."""
 
     def sketch(batches):
         for part in slices(batches):
             sets = shingle_sets(*text_bytes(part.column("text")), k)
+            rows = [registers(s) for s in sets]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": part.column("doc_id"),
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "set_key": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                "registers": pa.array([registers(s).tobytes() for s in sets], pa.binary()),
+                "registers": pa.array([r.tobytes() for r in rows], pa.binary()),
+                "marks": pa.array([bucket_marks(r) for r in rows], pa.list_(pa.int64())),
             })
 
-    return docs.mapInArrow(sketch, "doc_id long, n_shingles long, set_key binary, registers binary")
+    return docs.mapInArrow(sketch, "doc_id long, n_shingles long, set_key binary, registers binary, marks array<long>")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -112,34 +127,26 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("node", "n", "registers").mapInArrow(explode, "key long, node long, n long")
 
 
-def _second_bands(crowded: DataFrame, classes: DataFrame) -> DataFrame:
-    """Replace each key by keys that also name another band of the class."""
-
-    def explode(batches):
-        for batch in batches:
-            if batch.num_rows:
-                keys, _ = band_keys(_register_rows(batch.column("registers")))
-                first = batch.column("key").to_numpy().view(np.uint64)
-                step = (first % np.uint64(BANDS)).astype(np.int64)
-                for e in range(SECOND_BANDS):
-                    other = keys[np.arange(len(keys)), (step + 1 + e * (BANDS // SECOND_BANDS)) % BANDS]
-                    both = mix(first * np.uint64(0xC2B2AE3D27D4EB4F) + other.view(np.uint64)).view(np.int64)
-                    yield pa.RecordBatch.from_pydict({
-                        "key": pa.array(both), **{c: batch.column(c) for c in ("node", "n", "component")},
-                    })
-
-    rows = crowded.join(classes.select("node", "registers"), "node")
-    return rows.select("key", "node", "n", "component", "registers").mapInArrow(
-        explode, "key long, node long, n long, component long"
-    )
-
-
 def _similar_sizes(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _may_link(a: str, b: str, na: str, nb: str, percent: int):
+    """False only for pairs that do not link: a shingle that one set lacks changes one bucket
+    at most, and a link allows (1 - t) / (1 + t) * (|A| + |B|) such shingles; of large sets six
+    standard deviations beyond the share of buckets that differ at the threshold."""
+    differing = F.lit(0)
+    for i in range(BUCKETS // 32):
+        x = F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))
+        pairs = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
+        differing = differing + F.bit_count(pairs)
+    usual = BUCKETS * (100 - percent) / 100 * 2 / 3
+    most = F.least(F.floor((100 - percent) / (100 + percent) * (F.col(na) + F.col(nb)) + 1e-6), F.lit(int(usual + 6 * usual**0.5)))
+    return differing <= most
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among the pairs (a, b): first by the estimate, then by the full sets."""
+    """Links among the pairs (a, b): by the bucket marks, by the estimate, by the full sets."""
     limit = percent / 100
 
     def likely(batches):
@@ -159,8 +166,11 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: i
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_pydict({"u": batch.column("a").filter(keep), "v": batch.column("b").filter(keep)})
 
-    marks = classes.select("node", "registers")
-    pairs = pairs.join(marks.toDF("a", "ra"), "a").join(marks.toDF("b", "rb"), "b")
+    marks = classes.select("node", "marks", "n")
+    pairs = pairs.join(marks.toDF("a", "ma", "na"), "a").join(marks.toDF("b", "mb", "nb"), "b")
+    pairs = pairs.where(_may_link("ma", "mb", "na", "nb", percent)).select("a", "b")
+    rows = classes.select("node", "registers")
+    pairs = pairs.join(rows.toDF("a", "ra"), "a").join(rows.toDF("b", "rb"), "b")
     pairs = pairs.mapInArrow(likely, "a long, b long")
     pairs = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     return pairs.mapInArrow(linked, "u long, v long")
@@ -172,25 +182,70 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _unsettled(rows: DataFrame) -> DataFrame:
-    """Rows of keys that hold several components, with the key's largest component and the
-    number of classes outside it.  All counts are aggregates per (key, component)."""
+    """Rows of keys that hold several components, with the key's largest component and its
+    number of classes.  All counts are aggregates per (key, component)."""
     sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
     keys = sizes.groupBy("key").agg(
-        F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("parts")
+        F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("members"), F.count(F.lit(1)).alias("parts")
     )
-    keys = keys.where("parts > 1").select("key", F.col("top.component").alias("major"), (F.col("all") - F.col("top.c")).alias("minors"))
+    keys = keys.where("parts > 1").select("key", F.col("top.component").alias("major"), "members")
     return rows.join(keys, "key")
 
 
 def _meetings(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a key whose components differ, one of them outside the largest component."""
-    out = rows.where("component != major").select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    every = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "major")
+    """Pairs of a small key whose components differ, one of them outside the largest
+    component: at most CROWD for each row."""
+    out = rows.where("component != major").select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("marks").alias("ma"))
+    every = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "major", F.col("marks").alias("mb"))
     met = out.join(every, "key").where(
         (F.col("ca") != F.col("cb"))
         & ((F.col("cb") == F.col("major")) | (F.col("a") < F.col("b")))
         & _similar_sizes("na", "nb", percent)
+        & _may_link("ma", "mb", "na", "nb", percent)
+    )
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(pivot, node, ..., parts): the shingles that a class and its pivot do not share."""
+
+    def differ(batches):
+        for batch in batches:
+            pairs = zip(batch.column("sp").to_pylist(), batch.column("sx").to_pylist(), strict=True)
+            parts = [
+                np.setxor1d(np.frombuffer(p, np.uint64), np.frombuffer(x, np.uint64), assume_unique=True).view(np.int64)
+                for p, x in pairs
+            ]
+            out = {c: batch.column(c) for c in ("pivot", "node", "n", "pivot_n", "component", "outside")}
+            yield pa.RecordBatch.from_pydict(out | {"parts": pa.array(parts, pa.list_(pa.int64()))})
+
+    both = members.join(sets.toDF("pivot", "sp"), "pivot").join(sets.toDF("node", "sx"), "node")
+    schema = "pivot long, node long, n long, pivot_n long, component long, outside boolean, parts array<long>"
+    return both.mapInArrow(differ, schema)
+
+
+def _apart(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of large keys whose components differ, by the rarest shingles of what sets them
+    apart from the pivot."""
+    members = rows.groupBy("pivot", "node").agg(*[F.first(c).alias(c) for c in ("n", "pivot_n", "component", "pivot_component")])
+    members = members.where("pivot != node").withColumn("outside", F.col("component") != F.col("pivot_component"))
+    apart = staged(_differences(members, sets), "differences")
+    parts = apart.select("pivot", "node", F.explode("parts").alias("part"))
+    seen = parts.groupBy("pivot", "part").agg(F.count(F.lit(1)).alias("seen"))
+    order = Window.partitionBy("pivot", "node").orderBy("seen", "part")
+    ranked = parts.join(seen.where("seen > 1"), ["pivot", "part"], "left").withColumn("seen", F.coalesce("seen", F.lit(1)))
+    ranked = ranked.withColumn("i", F.row_number().over(order)).where("seen > 1")  # a part seen once joins nothing
+    s = (100 - percent) / (100 + percent)
+    size = F.size("parts")
+    least = F.greatest(F.floor((1 - s) / 2 * size - 1e-6) + 1, F.lit(1))
+    outside_least = F.greatest(F.ceil((size - s * (F.col("n") + F.col("pivot_n")) + 1 - s) / 2 - 1e-6), F.lit(1))
+    about = apart.select(
+        "pivot", "node", "n", "component", "outside", (size - least + 1).alias("inside_i"), (size - outside_least + 1).alias("outside_i")
     )
+    keyed = ranked.join(about, ["pivot", "node"])
+    out = keyed.where("outside AND i <= outside_i").select("pivot", "part", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    every = keyed.where("i <= inside_i").select("pivot", "part", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    met = out.join(every, ["pivot", "part"]).where((F.col("ca") != F.col("cb")) & _similar_sizes("na", "nb", percent))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -207,12 +262,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     rows = staged(sketched(docs, k), "sketches")
     known = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = staged(
-        known.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")),
+        known.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"), F.first("marks").alias("marks")),
         "classes",
     )
     bands = _bands(classes)
-    pivots = bands.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("far"), F.min_by("n", "node").alias("pivot_n"))
-    crowded = staged(bands.join(pivots.where("far > pivot"), "key").drop("far"), "crowded")
+    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    crowded = staged(bands.join(shared, "key"), "crowded")
+    weight = crowded.groupBy("node").agg(F.sum("size").alias("weight"))
+    first = F.max(F.struct("weight", "node", "n")).alias("p")
+    pivots = crowded.join(weight, "node").groupBy("key").agg(first)
+    pivots = pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"))
+    pivoted = staged(crowded.join(pivots, "key").drop("size"), "pivoted")
+    drop_staged(crowded)
+    crowded = pivoted
     # Full sets are needed for classes that share a band only.
     involved = crowded.select("node").distinct()
     sets = staged(_sets(docs.join(involved, docs["doc_id"] == involved["node"], "left_semi"), rows, classes, k), "sets")
@@ -227,16 +289,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     links = links.unionByName(shared)
 
     labels = components(links)
-    open_rows = staged(_unsettled(_labelled(crowded.select("key", "node", "n"), labels)), "unsettled")
-    few = _meetings(open_rows.where(F.col("minors") <= CROWD), percent)
-    many = open_rows.where(F.col("minors") > CROWD).drop("major", "minors")
-    many = _meetings(_unsettled(_second_bands(many, classes)), percent)
-    late = few.unionByName(many).distinct().join(stars, ["a", "b"], "left_anti")
+    open_rows = staged(_unsettled(_labelled(crowded, labels)), "unsettled")
+    small = open_rows.where(F.col("members") <= CROWD).join(classes.select("node", "marks"), "node")
+    few = _meetings(small, percent)
+    home = labels.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
+    crowds = open_rows.where(F.col("members") > CROWD).join(home, "pivot", "left")
+    crowds = crowds.withColumn("pivot_component", F.coalesce("pivot_component", "pivot"))
+    late = few.unionByName(_apart(crowds, sets, percent)).distinct().join(stars, ["a", "b"], "left_anti")
     late = staged(_confirmed(late, classes, sets, percent), "links")
     if not late.isEmpty():
         labels = components(links.unionByName(late))
     named = classes.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
-    found = rows.drop("registers").join(named, "set_key", "left").withColumn(
+    found = rows.drop("registers", "marks").join(named, "set_key", "left").withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     )
     found = found.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
