@@ -12,7 +12,9 @@ Groups of copies are never expanded into pairs:
   the links give components;
 * classes of a small band that still lie in different components meet each other, if few
   enough buckets differ (two bits a bucket are compared inside the join);
-* in a large band they meet through what sets them apart from the pivot.  Let D(x) be the
+* in a large band, classes far from the pivot (a shared passage in otherwise different texts)
+  are compared with the others by the marks as well; those near it, which the marks cannot
+  tell apart, meet through what sets them apart from the pivot.  Let D(x) be the
   shingles that x and the pivot p do not share, and s = (1 - t) / (1 + t) for the threshold t.
   x links with y exactly if the two differ in at most s (|x| + |y|) shingles.  If x does not
   link with p, then |D(x)| > s (|x| + |p|), so a link of x and y needs more than
@@ -40,6 +42,7 @@ BAND_ROWS = 6
 BANDS = BUCKETS // BAND_ROWS
 EMPTY = np.uint16(0xFFFF)
 CHANCE = 0.169919487159739  # fixed value: chance agreements of the published estimator
+NEAR = 96  # differing buckets up to which a class counts as near its pivot
 CROWD = 64  # classes of one band that may all meet each other
 
 
@@ -131,18 +134,22 @@ def _similar_sizes(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _differing(a: str, b: str):
+    """Number of buckets whose marks differ."""
+    total = F.lit(0)
+    for i in range(BUCKETS // 32):
+        x = F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))
+        total = total + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return total
+
+
 def _may_link(a: str, b: str, na: str, nb: str, percent: int):
     """False only for pairs that do not link: a shingle that one set lacks changes one bucket
     at most, and a link allows (1 - t) / (1 + t) * (|A| + |B|) such shingles; of large sets six
     standard deviations beyond the share of buckets that differ at the threshold."""
-    differing = F.lit(0)
-    for i in range(BUCKETS // 32):
-        x = F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))
-        pairs = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
-        differing = differing + F.bit_count(pairs)
     usual = BUCKETS * (100 - percent) / 100 * 2 / 3
     most = F.least(F.floor((100 - percent) / (100 + percent) * (F.col(na) + F.col(nb)) + 1e-6), F.lit(int(usual + 6 * usual**0.5)))
-    return differing <= most
+    return _differing(a, b) <= most
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -192,14 +199,15 @@ def _unsettled(rows: DataFrame) -> DataFrame:
     return rows.join(keys, "key")
 
 
-def _meetings(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a small key whose components differ, one of them outside the largest
-    component: at most CROWD for each row."""
-    out = rows.where("component != major").select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("marks").alias("ma"))
-    every = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "major", F.col("marks").alias("mb"))
+def _meetings(rows: DataFrame, percent: int, where: str = "component != major") -> DataFrame:
+    """Pairs of a key whose components differ and whose marks allow a link.  One of them is
+    outside the largest component (small keys: at most CROWD meetings for each row) or, in
+    large keys, far from the pivot."""
+    out = rows.where(where).select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("marks").alias("ma"))
+    every = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("marks").alias("mb"))
     met = out.join(every, "key").where(
         (F.col("ca") != F.col("cb"))
-        & ((F.col("cb") == F.col("major")) | (F.col("a") < F.col("b")))
+        & (F.col("a") != F.col("b"))
         & _similar_sizes("na", "nb", percent)
         & _may_link("ma", "mb", "na", "nb", percent)
     )
@@ -295,7 +303,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     home = labels.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
     crowds = open_rows.where(F.col("members") > CROWD).join(home, "pivot", "left")
     crowds = crowds.withColumn("pivot_component", F.coalesce("pivot_component", "pivot"))
-    late = few.unionByName(_apart(crowds, sets, percent)).distinct().join(stars, ["a", "b"], "left_anti")
+    marks = classes.select("node", "marks")
+    crowds = crowds.join(marks, "node").join(marks.toDF("pivot", "pivot_marks"), "pivot")
+    crowds = staged(crowds.withColumn("far", _differing("marks", "pivot_marks") > NEAR).drop("pivot_marks"), "crowds")
+    far = _meetings(crowds, percent, "far")
+    late = few.unionByName(far).unionByName(_apart(crowds.where("NOT far").drop("marks"), sets, percent)).distinct().join(stars, ["a", "b"], "left_anti")
     late = staged(_confirmed(late, classes, sets, percent), "links")
     if not late.isEmpty():
         labels = components(links.unionByName(late))
