@@ -233,8 +233,8 @@ def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _apart(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of large keys whose components differ, by the rarest shingles of what sets them
-    apart from the pivot."""
+    """Links of large keys between components, found by the rarest shingles of what sets classes
+    apart from the pivot and confirmed on all of them."""
     members = rows.groupBy("pivot", "node").agg(*[F.first(c).alias(c) for c in ("n", "pivot_n", "component", "pivot_component")])
     members = members.where("pivot != node").withColumn("outside", F.col("component") != F.col("pivot_component"))
     apart = staged(_differences(members, sets), "differences")
@@ -254,7 +254,16 @@ def _apart(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     out = keyed.where("outside AND i <= outside_i").select("pivot", "part", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
     every = keyed.where("i <= inside_i").select("pivot", "part", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     met = out.join(every, ["pivot", "part"]).where((F.col("ca") != F.col("cb")) & _similar_sizes("na", "nb", percent))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = met.select("pivot", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # Two sets differ exactly in what only one of their differences from the pivot has.
+    left = apart.select("pivot", F.col("node").alias("a"), F.col("n").alias("na"), F.col("parts").alias("pa"))
+    right = apart.select("pivot", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parts").alias("pb"))
+    both = met.join(left, ["pivot", "a"]).join(right, ["pivot", "b"])
+    differing = F.size("pa") + F.size("pb") - 2 * F.size(F.array_intersect("pa", "pb"))
+    total = F.col("na") + F.col("nb")
+    # common = (total - differing) / 2 and union = (total + differing) / 2
+    linked = 100 * (total - differing) >= percent * (total + differing)
+    return both.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -307,8 +316,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     crowds = crowds.join(marks, "node").join(marks.toDF("pivot", "pivot_marks"), "pivot")
     crowds = staged(crowds.withColumn("far", _differing("marks", "pivot_marks") > NEAR).drop("pivot_marks"), "crowds")
     far = _meetings(crowds, percent, "far")
-    late = few.unionByName(far).unionByName(_apart(crowds.where("NOT far").drop("marks"), sets, percent)).distinct().join(stars, ["a", "b"], "left_anti")
-    late = staged(_confirmed(late, classes, sets, percent), "links")
+    late = few.unionByName(far).distinct().join(stars, ["a", "b"], "left_anti")
+    late = _confirmed(late, classes, sets, percent)
+    late = staged(late.unionByName(_apart(crowds.where("NOT far").drop("marks"), sets, percent)), "links")
     if not late.isEmpty():
         labels = components(links.unionByName(late))
     named = classes.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
