@@ -70,7 +70,10 @@ def train(docs: DataFrame, corpus_paragraphs: int = 600, seed: int = 7) -> Model
     markers = sorted({w for t in TEMPLATES.values() for x in t for w in words(x)} - COMMON)
     lines = docs.select(F.explode(F.split("text", "\n")).alias("p")).where(F.length("p").between(40, 600))
     lines = lines.where(~F.lower("p").rlike(r"licen[sc]|copyright|public domain|rights reserved|spdx|cc by|gpl"))
-    chosen = lines.orderBy(F.xxhash64("p"), "p").limit(corpus_paragraphs)
+    # Lines that cannot be among the chosen ones are dropped where they are.
+    place = F.pmod(F.xxhash64("p"), F.lit(1 << 40)) / float(1 << 40)
+    near = lines.where(place * lines.count() <= 4.0 * corpus_paragraphs).dropDuplicates(["p"])
+    chosen = near.orderBy(F.xxhash64("p"), "p").limit(corpus_paragraphs)
     plain = [r["p"] for r in chosen.collect()]
     filler = [w for p in plain[:100] for w in words(p)] or words(" ".join(UNRELATED))
     rows: list[tuple[str, str]] = [(UNKNOWN, p) for p in plain]
