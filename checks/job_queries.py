@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barwright.functions.numeric import nine_digits
 from barwright.operators import incremental, portfolio, quality, signals
 from barwright.operators import windows as win
 from barwright.plans import jobs
 from barwright.plans.stages import build_snapshot
 from barwright.sources import tables
+from checks import base_sql
 from checks.base_sql import columns, query, rounded, table
 from checks.registry import Inputs, register
 from checks.signal_queries import SIG_SPEC
@@ -466,11 +468,12 @@ BASKET = {**UPSIDE,
     "baskets": "SELECT p.week_start, count(*) AS names, avg(nr) AS r FROM picks p JOIN nexts n ON n.symbol = p.symbol AND n.week_start = p.week_start WHERE pick <= 30 AND nr IS NOT NULL GROUP BY 1"}
 
 
-@register("weekly_basket_return", query(f"""SELECT week_start, names, {rounded('r')} AS basket_return, {rounded('g')} AS growth
+@register("weekly_basket_return", query(f"""SELECT week_start, names, {rounded('r')} AS basket_return, {base_sql.nine_digits('g')} AS growth
   FROM (SELECT *, product(1 + r) OVER (ORDER BY week_start ROWS UNBOUNDED PRECEDING) AS g FROM baskets)""", BASKET))
 def _(x):
     weekly = x.signals()
-    return portfolio.weekly_basket_return(portfolio.weekly_candidates(weekly), x.weekly(), 30)
+    basket = portfolio.weekly_basket_return(portfolio.weekly_candidates(weekly), x.weekly(), 30)
+    return basket.withColumn("growth", nine_digits(F.col("growth")))
 
 
 @register("no_penny_stocks", query(f"SELECT {columns('symbol week_start close~')} FROM bad_weekly WHERE close >= 5", BAD))

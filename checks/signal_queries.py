@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from barwright.functions.numeric import nine_digits
 from barwright.operators import indicators as ind
 from barwright.operators import reports, screens, signals
 from barwright.operators import windows as win
 from barwright.operators.cycles import CYCLE_STAT_COLUMNS
 from barwright.plans.stages import full_weekly
+from checks import base_sql
 from checks.base_sql import columns, query, rounded, table
 from checks.registry import Inputs, register
 
@@ -214,10 +218,10 @@ EQUITY = {"grown": """SELECT symbol, CAST(row_number() OVER w AS INTEGER) AS tra
   WINDOW w AS (PARTITION BY symbol ORDER BY trade_id)"""}
 
 
-@register("equity_curve", query(f"""SELECT symbol, trade_no, {rounded('v')} AS equity FROM grown
+@register("equity_curve", query(f"""SELECT symbol, trade_no, {base_sql.nine_digits('v')} AS equity FROM grown
   UNION ALL SELECT DISTINCT symbol, 0, 100.0::DOUBLE FROM trades""", EQUITY))
 def _(x):
-    return signals.equity_curve(x.trades())
+    return signals.equity_curve(x.trades()).withColumn("equity", nine_digits(F.col("equity")))
 
 
 @register("signal_rule_versions", query(f"""SELECT symbol, week_start, {rounded('bx_monthly_completed')} AS bx_monthly_completed,
