@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from barwright.session import new_workspace
 
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 2_000_000
 
 
 # --- tables ---------------------------------------------------------------------
