@@ -46,8 +46,8 @@ def _with_seeds(df: DataFrame, *keep: str) -> DataFrame:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 12, min_share: float = 0.8) -> DataFrame:
-    """Overlaps of documents and benchmark items: doc_id, item_id, start (token of the
-    document), length, matched, share, item_tokens.
+    """Overlaps of documents and benchmark items: doc_id, mark (hash of the document's text),
+    item_id, start (token of the document), length, matched, share, item_tokens.
 
     A region counts if it has at least ``min_tokens`` tokens, or the whole item where that is
     shorter, and at least ``min_share`` of them are equal in place.  An item with fewer than
@@ -83,11 +83,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 12, min_sh
     both = both.join(i, F.col("r.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("r.item_mark") == F.col("i.item_mark")))
     equal = F.filter(F.sequence("first", F.col("end") - 1), lambda p: F.get("item", p) == F.get("words", p + F.col("shift")))
     both = both.select(
-        "r.doc_id", "r.item_id", (F.col("first") + F.col("shift")).alias("start"), (F.col("end") - F.col("first")).alias("length"),
+        "r.doc_id", "r.mark", "r.item_id", (F.col("first") + F.col("shift")).alias("start"), (F.col("end") - F.col("first")).alias("length"),
         F.size(equal).alias("matched"), "item_tokens",
     ).withColumn("share", F.col("matched") / F.col("length"))
     found = both.where(F.col("share") >= min_share)
-    return found.select("doc_id", "item_id", "start", "length", "matched", "share", "item_tokens").distinct()
+    return found.select("doc_id", "mark", "item_id", "start", "length", "matched", "share", "item_tokens").distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **rule) -> DataFrame:
@@ -101,6 +101,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **rule) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **rule) -> DataFrame:
-    """The documents without any overlap; rows without doc_id go if their own text has one."""
-    pairs = staged(overlaps(docs, benchmark, **rule).select(F.col("doc_id").alias("bad")).distinct(), "contaminated")
-    return docs.join(pairs, docs["doc_id"].eqNullSafe(pairs["bad"]), "left_anti")
+    """The rows without any overlap.  A row goes for its own text only: other rows of its
+    doc_id, or other rows without doc_id, are judged by theirs."""
+    found = overlaps(docs, benchmark, **rule).select(F.col("doc_id").alias("bad_id"), F.col("mark").alias("bad_mark"))
+    bad = staged(found.distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_mark"])
+    return docs.join(bad, same, "left_anti")

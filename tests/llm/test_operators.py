@@ -233,6 +233,14 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.without_contaminated(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_rows_go_for_their_own_text(spark):
+    item = prose(500, 30)
+    texts = [(None, f"x {item}"), (None, prose(10, 80)), (None, None), (7, f"y {item}"), (7, prose(11, 80)), (8, prose(12, 80))]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontaminate.without_contaminated(rows_of(spark, texts), bench).collect()
+    assert collections.Counter((r.doc_id, r.text) for r in kept) == collections.Counter([texts[1], texts[2], texts[4], texts[5]])
+
+
 def test_blocks_of_a_large_benchmark(spark, odd, monkeypatch):
     bench = spark.createDataFrame([(i, prose(i, 30)) for i in range(20)], "item_id long, text string")
     docs = rows_of(spark, [f"{prose(90 + i, 10)} {prose(i, 30)}" for i in range(20)])
