@@ -1,9 +1,10 @@
 """Benchmark decontamination by spaced seeds.
 
-A mask covers eight tokens and ignores two of them, so a substituted word does not break every
-seed around it.  Seeds of all windows of the training texts are joined with those of the
-benchmark.  Hits of one document and item at one alignment span a region; inside it tokens are
-compared one by one, and a region with enough equal tokens is an overlap.
+Seeds of all windows of the training texts are joined with those of the benchmark.  A hit only
+names an alignment of a document and an item; there the tokens are compared one by one, and
+every stretch with enough equal tokens is an overlap.  Two masks find every stretch that the
+default rule allows: four tokens in a row, and five with one ignored between (tests try all
+places of the unequal tokens).
 
 Tokens are lower-cased runs of letters and digits, so line breaks and punctuation play no part.
 Everything is built from DataFrame expressions."""
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 
 from barwright.llm.common import staged
 
-MASKS = ("11011011", "11101101", "10110111")
-SPAN = 8
+MASKS = ("1111", "111011")
+SPAN = 4  # of the shortest mask; a longer one has windows past the end, where fewer tokens count
+MIN_ITEM = 8  # tokens of the shortest item
+REACH = 23  # a stretch by the rule holds one of at most so many tokens, or is one
 BLOCK_SEEDS = 200_000  # seeds sent to all tasks at once; a larger benchmark is joined in blocks
 
 
@@ -49,8 +52,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 12, min_sh
     """Overlaps of documents and benchmark items: doc_id, mark (hash of the document's text),
     item_id, start (token of the document), length, matched, share, item_tokens.
 
-    A region counts if it has at least ``min_tokens`` tokens, or the whole item where that is
-    shorter, and at least ``min_share`` of them are equal in place.  An item with fewer than
+    A stretch of an alignment counts if it has at least ``min_tokens`` tokens, or the whole item
+    where that is shorter, and at least ``min_share`` of them are equal in place.  Reported are
+    the stretches that lie in no longer one that counts.  Seeds find all of them at the default
+    rule and at stricter ones; a looser rule may miss some.  An item with fewer than
     eight tokens says nothing about a document and has no overlap; the same holds for null or
     empty texts on either side.  Rows without doc_id or item_id are compared like others.  A
     repeated document row (same id and text) yields the overlaps once, as does a repeated
@@ -59,7 +64,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 12, min_sh
     docs = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     items = benchmark.select("item_id", "text").distinct()
     items = items.withColumn("item", tokens("text"))
-    items = staged(items.withColumn("item_mark", F.xxhash64("text")).withColumn("item_tokens", F.size("item")), "items")
+    items = items.withColumn("item_mark", F.xxhash64("text")).withColumn("item_tokens", F.size("item"))
+    items = staged(items.where(F.col("item_tokens") >= MIN_ITEM), "items")
     seeds = _with_seeds(items.select("item_id", "item_mark", "item_tokens", "text"), "item_id", "item_mark", "item_tokens")
     seeds = staged(seeds.where("seed IS NOT NULL").distinct(), "seeds")
     blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
@@ -71,23 +77,58 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 12, min_sh
         found = windows.join(part, "seed")
         hits = found if hits is None else hits.unionByName(found)
     region = hits.groupBy("doc_id", "mark", "item_id", "item_mark", "item_tokens", (F.col("doc_place") - F.col("place")).alias("shift"))
-    region = region.agg(F.min("place").alias("first"), (F.max("place") + SPAN).alias("end"))
-    long_enough = F.col("end") - F.col("first") >= F.least(F.lit(min_tokens), F.col("item_tokens"))
     # Written first, so Spark knows its size when it chooses how to fetch the texts.
-    regions = staged(region.where(long_enough), "regions")
+    regions = staged(region.agg(F.collect_set("place").alias("places")), "regions")
     wanted = regions.select("doc_id", "mark").distinct()
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["mark"] == wanted["mark"]), "left_semi")
     texts = texts.dropDuplicates(["doc_id", "mark"]).select("doc_id", "mark", tokens("text").alias("words"))
     r, t, i = regions.alias("r"), texts.alias("t"), items.select("item_id", "item_mark", "item").alias("i")
     both = r.join(t, F.col("r.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("r.mark") == F.col("t.mark")))
     both = both.join(i, F.col("r.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("r.item_mark") == F.col("i.item_mark")))
-    equal = F.filter(F.sequence("first", F.col("end") - 1), lambda p: F.get("item", p) == F.get("words", p + F.col("shift")))
-    both = both.select(
-        "r.doc_id", "r.mark", "r.item_id", (F.col("first") + F.col("shift")).alias("start"), (F.col("end") - F.col("first")).alias("length"),
-        F.size(equal).alias("matched"), "item_tokens",
-    ).withColumn("share", F.col("matched") / F.col("length"))
-    found = both.where(F.col("share") >= min_share)
-    return found.select("doc_id", "mark", "item_id", "start", "length", "matched", "share", "item_tokens").distinct()
+    both = both.select("r.doc_id", "r.mark", "r.item_id", "item_tokens", "shift", "places", "item", "words")
+    least = F.least(F.lit(min_tokens), F.col("item_tokens"))
+    both = both.withColumn("low", F.greatest(F.lit(0), -F.col("shift"))).withColumn("least", least)
+    both = both.withColumn("high", F.least(F.col("item_tokens"), F.size("words") - F.col("shift")))
+    both = both.where(F.col("high") - F.col("low") >= F.col("least"))
+    # Cheap and without loss: by the hit there are as many equal tokens as the shortest stretch needs.
+    by_hit = lambda p: F.sequence(F.greatest("low", p - REACH), F.least(F.col("high") - 1, p + REACH))
+    both = both.where(F.exists("places", lambda p: F.size(F.filter(by_hit(p), _equal)) >= F.ceil(min_share * F.col("least") - 1e-9)))
+    both = both.withColumn("cuts", F.filter(F.sequence("low", F.col("high") - 1), lambda p: ~_equal(p)))
+    both = both.withColumn("cuts", F.concat(F.array(F.col("low") - 1), "cuts", F.array("high")))
+    found = both.withColumn("found", F.explode(_stretches("cuts", min_share)))
+    found = found.select(
+        "doc_id", "mark", "item_id", (F.col("found.first") + F.col("shift")).alias("start"), F.col("found.length").alias("length"),
+        F.col("found.matched").alias("matched"), (F.col("found.matched") / F.col("found.length")).alias("share"), "item_tokens",
+    )
+    return found.distinct()
+
+
+def _equal(p: Column) -> Column:
+    return F.coalesce(F.get("item", p) == F.get("words", p + F.col("shift")), F.lit(False))
+
+
+def _stretches(cuts: str, min_share: float) -> Column:
+    """Stretches (first, length, matched) between two of the cuts, which are the unequal tokens
+    and both ends.  For each cut, in order, the furthest one that still makes a stretch; if it
+    is no further than that of an earlier cut, the stretch lies in a longer one."""
+    at = lambda k: F.get(cuts, k)
+    last = F.size(cuts) - 1
+
+    def further(state: Column, a: Column) -> Column:
+        length = lambda b: at(b) - at(a) - 1
+        matched = lambda b: length(b) - (b - a - 1)
+        enough = lambda b: (length(b) >= F.col("least")) & (matched(b) / length(b) >= min_share)
+        after = F.greatest(state["end"], a) + 1
+        ends = F.when(after <= last, F.sequence(after, last)).otherwise(F.array().cast("array<int>"))
+        b = F.array_max(F.filter(ends, enough))
+        one = F.transform(F.filter(F.array(b), lambda x: x.isNotNull()), lambda x: F.struct(
+            (at(a) + 1).cast("int").alias("first"), length(x).cast("int").alias("length"), matched(x).cast("int").alias("matched")
+        ))
+        return F.struct(F.coalesce(b, state["end"]).alias("end"), F.concat(state["out"], one).alias("out"))
+
+    none = F.array().cast("array<struct<first:int,length:int,matched:int>>")
+    start = F.struct(F.lit(-1).alias("end"), none.alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), last), start, further, lambda state: state["out"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **rule) -> DataFrame:

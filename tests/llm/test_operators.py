@@ -3,6 +3,7 @@ tables and extra columns whose names clash with results."""
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -241,6 +242,47 @@ def test_rows_go_for_their_own_text(spark):
     assert collections.Counter((r.doc_id, r.text) for r in kept) == collections.Counter([texts[1], texts[2], texts[4], texts[5]])
 
 
+def test_masks_cover_the_rule():
+    for n in range(decontaminate.MIN_ITEM, decontaminate.REACH + 1):
+        for gone in itertools.combinations(range(n), n - -(-4 * n // 5)):
+            row = "".join("0" if p in gone else "1" for p in range(n))
+            assert any(re.search(m.replace("0", "."), row) for m in decontaminate.MASKS), row
+
+
+def brute_stretches(words, item, least, share):
+    out = set()
+    for shift in range(-len(item), len(words)):
+        same = [0 <= p + shift < len(words) and item[p] == words[p + shift] for p in range(len(item))]
+        low, high = max(0, -shift), min(len(item), len(words) - shift)
+        spans = [(a, b) for a in range(low, high) for b in range(a + least, high + 1) if sum(same[a:b]) / (b - a) >= share]
+        whole = [(a, b) for a, b in spans if not any(c <= a and b <= d and (a, b) != (c, d) for c, d in spans)]
+        out |= {(a + shift, b - a, sum(same[a:b])) for a, b in whole}
+    return out
+
+
+def test_overlaps_against_brute_force(spark):
+    dice = np.random.default_rng(11)
+    items = {i: [f"i{i}w{j}" for j in range(n)] for i, n in enumerate([8, 9, 10, 11, 12, 15, 20, 40, 100, 7])}
+    items[9] += items[0][:3]  # two items with a few tokens in common
+    texts = {0: items[8][:30] + [f"o{j}" for j in range(40)] + items[8][70:]}
+    for d in range(1, 200):
+        item = items[int(dice.integers(0, 10))]
+        a = int(dice.integers(0, max(1, len(item) - 11)))
+        part = item[a : a + int(dice.integers(8, 30))]
+        for j in dice.choice(len(part), int(dice.integers(0, 1 + len(part) // 4)), replace=False):
+            part[j] = f"x{j}"
+        texts[d] = [f"f{j}" for j in range(d % 4)] + part + [f"g{j}" for j in range(d % 3)]
+    docs = rows_of(spark, [(d, " ".join(w)) for d, w in texts.items()])
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.start, r.length, r.matched) for r in decontaminate.overlaps(docs, bench).collect()}
+    want = {
+        (d, i, *s) for d, w in texts.items() for i, t in items.items() if len(t) >= decontaminate.MIN_ITEM
+        for s in brute_stretches(w, t, min(12, len(t)), 0.8)
+    }
+    assert got == want and len({w[:2] for w in want}) > 80
+    assert sorted(s[2:] for s in want if s[:2] == (0, 8))[0][1] >= 30
+
+
 def test_blocks_of_a_large_benchmark(spark, odd, monkeypatch):
     bench = spark.createDataFrame([(i, prose(i, 30)) for i in range(20)], "item_id long, text string")
     docs = rows_of(spark, [f"{prose(90 + i, 10)} {prose(i, 30)}" for i in range(20)])
