@@ -266,6 +266,26 @@ def _apart(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
+def _named(classes: DataFrame) -> DataFrame:
+    """Classes with their name ``node``: the owner, which is the smallest doc_id, for the first
+    class of an owner, and a hash of the set for its other ones."""
+    first = classes.groupBy("owner").agg(F.min("set_key").alias("set_key")).withColumn("first", F.lit(True))
+    named = classes.join(first, ["owner", "set_key"], "left")
+    return named.withColumn("node", F.when(F.col("first"), F.col("owner")).otherwise(F.xxhash64("set_key"))).drop("first")
+
+
+def _class_components(links: DataFrame, others: DataFrame) -> DataFrame:
+    """(node, component) by links of classes.  Components are those of the owners, so that a
+    component's name is a doc_id; ``others`` are the classes not named by their owner."""
+    if others.isEmpty():
+        return components(links)
+    for end in ("u", "v"):
+        links = links.join(others.toDF(end, "to"), end, "left").withColumn(end, F.coalesce("to", end)).select("u", "v")
+    labels = components(links)
+    more = others.join(labels.toDF("owner", "component"), "owner", "left")
+    return labels.unionByName(more.select("node", F.coalesce("component", "owner").alias("component")))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Groups of documents linked by 100 * |A & B| >= percent * |A | B|, over shingle sets.
 
@@ -278,10 +298,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = staged(sketched(docs, k), "sketches")
     known = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = staged(
-        known.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"), F.first("marks").alias("marks")),
-        "classes",
-    )
+    classes = known.groupBy("set_key").agg(F.min("doc_id").alias("owner"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"), F.first("marks").alias("marks"))
+    classes = staged(_named(classes), "classes")
+    others = staged(classes.where("node != owner").select("node", "owner"), "others")
     bands = _bands(classes)
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     crowded = staged(bands.join(shared, "key"), "crowded")
@@ -294,18 +313,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     crowded = pivoted
     # Full sets are needed for classes that share a band only.
     involved = crowded.select("node").distinct()
-    sets = staged(_sets(docs.join(involved, docs["doc_id"] == involved["node"], "left_semi"), rows, classes, k), "sets")
+    chosen = classes.join(involved, "node", "left_semi")
+    sets = staged(_sets(docs.join(chosen, docs["doc_id"] == chosen["owner"], "left_semi"), rows, chosen, k), "sets")
 
     stars = crowded.where("node != pivot").where(_similar_sizes("n", "pivot_n", percent))
     stars = stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     links = staged(_confirmed(stars, classes, sets, percent), "links")
     # A doc_id with several texts ties their classes together.
-    owners = known.select("doc_id", "set_key").join(classes.select("set_key", "node"), "set_key")
-    shared = owners.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("v"), F.collect_set("node").alias("all"))
+    owners = known.select("doc_id", "set_key").join(classes.select("set_key", "owner"), "set_key")
+    shared = owners.groupBy("doc_id").agg(F.min("owner").alias("u"), F.max("owner").alias("v"), F.collect_set("owner").alias("all"))
     shared = shared.where("u != v").select("u", F.explode("all").alias("v"))
     links = links.unionByName(shared)
 
-    labels = components(links)
+    labels = _class_components(links, others)
     open_rows = staged(_unsettled(_labelled(crowded, labels)), "unsettled")
     small = open_rows.where(F.col("members") <= CROWD).join(classes.select("node", "marks"), "node")
     few = _meetings(small, percent)
@@ -320,7 +340,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     late = _confirmed(late, classes, sets, percent)
     late = staged(late.unionByName(_apart(crowds.where("NOT far").drop("marks"), sets, percent)), "links")
     if not late.isEmpty():
-        labels = components(links.unionByName(late))
+        labels = _class_components(links.unionByName(late), others)
     named = classes.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
     found = rows.drop("registers", "marks").join(named, "set_key", "left").withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -328,22 +348,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     found = found.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
     found = found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     result = staged(found.select("doc_id", "n_shingles", "component_id", "kept"), "groups")
-    for used in (rows, classes, crowded, sets, open_rows):
+    for used in (rows, classes, others, crowded, sets, open_rows):
         drop_staged(used)
     return result
 
 
 def _sets(docs: DataFrame, rows: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """(node, set): the sorted shingle hashes of each class, from one of its documents."""
+    """(node, set): the sorted shingle hashes of each class, from its owner."""
 
     def full(batches):
         for part in slices(batches):
             sets = [s.tobytes() for s in shingle_sets(*text_bytes(part.column("text")), k)]
             keys = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
             yield pa.RecordBatch.from_pydict(
-                {"node": part.column("doc_id"), "set_key": pa.array(keys, pa.binary()), "set": pa.array(sets, pa.binary())}
+                {"owner": part.column("doc_id"), "set_key": pa.array(keys, pa.binary()), "set": pa.array(sets, pa.binary())}
             )
 
     # The key as well, as a doc_id may stand for several texts.
-    wanted = classes.select("node", "set_key")
-    return docs.mapInArrow(full, "node long, set_key binary, set binary").join(wanted, ["node", "set_key"]).select("node", "set").dropDuplicates(["node"])
+    wanted = classes.select("node", "owner", "set_key")
+    return docs.mapInArrow(full, "owner long, set_key binary, set binary").join(wanted, ["owner", "set_key"]).select("node", "set").dropDuplicates(["node"])

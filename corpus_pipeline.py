@@ -34,12 +34,20 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, 0.8): that with the
-    smallest doc_id, once.  Documents without words, or without doc_id, are in no group."""
+    """One row of each group of near copies (five-word shingles, 0.8): that with the smallest
+    doc_id, once.  Different texts of one doc_id are judged each by itself.  Documents without
+    words, or without doc_id, are in no group."""
     docs = docs.select(*COLUMNS)
-    groups = hyperminhash.near_duplicates(docs, k=5, percent=80)
-    kept = groups.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = docs.where("doc_id IS NOT NULL").withColumn("mark", F.xxhash64("text"))
+    texts = named.select("doc_id", "mark").distinct()
+    if texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        numbered = named.withColumn("row", F.col("doc_id"))
+    else:  # numbers in the order of doc_id
+        texts = staged(texts.orderBy("doc_id", "mark").withColumn("row", F.monotonically_increasing_id()), "rows")
+        numbered = named.join(texts, ["doc_id", "mark"])
+    groups = hyperminhash.near_duplicates(numbered.select(F.col("row").alias("doc_id"), "text"), k=5, percent=80)
+    kept = groups.where("kept").select(F.col("doc_id").alias("row")).distinct()
+    named = numbered.join(kept, "row", "left_semi").dropDuplicates(["row"])
     return named.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from barwright.llm import (
     components, decontaminate, hyperminhash, language, licences, packing, quality, queries, ring, syncmers, token_blocks, tokens, warc,
 )
@@ -159,6 +160,26 @@ def test_near_duplicates(spark, odd, none, k, percent):
     assert hyperminhash.near_duplicates(none, k, percent).count() == 0
 
 
+def near(text, mark):
+    return " ".join([*text.split()[:-1], mark])
+
+
+def test_several_texts_of_one_document(spark):
+    a, b, c, d = ([f"{x}{i}" for i in range(120)] for x in "abcd")
+    a, b, c, d = (" ".join(x) for x in (a, b, c, d))
+    texts = [(7, a), (7, b), (9, near(a, "x")), (11, near(b, "y")), (12, c), (12, d), (3, d), (20, a + " " + c)]
+    got = {(r.doc_id, r.component_id, r.kept) for r in hyperminhash.near_duplicates(rows_of(spark, texts), 3, 85).collect()}
+    assert got == {(7, 7, True), (9, 7, False), (11, 7, False), (12, 3, False), (3, 3, True), (20, 20, True)}
+
+
+def test_stage_judges_each_text(spark, sf_dir):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(120)) for x in "abcd")
+    texts = [(7, a), (7, b), (7, b), (9, near(a, "x")), (9, c), (3, near(b, "y")), (12, d), (None, d)]
+    docs = spark.createDataFrame([(*t, "en", "s", 1) for t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()
+    assert collections.Counter((r.doc_id, r.text) for r in kept) == collections.Counter([(7, a), (9, c), (3, near(b, "y")), (12, d), (None, d)])
+
+
 def test_estimate_follows_jaccard():
     dice = np.random.default_rng(2)
     for share in (0.3, 0.6, 0.9):
