@@ -18,6 +18,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -179,13 +180,43 @@ def pack(rows: DataFrame, capacity: int = 1024) -> DataFrame:
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """The id sequences themselves: sequence_id, ids, doc_ids (a group is one sequence)."""
-    parts = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "ids")))
+    """The id sequences themselves: sequence_id, ids, doc_ids and the pieces in them (offset,
+    doc_id, piece, start, length); a group is one sequence."""
+    parts = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "piece", "start", "length", "ids")))
     return packed.groupBy("sequence_id").agg(parts.alias("p")).select(
-        "sequence_id", F.flatten("p.ids").alias("ids"), F.col("p.doc_id").alias("doc_ids")
+        "sequence_id", F.flatten("p.ids").alias("ids"), F.col("p.doc_id").alias("doc_ids"),
+        F.transform("p", lambda x: x.dropFields("ids")).alias("pieces"),
     )
 
 
+def pieces_of(built: DataFrame, with_ids: bool = True) -> DataFrame:
+    """Pieces cut out of built sequences again: doc_id, piece, start, length, ids_crc32 of the
+    ids found at the piece's place, sequence_id, offset and, if wanted, these ids."""
+    ship(built.sparkSession)
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    schema += ", ids array<int>" if with_ids else ""
+
+    def cut(batches):
+        for batch in batches:
+            lists, parts = batch.column("ids"), batch.column("pieces")
+            ids = lists.flatten().to_numpy(zero_copy_only=False).astype("<i4", copy=False)
+            begin = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            row = pa.compute.list_parent_indices(parts).to_numpy(zero_copy_only=False)
+            fields = dict(zip([f.name for f in parts.type.value_type], parts.flatten().flatten(), strict=True))
+            at = begin[row] + fields["offset"].to_numpy(zero_copy_only=False)
+            to = at + fields["length"].to_numpy(zero_copy_only=False)
+            found = [ids[a:b] for a, b in zip(at, to, strict=True)]
+            out = {n: fields[n] for n in ("doc_id", "piece", "start", "length")}
+            out["ids_crc32"] = pa.array([zlib.crc32(x.tobytes()) for x in found], pa.int64())
+            out["sequence_id"] = batch.column("sequence_id").take(pa.array(row))
+            out["offset"] = fields["offset"]
+            if with_ids:
+                out["ids"] = pa.array(found, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_pydict(out)
+
+    return built.select("sequence_id", "ids", "pieces").mapInArrow(cut, schema)
+
+
 def packed_documents(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 1024, with_ids: bool = True) -> DataFrame:
     """Pieces of all documents with their places."""
     return pack(staged(pieces(docs, vocabulary, end_id, capacity, with_ids), "pieces"), capacity)

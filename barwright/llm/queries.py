@@ -41,8 +41,10 @@ def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences of at most 1024 ids."""
-    return packing.packed_documents(table(spark, sf_dir, "documents"), VOCABULARY, 2, 1024, with_ids=False)
+    """All documents packed into sequences of at most 1024 ids; digests are of the ids found in
+    the built sequences."""
+    packed = packing.packed_documents(table(spark, sf_dir, "documents"), VOCABULARY, 2, 1024)
+    return packing.pieces_of(staged(packing.sequences(packed), "sequences"), with_ids=False)
 
 
 def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,14 +54,13 @@ def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents on sixteen shards of a ring with 64 virtual nodes each, loads bounded so
-    tightly that counts differ by one at most."""
+    tightly that counts differ by one at most; written as shards and read back."""
+    place = f"{new_workspace(spark)}/shards"
+    ring.write_shards(ring.shard_rows(table(spark, sf_dir, "documents"), "doc_id", shards=16, vnodes=64, slack=0.0), place)
     text = F.coalesce("text", F.lit(""))
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
-    )
-    placed = ring.shard_rows(docs, "doc_id", shards=16, vnodes=64, slack=0.0)
-    return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    return spark.read.parquet(place).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
 
 

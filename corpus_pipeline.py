@@ -57,8 +57,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all remaining documents in sequences of at most 1024 ids."""
-    return packing.packed_documents(docs, VOCABULARY, 2, 1024, with_ids=False)
+    """All remaining documents in sequences of at most 1024 ids: the pieces of the built
+    sequences, with their ids and places."""
+    packed = packing.packed_documents(docs, VOCABULARY, 2, 1024)
+    return packing.pieces_of(staged(packing.sequences(packed), "sequences"))
 
 
 STAGES = [

@@ -112,6 +112,30 @@ def test_packing(spark, odd, none):
         assert at <= 64
 
 
+def test_sequences_hold_the_pieces(spark, odd, none):
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"]
+    packed = packing.packed_documents(odd, queries.VOCABULARY, capacity=64).cache()
+    built = packing.sequences(packed)
+    got = packing.pieces_of(built)
+    assert sorted(map(repr, got.select(names).collect())) == sorted(map(repr, packed.select(names).collect()))
+    assert all(len(r.ids) <= 64 and len(r.doc_ids) == len(r.pieces) for r in built.collect())
+    assert packing.pieces_of(packing.sequences(packing.packed_documents(none, queries.VOCABULARY))).count() == 0
+
+
+def test_queries_run_their_whole_job(spark, sf_dir, monkeypatch):
+    seen = []
+    build, write = packing.sequences, ring.write_shards
+    monkeypatch.setattr(packing, "sequences", lambda p: seen.append(p.columns) or build(p))
+    monkeypatch.setattr(ring, "write_shards", lambda p, place: seen.append(p.columns) or write(p, place))
+    docs = queries.table(spark, sf_dir, "documents").where("doc_id IS NOT NULL").limit(20)
+    queries.op4_packing(spark, sf_dir)
+    got = queries.op6_ring(spark, sf_dir)
+    last = corpus_pipeline.best_fit_packing(spark, docs, sf_dir)
+    assert "ids" in seen[0] and "text" in seen[1] and "ids" in last.columns
+    want = {(r.doc_id, zlib.crc32((r.text or "").encode())) for r in docs.collect()}
+    assert want <= {(r.doc_id, r.text_crc32) for r in got.collect()}
+
+
 def test_plan_is_near_the_bound():
     dice = np.random.default_rng(3)
     counts = collections.Counter(dice.integers(1, 1025, 20_000).tolist())
