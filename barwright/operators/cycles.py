@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.functions.numeric import ratio
-from barwright.operators.windows import CLOSE_WAS, ERA, Bars
+from barwright.operators.windows import CLOSE_WAS, ERA, HALO, SEED, Bars
 
 CYCLE_COLUMNS = ["cycle_bull", "cycle_months", "cycle_pct"]
 CYCLE_STAT_COLUMNS = [
@@ -20,23 +20,23 @@ def cycle_levels(bars: Bars) -> list[list[str]]:
     with a green band outside dark red and off with dark red.  A cycle's entry price is
     the close before its first bar (its own first close for the first cycle of a
     history).  Also gives ``__run`` and ``__run_ends``."""
+    turn = bars.own("case when bx_monthly_dark_red = 0 and fvb_band_green = 1 then 1 when bx_monthly_dark_red = 1 then 0 end")
+    start = (
+        f"last(if(__starts, named_struct('day', week_start, 'price', coalesce({CLOSE_WAS}, close)), null), true)"
+        f" over ({bars.sql_upto})"
+    )
     return [
         [],
+        [f"coalesce({bars.known(f'last({turn}, true) over ({bars.sql_upto})', 'bull')}, 0) as cycle_bull"],
         [
-            "coalesce(last(case when bx_monthly_dark_red = 0 and fvb_band_green = 1 then 1"
-            f" when bx_monthly_dark_red = 1 then 0 end, true) over ({bars.sql_upto}), 0)"
-            " as cycle_bull"
-        ],
-        [
-            f"coalesce(lag(cycle_bull, 1) over ({bars.sql_order}) <> cycle_bull, true) as __starts",
+            f"coalesce({bars.known(f'lag(cycle_bull, 1) over ({bars.sql_order})', 'bull')} <> cycle_bull, true) as __starts",
             f"coalesce(lead(cycle_bull, 1) over ({bars.sql_order}) <> cycle_bull, false)"
             " as __run_ends",
         ],
         [],
         [
             f"sum(int(__starts)) over ({bars.sql_upto}) as __run",
-            "last(if(__starts, named_struct('day', week_start, 'price',"
-            f" coalesce({CLOSE_WAS}, close)), null), true) over ({bars.sql_upto}) as __start",
+            f"{bars.known(start, 'start')} as __start",
         ],
         [
             "(year(week_start) - year(__start.day)) * 12 + month(week_start) - month(__start.day)"
@@ -46,15 +46,21 @@ def cycle_levels(bars: Bars) -> list[list[str]]:
     ]
 
 
-def with_drawdown(df: DataFrame) -> DataFrame:
+def with_drawdown(df: DataFrame, bars: Bars | None = None) -> DataFrame:
     """``__drawdown``: lowest low against the running peak close of the same run, in
-    percent.  Runs need their own sort, but stay in the symbol's partition."""
+    percent.  Runs need their own sort, but stay in the symbol's partition.  Run 0 of a seeded
+    frame goes on from the stored peak and drawdown."""
     run = Window.partitionBy("symbol", "__run").orderBy(ERA, "week_start").rowsBetween(
         Window.unboundedPreceding, 0
     )
-    peak = df.withColumn("__peak", F.max("close").over(run))
-    dip = ratio(F.col("low"), F.col("__peak")) - 1.0
-    return peak.withColumn("__drawdown", F.min(dip).over(run) * 100.0)
+    if bars is None or not bars.seeded:
+        peak = df.withColumn("__peak", F.max("close").over(run))
+        dip = ratio(F.col("low"), F.col("__peak")) - 1.0
+        return peak.withColumn("__drawdown", F.min(dip).over(run) * 100.0)
+    goes_on = F.col("__run") == 0
+    df = df.withColumn("__peak", F.greatest(F.max(F.expr(bars.own("close"))).over(run), F.when(goes_on, F.col(f"{SEED}.peak"))))
+    dip = F.when(~F.col(HALO), ratio(F.col("low"), F.col("__peak")) - 1.0)
+    return df.withColumn("__drawdown", F.least(F.min(dip).over(run) * 100.0, F.when(goes_on, F.col(f"{SEED}.drawdown"))))
 
 
 def closing_marks() -> dict[str, Column]:

@@ -119,7 +119,10 @@ def oscillators(
     * ``bx_monthly_completed``: previous month, constant inside a month;
     * ``bx_monthly_prev``: the month before that;
     * ``bx_monthly_realtime``: completed months plus this bar's close as the value
-      of the current month, by one more step of each recursion."""
+      of the current month, by one more step of each recursion.
+
+    On a seeded layout with both oscillators, ``__after`` holds what a later frame needs to go
+    on from this bar: all means and counts after it, and those of the months before it."""
     means = dict(means or {})
     kept = [f"`{c}`" for c in df.columns]
     df, counts = value_counters(df, bars, [*(x for x, _ in means.values()), *(["close"] if chart else [])])
@@ -137,8 +140,8 @@ def oscillators(
     if chart:
         seen = counts["close"].seen
         counter = Counter(f"greatest({seen} - {SLOW_SPAN}, 0)", counts["close"].in_era)
-        spreads.append(f"if(close is not null and {seen} >= {SLOW_SPAN}, __fast - __slow, null) as __spread")
-        previous.append(f"last(__spread, true) over ({bars.sql_before}) as __spread_was")
+        spreads.append(f"if({bars.own('close')} is not null and {seen} >= {SLOW_SPAN}, __fast - __slow, null) as __spread")
+        previous.append(f"{bars.known(f'last(__spread, true) over ({bars.sql_before})', 'spread')} as __spread_was")
         up, down = gains_and_losses("__spread", "__spread_was")
         steps += [f"{up} as __up", f"{down} as __down"]
         smooth |= {"__gain": ("__up", counter), "__loss": ("__down", counter)}
@@ -148,9 +151,7 @@ def oscillators(
             f"if(__month_ends and {by_month.seen} >= {SLOW_SPAN}, __mfast - __mslow, null)"
             " as __mspread"
         )
-        previous.append(
-            f"last(__mspread, true) over ({bars.sql_before}) as __mspread_was"
-        )
+        previous.append(f"{bars.known(f'last(__mspread, true) over ({bars.sql_before})', 'mspread')} as __mspread_was")
         up, down = gains_and_losses("__mspread", "__mspread_was")
         steps += [f"{up} as __mup", f"{down} as __mdown"]
         smooth |= {"__mgain": ("__mup", mcounter), "__mloss": ("__mdown", mcounter)}
@@ -170,6 +171,14 @@ def oscillators(
     if not months:
         return df.selectExpr(*kept, *results)
 
+    keeps = bars.seeded and chart
+    if keeps:
+        after = {out: f"`{out}`" for out in [*means, "__fast", "__slow", "__gain", "__loss"]}
+        results.append(
+            f"named_struct('means', {_fields(after)}, 'counts', {_fields({x: c.seen for x, c in counts.items()})},"
+            " 'spread', coalesce(__spread, __spread_was)) as __after"
+        )
+        names.append("__after")
     rsi = rsi_from_means("__mgain", "__mloss")
     state = f"""named_struct('months', {by_month.seen}, 'fast', __mfast, 'slow', __mslow,
         'spread', coalesce(__mspread, __mspread_was), 'gain', __mgain, 'loss', __mloss,
@@ -186,10 +195,20 @@ def oscillators(
         *kept,
         "__was",
         "__was.bx as bx_monthly_completed",
-        f"last(if(__month_ends, named_struct('bx', __was.bx), null), true)"
-        f" over ({bars.sql_before}) as __earlier",
+        bars.known(f"last(if(__month_ends, named_struct('bx', __was.bx), null), true) over ({bars.sql_before})", "earlier")
+        + " as __earlier",
         f"lag(__was.bx, 1) over ({bars.sql_order}) as __completed_was",
-    ).selectExpr(
+    )
+    if keeps:
+        months = {f"__m{c}": f"__was.{c}" for c in ("fast", "slow", "gain", "loss")}
+        kept = [c for c in kept if c != "__after"]
+        df = df.withColumn("__after", F.expr(
+            f"named_struct('means', named_struct({_each('__after.means', [*after])}, {_pairs(months)}),"
+            f" 'counts', named_struct({_each('__after.counts', [*counts])}, '__mclose', coalesce(__was.months, 0)),"
+            " 'spread', __after.spread, 'mspread', __was.spread, 'earlier', __earlier)"
+        ))
+        kept.append("__after")
+    df = df.selectExpr(
         *kept,
         "bx_monthly_completed",
         "__earlier.bx as bx_monthly_prev",
@@ -217,6 +236,18 @@ def oscillators(
     )
 
 
+def _pairs(fields: Mapping[str, str]) -> str:
+    return ", ".join(f"'{name}', {value}" for name, value in fields.items())
+
+
+def _fields(fields: Mapping[str, str]) -> str:
+    return f"named_struct({_pairs(fields)})"
+
+
+def _each(struct: str, names: Iterable[str]) -> str:
+    return _pairs({n: f"{struct}.`{n}`" for n in names})
+
+
 def _mean_step(mean: str, value: str, alpha: float) -> str:
     return f"if({mean} is null, {value}, {mean} * {1.0 - alpha!r}D + ({value}) * {alpha!r}D)"
 

@@ -64,8 +64,8 @@ def position_levels(bars: Bars, entry: str, target: str, stop: str) -> list[list
             f"sum(__flip) over ({bars.sql_upto}) as __flips",
         ],
         [f"last(if(__event is null, null, __flips), true) over ({bars.sql_upto}) as __flips_then"],
-        ["int(pmod(coalesce(__set, 0) + __flips - coalesce(__flips_then, 0), 2)) as __long"],
-        [f"coalesce(lag(__long, 1) over ({bars.sql_order}), 0) as __was_long"],
+        [f"int(pmod(coalesce({bars.known('__set', 'long')}, 0) + __flips - coalesce(__flips_then, 0), 2)) as __long"],
+        [f"coalesce({bars.known(f'lag(__long, 1) over ({bars.sql_order})', 'long')}, 0) as __was_long"],
     ]
 
 
@@ -74,12 +74,12 @@ def signal_levels(bars: Bars) -> list[list[str]]:
     ``__entry_close`` is the price of the latest entry and ``__exit_before`` the kind of
     the latest exit before the bar; on a bar that closes a trade they tell how and at
     what price it was opened."""
-    conditions = [
-        "fvb_band_green = 1 and bx_monthly_dark_red = 0 and in_entry_zone = 1"
-        " and tpx1 is not null as __e",
-        "coalesce(high >= tpx1, false) as __t",
-        "bx_monthly_dark_red = 1 as __l",
-    ]
+    events = {
+        "__e": "fvb_band_green = 1 and bx_monthly_dark_red = 0 and in_entry_zone = 1 and tpx1 is not null",
+        "__t": "high >= tpx1",
+        "__l": "bx_monthly_dark_red = 1",
+    }
+    conditions = [f"coalesce({bars.own(text)}, false) as {name}" for name, text in events.items()]
     return [
         conditions,
         *position_levels(bars, "__e", "__t", "__l"),
@@ -90,9 +90,10 @@ def signal_levels(bars: Bars) -> list[list[str]]:
             "int(__was_long = 1 and __e and not __t) as sig_add",
         ],
         [
-            "coalesce(last(case when sig_tp = 1 then 'TP' when sig_sl = 1 then 'SL' end, true)"
-            f" over ({bars.sql_before}), 'SL') as __exit_before",
-            f"last(if(__entered, close, null), true) over ({bars.sql_upto}) as __entry_close",
+            "coalesce("
+            + bars.known(f"last(case when sig_tp = 1 then 'TP' when sig_sl = 1 then 'SL' end, true) over ({bars.sql_before})", "exit_kind")
+            + ", 'SL') as __exit_before",
+            bars.known(f"last(if(__entered, close, null), true) over ({bars.sql_upto})", "entry_close") + " as __entry_close",
         ],
         [
             "int(__entered and __exit_before = 'SL') as sig_entry",

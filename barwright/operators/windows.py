@@ -29,6 +29,8 @@ NEWEST = "__newest"
 CLOSE_WAS = "__close_was"
 MONTH_ENDS = "__month_ends"
 MONTH_CLOSE = "__mclose"
+SEED = "__seed"
+HALO = "__halo"
 
 # The weights of a recursive average grow by 1/(1-alpha) per bar inside an era
 # and must stay below the double range (1e308) with room for the prices.
@@ -54,6 +56,15 @@ class Bars:
     ts: str
     prefix: tuple[str, ...] = (ERA,)
     alpha: float = FASTEST_ALPHA  # fastest average that the eras have room for
+    seeded: bool = False  # the frame continues stored states, see plans.rolling
+
+    def known(self, value: str, field: str) -> str:
+        """A value from the frame or, where it has none, from the symbol's stored state."""
+        return f"coalesce({value}, {SEED}.{field})" if self.seeded else value
+
+    def own(self, x: str) -> str:
+        """A value of rows that the stored state has not seen; NULL on repeated older rows."""
+        return f"if({HALO}, null, {x})" if self.seeded else x
 
     @property
     def order(self) -> WindowSpec:
@@ -107,14 +118,16 @@ PLAIN_WEEKLY = Bars("week_start", ())
 
 
 def lay_out(
-    df: DataFrame, ts: str, alpha: float = FASTEST_ALPHA, days_per_bar: int = 1
+    df: DataFrame, ts: str, alpha: float = FASTEST_ALPHA, days_per_bar: int = 1, seeded: bool = False
 ) -> tuple[DataFrame, Bars]:
     """Add the era, the row counters, the neighbours of each bar and the month-end closes
     in two window passes; what nobody reads is pruned away.
 
     A month's close is the close of its last bar, known only once a bar of a later
-    month exists, so the last bar of the data never counts as a month end."""
-    bars = Bars(ts, alpha=alpha)
+    month exists, so the last bar of the data never counts as a month end.  Of the older rows
+    that a seeded frame repeats only the last can be one the stored state does not know."""
+    bars = Bars(ts, alpha=alpha, seeded=seeded)
+    fresh = f" and not coalesce(lead({HALO}, 1) over ({bars.sql_order}), false)" if seeded else ""
     days = F.datediff(F.col(ts), F.lit("1900-01-01").cast("date"))
     era = F.floor(days / float(era_days(alpha, days_per_bar))).cast("int")
     month = f"year({ts}) * 12 + month({ts})"
@@ -125,7 +138,7 @@ def lay_out(
             f"row_number() over ({bars.sql_order}) as {ROW}",
             f"lead({ERA}, 1) over ({bars.sql_order}) as __era_next",
             f"lag(close, 1) over ({bars.sql_order}) as {CLOSE_WAS}",
-            f"coalesce(lead({month}, 1) over ({bars.sql_order}) <> {month}, false) as {MONTH_ENDS}",
+            f"coalesce(lead({month}, 1) over ({bars.sql_order}) <> {month}, false){fresh} as {MONTH_ENDS}",
         )
         .selectExpr(
             "*",
@@ -245,11 +258,18 @@ def running_peak(x: str, run: str, ts: str) -> Column:
 
 @dataclass(frozen=True)
 class Counter:
-    """SQL expressions: how many values of a series exist up to a row, in all and in
-    its era.  The second may be ahead by a constant, as only its differences matter."""
+    """SQL expressions of a series: how many values exist up to a row, in all and in its era
+    (the latter may be ahead by a constant, as only its differences matter), the value to be
+    averaged, and its first value in the frame."""
 
     seen: str
     in_era: str
+    value: str | None = None
+    first: str | None = None
+
+
+def _seen(bars: Bars, x: str) -> str:
+    return f"(coalesce({SEED}.counts.{x}, 0) + {x}__n)" if bars.seeded else f"{x}__n"
 
 
 def value_counters(
@@ -258,17 +278,26 @@ def value_counters(
     """Counters of columns that may lack values on some rows, also inside their history."""
     names = list(dict.fromkeys(columns))
     counts = [
-        f"count({x}) over ({frame}) as {x}__{mark}"
+        part
         for x in names
-        for mark, frame in (("n", bars.sql_upto), ("m", bars.sql_era_upto))
+        for part in (
+            f"count({bars.own(x)}) over ({bars.sql_upto}) as {x}__n",
+            f"count({bars.own(x)}) over ({bars.sql_era_upto}) as {x}__m",
+            f"first({bars.own(x)}, true) over ({bars.sql_upto}) as {x}__b",
+        )
     ]
-    return df.selectExpr("*", *counts), {x: Counter(f"{x}__n", f"{x}__m") for x in names}
+    return df.selectExpr("*", *counts), {
+        x: Counter(_seen(bars, x), f"{x}__m", bars.own(x), f"{x}__b") for x in names
+    }
 
 
 def month_counter(df: DataFrame, bars: Bars) -> tuple[DataFrame, Counter]:
     """For the month-end closes, which exist on some of the rows only."""
-    df = df.selectExpr("*", f"count({MONTH_CLOSE}) over ({bars.sql_upto}) as {MONTH_CLOSE}__n")
-    return df, Counter(f"{MONTH_CLOSE}__n", f"{MONTH_CLOSE}__m")
+    x = MONTH_CLOSE
+    df = df.selectExpr(
+        "*", f"count({x}) over ({bars.sql_upto}) as {x}__n", f"first({x}, true) over ({bars.sql_upto}) as {x}__b"
+    )
+    return df, Counter(_seen(bars, x), f"{x}__m", x, f"{x}__b")
 
 
 def recursive_means(
@@ -286,26 +315,35 @@ def recursive_means(
     contribute is folded from one (sum, length) pair per era, so the work per row
     does not depend on the length of the history.  Two window passes in all.
 
+    Where the counter names a first value, the sums are of differences from it (or from the
+    stored mean that a seeded frame goes on from): the mean of a constant is that constant to
+    the last digit.
+
     The expressions are SQL text because a plan of this size is otherwise built from
     thousands of driver round trips."""
     sums, pairs, totals = [], [], []
     for out, (x, a, counter) in specs.items():
+        value, stored = counter.value or x, f"{SEED}.means.{out}"
         if a >= 1.0:
-            sums.append(f"last({x}, true) over ({bars.sql_upto}) as {out}__s")
-            totals.append(f"{out}__s as {out}")
+            sums.append(f"last({value}, true) over ({bars.sql_upto}) as {out}__s")
+            totals.append(f"{bars.known(f'{out}__s', f'means.{out}')} as {out}")
             continue
         if a > bars.alpha + 1e-12:
             raise ValueError(f"{out}: lay the bars out for a smoothing factor of {a:.3f}")
         keep, rows = f"{1.0 - a!r}D", f"cast({counter.in_era} as double)"
-        weight = f"if({counter.seen} = 1, 1D, {a!r}D) * pow({keep}, -{rows})"
-        sums.append(f"sum({weight} * {x}) over ({bars.sql_era_upto}) as {out}__s")
-        decay = f"pow({keep}, {rows})"
-        here = f"coalesce({out}__s, 0D)"
+        decay, here, before = f"pow({keep}, {rows})", f"coalesce({out}__s, 0D)", "0D"
+        if counter.first is not None:
+            base = f"coalesce({stored}, {counter.first})" if bars.seeded else counter.first
+            term, shift = f"{a!r}D * pow({keep}, -{rows}) * ({value} - {base})", f"{base} + "
+        else:
+            term, shift = f"if({counter.seen} = 1, 1D, {a!r}D) * pow({keep}, -{rows}) * {value}", ""
+            before = f"coalesce({stored}, 0D)" if bars.seeded else before
+        sums.append(f"sum({term}) over ({bars.sql_era_upto}) as {out}__s")
         pairs.append(f"'{out}', named_struct('part', {here} * {decay}, 'decay', {decay})")
-        carried = f"aggregate(__past, 0D, (acc, e) -> acc * e.{out}.decay + e.{out}.part)"
+        carried = f"aggregate(__past, {before}, (acc, e) -> acc * e.{out}.decay + e.{out}.part)"
         totals.append(
-            f"if({counter.seen} > 0, {decay} *"
-            f" if(size(__past) = 0, {here}, {here} + {carried}), null) as {out}"
+            f"if({counter.seen} > 0, {shift}{decay} *"
+            f" if(size(__past) = 0, {here} + {before}, {here} + {carried}), null) as {out}"
         )
     if not pairs:
         return df.selectExpr("*", *sums).selectExpr(*[f"`{c}`" for c in df.columns], *totals)

@@ -35,14 +35,14 @@ def _newest_bars(store: Store) -> DataFrame:
     return store.read("daily").groupBy("symbol").agg(F.max("date").alias("newest"))
 
 
-def _finish(store: Store, stage: str, symbols: DataFrame, inputs: DataFrame) -> None:
+def _finish(store: Store, stage: str, symbols: DataFrame, inputs: DataFrame, read: int) -> None:
     """State of the symbols as their input was read; a symbol without input has none."""
     done = symbols.select(F.lit(stage).alias("period"), "symbol")
     fresh = inputs.join(symbols, "symbol", "left_semi").select(
         F.lit(stage).alias("period"), "symbol", F.col("newest").alias("last_date"), F.lit(SIGNAL_VERSION).alias("logic_version")
     )
     store.write_state(fresh, done)
-    store.clear_dirty(symbols, stage)
+    store.clear_dirty(symbols, stage, read)
 
 
 def _rewrite(store: Store, table: str, rows: DataFrame, symbols: DataFrame) -> None:
@@ -56,6 +56,7 @@ def run_indicators(store: Store, period: str = "weekly", force: bool = False) ->
     """Indicators of the symbols that are due; False when nothing was to be done.  A bucket is
     rewritten whole, with the whole history of its symbols."""
     stage = STAGE_OF[period]
+    read = store.newest_mark()
     newest = store.staged(_newest_bars(store))
     symbols = _due(store, stage, newest, force)
     if symbols.isEmpty():
@@ -66,7 +67,7 @@ def run_indicators(store: Store, period: str = "weekly", force: bool = False) ->
     _rewrite(store, f"{period}_indicators", compute_indicators(candles, period), symbols)
     if period == "weekly":
         store.mark_dirty(symbols, "weekly")
-    _finish(store, stage, symbols, newest)
+    _finish(store, stage, symbols, newest, read)
     store.clean()
     return True
 
@@ -74,6 +75,7 @@ def run_indicators(store: Store, period: str = "weekly", force: bool = False) ->
 def run_signals(store: Store, force: bool = False) -> bool:
     """Signals of the symbols that are due, from the stored weekly indicators and no newer
     bars, then the snapshot and the state."""
+    read = store.newest_mark()
     inputs = store.staged(store.read_state("weekly_indicators").select("symbol", F.col("last_date").alias("newest")))
     symbols = _due(store, "weekly", inputs, force)
     if symbols.isEmpty():
@@ -82,7 +84,7 @@ def run_signals(store: Store, force: bool = False) -> bool:
     bars = store.same_buckets("weekly_indicators", symbols).drop(*SLICES)
     _rewrite(store, "weekly", signals_from_indicators(bars), symbols)
     write_snapshot(store)
-    _finish(store, "weekly", symbols, inputs)
+    _finish(store, "weekly", symbols, inputs, read)
     store.clean()
     return True
 
@@ -111,7 +113,7 @@ def _drop_bars(store: Store, bad: DataFrame) -> None:
     stored = store.same_slices("daily", bad)
     kept = repair_anti_join(stored.drop(*SLICES), bad, "date")
     store.replace_slices(kept, "daily", stored.select(*SLICES).distinct())
-    store.mark_dirty(bad.select("symbol").distinct(), "daily", "weekly_indicators")
+    store.mark_dirty(bad.select("symbol").distinct(), "daily", "weekly_indicators", "weekly_rolled")
 
 
 def run_repair(store: Store, bad: DataFrame) -> None:

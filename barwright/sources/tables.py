@@ -24,7 +24,8 @@ from barwright.operators.quality import table_inventory
 from barwright.sources.candles import TIME_COLUMN, select_candles
 
 STATE_SCHEMA = "period string, symbol string, last_date date, logic_version string"
-DIRTY_SCHEMA = "stage string, symbol string"
+DIRTY_SCHEMA = "stage string, symbol string, since date, batch bigint"
+WHOLE_HISTORY = "0001-01-01"
 SLICES = ["year", "bucket"]
 
 
@@ -271,19 +272,34 @@ class Store:
         self.overwrite(kept.unionByName(fresh), "state")
 
     def read_dirty(self, stage: str | None = None) -> DataFrame:
-        """Symbols whose input of a stage has changed since it ran."""
+        """Symbols whose input of a stage has changed since it ran, the first day that did, and
+        the number of the batch that marked them last."""
         if not self.exists("dirty"):
             return self.spark.createDataFrame([], DIRTY_SCHEMA)
         dirty = self.read("dirty")
         return dirty if stage is None else dirty.where(F.col("stage") == stage)
 
+    def newest_mark(self) -> int:
+        """The number of the last batch of marks.  A stage asks for it before it reads its input
+        and clears marks up to it only, so what is marked meanwhile stays marked."""
+        return self.read_dirty().agg(F.max("batch")).first()[0] or 0
+
     def mark_dirty(self, symbols: DataFrame, *stages: str) -> None:
-        marks = symbols.select(F.explode(F.array(*[F.lit(s) for s in stages])).alias("stage"), "symbol")
-        self.overwrite(self.read_dirty().unionByName(marks).distinct(), "dirty")
+        """Mark symbols for stages, from the day in ``since`` on if there is that column, else
+        for their whole history."""
+        since = F.col("since") if "since" in symbols.columns else F.lit(WHOLE_HISTORY).cast("date")
+        marks = symbols.select(
+            F.explode(F.array(*[F.lit(s) for s in stages])).alias("stage"), "symbol", since.alias("since"),
+            F.lit(self.newest_mark() + 1).cast("bigint").alias("batch"),
+        )
+        both = self.read_dirty().unionByName(marks).groupBy("stage", "symbol")
+        self.overwrite(both.agg(F.min("since").alias("since"), F.max("batch").alias("batch")), "dirty")
 
-    def clear_dirty(self, symbols: DataFrame, stage: str) -> None:
-        done = symbols.select(F.lit(stage).alias("stage"), "symbol")
-        self.overwrite(self.read_dirty().join(done, ["stage", "symbol"], "left_anti"), "dirty")
+    def clear_dirty(self, symbols: DataFrame, stage: str, upto: int) -> None:
+        """Drop a stage's marks of symbols that were set by batches up to one."""
+        done = symbols.select(F.lit(stage).alias("stage"), "symbol", F.lit(True).alias("__done"))
+        left = self.read_dirty().join(done, ["stage", "symbol"], "left")
+        self.overwrite(left.where(F.col("__done").isNull() | (F.col("batch") > upto)).drop("__done"), "dirty")
 
     # --- ingest -------------------------------------------------------------
 
@@ -304,7 +320,8 @@ class Store:
             rows = self.staged(newest_record(both, ["symbol", ts], keep_arrival=True))
         self.write_bars(rows, table)
         if table == "daily":
-            self.mark_dirty(fresh.select("symbol").distinct(), "daily", "weekly_indicators")
+            changed = fresh.groupBy("symbol").agg(F.min(ts).alias("since"))
+            self.mark_dirty(changed, "daily", "weekly_indicators", "weekly_rolled")
         self.clean()
 
     def sync_sectors(self, landing: DataFrame) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from barwright.functions.numeric import nine_digits
 from barwright.operators import incremental, portfolio, quality, signals
 from barwright.operators import windows as win
-from barwright.plans import jobs
+from barwright.plans import jobs, rolling
 from barwright.plans.stages import build_snapshot
 from barwright.sources import tables
 from checks import base_sql
@@ -371,6 +371,9 @@ def _(x):
 
 
 WEEKLY_SPEC = SIG_SPEC
+ROLLED_SPEC = WEEKLY_SPEC + " " + " ".join(
+    f"{c}~" for c in "sma_20 sma_33 ema_20 ema_33 bx bx_monthly_completed bx_monthly_prev bx_monthly_realtime fvb_basis fvb_dev fvb20_dev dbb_upper rel_vol fvb_smooth_vwap".split()
+) + " fvb_band_green fvb20_band_green bx_monthly_dark_red bx_realtime_dark_red trading_days"
 
 
 @register("run_weekly", table("w_sig", WEEKLY_SPEC))
@@ -384,6 +387,25 @@ def _(x):
     return store.read("weekly").select(*[c.partition("~")[0] for c in WEEKLY_SPEC.split()])
 
 
+@register("run_weekly_from_state", table("w_sig", ROLLED_SPEC))
+def _(x):
+    """A first load, two loads of new days (the second in the middle of a week), and a corrected
+    old bar for some symbols, each carried on from the stored state."""
+    store = x.store()
+    daily = x.settled(x.daily().withColumn("arrival", F.lit(2)))
+    old = daily.where("date < date'2001-03-01'")
+    wrong = (F.col("date") == F.lit("1996-04-10").cast("date")) & (number() % 3 == 0)
+    spoilt = old.withColumns({"close": F.when(wrong, -1.0).otherwise(F.col("close")), "arrival": F.when(wrong, 1).otherwise(2)})
+    store.ingest_bars(spoilt)
+    rolling.run_weekly_from_state(store)
+    for first, last in (("2001-03-01", "2001-07-19"), ("2001-07-19", "2002-01-01")):
+        store.ingest_bars(daily.where(f"date >= date'{first}' and date < date'{last}'"))
+        rolling.run_weekly_from_state(store)
+    store.ingest_bars(old.where(wrong))
+    rolling.run_weekly_from_state(store)
+    return rolling.read_weekly(store).select(*[c.partition("~")[0] for c in ROLLED_SPEC.split()])
+
+
 def loaded(x: Inputs, before: str | None = None):
     """A store with all bars, or those before a day, landed and computed."""
     store = x.store()
