@@ -57,6 +57,7 @@ class Bars:
     prefix: tuple[str, ...] = (ERA,)
     alpha: float = FASTEST_ALPHA  # fastest average that the eras have room for
     seeded: bool = False  # the frame continues stored states, see plans.rolling
+    by: tuple[str, ...] = ("symbol",)  # rows of one window
 
     def known(self, value: str, field: str) -> str:
         """A value from the frame or, where it has none, from the symbol's stored state."""
@@ -68,7 +69,7 @@ class Bars:
 
     @property
     def order(self) -> WindowSpec:
-        return Window.partitionBy("symbol").orderBy(*self.prefix, self.ts)
+        return Window.partitionBy(*self.by).orderBy(*self.prefix, self.ts)
 
     @property
     def upto(self) -> WindowSpec:
@@ -84,14 +85,14 @@ class Bars:
     @property
     def era_upto(self) -> WindowSpec:
         return (
-            Window.partitionBy("symbol", ERA)
+            Window.partitionBy(*self.by, ERA)
             .orderBy(self.ts)
             .rowsBetween(Window.unboundedPreceding, 0)
         )
 
     @property
     def sql_order(self) -> str:
-        return f"partition by symbol order by {', '.join((*self.prefix, self.ts))}"
+        return f"partition by {', '.join(self.by)} order by {', '.join((*self.prefix, self.ts))}"
 
     @property
     def sql_upto(self) -> str:
@@ -104,7 +105,7 @@ class Bars:
     @property
     def sql_era_upto(self) -> str:
         return (
-            f"partition by symbol, {ERA} order by {self.ts}"
+            f"partition by {', '.join(self.by)}, {ERA} order by {self.ts}"
             " rows between unbounded preceding and current row"
         )
 

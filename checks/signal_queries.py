@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barwright.functions.numeric import nine_digits
 from barwright.operators import indicators as ind
-from barwright.operators import reports, screens, signals
+from barwright.operators import reports, screens, signals, slices
 from barwright.operators import windows as win
 from barwright.operators.cycles import CYCLE_STAT_COLUMNS
 from barwright.plans.stages import full_weekly
@@ -259,6 +259,31 @@ def _(x):
         "stored_bt_geo_return", "mismatch")
 
 
+# --- the same by slices ---------------------------------------------------------------------
+
+
+def sliced(x):
+    """Weekly indicators, stored, with the year as slice."""
+    return slices.year_slices(x.settled(x.signals()))
+
+
+@register("position_state_by_slice", table("w_sig", "symbol week_start sig_entry sig_reentry sig_add sig_tp sig_sl sig_in_position sig_entry_price~"))
+def _(x):
+    return slices.signals_by_slice(sliced(x)).select(
+        *KEY, "sig_entry", "sig_reentry", "sig_add", "sig_tp", "sig_sl", "sig_in_position", "sig_entry_price")
+
+
+@register("trades_by_slice", table("trades", TRADE_SPEC))
+def _(x):
+    return slices.trades_by_slice(sliced(x))
+
+
+@register("cycle_stats_by_slice", query("SELECT s.symbol, coalesce(cycle_count, 0) AS cycle_count, "
+    + columns(marked([c for c in CYCLE_STAT_COLUMNS if c != "cycle_count"])) + """ FROM (SELECT DISTINCT symbol FROM weekly) s LEFT JOIN cyc USING (symbol)"""))
+def _(x):
+    return slices.cycle_stats_by_slice(sliced(x))
+
+
 # --- snapshot columns and screens ---------------------------------------------------------
 
 

@@ -109,3 +109,52 @@ def test_a_mark_set_while_a_stage_runs_stays(spark, monkeypatch):
     assert jobs.run_weekly(store)
     same(store.read("weekly"), forced(spark, store)[0])
     assert store.read_dirty("weekly_indicators").count() == 0
+
+
+# --- slices ---------------------------------------------------------------------------------
+
+
+def weekly_rows(spark, seed):
+    """Weekly rows with all that signals and cycles read, as random as they come."""
+    rng, rows = random.Random(seed), []
+    for s in "ABCDE":
+        x = 50.0
+        for i in range(rng.randint(1, 160)):
+            x = max(1.0, x * (1 + rng.uniform(-0.06, 0.06)))
+            lower, upper = x * rng.uniform(0.7, 1.0), x * rng.uniform(0.95, 1.2)
+            target = x * rng.uniform(0.95, 1.3) if rng.random() > 0.1 else None
+            rows.append((s, START + dt.timedelta(days=7 * i), x * 1.05, x * 0.95, x, lower, upper, int(rng.random() < 0.7), int(rng.random() < 0.25), target))
+    return spark.createDataFrame(
+        rows, "symbol string, week_start date, high double, low double, close double, fvb_lower_thresh double, fvb_upper_thresh double,"
+        " fvb_band_green int, bx_monthly_dark_red int, tpx1 double",
+    )
+
+
+@pytest.mark.parametrize("width", [1, 2, 9, 500])
+def test_any_cut_gives_the_same_positions_trades_and_cycles(spark, width):
+    from barwright.operators import signals, slices
+    from barwright.operators.windows import lay_out
+    from barwright.plans.stages import signals_from_indicators
+
+    df = weekly_rows(spark, width).withColumn("open", F.col("close")).cache()
+    whole = signals_from_indicators(df)
+    cut = df.withColumn("slice", F.floor(F.datediff("week_start", F.lit(START)) / (7 * width)).cast("int"))
+    names = ["symbol", "week_start", *signals.SIGNAL_COLUMNS]
+    same(slices.signals_by_slice(cut).select(*names), whole.select(*names))
+    bars = lay_out(df, "week_start", days_per_bar=7)[1]
+    same(slices.trades_by_slice(cut), signals.trades(whole, type(bars)("week_start", ())), ("symbol", "trade_id"))
+    stats = slices.cycle_stats_by_slice(cut)
+    same(stats, whole.select(stats.columns).distinct(), ("symbol",))
+
+
+def test_maps_compose_in_any_grouping(spark):
+    import itertools
+
+    from barwright.operators.slices import compose
+
+    maps = [[0, 1, 2], [1, 1, 1], [0, 2, 2], [0, 0, 2], [1, 2, 1]]
+    rows = [(a, b, c) for a, b, c in itertools.product(maps, repeat=3)]
+    df = spark.createDataFrame(rows, "a array<int>, b array<int>, c array<int>")
+    ab, bc = compose("a", "b"), compose("b", "c")
+    got = df.selectExpr("a", "b", "c", f"{compose(ab.replace('s ->', 'q ->').replace('s + 1', 'q + 1'), 'c')} as l", f"{compose('a', bc.replace('s ->', 'q ->').replace('s + 1', 'q + 1'))} as r").collect()
+    assert all(r.l == r.r == [r.c[r.b[s]] for s in r.a] for r in got)
