@@ -4,12 +4,14 @@ Tables are files of one format (Parquet by default) under one root.  Bar tables
 partitioned by year and by a symbol bucket.  A day's bars touch the slices of one year, a
 recompute touches all years of the buckets of its symbols; only touched slices are rewritten.
 
-The bucket count and the schema of a bar table are stored beside it, so every reader uses the
-count the table was written with.  Small tables are replaced by writing a new folder and
-renaming it into place; a reader that finds a half-done replacement finishes it."""
+The bucket count and the schema of a bar table are noted inside its folder before its first file,
+so every reader uses the count the table was written with, and a table and its note can only move
+together.  Tables are replaced by writing a new folder and renaming it into place; a reader that
+finds a half-done replacement finishes it."""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
@@ -96,7 +98,7 @@ class Store:
             return
         if self._complete(f"{path}.next"):
             self._rename(f"{path}.next", path)
-        elif self._complete(f"{path}.old"):
+        elif fs.exists(self._files(f"{path}.old")[1]):  # a whole table that was moved away
             self._rename(f"{path}.old", path)
 
     def exists(self, table: str) -> bool:
@@ -112,24 +114,31 @@ class Store:
 
     # --- layout ---------------------------------------------------------------
 
+    def _note(self, table: str) -> str:
+        return f"{self.path(table)}/_layout/note"
+
     def _layout(self, table: str) -> tuple[int, StructType | None]:
-        """Bucket count and schema of a bar table; the store's count where it has none."""
+        """Bucket count and schema of a bar table.  Without a note there is no bar table yet, and the
+        store's own count holds; bar files without a note are refused, as any count would be a guess."""
         try:
-            row = self.spark.read.schema("buckets int, columns string").json(f"{self.root}/_layouts/{table}").first()
+            row = self.spark.read.schema("buckets int, columns string").json(self._note(table)).first()
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             row = None
         if row is None:
+            fs, path = self._files(self.path(table))
+            if fs.exists(path) and any(f.getPath().getName().startswith("year=") for f in fs.listStatus(path)):
+                raise ValueError(f"{self.path(table)} holds bars but no note of its bucket count")
             return self.buckets, None
-        import json
-
         return row["buckets"], StructType.fromJson(json.loads(row["columns"]))
 
     def _note_layout(self, table: str, buckets: int, schema: StructType) -> None:
         if self._layout(table) != (buckets, schema):
             row = self.spark.createDataFrame([(buckets, schema.json())], "buckets int, columns string")
-            row.coalesce(1).write.mode("overwrite").json(f"{self.root}/_layouts/{table}")
+            row.coalesce(1).write.mode("overwrite").json(f"{self._note(table)}.next")
+            self._delete(self._note(table))
+            self._rename(f"{self._note(table)}.next", self._note(table))
 
     def _load(self, table: str) -> DataFrame:
         """All columns, slice columns and arrival included."""
@@ -192,6 +201,11 @@ class Store:
         if scope is not None:
             # One row per slice: years times buckets at most.
             gone = scope.select(*SLICES).distinct().join(laid_out.select(*SLICES).distinct(), SLICES, "left_anti").collect()
+        schema = StructType([f for f in laid_out.schema.fields if f.name not in SLICES])
+        for f in known.fields if known is not None else []:
+            if f.name not in schema.names and f.name not in SLICES:
+                schema = schema.add(f)
+        self._note_layout(table, buckets, schema.add("year", IntegerType()).add("bucket", IntegerType()))
         (
             laid_out.hint("rebalance", *SLICES)
             .sortWithinPartitions(*SLICES, "symbol", ts)
@@ -203,11 +217,6 @@ class Store:
         )
         for r in gone:
             self._delete(f"{self.path(table)}/year={r['year']}/bucket={r['bucket']}")
-        schema = StructType([f for f in laid_out.schema.fields if f.name not in SLICES])
-        for f in known.fields if known is not None else []:
-            if f.name not in schema.names and f.name not in SLICES:
-                schema = schema.add(f)
-        self._note_layout(table, buckets, schema.add("year", IntegerType()).add("bucket", IntegerType()))
         self.spark.catalog.refreshByPath(self.path(table))
 
     def replace_slices(self, df: DataFrame, table: str, scope: DataFrame | None = None) -> None:
@@ -215,16 +224,18 @@ class Store:
         self.write_bars(self.staged(df), table, None if scope is None else self.staged(scope))
 
     def relayout(self, table: str, buckets: int) -> None:
-        """Rewrite a bar table with another bucket count, by way of a staged copy."""
-        rows = self.staged(self._load(table).drop(*SLICES))
-        self._delete(f"{self.root}/_layouts/{table}")
-        fresh = Store(self.spark, self.root, buckets, self.fmt)
-        fresh.write_bars(rows, f"{table}.next")
-        self._delete(self.path(table))
-        self._rename(self.path(f"{table}.next"), self.path(table))
-        _, schema = fresh._layout(f"{table}.next")
-        self._delete(f"{self.root}/_layouts/{table}.next")
-        self._note_layout(table, buckets, schema)
+        """Rewrite a bar table with another bucket count.  The new table is complete, note included,
+        before the old one moves away, so a stop at any moment leaves one that reads all rows."""
+        self._recover(table)
+        following = f"{table}.next"
+        self._delete(self.path(following))
+        Store(self.spark, self.root, buckets, self.fmt).write_bars(self._load(table).drop(*SLICES), following)
+        fs, done = self._files(f"{self.path(following)}/_SUCCESS")  # overwriting slices leaves no such file
+        fs.create(done, True).close()
+        self._delete(f"{self.path(table)}.old")
+        self._rename(self.path(table), f"{self.path(table)}.old")
+        self._rename(self.path(following), self.path(table))
+        self._delete(f"{self.path(table)}.old")
         self.spark.catalog.refreshByPath(self.path(table))
 
     def same_buckets(self, table: str, symbols: DataFrame) -> DataFrame:

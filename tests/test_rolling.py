@@ -158,3 +158,47 @@ def test_maps_compose_in_any_grouping(spark):
     ab, bc = compose("a", "b"), compose("b", "c")
     got = df.selectExpr("a", "b", "c", f"{compose(ab.replace('s ->', 'q ->').replace('s + 1', 'q + 1'), 'c')} as l", f"{compose('a', bc.replace('s ->', 'q ->').replace('s + 1', 'q + 1'))} as r").collect()
     assert all(r.l == r.r == [r.c[r.b[s]] for s in r.a] for r in got)
+
+
+# --- layout ----------------------------------------------------------------------------------
+
+
+def test_a_stop_at_any_step_of_a_relayout_loses_nothing(spark, monkeypatch):
+    for stop in range(12):
+        store = Store(spark, new_workspace(spark), buckets=2)
+        store.ingest_bars(days(spark, "ABCDEFG", 0, 60))
+        want = store.read("daily").count()
+        steps = iter(range(100))
+
+        def step(name, known, stop=stop, steps=steps):
+            def run(self, *args):
+                if next(steps) == stop:
+                    raise KeyboardInterrupt(name)
+                return known(self, *args)
+
+            return run
+
+        with monkeypatch.context() as m:
+            for name in ("_delete", "_rename", "_note_layout", "write_bars"):
+                m.setattr(Store, name, step(name, getattr(Store, name)))
+            try:
+                store.relayout("daily", 5)
+                done = True
+            except KeyboardInterrupt:
+                done = False
+        fresh = Store(spark, store.root, buckets=7)
+        assert fresh.read("daily").count() == want
+        assert all(fresh.candles("daily", [s]).count() * 7 > want / 2 for s in "ABCDEFG")
+        fresh.relayout("daily", 5)
+        assert fresh.candles("daily", ["C"]).count() == store.candles("daily", ["C"]).count() and fresh._layout("daily")[0] == 5
+        if done:
+            break
+    assert done and stop > 4
+
+
+def test_bars_without_a_note_are_refused(spark):
+    store = Store(spark, new_workspace(spark), buckets=2)
+    store.write_bars(days(spark, "A", 0, 9), "daily")
+    store._delete(store._note("daily"))
+    with pytest.raises(ValueError):
+        Store(spark, store.root, buckets=8).candles("daily", ["A"])
