@@ -40,15 +40,6 @@ def round_doubles(df: DataFrame, digits: int = 4, **special: int) -> DataFrame:
     )
 
 
-def nine_digits(x: Column) -> Column:
-    """Nine significant digits, for showing products over a whole history: their last digits
-    depend on the order of multiplication."""
-    power = F.floor(F.log10(F.abs(x))) - 8
-    exact = F.least(power, F.lit(22))  # larger powers of ten are no exact doubles
-    unit = F.pow(F.lit(10.0), exact) * F.pow(F.lit(10.0), power - exact)
-    return F.coalesce(F.floor(x / unit + 0.5) * unit, x)
-
-
 def ratio(num: Column, den: Column) -> Column:
     """``num / den`` with NULL for a zero divisor, also under ANSI mode."""
     return num / F.nullif(den, F.lit(0.0))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barwright.functions.numeric import ratio
+from barwright.functions.numeric import half_up, ratio
 from barwright.operators.incremental import new_weeks_only, universe_semi_join
 from barwright.operators.screens import upside_to_tp_pct
 from barwright.session import settled
@@ -21,14 +21,17 @@ def no_penny_stocks(df: DataFrame, minimum: float = 5.0) -> DataFrame:
     return df.where(F.col("close") >= minimum)
 
 
-def weekly_candidates(signals: DataFrame, universe: DataFrame | None = None) -> DataFrame:
-    """Entry and re-entry rows with their upside to the target; with a universe, only
-    those of index members."""
-    rows = signals.where("sig_entry = 1 or sig_reentry = 1")
+def weekly_candidates(
+    signals: DataFrame, universe: DataFrame | None = None, entries_only: bool = True
+) -> DataFrame:
+    """Entry and re-entry rows (or all rows with a target) with their upside to it; with a
+    universe, only those of index members.  ``next_return`` is passed on where it is known."""
+    rows = signals.where("sig_entry = 1 or sig_reentry = 1" if entries_only else "tpx1 is not null")
     if universe is not None:
         rows = universe_semi_join(rows, universe)
     return upside_to_tp_pct(rows).select(
-        "symbol", "week_start", "close", "tpx1", F.col("_upside_to_tp_pct").alias("upside_pct")
+        "symbol", "week_start", "close", "tpx1", F.col("_upside_to_tp_pct").alias("upside_pct"),
+        *[c for c in ("next_return",) if c in signals.columns],
     )
 
 
@@ -47,16 +50,16 @@ def with_next_return(weekly: DataFrame) -> DataFrame:
     return weekly.withColumn("next_return", ratio(following, F.col("close")) - 1.0)
 
 
-def weekly_basket_return(candidates: DataFrame, weekly: DataFrame, cap: int) -> DataFrame:
-    """Equal-weight return of each week's selection and its compounded value.  After the
-    weekly aggregate there is one row per calendar week."""
-    returns = with_next_return(weekly).select("symbol", "week_start", "next_return")
+def weekly_basket_return(candidates: DataFrame, cap: int, digits: int = 6) -> DataFrame:
+    """Equal-weight return of each week's selection and its compounded value, from candidates
+    with ``next_return`` (see ``with_next_return``, taken in the pass that gives the signals).  After
+    the weekly aggregate there is one row per calendar week.  Returns are compounded as they are
+    shown, with ``digits`` places."""
     baskets = (
         select_top_by_upside(candidates, cap)
-        .join(returns, ["symbol", "week_start"])
         .where(F.col("next_return").isNotNull())
         .groupBy("week_start")
-        .agg(F.count(F.lit(1)).alias("names"), F.avg("next_return").alias("basket_return"))
+        .agg(F.count(F.lit(1)).alias("names"), half_up(F.avg("next_return"), digits).alias("basket_return"))
     )
     sofar = Window.orderBy("week_start").rowsBetween(Window.unboundedPreceding, 0)
     return baskets.withColumn("growth", F.product(1.0 + F.col("basket_return")).over(sofar))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barwright.functions.numeric import ratio
+from barwright.functions.numeric import half_up, ratio
 from barwright.operators.windows import Bars, run_levels
 
 # Fixed values of the entry zone.
@@ -245,6 +245,14 @@ def deep_dive_metrics(weekly: DataFrame, bars: Bars) -> DataFrame:
     )
 
 
+def shown_trades(trade_list: DataFrame, digits: int = 4) -> DataFrame:
+    """Trades as they are listed: prices with ``digits`` places and the gain between these."""
+    entry, exit_ = (half_up(F.col(c), digits) for c in ("entry_price", "exit_price"))
+    return trade_list.withColumns({"entry_price": entry, "exit_price": exit_}).withColumn(
+        "pct_gain", ratio(F.col("exit_price") - F.col("entry_price"), F.col("entry_price")) * 100.0
+    )
+
+
 def equity_curve(trade_list: DataFrame, base: float = 100.0) -> DataFrame:
     """Compounded value after each trade, from a starting row 0.  A running product, so a
     loss of 100 % or more is no special case."""

@@ -17,7 +17,7 @@ puts them together."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.operators.cycles import CYCLE_COLUMNS, CYCLE_STAT_COLUMNS, cycle_levels, finish_cycle_stats, with_drawdown
@@ -31,7 +31,7 @@ from barwright.operators.signals import (
     in_entry_zone,
     signal_levels,
 )
-from barwright.operators.windows import HALO, SEED, lay_out, run_levels
+from barwright.operators.windows import HALO, SEED, Bars, lay_out, rolling_high, rolling_low, run_levels
 from barwright.sources.candles import resample_weekly
 from barwright.sources.tables import SLICES, Store
 
@@ -273,3 +273,36 @@ def read_weekly(store: Store) -> DataFrame:
     """All weeks with the statistics of their symbol, like the table ``weekly``."""
     snapshot = store.read(SNAPSHOT).select("symbol", *STAT_COLUMNS, *CYCLE_STAT_COLUMNS)
     return store.read(STAGE).join(snapshot, "symbol")
+
+
+# --- one slice of years ------------------------------------------------------------------------
+
+
+def year_with_halo(store: Store, table: str, year: int, n: int) -> DataFrame:
+    """Bars of a year and, marked ``__halo``, each symbol's last ``n - 1`` bars before it, for frames of
+    n bars.  The year before is opened by its folder; only symbols that do not have enough bars
+    there (and their buckets) are looked up in older ones."""
+    ts = "week_start" if "weekly" in table else "date"
+    older = Window.partitionBy("symbol").orderBy(F.col(ts).desc())
+    near = store._load(table).where(F.col("year").isin(year, year - 1)).drop("arrival")
+    now = near.where(F.col("year") == year).withColumn(HALO, F.lit(False))
+    before = near.where(F.col("year") == year - 1)
+    found = before.groupBy("symbol").agg(F.count(F.lit(1)).alias("bars"))
+    short = now.select("symbol").distinct().join(found.where(F.col("bars") >= n - 1), "symbol", "left_anti")
+    short = store.staged(short)
+    if not short.isEmpty():
+        far = store.same_buckets(table, short).where(F.col("year") < year - 1).join(short, "symbol", "left_semi")
+        before = before.unionByName(far.select(*before.columns))
+    kept = before.withColumn("__place", F.row_number().over(older)).where(F.col("__place") < n).drop("__place")
+    return now.unionByName(kept.withColumn(HALO, F.lit(True))).drop(*SLICES)
+
+
+def rolling_range_of_year(store: Store, table: str, year: int, n: int) -> DataFrame:
+    """Highest high and lowest low of the last n bars on each bar of a year (``windows.rolling_high``),
+    without the history before its halo."""
+    ts = "week_start" if "weekly" in table else "date"
+    bars = Bars(ts, ())
+    frame = year_with_halo(store, table, year, n)
+    return frame.select(
+        "symbol", ts, HALO, rolling_high(F.col("high"), n, bars).alias(f"high_{n}"), rolling_low(F.col("low"), n, bars).alias(f"low_{n}")
+    ).where(~F.col(HALO)).drop(HALO)

@@ -23,13 +23,9 @@ def rounded(name: str, digits: int = 4) -> str:
     return f"coalesce(CAST(round({exact}, {digits}) AS DOUBLE), {x})"
 
 
-def nine_digits(x: str) -> str:
-    """The same display of compounded products as functions.numeric.nine_digits."""
-    power = f"(floor(log10(abs({x}))) - 8)"
-    unit = f"(pow(10.0::DOUBLE, least({power}, 22)) * pow(10.0::DOUBLE, {power} - least({power}, 22)))"
-    short = f"coalesce(floor({x} / nullif({unit}, 0) + 0.5) * {unit}, {x})"
-    # DuckDB's cast of a double to a decimal loses digits beyond 2^53; such numbers are whole here.
-    return f"CASE WHEN {x} = 0 THEN {x} WHEN abs({x}) >= 1e9 THEN {short} ELSE {rounded(short)} END"
+def compounded(x: str, window: str) -> str:
+    """Running product of 1 + x, multiplied in the order of the window."""
+    return f"list_reduce(list(1 + {x}) OVER ({window} ROWS UNBOUNDED PRECEDING), lambda a, b: a * b)"
 
 
 def columns(spec: str) -> str:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barwright.functions.numeric import nine_digits
 from barwright.operators import incremental, portfolio, quality, signals
 from barwright.operators import windows as win
 from barwright.plans import jobs, rolling
@@ -406,6 +405,18 @@ def _(x):
     return rolling.read_weekly(store).select(*[c.partition("~")[0] for c in ROLLED_SPEC.split()])
 
 
+R252 = "OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 251 PRECEDING AND CURRENT ROW)"
+
+
+@register("rolling_range_newest_year", query(f"""SELECT * FROM (SELECT symbol, date, max(high) {R252} AS high_252, min(low) {R252} AS low_252 FROM daily)
+  WHERE year(date) = (SELECT max(year(date)) FROM daily)"""), None)
+def _(x):
+    store = x.store()
+    store.write_bars(x.daily(), "daily")
+    year = store._load("daily").agg(F.max("year")).first()[0]
+    return rolling.rolling_range_of_year(store, "daily", year, 252)
+
+
 def loaded(x: Inputs, before: str | None = None):
     """A store with all bars, or those before a day, landed and computed."""
     store = x.store()
@@ -485,17 +496,32 @@ def selection(cap: int):
 for _cap in (60, 50, 40, 30, 3):
     selection(_cap)
 
+WATCHED = {"watched": """SELECT symbol, week_start, close, tpx1, upside_pct, CAST(row_number() OVER (PARTITION BY week_start
+    ORDER BY upside_pct DESC NULLS LAST, symbol) AS INTEGER) AS pick
+  FROM (SELECT symbol, week_start, close, tpx1, (tpx1 - close) / nullif(close, 0) * 100 AS upside_pct FROM w_sig WHERE tpx1 IS NOT NULL)"""}
+
+
+def watch_list(cap: int):
+    @register(f"watch_list_{cap}", query(f"SELECT {columns('symbol week_start close~ tpx1~ upside_pct~ pick')} FROM watched WHERE pick <= {cap}", WATCHED))
+    def _(x):
+        """All symbols with a target compete for the places of a week, so that each capacity binds."""
+        return portfolio.select_top_by_upside(portfolio.weekly_candidates(x.signals(), entries_only=False), cap)
+
+
+for _cap in portfolio.CAPS:
+    watch_list(_cap)
+
 BASKET = {**UPSIDE,
     "nexts": "SELECT symbol, week_start, lead(close) OVER (PARTITION BY symbol ORDER BY week_start) / nullif(close, 0) - 1 AS nr FROM weekly",
-    "baskets": "SELECT p.week_start, count(*) AS names, avg(nr) AS r FROM picks p JOIN nexts n ON n.symbol = p.symbol AND n.week_start = p.week_start WHERE pick <= 30 AND nr IS NOT NULL GROUP BY 1"}
+    "baskets": f"""SELECT week_start, names, {rounded('r', 6)} AS r FROM (SELECT p.week_start, count(*) AS names, avg(nr) AS r FROM picks p
+      JOIN nexts n ON n.symbol = p.symbol AND n.week_start = p.week_start WHERE pick <= 30 AND nr IS NOT NULL GROUP BY 1)"""}
 
 
-@register("weekly_basket_return", query(f"""SELECT week_start, names, {rounded('r')} AS basket_return, {base_sql.nine_digits('g')} AS growth
-  FROM (SELECT *, product(1 + r) OVER (ORDER BY week_start ROWS UNBOUNDED PRECEDING) AS g FROM baskets)""", BASKET))
+@register("weekly_basket_return", query(f"SELECT week_start, names, r AS basket_return, {base_sql.compounded('r', 'ORDER BY week_start')} AS growth FROM baskets", BASKET), None)
 def _(x):
-    weekly = x.signals()
-    basket = portfolio.weekly_basket_return(portfolio.weekly_candidates(weekly), x.weekly(), 30)
-    return basket.withColumn("growth", nine_digits(F.col("growth")))
+    """All digits of the growth: both sides multiply the shown returns in their order."""
+    rows = portfolio.with_next_return(x.signals())
+    return portfolio.weekly_basket_return(portfolio.weekly_candidates(rows), 30)
 
 
 @register("no_penny_stocks", query(f"SELECT {columns('symbol week_start close~')} FROM bad_weekly WHERE close >= 5", BAD))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barwright.functions.numeric import nine_digits
 from barwright.operators import indicators as ind
 from barwright.operators import reports, screens, signals, slices
 from barwright.operators import windows as win
@@ -213,15 +212,19 @@ def _(x):
     return screens.screen_deep_dive(x.signals(), x.universe(), "SYM00003")["trades"]
 
 
-EQUITY = {"grown": """SELECT symbol, CAST(row_number() OVER w AS INTEGER) AS trade_no,
-  100 * product(1 + pct_gain / 100) OVER (w ROWS UNBOUNDED PRECEDING) AS v FROM trades
-  WINDOW w AS (PARTITION BY symbol ORDER BY trade_id)"""}
+EQUITY = {
+    "shown": f"SELECT symbol, trade_id, (x - e) / nullif(e, 0) * 100 AS pct FROM (SELECT symbol, trade_id, {rounded('entry_price')} AS e, {rounded('exit_price')} AS x FROM trades)",
+    "grown": f"""SELECT symbol, CAST(row_number() OVER w AS INTEGER) AS trade_no,
+      100 * {base_sql.compounded("pct / 100", "PARTITION BY symbol ORDER BY trade_id")} AS v
+      FROM shown WINDOW w AS (PARTITION BY symbol ORDER BY trade_id)""",
+}
 
 
-@register("equity_curve", query(f"""SELECT symbol, trade_no, {base_sql.nine_digits('v')} AS equity FROM grown
-  UNION ALL SELECT DISTINCT symbol, 0, 100.0::DOUBLE FROM trades""", EQUITY))
+@register("equity_curve", query("""SELECT symbol, trade_no, v AS equity FROM grown
+  UNION ALL SELECT DISTINCT symbol, 0, 100.0::DOUBLE FROM trades""", EQUITY), None)
 def _(x):
-    return signals.equity_curve(x.trades()).withColumn("equity", nine_digits(F.col("equity")))
+    """All digits: both sides multiply the listed trades in their order."""
+    return signals.equity_curve(signals.shown_trades(x.trades()))
 
 
 @register("signal_rule_versions", query(f"""SELECT symbol, week_start, {rounded('bx_monthly_completed')} AS bx_monthly_completed,
@@ -259,6 +262,26 @@ def _(x):
         "stored_bt_geo_return", "mismatch")
 
 
+SPOILT = {"spoilt": """SELECT symbol, bt_trades AS live_bt_trades, bt_geo_return AS live_geo,
+    CASE WHEN CAST(substr(symbol, 4) AS BIGINT) % 7 = 0 THEN bt_trades + 1 ELSE bt_trades END AS stored_bt_trades,
+    CASE CAST(substr(symbol, 4) AS BIGINT) % 11 WHEN 0 THEN bt_geo_return * 1.01::DOUBLE WHEN 1 THEN NULL ELSE bt_geo_return END AS stored_geo FROM snap"""}
+
+
+@register("stats_vs_spoilt_snapshot", query(f"""SELECT symbol, live_bt_trades, stored_bt_trades, {rounded('live_geo')} AS live_bt_geo_return,
+  {rounded('stored_geo')} AS stored_bt_geo_return, CAST(live_bt_trades <> stored_bt_trades OR live_geo IS DISTINCT FROM stored_geo AS INTEGER) AS mismatch FROM spoilt""", SPOILT))
+def _(x):
+    """A snapshot with wrong counts, wrong and missing returns: each is found, and nothing else."""
+    from barwright.plans.stages import build_snapshot
+
+    weekly = x.settled(x.signals())
+    number = F.substring("symbol", 4, 20).cast("bigint")
+    geo = F.when(number % 11 == 0, F.col("bt_geo_return") * 1.01).when(number % 11 != 1, F.col("bt_geo_return"))
+    spoilt = build_snapshot(weekly).withColumns({
+        "bt_trades": F.col("bt_trades") + F.when(number % 7 == 0, 1).otherwise(0), "bt_geo_return": geo})
+    return signals.stats_vs_snapshot(signals.trades(weekly, win.PLAIN_WEEKLY), spoilt).select(
+        "symbol", "live_bt_trades", "stored_bt_trades", "live_bt_geo_return", "stored_bt_geo_return", "mismatch")
+
+
 # --- the same by slices ---------------------------------------------------------------------
 
 

@@ -202,3 +202,25 @@ def test_bars_without_a_note_are_refused(spark):
     store._delete(store._note("daily"))
     with pytest.raises(ValueError):
         Store(spark, store.root, buckets=8).candles("daily", ["A"])
+
+
+def test_a_year_needs_the_year_before_and_no_older_one(spark):
+    from barwright.operators import windows as win
+
+    store = Store(spark, new_workspace(spark), buckets=2)
+    store.write_bars(days(spark, "AB", 0, 1200).unionByName(days(spark, "C", 1095, 50)).drop("arrival"), "daily")
+    assert folders(store, "daily") == {f"year={y}" for y in (1996, 1997, 1998, 1999)}
+
+    def want(df, n):
+        high, low = win.rolling_high(F.col("high"), n, win.PLAIN_DAILY), win.rolling_low(F.col("low"), n, win.PLAIN_DAILY)
+        return df.select("symbol", "date", high.alias(f"high_{n}"), low.alias(f"low_{n}")).where("year(date) = 1999")
+
+    whole = store.read("daily").cache()
+    whole.count()
+    for n in (2, 150, 400):  # the last one reaches further back than the year before
+        same(rolling.rolling_range_of_year(store, "daily", 1999, n), want(whole, n), ("symbol", "date"))
+    for y in (1996, 1997):
+        store._rename(f"{store.path('daily')}/year={y}", f"{store.root}/away_{y}")
+    spark.catalog.refreshByPath(store.root)
+    without_c = rolling.rolling_range_of_year(store, "daily", 1999, 150).where("symbol <> 'C'")
+    same(without_c, want(whole, 150).where("symbol <> 'C'"), ("symbol", "date"))
