@@ -5,11 +5,16 @@ meet at most twice in a sequence: each, from the longest down, is matched with t
 other one that fits.  Smaller pieces, from the longest down, go to the smallest gap that
 holds them, or open a sequence.
 
-Equal lengths are interchangeable, so the plan is made on the number of pieces of each
-length: at most ``capacity`` numbers, whatever the corpus.  The plan says, for the pieces of
-one length in order, which sequences and offsets a run of them takes; each piece then finds
-its run by its rank among pieces of its length.  Ranks come from salted counts, so a length
-that a third of all pieces have is spread over many tasks."""
+Equal lengths are interchangeable, so a plan is made on the number of pieces of each
+length: at most ``capacity`` numbers.  It says, for the pieces of one length in order, which
+sequences and offsets a run of them takes; each piece then finds its run by its rank among
+pieces of its length.
+
+Two rounds.  First every task packs its own documents in blocks of some thousand pieces and
+keeps the sequences that are at least ``FULL`` filled; their ids are written where they were
+encoded and never moved.  The pieces of all other sequences, a percent or so, are packed once more
+over the whole table.  Ranks come from salted counts there, so a length that a third of all
+pieces have is spread over many tasks."""
 
 from __future__ import annotations
 
@@ -26,46 +31,29 @@ from barwright.llm.common import ship, slices, staged, text_bytes
 from barwright.llm.tokens import encode_rows
 
 RANK_ROWS = 200_000  # pieces a ranking task gets on average
+BLOCK_IDS = 4_000_000  # ids of a block
+FULL = 0.98  # share of the capacity from which a sequence of a block is left as it is
 
 
-def pieces(
-    docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 1024, with_ids: bool = True
-) -> DataFrame:
-    """Pieces of all documents: doc_id, piece, start, length, ids_crc32 and, if wanted, ids.
+def pieces_in(part: pa.RecordBatch, vocabulary: str, end_id: int, capacity: int) -> dict[str, np.ndarray]:
+    """Pieces of the documents of a slice, in their order: doc_id, piece, start, length, and all
+    ids, which follow each other as the pieces do.
 
     Only documents above the capacity are cut; then the first piece takes what is over.
     Null or empty texts give one piece, the end id.  Repeated rows are packed each."""
-    ship(docs.sparkSession)
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    schema += ", ids array<int>" if with_ids else ""
-
-    def cut(batches):
-        for part in slices(batches):
-            ids, bounds = encode_rows(*text_bytes(part.column("text")), vocabulary, end_id)
-            n = np.diff(bounds)
-            count = -(-n // capacity)
-            row = np.repeat(np.arange(len(n)), count)
-            piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            first = n - (count - 1) * capacity
-            start = np.where(piece == 0, 0, first[row] + (piece - 1) * capacity)
-            length = np.where(piece == 0, first[row], capacity)
-            at = bounds[row] + start
-            view = memoryview(ids.astype("<u4", copy=False)).cast("B")
-            crc = [zlib.crc32(view[4 * a : 4 * (a + m)]) for a, m in zip(at, length, strict=True)]
-            out = {
-                "doc_id": part.column("doc_id").take(pa.array(row)),
-                "piece": pa.array(piece.astype(np.int32)),
-                "start": pa.array(start),
-                "length": pa.array(length),
-                "ids_crc32": pa.array(crc, pa.int64()),
-            }
-            if with_ids:  # pieces follow each other as the ids do
-                to = np.append(at, len(ids)).astype(np.int32)
-                out["ids"] = pa.ListArray.from_arrays(to, ids.astype(np.int32))
-            yield pa.RecordBatch.from_pydict(out)
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(cut, schema)
+    ids, bounds = encode_rows(*text_bytes(part.column("text")), vocabulary, end_id)
+    n = np.diff(bounds)
+    count = -(-n // capacity)
+    row = np.repeat(np.arange(len(n)), count)
+    piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    first = n - (count - 1) * capacity
+    start = np.where(piece == 0, 0, first[row] + (piece - 1) * capacity)
+    length = np.where(piece == 0, first[row], capacity)
+    doc_id = part.column("doc_id")
+    return {
+        "doc_id": doc_id.fill_null(0).to_numpy(zero_copy_only=False)[row], "known": np.asarray(doc_id.is_valid())[row],
+        "piece": piece.astype(np.int32), "start": start, "length": length, "ids": ids,
+    }
 
 
 # --- the plan -----------------------------------------------------------------------
@@ -152,6 +140,83 @@ def ranked(rows: DataFrame, keys: list[str], order: list[str], total: int) -> Da
     return numbered.join(sizes, [*keys, "__salt"]).withColumn("rank", F.col("__base") + F.col("__i")).drop("__salt", "__base", "__i")
 
 
+def block_sequences(block: dict[str, np.ndarray], capacity: int) -> tuple[pa.RecordBatch, int]:
+    """Sequences of one block: those filled enough, and for the rest a row per piece (``done`` is
+    false, with the crc of its ids).  ``sequence_id`` counts from 0; also returns how many there are."""
+    length = block["length"]
+    plan = Plan(dict(zip(*(x.tolist() for x in np.unique(length, return_counts=True)), strict=True)), capacity)
+    by_length = np.argsort(length, kind="stable")
+    begin = np.searchsorted(length[by_length], np.arange(capacity + 2))
+    sequence, offset = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
+    for size, rank, n, first, at in plan.runs:
+        mine = by_length[begin[size] + rank : begin[size] + rank + n]
+        sequence[mine], offset[mine] = first + np.arange(n), at
+    filled = np.bincount(sequence, length, plan.sequences)
+    done = filled >= FULL * capacity
+    # A sequence that is not full enough falls apart into rows of one piece.
+    row = np.where(done[sequence], sequence, plan.sequences + np.arange(len(length)))
+    offset = np.where(done[sequence], offset, 0)
+    order = np.lexsort((offset, row))
+    edges = np.flatnonzero(np.diff(row[order], prepend=-1))
+    at = np.append(0, np.cumsum(length))[:-1][order]
+    size = length[order]
+    total = np.cumsum(size)
+    ids = block["ids"][np.repeat(at - (total - size), size) + np.arange(total[-1])]
+    parts = pa.StructArray.from_arrays(
+        [pa.array(offset[order]), pa.array(block["doc_id"][order], mask=~block["known"][order]),
+         *(pa.array(block[c][order]) for c in ("piece", "start", "length"))],
+        ["offset", "doc_id", "piece", "start", "length"],
+    )
+    id_edges = np.append((total - size)[edges], total[-1])
+    finished = done[sequence[order][edges]]
+    view = memoryview(ids.astype("<u4", copy=False)).cast("B")
+    crc = [0 if f else zlib.crc32(view[4 * a : 4 * b]) for a, b, f in zip(id_edges[:-1], id_edges[1:], finished, strict=True)]
+    return pa.RecordBatch.from_pydict({
+        "sequence_id": pa.array(np.where(finished, row[order][edges], -1)), "done": pa.array(finished), "crc": pa.array(crc, pa.int64()),
+        "ids": pa.ListArray.from_arrays(id_edges.astype(np.int32), pa.array(ids.astype(np.int32))),
+        "pieces": pa.ListArray.from_arrays(np.append(edges, len(order)).astype(np.int32), parts),
+    }), plan.sequences
+
+
+def packed_sequences(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
+    """All documents in sequences: sequence_id, ids, and the pieces in them (offset, doc_id, piece,
+    start, length).  Null texts count as empty, a null doc_id is kept, repeated rows are packed each;
+    a text of any length is cut into pieces; an empty table gives no sequence.  Of equal lengths
+    any piece may come first.  Ids of sequences are distinct; those of the second round are negative."""
+    ship(docs.sparkSession)
+    schema = "sequence_id long, done boolean, crc long, ids array<int>, pieces array<struct<offset long, doc_id long, piece int, start long, length long>>"
+
+    def blocks(batches):
+        from pyspark import TaskContext
+
+        base, held, size = TaskContext.get().partitionId() << 40, [], 0
+
+        def close():
+            nonlocal base
+            block = {name: np.concatenate([h[name] for h in held]) for name in held[0]}
+            batch, n = block_sequences(block, capacity)
+            numbers = pa.array(np.asarray(batch.column("sequence_id")) + base)
+            base += n
+            return batch.set_column(0, "sequence_id", numbers)
+
+        for part in slices(batches):
+            if part.num_rows:
+                held.append(pieces_in(part, vocabulary, end_id, capacity))
+                size += len(held[-1]["ids"])
+            if size >= BLOCK_IDS:
+                yield close()
+                held, size = [], 0
+        if held:
+            yield close()
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    first = staged(rows.mapInArrow(blocks, schema), "blocks")
+    left = first.where("NOT done").select(F.col("pieces")[0].alias("p"), F.col("crc").alias("ids_crc32"), "ids")
+    again = sequences(pack(left.select("p.doc_id", "p.piece", "p.start", "p.length", "ids_crc32", "ids"), capacity))
+    kept = ["sequence_id", "ids", "pieces"]
+    return first.where("done").select(kept).unionByName(again.select((-1 - F.col("sequence_id")).alias("sequence_id"), "ids", "pieces"))
+
+
 def pack(rows: DataFrame, capacity: int = 1024) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a stored table of pieces (it is read twice).  The
     driver sees the number of pieces of each length only."""
@@ -218,5 +283,5 @@ def pieces_of(built: DataFrame, with_ids: bool = True) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 1024, with_ids: bool = True) -> DataFrame:
-    """Pieces of all documents with their places."""
-    return pack(staged(pieces(docs, vocabulary, end_id, capacity, with_ids), "pieces"), capacity)
+    """Pieces of all documents with their places, cut out of the built sequences (``pieces_of``)."""
+    return pieces_of(packed_sequences(docs, vocabulary, end_id, capacity), with_ids)

@@ -8,7 +8,12 @@ has room.
 Keys of one place are interchangeable for the walk, so it runs over the number of keys of each
 place (``SLOTS`` numbers, whatever the table holds).  It yields runs: the keys of a place from
 one rank to another go to a shard and take a run of its slots.  Each row then finds its run by
-its rank in its place.  Everything on rows is built-in Spark expressions."""
+its rank in its place.
+
+Rows move once.  One pass counts rows by place and by a hash of the row.  A place with more rows than
+a task should get is cut into salts, ranges of that hash, whose first ranks follow from the counts;
+tasks are runs of salts in the order of the shards, so a task's rows mostly belong to one shard and
+can be written from where they are ranked.  Everything on rows is built-in Spark expressions."""
 
 from __future__ import annotations
 
@@ -16,10 +21,14 @@ import hashlib
 import math
 from bisect import bisect_left
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barwright.llm.common import staged
+
 SLOTS = 1 << 13
+MARKS = 1 << 10  # finest cut of a place
+TASK_BYTES = 64_000_000
 
 
 def ring(shards: int, vnodes: int) -> list[tuple[int, int]]:
@@ -64,32 +73,72 @@ def walk(counts: dict[int, int], shards: int, vnodes: int, slack: float) -> list
     return runs
 
 
-def shard_rows(df: DataFrame, key: str, shards: int = 16, vnodes: int = 64, slack: float = 0.0) -> DataFrame:
+def shard_rows(
+    df: DataFrame, key: str, shards: int = 16, vnodes: int = 64, slack: float = 0.0, task_bytes: int = TASK_BYTES
+) -> DataFrame:
     """Add ``shard`` and ``slot`` (gapless from 0 in each shard) to all rows.
 
-    Rows are keys: equal keys share a place on the ring and are ranked in it by the rest of
-    the row.  A null key has a place of its own hash.  The table has to be readable again with
-    the same rows.  Only ``key`` decides the place; columns of ``df`` that are named shard or
-    slot are replaced."""
+    Rows are keys: equal keys share a place on the ring and are ranked in it by a hash of the
+    whole row, so ties are rows that are equal (they may take each other's slot and stay in one
+    task).  A null key has a place of its own hash; null and empty texts are rows like others, and
+    no column is cut however long.  An empty table stays empty.  The table has to be readable
+    again with the same rows.  Only ``key`` decides the place; columns of ``df`` that are named
+    shard or slot are replaced."""
     spark = df.sparkSession
     df = df.drop("shard", "slot")
-    place = F.pmod(F.xxhash64(F.col(key)), F.lit(SLOTS)).cast("int")
-    rows = df.withColumn("__place", place)
-    # A fixed number of rows reaches the driver: one per place at most.
-    counts = {r["__place"]: r["n"] for r in rows.groupBy("__place").agg(F.count(F.lit(1)).alias("n")).collect()}
+    plain = [f for f in df.schema.fields if f.dataType.typeName() not in ("map", "array", "struct", "variant")]
+    rows = df.withColumns({
+        "__place": F.pmod(F.xxhash64(F.col(key)), F.lit(SLOTS)).cast("int"), "__mark": F.xxhash64(*[f.name for f in plain]),
+    })
+    fine = F.pmod("__mark", F.lit(MARKS)).cast("int")
+    size = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) for f in plain if f.dataType.typeName() == "string"), F.lit(8 * len(df.columns)))
+    # At most SLOTS * MARKS rows, whatever the table holds.
+    counted = staged(
+        rows.select("__place", fine.alias("__fine"), size.alias("b")).groupBy("__place", "__fine").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")),
+        "counts",
+    )
+    places = counted.groupBy("__place").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).collect()  # SLOTS rows at most
+    counts = {r["__place"]: r["n"] for r in places}
+    total, volume = sum(counts.values()), sum(r["b"] for r in places)
+    per_task = max(1, int(total * task_bytes / max(1, volume)))
     runs = walk(counts, shards, vnodes, slack)
-    text = ", ".join(f"({a}, {b}L, {c}L, {s}, {f}L)" for a, b, c, s, f in runs) or "(0, 0L, 0L, 0, 0L)"
-    table = spark.sql(f"SELECT * FROM VALUES {text} AS t(__place, __from, __to, shard, __first)")
-    plain = [f.name for f in df.schema.fields if f.name != key and f.dataType.typeName() not in ("map", "array", "struct", "variant")]
-    order = Window.partitionBy("__place").orderBy(F.xxhash64(key, F.lit(1)), key, *plain)
-    ranked = rows.withColumn("__rank", F.row_number().over(order) - 1)
-    # At most SLOTS + shards * vnodes runs: a fixed bound, so they can be sent to every task.
-    run = F.broadcast(table)
+    home: dict[int, int] = {}
+    for place, _, _, shard, _ in runs:
+        home.setdefault(place, shard)
+    before, cuts = 0, []
+    for place in sorted(counts, key=lambda p: (home[p], p)):  # tasks follow the shards
+        cuts.append((place, min(MARKS, -(-counts[place] // per_task)), before))
+        before += counts[place]
+    cut = _values(spark, "__place int, __salts int, __before long", cuts)
+    run = _values(spark, "__place int, __from long, __to long, shard int, __first long", runs)
+    salt = F.floor(F.col("__fine") * F.col("__salts") / MARKS).cast("int")
+    earlier = Window.partitionBy("__place").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
+    salts = (
+        counted.join(F.broadcast(cut), "__place").withColumn("__salt", salt)
+        .groupBy("__place", "__salt", "__before").agg(F.sum("n").alias("n"))
+        .withColumn("__base", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        .select("__place", "__salt", "__base", F.floor((F.col("__before") + F.col("__base")) / per_task).cast("int").alias("__task"))
+    )
+    # SLOTS rows and one for each task's worth of rows, at most SLOTS * MARKS; two numbers each.
+    dealt = rows.join(F.broadcast(cut.drop("__before")), "__place").withColumn("__fine", fine).withColumn("__salt", salt)
+    dealt = dealt.join(F.broadcast(salts), ["__place", "__salt"]).repartition(max(1, -(-total // per_task)), "__task")
+    order = Window.partitionBy("__task", "__place", "__salt").orderBy("__mark")
+    ranked = dealt.withColumn("__rank", F.col("__base") + F.row_number().over(order) - 1)
     inside = (F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to"))
-    found = ranked.join(run, (ranked["__place"] == run["__place"]) & inside)
+    # SLOTS + shards * vnodes runs at most.
+    found = ranked.join(F.broadcast(run), (ranked["__place"] == run["__place"]) & inside)
     return found.select(*df.columns, "shard", (F.col("__first") + F.col("__rank") - F.col("__from")).alias("slot"))
 
 
+def _values(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A small table made by the driver."""
+    names, kinds = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    text = ", ".join("(" + ", ".join(f"{v}L" if k == "long" else str(v) for v, k in zip(r, kinds, strict=True)) + ")" for r in rows)
+    text = text or "(" + ", ".join("null" for _ in names) + ")"
+    cast = ", ".join(f"cast({n} as {k}) as {n}" for n, k in zip(names, kinds, strict=True))
+    return spark.sql(f"SELECT {cast} FROM VALUES {text} AS t({', '.join(names)})")
+
+
 def moved(counts: dict[int, int], shards: int, vnodes: int, slack: float) -> float:
     """Share of keys that one more shard moves, by the same walk."""
 
@@ -101,8 +150,6 @@ def moved(counts: dict[int, int], shards: int, vnodes: int, slack: float) -> flo
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, rows by slot.  Large shards are written by several tasks."""
-    per_file = 1_000_000
-    part = F.floor(F.col("slot") / per_file)
-    laid_out = sharded.withColumn("__part", part).repartition("shard", "__part").sortWithinPartitions("shard", "slot")
-    laid_out.drop("__part").write.partitionBy("shard").parquet(path)
+    """One folder per shard, rows of a file by slot.  Rows are written by the tasks that ranked
+    them, each some ``task_bytes`` large."""
+    sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

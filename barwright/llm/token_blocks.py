@@ -205,8 +205,10 @@ def read_token_files(spark: SparkSession, path: str, digest_only: bool = False)
 
 def with_global_start(rows: DataFrame) -> DataFrame:
     """Add ``start``: ids of all documents before this one.  Sums per file are one row for
-    some 24 MB of text, so their running sum is a small ordered pass."""
+    some 24 MB of text, so their running sum is a small ordered pass.  Files are ordered by the
+    number in their names, which has more digits from 100,000 files on."""
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("file_tokens"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select("file", F.coalesce(F.sum("file_tokens").over(before), F.lit(0)).alias("offset"))
     return rows.join(offsets, "file").withColumn("start", F.col("offset") + F.col("file_start"))

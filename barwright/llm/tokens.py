@@ -4,11 +4,13 @@ Byte-level BPE first splits a text into pieces and merges inside a piece only.
 are always such a split: before an ASCII space, tab or line feed that follows a visible
 character, and between a letter and ASCII punctuation.  Texts are cut there, each distinct
 cut is encoded by the library once per slice, and frequent cuts stay in a table of the
-worker.  The ids are those of encoding the whole text."""
+worker.  Added tokens of the vocabulary, such as an end mark written out in a text, come before
+that split: texts are cut around them.  The ids are those of encoding the whole text."""
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pandas as pd
@@ -32,8 +34,8 @@ _BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not i
 TABLE_ENTRIES = 3_000_000
 
 
-def cut_places(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Starts of the pieces; every row start is one."""
+def cut_places(data: np.ndarray, bounds: np.ndarray, added: re.Pattern | None = None) -> np.ndarray:
+    """Starts of the pieces; every row start is one.  A literal added token is a piece."""
     if not len(data):
         return np.empty(0, np.int64)
     latin = np.zeros(len(data), bool)  # last byte of a letter U+00C0..U+00FF
@@ -43,6 +45,13 @@ def cut_places(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     cut[1:] = (_BLANK[now] & (_VISIBLE[before] | latin[:-1])) | (
         _PUNCT[now] & (_LETTER[before] | latin[:-1])
     )
+    raw = data.tobytes() if added is not None else b""
+    if added is not None and added.search(raw):
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            for found in added.finditer(raw, low, high):
+                cut[found.start()] = True
+                cut[found.start() + 1 : found.end()] = False
+                cut[found.end() : found.end() + 1] = True
     cut[bounds[:-1][bounds[:-1] < len(data)]] = True
     return np.flatnonzero(cut)
 
@@ -55,7 +64,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError("added tokens that depend on what is around them are not supported")
+        self.added = {t.content.encode() for t in added}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(map(re.escape, longest_first))) if longest_first else None
         self._clear()
 
     def _plain(self, pieces: list[str]) -> list[list[int]]:
@@ -70,7 +84,9 @@ class Encoder:
         rest = []
         for i, p in enumerate(pieces):
             word = p[1:] if p[:1] == b" " else p
-            if word.isalpha() or ((text := word.decode()).isalpha() and max(text) < "\u0250"):
+            if p in self.added:
+                rest.append(i)
+            elif word.isalpha() or ((text := word.decode()).isalpha() and max(text) < "\u0250"):
                 out[i] = [t.id for t in merge(p.decode("latin1").translate(_BYTE_NAMES))]
             else:
                 rest.append(i)
@@ -101,7 +117,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows as one array, and the number of ids of each row."""
-        starts = cut_places(data, bounds)
+        starts = cut_places(data, bounds, self.pattern)
         rows = len(bounds) - 1
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(rows, np.int64)

@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from barwright.llm import (
@@ -56,7 +57,11 @@ def test_ids_are_those_of_the_whole_text():
     import pyarrow as pa
 
     ids, count = encoder.encode(*text_bytes(pa.array(pieces)))
-    want = [encoder.tokenizer.encode(p, add_special_tokens=False).ids for p in pieces]
+    library = Tokenizer.from_file(queries.VOCABULARY)
+    pieces += ["<|endoftext|>", " <|endoftext|> x", "<|endoftext|><|endoftext|>.", "don't<|endoftext|>'s", "<|endof", "text|>", "é<|endoftext|>É  <|endoftext|>\n\n"]
+    ids, count = encoder.encode(*text_bytes(pa.array(pieces)))
+    want = [library.encode(p, add_special_tokens=False).ids for p in pieces]
+    assert library.token_to_id("<|endoftext|>") in sum(want, [])
     assert count.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
 
 
@@ -73,7 +78,7 @@ def test_blocks_round_trip(size, top):
 
 
 def test_token_files(spark, odd, none):
-    tk = tokens.Encoder(queries.VOCABULARY).tokenizer
+    tk = Tokenizer.from_file(queries.VOCABULARY)
     for docs in (odd, none):
         place = f"{new_workspace(spark)}/ids"
         token_blocks.write_token_files(docs, place, queries.VOCABULARY)
@@ -88,9 +93,15 @@ def test_token_files(spark, odd, none):
             start += len(ids)
 
 
+def test_files_are_ordered_by_their_numbers(spark):
+    rows = spark.range(99_990, 100_011).selectExpr("concat('part-', lpad(id, if(id < 100000, 5, 6), '0'), '-x.txt') as file", "id as doc_id", "5L as n_tokens", "0L as file_start")
+    got = token_blocks.with_global_start(rows).orderBy("doc_id").collect()
+    assert [r.start for r in got] == [5 * i for i in range(21)]
+
+
 def test_packing(spark, odd, none):
     assert packing.packed_documents(none, queries.VOCABULARY).count() == 0
-    tk = tokens.Encoder(queries.VOCABULARY).tokenizer
+    tk = Tokenizer.from_file(queries.VOCABULARY)
     got = packing.packed_documents(odd, queries.VOCABULARY, capacity=64).collect()
     by_doc = collections.defaultdict(list)
     by_sequence = collections.defaultdict(list)
@@ -122,6 +133,31 @@ def test_sequences_hold_the_pieces(spark, odd, none):
     assert packing.pieces_of(packing.sequences(packing.packed_documents(none, queries.VOCABULARY))).count() == 0
 
 
+def test_blocks_and_the_second_round_lose_nothing(spark, monkeypatch):
+    docs = rows_of(spark, [prose(i, int(n)) for i, n in enumerate(np.random.default_rng(5).integers(1, 120, 300))] + [(None, None), (3, prose(3, 9))])
+    library = Tokenizer.from_file(queries.VOCABULARY)
+    want = collections.Counter()
+    for r in docs.collect():
+        want[r.doc_id] += len(library.encode(r.text or "", add_special_tokens=False).ids) + 1
+    sizes = []
+    for block in (200, 3000, 10**7):
+        monkeypatch.setattr(packing, "BLOCK_IDS", block)
+        built = packing.packed_sequences(docs, queries.VOCABULARY, capacity=128).cache()
+        got = packing.pieces_of(built).collect()
+        held = collections.Counter()
+        for r in got:
+            held[r.doc_id] += r.length
+        assert held == want and built.select("sequence_id").distinct().count() == built.count()
+        for r in built.collect():
+            at = 0
+            for p in r.pieces:
+                assert p.offset == at
+                at += p.length
+            assert at == len(r.ids) <= 128
+        sizes.append(built.count())
+    assert max(sizes) <= 1.03 * -(-sum(want.values()) // 128)
+
+
 def test_queries_run_their_whole_job(spark, sf_dir, monkeypatch):
     seen = []
     build, write = packing.sequences, ring.write_shards
@@ -351,6 +387,30 @@ def test_ring(spark, odd, none, slack):
     assert ring.shard_rows(none, "doc_id").count() == 0
 
 
+def test_ring_equals_a_walk_row_by_row(spark):
+    docs = spark.createDataFrame(
+        [(None if i % 3 == 0 else i % 150, prose(i % 400, 3)) for i in range(900)] + [(7, "same")] * 40, "doc_id long, text string"
+    )
+    placed = docs.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(ring.SLOTS)).cast("int"))
+    nodes, room = ring.ring(5, 16), ring.capacities(940, 5, 0.0)
+    want = collections.Counter()
+    for place in sorted(r.place for r in placed.collect()):  # key by key, clockwise from its place
+        at = next((i for i, (p, _) in enumerate(nodes) if p >= place), len(nodes))
+        while not room[nodes[at % len(nodes)][1]]:
+            at += 1
+        room[nodes[at % len(nodes)][1]] -= 1
+        want[place, nodes[at % len(nodes)][1]] += 1
+    for task_bytes in (10**9, 900, 1):  # one task, a hot place in several tasks, as fine as it gets
+        sharded = ring.shard_rows(placed, "doc_id", 5, 16, 0.0, task_bytes)
+        got = sharded.collect()
+        assert collections.Counter((r.place, r.shard) for r in got) == want
+        assert all(sorted(r.slot for r in got if r.shard == s) == list(range(188)) for s in range(5))
+        assert sorted(map(repr, (r.text for r in got))) == sorted(map(repr, (r.text for r in docs.collect())))
+    place = f"{new_workspace(spark)}/shards"
+    ring.write_shards(sharded, place)
+    assert sorted(map(repr, spark.read.parquet(place).select(*sharded.columns).collect())) == sorted(map(repr, got))
+
+
 def test_ring_moves_little_with_room():
     counts = {p: 3 for p in range(0, ring.SLOTS, 5)}
     assert ring.moved(counts, 16, 64, 0.25) < 0.2
