@@ -58,9 +58,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All remaining documents in sequences of at most 1024 ids: the pieces of the built
-    sequences, with their ids and places."""
-    packed = packing.packed_documents(docs, VOCABULARY, 2, 1024)
-    return packing.pieces_of(staged(packing.sequences(packed), "sequences"))
+    sequences, with their ids and places.  Null and empty texts give the end id alone, repeated rows
+    are packed each."""
+    return packing.packed_documents(docs, VOCABULARY, 2, 1024)
 
 
 STAGES = [
