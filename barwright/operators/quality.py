@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,6 +115,60 @@ def reconcile_layers(layers: Mapping[str, DataFrame], reference: str) -> DataFra
     )
 
 
+DIGEST_BUCKETS = 64
+
+
+def _slice_of(df: DataFrame) -> DataFrame:
+    bucket = F.pmod(F.hash("symbol"), F.lit(DIGEST_BUCKETS))
+    return df.select("symbol", "week_start", "close", F.year("week_start").alias("year"), bucket.alias("bucket"))
+
+
+def slice_digests(layers: Mapping[str, DataFrame]) -> DataFrame:
+    """Per layer and slice (year, symbol bucket) the number of rows and two sums of row hashes that
+    do not depend on the order.  Combined before the exchange: a few numbers a slice."""
+    stacked = None
+    for name, df in layers.items():
+        part = _slice_of(df).select("year", "bucket", F.xxhash64("symbol", "week_start", "close").alias("h"), F.lit(name).alias("layer"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    return stacked.groupBy("layer", "year", "bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor("h").alias("x"), F.sum(F.pmod("h", F.lit(1 << 31))).alias("s")
+    )
+
+
+def unequal_slices(layers: Mapping[str, DataFrame], partial: Collection[str]) -> DataFrame:
+    """Slices whose digests are not the same in all layers, and those in which a partial layer has
+    rows.  At most years times DIGEST_BUCKETS rows."""
+    whole = [n for n in layers if n not in partial]
+    digests = slice_digests(layers)
+    ours = ~F.col("layer").isin(list(partial)) if partial else F.lit(True)
+    same = F.lit(True)
+    for c in ("n", "x", "s"):
+        same = same & (F.min(F.when(ours, F.col(c))) == F.max(F.when(ours, F.col(c))))
+    found = digests.groupBy("year", "bucket").agg(
+        (F.coalesce(same, F.lit(False)) & (F.count(F.when(ours, 1)) == len(whole)) & (F.count(F.when(~ours, 1)) == 0)).alias("equal")
+    )
+    return found.where(~F.col("equal")).select("year", "bucket")
+
+
+def reconcile_by_digests(layers: Mapping[str, DataFrame], reference: str, partial: Collection[str] = ("snapshot",)) -> DataFrame:
+    """The rows of ``reconcile_layers``, but only slices whose digests differ are brought together
+    row by row; for the others the reference layer speaks for all.  ``partial`` layers, such as a
+    snapshot, hold few rows by nature; only slices that they touch are compared with them."""
+    slices = F.broadcast(unequal_slices(layers, [n for n in partial if n in layers]))
+    apart = {n: _slice_of(df).join(slices, ["year", "bucket"], "left_semi") for n, df in layers.items()}
+    rows = reconcile_layers(apart, reference)
+    equal = _slice_of(layers[reference]).join(slices, ["year", "bucket"], "left_anti")
+    value = {n: F.lit(None).cast("double") if n in partial else F.col("close") for n in layers}
+    close_missing = F.when(F.col("close").isNull(), F.concat_ws(",", *[F.lit(n) for n in layers]))
+    return rows.unionByName(
+        equal.select(
+            "symbol", "week_start", *[v.alias(f"{n}_close") for n, v in value.items()],
+            *[(v - F.col("close")).alias(f"{n}_diff") for n, v in value.items() if n != reference],
+            F.coalesce(close_missing, F.concat_ws(",", *[F.lit(n) for n in layers if n in partial])).alias("not_found"),
+        )
+    )
+
+
 def snapshot_vs_weekly(snapshot: DataFrame, weekly: DataFrame, n: int = 3) -> DataFrame:
     """Snapshot close next to the last weekly rows; stale where the newest week differs."""
     recent = last_n(weekly.select("symbol", "week_start", "close"), n, "week_start")

@@ -314,25 +314,49 @@ class Store:
 
     # --- ingest -------------------------------------------------------------
 
-    def ingest_bars(self, landing: DataFrame, table: str = "daily") -> None:
+    def was_applied(self, source: str, batch: int) -> bool:
+        """Whether a batch of a source is in the ledger of applied batches."""
+        if not self.exists("ledger"):
+            return False
+        return not self.read("ledger").where((F.col("source") == source) & (F.col("batch") >= batch)).isEmpty()
+
+    def _apply(self, source: str, batch: int) -> None:
+        """Batches of a source come in order, so the ledger keeps the last one of each."""
+        row = self.spark.createDataFrame([(source, batch)], "source string, batch bigint")
+        if self.exists("ledger"):
+            row = self.read("ledger").where(F.col("source") != source).unionByName(row)
+        self.overwrite(row, "ledger")
+
+    def ingest_bars(self, landing: DataFrame, table: str = "daily", batch: tuple[str, int] | None = None) -> None:
         """Upsert landed bars: flatten, keep the newest record per (symbol, time) of landed and
         stored ones.  The arrival is stored with a bar, so a late copy of an older record
         changes nothing; a stored bar without arrival is older than any other.  Only slices
-        of the landed times are read and written.  Symbols of landed bars are marked for the
-        stages that read the table."""
+        of the landed times are read and written.  Symbols whose stored bars come out different
+        are marked for the stages that read the table, from the first such day on.
+
+        ``batch`` names the source and number of a batch: one that was applied before is passed
+        over.  The ledger is written last, so a batch that stopped half way is applied again."""
+        if batch is not None and self.was_applied(*batch):
+            return
         ts = TIME_COLUMN["weekly" if "weekly" in table else "daily"]
         fresh = self.staged(newest_record(flatten(landing), ["symbol", ts], keep_arrival=True))
-        rows = fresh
+        rows, changed = fresh, fresh.select("symbol", ts)
         if self.exists(table):
             stored = self.same_slices(table, fresh).drop(*SLICES)
             if "arrival" not in stored.columns:
                 stored = stored.withColumn("arrival", F.lit(None).cast(fresh.schema["arrival"].dataType))
             both = stored.unionByName(fresh, allowMissingColumns=True)
             rows = self.staged(newest_record(both, ["symbol", ts], keep_arrival=True))
-        self.write_bars(rows, table)
-        if table == "daily":
-            changed = fresh.groupBy("symbol").agg(F.min(ts).alias("since"))
-            self.mark_dirty(changed, "daily", "weekly_indicators", "weekly_rolled")
+            values = [c for c in rows.columns if c != "arrival"]
+            before = stored.unionByName(rows.limit(0), allowMissingColumns=True)
+            changed = self.staged(rows.select(*values).subtract(before.select(*values)).select("symbol", ts))
+        if not changed.isEmpty():
+            if table == "daily":  # marked first: a stop before the bars are written costs a recompute, not a change
+                since = changed.groupBy("symbol").agg(F.min(ts).alias("since"))
+                self.mark_dirty(since, "daily", "weekly_indicators", "weekly_rolled")
+            self.write_bars(rows, table)
+        if batch is not None:
+            self._apply(*batch)
         self.clean()
 
     def sync_sectors(self, landing: DataFrame) -> None:

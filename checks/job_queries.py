@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barwright.operators import incremental, portfolio, quality, signals
+from barwright.operators import bitmaps, correlation, incremental, portfolio, quality, signals
 from barwright.operators import windows as win
 from barwright.plans import jobs, rolling
+from barwright.operators.indicators import compute_indicators
 from barwright.plans.stages import build_snapshot
 from barwright.sources import tables
+from barwright.sources.candles import resample_monthly_close, resample_weekly
 from checks import base_sql
 from checks.base_sql import columns, query, rounded, table
 from checks.registry import Inputs, register
@@ -100,6 +102,68 @@ def _(x):
     return store.read("daily")
 
 
+@register("replayed_batch_marks_nothing", query("SELECT 0 AS symbols_marked, count(*) AS bars FROM daily"))
+def _(x):
+    """A batch that comes twice, once by its number and once as new files with the same bars."""
+    store = x.store()
+    bars = x.settled(x.daily().withColumn("arrival", F.lit(1)))
+    store.ingest_bars(bars, batch=("feed", 0))
+    store.clear_dirty(bars.select("symbol").distinct(), "weekly_rolled", store.newest_mark())
+    store.ingest_bars(bars, batch=("feed", 0))
+    store.ingest_bars(bars.withColumn("arrival", F.lit(2)), batch=("feed", 1))
+    marked = store.read_dirty("weekly_rolled").select(F.count(F.lit(1)).cast("int").alias("symbols_marked"))
+    return marked.crossJoin(store.read("daily").agg(F.count(F.lit(1)).alias("bars")))  # one row each
+
+
+def year_by_year(x: Inputs, df, ts: str, measures: dict):
+    """Bitmaps of all years but the newest, then the newest year made anew from its bars alone;
+    symbols first seen in it get new numbers."""
+    newest = df.agg(F.max(F.year(ts))).first()[0]
+    older = df.where(F.year(ts) < newest)
+    numbers = x.settled(bitmaps.number_symbols(older))
+    stored = x.settled(bitmaps.presence(older, numbers, ts, measures))
+    late = df.where(F.year(ts) == newest)
+    numbers = x.settled(bitmaps.number_symbols(late, numbers))
+    return bitmaps.merged(bitmaps.replace_years(stored, bitmaps.presence(late, numbers, ts, measures), [newest]))
+
+
+@register("overview_from_bitmaps", query("""SELECT 'daily' AS tbl, count(DISTINCT symbol) AS symbols, count(*) AS total_rows,
+  min(date) AS first_date, max(date) AS last_date FROM daily UNION ALL
+  SELECT 'weekly', count(DISTINCT symbol), count(*), min(week_start), max(week_start) FROM weekly"""))
+def _(x):
+    daily = x.settled(x.daily())
+    parts = [
+        year_by_year(x, df, ts, {name: F.lit(True)})
+        for name, df, ts in (("daily", daily, "date"), ("weekly", x.settled(resample_weekly(daily)), "week_start"))
+    ]
+    return parts[0].unionByName(parts[1]).withColumnRenamed("measure", "tbl")
+
+
+@register("indicator_coverage_from_bitmaps", query("""SELECT m AS measure, count(DISTINCT symbol) AS symbols FROM (
+  SELECT symbol, unnest(['total', CASE WHEN sma_20 IS NOT NULL THEN 'sma_20' END, CASE WHEN sma_33 IS NOT NULL THEN 'sma_33' END,
+    CASE WHEN ema_20 IS NOT NULL THEN 'ema_20' END, CASE WHEN ema_33 IS NOT NULL THEN 'ema_33' END]) AS m FROM w_ind) WHERE m IS NOT NULL GROUP BY m"""))
+def _(x):
+    weekly = x.settled(compute_indicators(x.weekly(), "weekly"))
+    measures = {"total": F.lit(True)} | {c: F.col(c).isNotNull() for c in ("sma_20", "sma_33", "ema_20", "ema_33")}
+    return year_by_year(x, weekly, "week_start", measures).select("measure", "symbols")
+
+
+MONTHLY_RETURNS = {
+    "complete": "SELECT month, row_number() OVER (ORDER BY month) AS place FROM w_month GROUP BY month HAVING count(close) = (SELECT count(DISTINCT symbol) FROM w_month)",
+    "changes": """SELECT symbol, place, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY place), 0) - 1 AS r
+      FROM w_month JOIN complete USING (month)""",
+}
+
+
+@register("monthly_return_correlation_all", query(f"""SELECT sym_a, sym_b, {rounded('c', 6)} AS corr FROM (
+  SELECT a.symbol AS sym_a, b.symbol AS sym_b, corr(a.r, b.r) AS c FROM changes a JOIN changes b ON a.place = b.place AND a.symbol < b.symbol
+  WHERE a.place > 1 GROUP BY 1, 2)""", MONTHLY_RETURNS), 6)
+def _(x):
+    """All symbols against all, on the months that every one of them has."""
+    monthly = x.settled(resample_monthly_close(x.weekly(), "week_start"))
+    return correlation.correlation_tiles(monthly, "month")
+
+
 LISTED = [f"SYM{i:05d}" for i in range(1, 8)]
 
 
@@ -188,16 +252,16 @@ def old(x: Inputs, period: str):
     return bars.join(x.state(period).select("symbol", "last_date"), "symbol").where(f"{ts} <= last_date").drop("last_date")
 
 
-@register("reconcile_layers", query(f"""SELECT symbol, week_start, {rounded('a')} AS source_close, {rounded('b')} AS daily_close,
+RECONCILED = query(f"""SELECT symbol, week_start, {rounded('a')} AS source_close, {rounded('b')} AS daily_close,
   {rounded('w')} AS weekly_close, {rounded('c')} AS snapshot_close, {rounded('b - a')} AS daily_diff, {rounded('w - a')} AS weekly_diff, {rounded('c - a')} AS snapshot_diff,
   concat_ws(',', CASE WHEN a IS NULL THEN 'source' END, CASE WHEN b IS NULL THEN 'daily' END, CASE WHEN w IS NULL THEN 'weekly' END,
     CASE WHEN c IS NULL THEN 'snapshot' END) AS not_found
   FROM (SELECT symbol, week_start, s.close AS a, d.close AS b, o.close AS w, n.close AS c FROM weekly s
     FULL JOIN old_rolled d USING (symbol, week_start) FULL JOIN old_weekly o USING (symbol, week_start)
-    FULL JOIN old_snap n USING (symbol, week_start))""", LAYERS))
-def _(x):
-    from barwright.sources.candles import resample_weekly
+    FULL JOIN old_snap n USING (symbol, week_start))""", LAYERS)
 
+
+def four_layers(x: Inputs):
     daily = x.settled(x.daily())  # the lines are read once; all layers start from stored bars
     state = daily.groupBy("symbol").agg(F.max("date").alias("newest"))
     shift = (number() % 3 * 7).cast("int")
@@ -208,10 +272,17 @@ def _(x):
         .where(F.col("week_start") <= F.date_sub("newest", shift)).drop("newest")
     )
     kept = dated.where(F.col("date") <= F.date_sub("newest", shift)).drop("newest")
-    return quality.reconcile_layers(
-        {"source": resample_weekly(daily), "daily": resample_weekly(kept), "weekly": stored_weekly, "snapshot": build_snapshot(stored_weekly)},
-        "source",
-    )
+    return {"source": resample_weekly(daily), "daily": resample_weekly(kept), "weekly": stored_weekly, "snapshot": build_snapshot(stored_weekly)}
+
+
+@register("reconcile_layers", RECONCILED)
+def _(x):
+    return quality.reconcile_layers(four_layers(x), "source")
+
+
+@register("reconcile_layers_by_digest", RECONCILED)
+def _(x):
+    return quality.reconcile_by_digests(four_layers(x), "source")
 
 
 @register("snapshot_vs_weekly", query(f"""SELECT w.symbol, w.week_start, {rounded('w.close')} AS close, n.week_start AS snapshot_week,

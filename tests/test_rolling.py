@@ -224,3 +224,84 @@ def test_a_year_needs_the_year_before_and_no_older_one(spark):
     spark.catalog.refreshByPath(store.root)
     without_c = rolling.rolling_range_of_year(store, "daily", 1999, 150).where("symbol <> 'C'")
     same(without_c, want(whole, 150).where("symbol <> 'C'"), ("symbol", "date"))
+
+
+# --- summaries -------------------------------------------------------------------------------
+
+
+def test_equal_slices_are_not_compared_row_by_row(spark, monkeypatch):
+    from barwright.operators import quality
+
+    rows = [(s, START + dt.timedelta(days=7 * i), float(i)) for s in "ABCDEFGH" for i in range(120)]
+    source = spark.createDataFrame(rows, "symbol string, week_start date, close double").cache()
+    wrong = (F.col("symbol") == "C") & (F.col("week_start") == START + dt.timedelta(days=70))
+    layers = {
+        "source": source, "daily": source.repartition(5), "weekly": source.withColumn("close", F.when(wrong, 1.5).otherwise(F.col("close"))),
+        "snapshot": source.where(F.col("week_start") == START + dt.timedelta(days=7 * 119)),
+    }
+    assert {r.year for r in quality.unequal_slices(layers, ["snapshot"]).collect()} == {1996, 1998}
+    seen = []
+    known = quality.reconcile_layers
+    monkeypatch.setattr(quality, "reconcile_layers", lambda parts, ref: seen.append(parts["source"].count()) or known(parts, ref))
+    got = quality.reconcile_by_digests(layers, "source")
+    names = sorted(got.columns)
+    assert sorted(map(str, got.select(names).collect())) == sorted(map(str, known(layers, "source").select(names).collect()))
+    assert seen[0] < source.count() / 2
+    missing = {**layers, "weekly": source.where("symbol <> 'B'")}
+    got = quality.reconcile_by_digests(missing, "source")
+    assert sorted(map(str, got.select(names).collect())) == sorted(map(str, known(missing, "source").select(names).collect()))
+
+
+def test_correlation_by_tiles(spark):
+    import numpy as np
+
+    from barwright.operators.correlation import correlation_tiles
+
+    dice = np.random.default_rng(1)
+    common = dice.normal(0, 0.02, 300)
+    closes = {f"S{i}": 50 * np.cumprod(1 + common * (i % 3) + dice.normal(0, 0.01, 300)) for i in range(23)}
+    rows = [(s, START + dt.timedelta(days=t), float(v)) for s, x in closes.items() for t, v in enumerate(x) if not (s == "S4" and t % 50 == 7)]
+    df = spark.createDataFrame(rows, "symbol string, date date, close double")
+    kept = [t for t in range(300) if t % 50 != 7]
+    returns = {s: np.diff(x[kept]) / x[kept][:-1] for s, x in closes.items()}
+    for tile, block in ((64, 128), (4, 32), (1, 7)):
+        got = {(r.sym_a, r.sym_b): r.corr for r in correlation_tiles(df, "date", tile, block).collect()}
+        assert len(got) == 23 * 22 / 2
+        assert all(c == pytest.approx(np.corrcoef(returns[a], returns[b])[0, 1]) for (a, b), c in got.items())
+    assert correlation_tiles(df.limit(0), "date").count() == 0
+
+
+def test_bitmaps_count_like_sets(spark):
+    from barwright.operators import bitmaps
+
+    rng = random.Random(3)
+    rows = [(f"S{rng.randrange(40_000)}", dt.date(rng.choice((1996, 1997, 1998)), rng.randint(1, 12), 5), rng.choice((None, 1.0))) for _ in range(60_000)]
+    df = spark.createDataFrame(rows, "symbol string, date date, x double").cache()
+    measures = {"all": F.lit(True), "x": F.col("x").isNotNull()}
+    numbers = bitmaps.number_symbols(df.where("year(date) < 1998"))
+    stored = bitmaps.presence(df.where("year(date) < 1998"), numbers, "date", measures)
+    more = bitmaps.number_symbols(df, numbers).cache()
+    assert more.count() == more.select("number").distinct().count() == df.select("symbol").distinct().count()
+    assert numbers.join(more, ["symbol", "number"]).count() == numbers.count()
+    got = bitmaps.merged(bitmaps.replace_years(stored, bitmaps.presence(df.where("year(date) = 1998"), more, "date", measures), [1998]))
+    result = {r.measure: (r.symbols, r.total_rows) for r in got.collect()}
+    known = [r for r in rows if r[2] is not None]
+    assert result == {"all": (len({r[0] for r in rows}), len(rows)), "x": (len({r[0] for r in known}), len(known))}
+
+
+def test_a_replayed_batch_is_passed_over(spark):
+    store = Store(spark, new_workspace(spark), buckets=2)
+    first = days(spark, "AB", 0, 50)
+    store.ingest_bars(first, batch=("s", 0))
+    mark = store.newest_mark()
+    store.ingest_bars(days(spark, "AB", 0, 50, seed=2, arrival=9), batch=("s", 0))  # the number decides
+    store.ingest_bars(first.withColumn("arrival", F.lit(3)), batch=("s", 1))  # equal bars, later arrival
+    assert store.newest_mark() == mark
+    changed = first.where("symbol = 'B'").orderBy("date").limit(30).orderBy(F.col("date").desc()).limit(1).withColumn("close", F.lit(1.0)).withColumn("arrival", F.lit(9))
+    store.ingest_bars(changed, batch=("s", 2))
+    marks = {r.symbol: r.since for r in store.read_dirty("weekly_rolled").where(F.col("batch") > mark).collect()}
+    assert marks.keys() == {"B"}
+    store.ingest_bars(first.withColumn("close", F.lit(2.0)), batch=("other", 0))  # older than what is stored
+    assert store.newest_mark() == mark + 1
+    store.ingest_bars(first.withColumns({"close": F.lit(2.0), "arrival": F.lit(99)}), batch=("other", 1))
+    assert store.newest_mark() == mark + 2
