@@ -62,10 +62,11 @@ def ship(spark: SparkSession) -> None:
 def chosen_by_hash(df: DataFrame, group: str, limit: int, key: str = "doc_id") -> DataFrame:
     """At most ``limit`` rows of each group, those with the smallest hash of ``key`` (unique
     in a group).  Group sizes come from an aggregate; rows that cannot be among the chosen
-    ones are dropped where they are, so about twice the limit is ordered, not the group."""
+    ones are dropped where they are, so about twice the limit is ordered, not the group.  Groups are
+    few (labels, languages): their sizes are sent to the rows."""
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__size"))
     place = F.pmod(F.xxhash64(key), F.lit(1 << 40)) / float(1 << 40)
-    near = df.withColumn("__place", place).join(sizes, group).where(F.col("__place") * F.col("__size") <= 2.0 * limit + 50)
+    near = df.withColumn("__place", place).join(F.broadcast(sizes), group).where(F.col("__place") * F.col("__size") <= 2.0 * limit + 50)
     order = Window.partitionBy(group).orderBy("__place", key)
     return near.withColumn("__i", F.row_number().over(order)).where(F.col("__i") <= limit).select(*df.columns)
 

@@ -18,7 +18,7 @@ from barwright.llm.common import staged
 
 MASKS = ("1111", "111011")
 SPAN = 4  # of the shortest mask; a longer one has windows past the end, where fewer tokens count
-MIN_ITEM = 8  # tokens of the shortest item
+MIN_ITEM = 8  # tokens of the shortest item that is found by seeds; shorter ones are compared whole
 REACH = 23  # a stretch by the rule holds one of at most so many tokens, or is one
 BLOCK_SEEDS = 200_000  # seeds sent to all tasks at once; a larger benchmark is joined in blocks
 
@@ -56,8 +56,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 12, min_sh
     where that is shorter, and at least ``min_share`` of them are equal in place.  Reported are
     the stretches that lie in no longer one that counts.  Seeds find all of them at the default
     rule and at stricter ones; a looser rule may miss some.  An item with fewer than
-    eight tokens says nothing about a document and has no overlap; the same holds for null or
-    empty texts on either side.  Rows without doc_id or item_id are compared like others.  A
+    eight tokens overlaps where all of them are found in a row, unchanged; its first place is
+    reported.  Null or empty texts, and texts without a token, overlap with nothing.  Rows without doc_id or item_id are compared like others.  A
     repeated document row (same id and text) yields the overlaps once, as does a repeated
     item.  Other columns are not read."""
     spark = docs.sparkSession
@@ -65,7 +65,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 12, min_sh
     items = benchmark.select("item_id", "text").distinct()
     items = items.withColumn("item", tokens("text"))
     items = items.withColumn("item_mark", F.xxhash64("text")).withColumn("item_tokens", F.size("item"))
-    items = staged(items.where(F.col("item_tokens") >= MIN_ITEM), "items")
+    items = staged(items.where("item_tokens > 0"), "items")
+    brief = _whole_items(docs, items.where(F.col("item_tokens") < MIN_ITEM))
+    items = items.where(F.col("item_tokens") >= MIN_ITEM)
     seeds = _with_seeds(items.select("item_id", "item_mark", "item_tokens", "text"), "item_id", "item_mark", "item_tokens")
     seeds = staged(seeds.where("seed IS NOT NULL").distinct(), "seeds")
     blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
@@ -100,7 +102,39 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = 12, min_sh
         "doc_id", "mark", "item_id", (F.col("found.first") + F.col("shift")).alias("start"), F.col("found.length").alias("length"),
         F.col("found.matched").alias("matched"), (F.col("found.matched") / F.col("found.length")).alias("share"), "item_tokens",
     )
-    return found.distinct()
+    found = found.distinct()
+    return found if brief is None else found.unionByName(brief)
+
+
+def _whole_items(docs: DataFrame, items: DataFrame) -> DataFrame | None:
+    """Documents that hold all tokens of a short item in a row; None if there is no such item.  The
+    windows of the lengths that occur are joined by hash, and the tokens are compared."""
+    lengths = sorted(r[0] for r in items.select("item_tokens").distinct().collect())  # at most seven
+    if not lengths:
+        return None
+    blocks = max(1, -(-items.count() // BLOCK_SEEDS))
+
+    def whole(words: str, n: int):
+        return lambda i: F.struct(i.alias("start"), F.lit(n).alias("n"), F.xxhash64(*[F.get(F.col(words), i + j) for j in range(n)]).alias("whole"))
+
+    def windows(n: int) -> Column:
+        none = F.array().cast("array<struct<start:int,n:int,whole:bigint>>")
+        return F.when(F.size("words") >= n, F.transform(F.sequence(F.lit(0), F.size("words") - n), whole("words", n))).otherwise(none)
+
+    cut = docs.withColumn("words", tokens("text")).select("doc_id", "mark", "words", F.explode_outer(F.concat(*[windows(n) for n in lengths])).alias("w"))
+    cut = cut.select("doc_id", "mark", "w.*", F.slice("words", F.col("w.start") + 1, F.col("w.n")).alias("here"))
+    hashed = F.coalesce(*[F.when(F.col("item_tokens") == n, F.xxhash64(*[F.get("item", F.lit(j)) for j in range(n)])) for n in lengths])
+    names = items.select("item_id", "item_mark", "item", "item_tokens", hashed.alias("whole"))
+    found = None
+    for b in range(blocks):
+        # Bounded: about BLOCK_SEEDS items by construction.
+        part = F.broadcast(names.where(F.pmod("whole", F.lit(blocks)) == b))
+        hits = cut.join(part, "whole").where(F.col("here") == F.col("item"))
+        found = hits if found is None else found.unionByName(hits)
+    # One row per text and item however often a phrase occurs, formed before the exchange.
+    first = found.groupBy("doc_id", "mark", "item_id", "item_mark", "item_tokens").agg(F.min("start").alias("start"))
+    length = F.col("item_tokens").cast("int")
+    return first.select("doc_id", "mark", "item_id", "start", length.alias("length"), length.alias("matched"), F.lit(1.0).alias("share"), "item_tokens")
 
 
 def _equal(p: Column) -> Column:
@@ -143,7 +177,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **rule) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **rule) -> DataFrame:
     """The rows without any overlap.  A row goes for its own text only: other rows of its
-    doc_id, or other rows without doc_id, are judged by theirs."""
+    doc_id, or other rows without doc_id, are judged by theirs.  Null and empty texts stay, repeated
+    rows have one fate, and an empty benchmark removes nothing."""
     found = overlaps(docs, benchmark, **rule).select(F.col("doc_id").alias("bad_id"), F.col("mark").alias("bad_mark"))
     bad = staged(found.distinct(), "contaminated")
     same = docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_mark"])

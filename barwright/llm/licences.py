@@ -17,7 +17,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.llm.common import staged
@@ -118,6 +118,10 @@ def _softmax_fit(x: np.ndarray, y: np.ndarray, classes: int, rounds: int = 400,
 # --- scanning -----------------------------------------------------------------------
 
 
+def _words(line: str) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(F.col(line), F.lit(""))), WORD), lambda w: w != "")
+
+
 def _gram_column(found: str) -> Column:
     """Distinct n-grams of an array of words."""
     n = F.size(found)
@@ -134,35 +138,56 @@ def _table(spark, names: str, rows: list[str]) -> DataFrame:
 
 
 def scan(docs: DataFrame, model: Model, threshold: float = 0.8, template_share: float = 0.8) -> DataFrame:
-    """Licence paragraphs: doc_id, paragraph (line, from 0), family, probability,
+    """Licence paragraphs: doc_id, paragraph (first line, from 0), lines, family, probability,
     template_share (best share of a template's word pairs found in the paragraph), confirmed.
 
-    A paragraph is a line.  Families below ``threshold`` are not reported: they are unknown.
-    Null and empty texts have no paragraph.  Equal rows (id and text) are reported once; rows
-    without doc_id are scanned like others.  A tie goes to the family named first.  Other
-    columns are not read."""
+    A line is a paragraph, and so are lines in a row that hold markers (with at most one line without
+    between two of them and after the last, and no blank line), as a notice wrapped over several lines
+    has them.  The
+    longer paragraph is reported where a template confirms it or none of its lines is reported by
+    itself, else its lines are.  Families below ``threshold`` are not reported: they are
+    unknown.  Null and empty texts have no paragraph; texts of any length are scanned whole; an
+    empty table gives no row.  Equal rows (id and text) are reported once; rows without doc_id are
+    scanned like others.  A tie goes to the family named first.  Other columns are not read."""
     spark = docs.sparkSession
-    lines = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    split = F.filter(F.split(F.lower("line"), WORD), lambda w: w != "")
-    lines = lines.withColumn("words", split)
+    split = F.split("text", "\n")
+    pairs_of_lines = F.arrays_zip(split.alias("line"), F.slice(split, F.lit(2), F.greatest(F.size(split), F.lit(1))).alias("next"))
+    lines = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(pairs_of_lines).alias("paragraph", "l"))
+    lines = lines.select("doc_id", "mark", "paragraph", _words("l.line").alias("words"), F.col("l.next").alias("next"))
     marked = lines.where(F.arrays_overlap("words", F.array(*[F.lit(m) for m in model.markers])))
+    marked = marked.withColumn("next", _words("next")).dropDuplicates(["doc_id", "mark", "paragraph"])
+    order = Window.partitionBy("doc_id", "mark").orderBy("paragraph")
+    gap = F.col("paragraph") - F.lag("paragraph").over(order)
+    apart = F.coalesce((gap > 2) | ((gap == 2) & (F.size(F.lag("next").over(order)) == 0)), F.lit(True))
+    marked = marked.withColumn("apart", apart.cast("int"))
+    follows = F.coalesce((F.lead("paragraph").over(order) == F.col("paragraph") + 1) & (F.lead("apart").over(order) == 0), F.lit(False))
+    marked = marked.withColumn("run", F.sum("apart").over(order)).withColumn("follows", follows)
     # Few lines hold a marker; written first, since they are read for scores and templates.
-    marked = staged(marked.select("doc_id", "mark", "paragraph", "words").dropDuplicates(["doc_id", "mark", "paragraph"]), "marked")
+    marked = staged(marked.select("doc_id", "mark", "paragraph", "run", "words", F.when(~F.col("follows"), F.col("next")).alias("next")), "marked")
+    part = F.struct("paragraph", "words", "next")
+    joined = marked.groupBy("doc_id", "mark", "run").agg(F.array_sort(F.collect_list(part)).alias("p")).where(F.size("p") > 1)
+    all_words = F.flatten(F.transform("p", lambda x: F.concat(x["words"], F.coalesce(x["next"], F.array().cast("array<string>")))))
+    first_line, end = F.get("p.paragraph", F.lit(0)), F.element_at("p", -1)
+    count = end["paragraph"] - first_line + 1 + (F.size(end["next"]) > 0).cast("int")
+    joined = joined.select("doc_id", "mark", "run", first_line.alias("paragraph"), count.alias("lines"), all_words.alias("words"))
+    marked = marked.select("doc_id", "mark", "run", "paragraph", F.lit(1).alias("lines"), "words").unionByName(joined)
     weight_rows = [f"('{g}', array({', '.join(f'{v:.6f}D' for v in w)}))" for g, w in model.weights.items()]
     weights = F.broadcast(_table(spark, "gram, w", weight_rows))  # a fixed vocabulary: that of the templates
-    hits = marked.select("doc_id", "mark", "paragraph", F.explode_outer(_gram_column("words")).alias("gram")).join(weights, "gram")
-    sums = hits.groupBy("doc_id", "mark", "paragraph").agg(*[F.sum(F.get("w", F.lit(i))).alias(f"s{i}") for i in range(len(model.classes))])
+    key = ["doc_id", "mark", "run", "paragraph", "lines"]
+    hits = marked.select(*key, F.explode_outer(_gram_column("words")).alias("gram")).join(weights, "gram")
+    sums = hits.groupBy(*key).agg(*[F.sum(F.get("w", F.lit(i))).alias(f"s{i}") for i in range(len(model.classes))])
     score = F.array(*[(F.col(f"s{i}") + b) / model.temperature for i, b in enumerate(model.bias)])
-    scored = sums.select("doc_id", "mark", "paragraph", score.alias("score")).withColumn("top", F.array_max("score"))
+    scored = sums.select(*key, score.alias("score")).withColumn("top", F.array_max("score"))
     total = F.aggregate("score", F.lit(0.0), lambda acc, v: acc + F.exp(v - F.col("top")))
     best = F.array_position("score", F.col("top")).cast("int")
     names = F.array(*[F.lit(c) for c in model.classes])
-    found = scored.select("doc_id", "mark", "paragraph", F.element_at(names, best).alias("family"), (1.0 / total).alias("probability"))
+    found = scored.select(*key, F.element_at(names, best).alias("family"), (1.0 / total).alias("probability"))
     found = found.where((F.col("family") != UNKNOWN) & (F.col("probability") >= threshold))
     pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.slice("words", i, 2))))
-    texts = marked.select(*[F.col(c).alias(f"m_{c}") for c in ("doc_id", "mark", "paragraph")], pairs.alias("pairs"))
+    texts = marked.select(*[F.col(c).alias(f"m_{c}") for c in key], pairs.alias("pairs"))
     same = (
         found["doc_id"].eqNullSafe(texts["m_doc_id"]) & found["mark"].eqNullSafe(texts["m_mark"]) & (found["paragraph"] == texts["m_paragraph"])
+        & (found["lines"] == texts["m_lines"])
     )
     template_rows = []
     for family, wordings in TEMPLATES.items():
@@ -174,8 +199,13 @@ def scan(docs: DataFrame, model: Model, threshold: float = 0.8, template_share:
     templates = F.broadcast(_table(spark, "family, template", template_rows))  # the fixed list
     compared = found.join(texts, same).join(templates, "family")
     share = F.size(F.array_intersect("template", "pairs")) / F.size("template")
-    out = compared.groupBy("doc_id", "mark", "paragraph", "family", "probability").agg(F.max(share).alias("template_share"))
+    out = compared.groupBy(*key, "family", "probability").agg(F.max(share).alias("template_share"))
+    run = Window.partitionBy("doc_id", "mark", "run")
+    whole = F.col("lines") > 1
+    confirmed = F.max((whole & (F.col("template_share") >= template_share)).cast("int")).over(run) == 1
+    alone = F.max((~whole).cast("int")).over(run) == 0
+    out = out.withColumns({"__whole": confirmed | alone}).where(F.col("__whole") == whole)
     return out.select(
-        "doc_id", "paragraph", "family", F.round("probability", 6).alias("probability"), "template_share",
+        "doc_id", "paragraph", "lines", "family", F.round("probability", 6).alias("probability"), "template_share",
         (F.col("template_share") >= template_share).alias("confirmed"),
     )

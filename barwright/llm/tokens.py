@@ -31,7 +31,7 @@ _PUNCT[48:58] = False
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
-TABLE_ENTRIES = 3_000_000
+TABLE_ENTRIES = 1_000_000
 
 
 def cut_places(data: np.ndarray, bounds: np.ndarray, added: re.Pattern | None = None) -> np.ndarray:

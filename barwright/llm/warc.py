@@ -35,8 +35,9 @@ def resolve_revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     A null html is an empty payload.  Payloads below ``min_bytes`` are always responses.  Rows
     that repeat a page_id with one payload have one fate.  A null page_id is no original while
     another page has the payload; where no page with the payload has an id, all are
-    responses."""
-    pages = pages.withColumn("html", F.coalesce("html", F.lit("")))
+    responses.  Columns of ``pages`` with the names of the added ones are replaced, others are kept;
+    payloads of any length are hashed whole, and an empty table stays empty."""
+    pages = pages.drop("record_type", "refers_to").withColumn("html", F.coalesce("html", F.lit("")))
     pages = pages.withColumn("payload_bytes", F.octet_length("html").cast("long"))
     pages = pages.withColumn("payload_digest", F.sha1(F.col("html").cast("binary")))
     large = F.col("payload_bytes") >= min_bytes
@@ -44,19 +45,19 @@ def resolve_revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     originals = (
         pages.where(large)
         .groupBy("payload_digest", "payload_bytes")
-        .agg(F.max("page_id").alias("original"), F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1")
-        .select("payload_digest", "payload_bytes", "original")
+        .agg(F.max("page_id").alias("__original"), F.count(F.lit(1)).alias("__copies"))
+        .where("__copies > 1")
+        .select("payload_digest", "payload_bytes", "__original")
     )
     # Written first, so Spark knows its size: a short list is sent to the pages, a long one is
     # joined by a shuffle in which adaptive execution splits a digest with very many pages.
     originals = staged(originals, "originals")
     joined = pages.join(originals, ["payload_digest", "payload_bytes"], "left")
-    revisit = large & F.col("original").isNotNull() & ~F.col("original").eqNullSafe(F.col("page_id"))
+    revisit = large & F.col("__original").isNotNull() & ~F.col("__original").eqNullSafe(F.col("page_id"))
     return joined.select(
         *pages.columns,
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("original")).alias("refers_to"),
+        F.when(revisit, F.col("__original")).alias("refers_to"),
     )
 
 

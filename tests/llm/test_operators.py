@@ -307,10 +307,13 @@ def test_decontamination(spark, odd, none):
         [(1, item, 0), (2, prose(600, 25), 0), (3, None, 0), (4, "the and", 0), (1, item, 0), (None, item, 0)], "item_id long, text string, doc_id int"
     )
     got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, bench).collect()}
-    assert set(got) == {(d, i) for d in (0, 1, 3, 4, 5) for i in (1, None)}
+    short = {r.doc_id for r in docs.collect() if " the and " in f" {' '.join(re.findall(r'[^\W_]+', (r.text or '').lower()))} "}
+    assert set(got) == {(d, i) for d in (0, 1, 3, 4, 5) for i in (1, None)} | {(d, 4) for d in short}
+    assert all(got[d, 4].overlap_tokens == 2 for d in short)
+    got = {k: r for k, r in got.items() if k[1] != 4}
     assert got[0, 1].matched_tokens == got[0, 1].item_tokens and got[1, 1].share < 1
     kept = {r.doc_id for r in decontaminate.without_contaminated(docs, bench).collect()}
-    assert not kept & {0, 1, 3, 4, 5} and 2 in kept and 105 in kept and None in kept
+    assert not kept & {0, 1, 3, 4, 5} and 2 in kept and not kept & short and None in kept
     assert decontaminate.contaminated(none, bench).count() == 0
     assert decontaminate.without_contaminated(docs, bench.limit(0)).count() == docs.count()
 
@@ -479,6 +482,8 @@ def test_warc(spark):
     table = [(1, "http://a\r\nX: y", big), (5, None, big), (3, "u3", big), (2, "u", "small"), (4, "u", "small"), (6, "u", None), (7, "u", other),
              (None, "u", other), (8, "u", other), (8, "u", other)]
     pages = spark.createDataFrame([(*r, "z", "z") for r in table], "page_id long, url string, html string, refers_to string, original string")
+    resolved = warc.resolve_revisits(pages.withColumn("record_type", F.lit(1)))
+    assert resolved.count() == len(table) and {r.original for r in resolved.collect()} == {"z"}
     place = f"{new_workspace(spark)}/warc"
     warc.write_archives(pages, place, "2020-01-01T00:00:00Z")
     rows = warc.with_originals(warc.read_archives(spark, place), ("content_bytes", "html"))
@@ -509,3 +514,50 @@ def test_licences(spark, odd, none):
     assert {k: r.family for k, r in got.items()} == want and all(r.confirmed for r in got.values())
     assert licences.scan(odd, model).count() == 0 and licences.scan(none, model).count() == 0
     assert licences.scan(docs.unionByName(docs), model).count() == len(want)
+
+
+WRAPPED = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+    "apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+}
+
+
+def test_wrapped_licences(spark):
+    model = licences.train(spark.createDataFrame([(1, prose(1, 30))], "doc_id long, text string"))
+    texts = []
+    for text in WRAPPED.values():
+        texts += [f"{prose(3, 12)}\n\n{text}\n\n{prose(4, 12)}", " ".join(text.split())]
+    got = collections.defaultdict(list)
+    for r in licences.scan(rows_of(spark, texts), model).collect():
+        got[r.doc_id].append(r)
+    for i, family in enumerate(WRAPPED):
+        (wrapped,), (flat,) = got[2 * i], got[2 * i + 1]
+        assert flat.family.startswith(family) and wrapped.family == flat.family
+        assert wrapped.confirmed == flat.confirmed and wrapped.template_share == flat.template_share
+        assert (wrapped.paragraph, flat.paragraph, flat.lines) == (2, 0, 1) and wrapped.lines > 1
+
+
+def test_short_items_are_found_whole(spark):
+    dice = np.random.default_rng(8)
+    texts = [" ".join(dice.choice(WORDS, int(n))) for n in dice.integers(0, 30, 60)] + ["", None, "The,  of", "what is\nthe Capital city of France?"]
+    items = [(n, " ".join(dice.choice(WORDS, n))) for n in range(1, 8)] + [(20, "what is the capital city of france"), (21, "of"), (22, "..."), (23, None)]
+    docs, bench = rows_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    word = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    want = set()
+    for i, t in enumerate(texts):
+        for item, b in items:
+            have, asked = word(t), word(b)
+            if asked and any(have[k : k + len(asked)] == asked for k in range(len(have))):
+                want.add((i, item, len(asked)))
+    got = [(r.doc_id, r.item_id, r.overlap_tokens) for r in decontaminate.contaminated(docs, bench).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and (len(texts) - 1, 20, 7) in want

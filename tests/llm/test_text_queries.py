@@ -18,7 +18,7 @@ COLUMNS = {
     "op7_quality": "doc_id held_out score predicted",
     "op8_language": "doc_id held_out lang_pred score",
     "op9_warc": "page_id payload_bytes payload_digest record_type refers_to",
-    "op10_licences": "doc_id family probability confirmed",
+    "op10_licences": "doc_id paragraph lines family probability confirmed",
     "op11_ball_tree": "item_id rank doc_id score",
     "op12_toxicity": "doc_id held_out score predicted",
     "op13_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
