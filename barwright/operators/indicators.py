@@ -125,7 +125,7 @@ def oscillators(
     on from this bar: all means and counts after it, and those of the months before it."""
     means = dict(means or {})
     kept = [f"`{c}`" for c in df.columns]
-    df, counts = value_counters(df, bars, [*(x for x, _ in means.values()), *(["close"] if chart else [])])
+    df, counts = value_counters(df, bars, [*(x for x, _ in means.values()), *(["close"] if chart else [])], differences=["__tr"])
     wanted = {out: (x, alpha_of_span(n), counts[x]) for out, (x, n) in means.items()}
     if chart:
         wanted["__fast"] = ("close", alpha_of_span(FAST_SPAN), counts["close"])
@@ -299,7 +299,7 @@ def legacy_signals(df: DataFrame) -> DataFrame:
 
 def tpx(df: DataFrame, bars: Bars) -> DataFrame:
     """Target prices above the 20-bar typical-price mean."""
-    df = ema(df, bars, {"__tr_ema": ("__tr", 66)})
+    df = ema(df, bars, {"__tr_ema": ("__tr", 66)}, differences=["__tr"])
     df = df.withColumn("fvb20_basis", sma(F.col("fvb_src"), 20, bars))
     return df.withColumns(_targets()).drop("__tr_ema")
 

@@ -29,6 +29,7 @@ NEWEST = "__newest"
 CLOSE_WAS = "__close_was"
 MONTH_ENDS = "__month_ends"
 MONTH_CLOSE = "__mclose"
+BASE = "__base"
 SEED = "__seed"
 HALO = "__halo"
 
@@ -139,6 +140,7 @@ def lay_out(
             f"row_number() over ({bars.sql_order}) as {ROW}",
             f"lead({ERA}, 1) over ({bars.sql_order}) as __era_next",
             f"lag(close, 1) over ({bars.sql_order}) as {CLOSE_WAS}",
+            f"coalesce(first(close) over ({bars.sql_upto}), 0D) as {BASE}",
             f"coalesce(lead({month}, 1) over ({bars.sql_order}) <> {month}, false){fresh} as {MONTH_ENDS}",
         )
         .selectExpr(
@@ -261,12 +263,12 @@ def running_peak(x: str, run: str, ts: str) -> Column:
 class Counter:
     """SQL expressions of a series: how many values exist up to a row, in all and in its era
     (the latter may be ahead by a constant, as only its differences matter), the value to be
-    averaged, and its first value in the frame."""
+    averaged, and the constant that is taken off before the mean is formed."""
 
     seen: str
     in_era: str
     value: str | None = None
-    first: str | None = None
+    base: str | None = None
 
 
 def _seen(bars: Bars, x: str) -> str:
@@ -274,9 +276,11 @@ def _seen(bars: Bars, x: str) -> str:
 
 
 def value_counters(
-    df: DataFrame, bars: Bars, columns: Iterable[str]
+    df: DataFrame, bars: Bars, columns: Iterable[str], differences: Iterable[str] = ()
 ) -> tuple[DataFrame, dict[str, Counter]]:
-    """Counters of columns that may lack values on some rows, also inside their history."""
+    """Counters of columns that may lack values on some rows, also inside their history.  Prices are
+    averaged as differences from the symbol's first close; ``differences`` names the columns that
+    are differences already."""
     names = list(dict.fromkeys(columns))
     counts = [
         part
@@ -284,21 +288,18 @@ def value_counters(
         for part in (
             f"count({bars.own(x)}) over ({bars.sql_upto}) as {x}__n",
             f"count({bars.own(x)}) over ({bars.sql_era_upto}) as {x}__m",
-            f"first({bars.own(x)}, true) over ({bars.sql_upto}) as {x}__b",
         )
     ]
     return df.selectExpr("*", *counts), {
-        x: Counter(_seen(bars, x), f"{x}__m", bars.own(x), f"{x}__b") for x in names
+        x: Counter(_seen(bars, x), f"{x}__m", bars.own(x), None if x in differences else BASE) for x in names
     }
 
 
 def month_counter(df: DataFrame, bars: Bars) -> tuple[DataFrame, Counter]:
     """For the month-end closes, which exist on some of the rows only."""
     x = MONTH_CLOSE
-    df = df.selectExpr(
-        "*", f"count({x}) over ({bars.sql_upto}) as {x}__n", f"first({x}, true) over ({bars.sql_upto}) as {x}__b"
-    )
-    return df, Counter(_seen(bars, x), f"{x}__m", x, f"{x}__b")
+    df = df.selectExpr("*", f"count({x}) over ({bars.sql_upto}) as {x}__n")
+    return df, Counter(_seen(bars, x), f"{x}__m", x, BASE)
 
 
 def recursive_means(
@@ -316,9 +317,9 @@ def recursive_means(
     contribute is folded from one (sum, length) pair per era, so the work per row
     does not depend on the length of the history.  Two window passes in all.
 
-    Where the counter names a first value, the sums are of differences from it (or from the
-    stored mean that a seeded frame goes on from): the mean of a constant is that constant to
-    the last digit.
+    Where the counter names a base, the sums are of differences from it (or from the stored mean
+    that a seeded frame goes on from): the mean of a constant price is that price to the last
+    digit.
 
     The expressions are SQL text because a plan of this size is otherwise built from
     thousands of driver round trips."""
@@ -332,19 +333,19 @@ def recursive_means(
         if a > bars.alpha + 1e-12:
             raise ValueError(f"{out}: lay the bars out for a smoothing factor of {a:.3f}")
         keep, rows = f"{1.0 - a!r}D", f"cast({counter.in_era} as double)"
-        decay, here, before = f"pow({keep}, {rows})", f"coalesce({out}__s, 0D)", "0D"
-        if counter.first is not None:
-            base = f"coalesce({stored}, {counter.first})" if bars.seeded else counter.first
-            term, shift = f"{a!r}D * pow({keep}, -{rows}) * ({value} - {base})", f"{base} + "
-        else:
-            term, shift = f"if({counter.seen} = 1, 1D, {a!r}D) * pow({keep}, -{rows}) * {value}", ""
-            before = f"coalesce({stored}, 0D)" if bars.seeded else before
-        sums.append(f"sum({term}) over ({bars.sql_era_upto}) as {out}__s")
+        decay, here, before, shift = f"pow({keep}, {rows})", f"coalesce({out}__s, 0D)", "0D", ""
+        if counter.base is not None:
+            base = f"coalesce({stored}, {counter.base})" if bars.seeded else counter.base
+            value, shift = f"({value} - {base})", f"{base} + "
+        elif bars.seeded:
+            before = f"coalesce({stored}, 0D)"
+        weight = f"if({counter.seen} = 1, 1D, {a!r}D) * pow({keep}, -{rows})"
+        sums.append(f"sum({weight} * {value}) over ({bars.sql_era_upto}) as {out}__s")
         pairs.append(f"'{out}', named_struct('part', {here} * {decay}, 'decay', {decay})")
         carried = f"aggregate(__past, {before}, (acc, e) -> acc * e.{out}.decay + e.{out}.part)"
         totals.append(
             f"if({counter.seen} > 0, {shift}{decay} *"
-            f" if(size(__past) = 0, {here} + {before}, {here} + {carried}), null) as {out}"
+            f" if(size(__past) = 0, {here}{f' + {before}' if before != '0D' else ''}, {here} + {carried}), null) as {out}"
         )
     if not pairs:
         return df.selectExpr("*", *sums).selectExpr(*[f"`{c}`" for c in df.columns], *totals)
@@ -358,12 +359,12 @@ def recursive_means(
 
 
 def ema(
-    df: DataFrame, bars: Bars, specs: Mapping[str, tuple[str, int]]
+    df: DataFrame, bars: Bars, specs: Mapping[str, tuple[str, int]], differences: Iterable[str] = ()
 ) -> DataFrame:
     """Exponential means by span n; NULL until n values have been seen.  Spans below five need
     bars laid out for them: ``lay_out(..., alpha=alpha_of_span(n))``."""
     kept = [f"`{c}`" for c in df.columns]
-    df, counts = value_counters(df, bars, [x for x, _ in specs.values()])
+    df, counts = value_counters(df, bars, [x for x, _ in specs.values()], differences)
     raw = recursive_means(
         df, bars, {out: (x, alpha_of_span(n), counts[x]) for out, (x, n) in specs.items()}
     )
@@ -398,7 +399,7 @@ def wilder_rsi(
     df = df.selectExpr("*", f"last({x}, true) over ({bars.sql_before}) as __x_was").selectExpr(
         "*", f"{up} as __up", f"{down} as __down"
     )
-    df, counts = value_counters(df, bars, ["__up"])
+    df, counts = value_counters(df, bars, ["__up"], differences=["__up"])
     counter = counts["__up"]
     df = recursive_means(
         df, bars, {"__gain": ("__up", 1.0 / n, counter), "__loss": ("__down", 1.0 / n, counter)}
