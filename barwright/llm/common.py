@@ -74,8 +74,8 @@ def chosen_by_hash(df: DataFrame, group: str, limit: int, key: str = "doc_id") -
 # --- slices of Arrow batches ------------------------------------------------------
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that one slice holds about SLICE_BYTES of text; a longer text is a
+def slices(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that one slice holds about ``size`` bytes of text; a longer text is a
     slice of its own."""
     for batch in batches:
         column = batch.column(text)
@@ -84,7 +84,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa
         sizes = np.asarray(pc.binary_length(column).fill_null(0))
         start, total = 0, 0
         for i, n in enumerate(sizes):
-            if i > start and total + n > SLICE_BYTES:
+            if i > start and total + n > size:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += int(n)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.llm.common import ship, slices, staged, text_bytes
-from barwright.llm.tokens import encode_rows
+from barwright.llm.tokens import ENCODE_BYTES, encode_rows
 
 RANK_ROWS = 200_000  # pieces a ranking task gets on average
 BLOCK_IDS = 4_000_000  # ids of a block
@@ -199,7 +199,7 @@ def packed_sequences(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity
             base += n
             return batch.set_column(0, "sequence_id", numbers)
 
-        for part in slices(batches):
+        for part in slices(batches, size=ENCODE_BYTES):
             if part.num_rows:
                 held.append(pieces_in(part, vocabulary, end_id, capacity))
                 size += len(held[-1]["ids"])

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barwright.llm.common import ship, slices, text_bytes
-from barwright.llm.tokens import encode_rows
+from barwright.llm.tokens import ENCODE_BYTES, encode_rows
 
 BLOCK, LANES, STEPS = 256, 8, 32
 HEAD = struct.Struct("<4sIQIII")  # magic, documents, ids, blocks, packed words, exceptions
@@ -160,7 +160,7 @@ def write_token_files(
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def pack(batches):
-        for part in slices(batches):
+        for part in slices(batches, size=ENCODE_BYTES):
             ids, bounds = encode_rows(*text_bytes(part.column("text")), vocabulary, end_id)
             row = segment(part.column("doc_id").to_pylist(), bounds, ids, share)
             yield pa.RecordBatch.from_pydict({"segment": pa.array([row], pa.binary())})

@@ -32,6 +32,7 @@ _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 TABLE_ENTRIES = 1_000_000
+ENCODE_BYTES = 500_000  # of text encoded at a time: the arrays of a slice take some 100 times as much
 
 
 def cut_places(data: np.ndarray, bounds: np.ndarray, added: re.Pattern | None = None) -> np.ndarray:

@@ -561,3 +561,93 @@ def test_short_items_are_found_whole(spark):
                 want.add((i, item, len(asked)))
     got = [(r.doc_id, r.item_id, r.overlap_tokens) for r in decontaminate.contaminated(docs, bench).collect()]
     assert len(got) == len(set(got)) and set(got) == want and (len(texts) - 1, 20, 7) in want
+
+
+def plain_language(docs, min_count=2):
+    """The word-first model from plain counts, as a function of a text."""
+    import math
+
+    words_in = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
+    counts = collections.defaultdict(collections.Counter)
+    for _, text, lang in docs:
+        counts[lang].update(words_in(text))
+    langs = sorted(counts)
+
+    def logs(tables):
+        keys = {k for c in tables.values() for k in c}
+        raw = {k: [math.log(tables[x][k] + 0.5) - math.log(sum(tables[x].values()) + 0.5 * len(keys)) for x in langs] for k in keys}
+        return {k: [v - sum(r) / len(r) for v in r] for k, r in raw.items()}
+
+    often = {w for c in counts.values() for w in c if sum(counts[x][w] for x in langs) >= min_count}
+    known = logs({x: collections.Counter({w: n for w, n in counts[x].items() if w in often}) for x in langs})
+    grams = {}
+    for n in (4, 3, 2, 1):
+        tables = {x: collections.Counter() for x in langs}
+        for x in langs:
+            for w, many in counts[x].items():
+                for i in range(len(w) - n + 1):
+                    tables[x][w[i : i + n]] += many
+        grams[n] = logs(tables)
+
+    def score(text):
+        total = [0.0] * len(langs)
+        for w in words_in(text):
+            value = known.get(w)
+            if value is None:
+                per_char = [next((grams[n][w[i : i + n]] for n in (4, 3, 2, 1) if i + n <= len(w) and w[i : i + n] in grams[n]), [0.0] * len(langs)) for i in range(len(w))]
+                value = [sum(c) / len(w) for c in zip(*per_char, strict=True)]
+            total = [a + b for a, b in zip(total, value, strict=True)]
+        top = max(total)
+        chance = [math.exp(v - top) for v in total]
+        best = chance.index(max(chance))
+        return (langs[best], chance[best] / sum(chance)) if words_in(text) else ("und", 0.0)
+
+    return score
+
+
+def test_language_equals_plain_scoring(spark):
+    dice = np.random.default_rng(6)
+    letters = {"aa": "kirutomsela", "bb": "grundstwolfha", "cc": "oiseaublnt"}
+    make = lambda c, n: " ".join("".join(dice.choice(list(letters[c]), int(k))) for k in dice.integers(1, 6, n))
+    rows = [(i, make(c, 25), c) for i, c in enumerate(list(letters) * 15)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    plain = plain_language(learned)
+    asked = [make(c, 4) for c in list(letters) * 10] + ["zzz q", "Kiru GRUND", "", "12 34", "日本 oiseau"]
+    found, score = language.scored(model, asked)
+    for text, lang, s in zip(asked, found, score, strict=True):
+        want, chance = plain(text)
+        assert s == pytest.approx(chance, abs=1e-3) and (lang == want or chance < 0.5)
+
+
+def test_licences_equal_plain_scoring(spark):
+    from barwright.llm.licence_texts import TEMPLATES
+
+    model = licences.train(spark.createDataFrame([(1, prose(1, 30))], "doc_id long, text string"))
+    dice = np.random.default_rng(9)
+    every = [t for texts in TEMPLATES.values() for t in texts]
+    lines = [" ".join(w for w in t.split() if dice.random() > 0.25) for t in every for _ in range(2)] + [prose(5, 20), "", "software license"]
+    want = []
+    for i, line in enumerate(lines):
+        found = licences.words(line)
+        if not set(found) & set(model.markers):
+            continue
+        hits = [model.weights[g] for g in licences.grams(found) if g in model.weights]
+        if not hits:
+            continue
+        score = [(sum(round(h[c], 6) for h in hits) + b) / model.temperature for c, b in enumerate(model.bias)]
+        chance = np.exp(np.array(score) - max(score))
+        chance /= chance.sum()
+        family = model.classes[int(chance.argmax())]
+        if family == licences.UNKNOWN or chance.max() < 0.8:
+            continue
+        pairs = {" ".join(found[k : k + 2]) for k in range(max(1, len(found) - 1))}
+        shares = []
+        for t in TEMPLATES[family]:
+            w = licences.words(t)
+            own = {" ".join(w[k : k + 2]) for k in range(max(1, len(w) - 1))}
+            shares.append(len(own & pairs) / len(own))
+        want.append((i, family, pytest.approx(float(chance.max()), abs=1e-5), pytest.approx(max(shares))))
+    got = sorted((r.doc_id, r.family, r.probability, r.template_share) for r in licences.scan(rows_of(spark, lines), model).collect())
+    assert len(want) > 20 and len(got) == len(want) and all(g == w for g, w in zip(got, want, strict=True))
