@@ -5,13 +5,14 @@ are known, their rules are not."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.functions.numeric import half_up, ratio
 from barwright.operators.incremental import new_weeks_only, universe_semi_join
 from barwright.operators.screens import upside_to_tp_pct
-from barwright.session import settled
 
 CAPS = (60, 50, 40, 30)
 RELATIVE_STRENGTH_WEEKS = 52
@@ -106,24 +107,20 @@ def sector_relative(
 
 
 def score_rs(
-    weekly: DataFrame, weeks: int = RELATIVE_STRENGTH_WEEKS, market: DataFrame | None = None
+    weekly: DataFrame, weeks: int = RELATIVE_STRENGTH_WEEKS, market: DataFrame | None = None, kept: Sequence[Column] = ()
 ) -> DataFrame:
     """Return over the last ``weeks`` bars less that of the market series: landed bars of an
     index fund, or the mean of all symbols.  The series has one row per calendar week, some
-    5,200 a century, so it is broadcast."""
+    5,200 a century, so it is broadcast.  ``kept`` are further columns of the bars."""
 
     def grown(order) -> Column:
         return ratio(F.col("close"), F.lag("close", weeks).over(order)) - 1.0
 
     market = load_reference_series(weekly) if market is None else market
     market = market.select("week_start", grown(Window.orderBy("week_start")).alias("market_return"))
-    own = weekly.select(
-        "symbol",
-        "week_start",
-        grown(Window.partitionBy("symbol").orderBy("week_start")).alias("own_return"),
-    )
+    own = weekly.withColumn("__own", grown(Window.partitionBy("symbol").orderBy("week_start")))
     return own.join(F.broadcast(market), "week_start").select(
-        "symbol", "week_start", (F.col("own_return") - F.col("market_return")).alias("score_rs")
+        "symbol", "week_start", (F.col("__own") - F.col("market_return")).alias("score_rs"), *kept
     )
 
 
@@ -142,61 +139,36 @@ def score_band_position(signals: DataFrame) -> DataFrame:
     return signals.select("symbol", "week_start", band_position().alias("score_band"))
 
 
+def _bin(value: str, slices: int) -> Column:
+    """A whole number that grows with the value: ``slices`` numbers for each doubling of its size."""
+    x = F.col(value)
+    size = F.floor(F.least(F.greatest(F.log2(F.abs(x)), F.lit(-1100.0)), F.lit(1100.0)) * slices) + 1101 * slices
+    return F.when(x == 0, F.lit(0).cast("bigint")).when(x < 0, -size).otherwise(size)
+
+
 def percent_rank_within(
-    df: DataFrame, groups: list[str], value: str, out: str, slices: int = 16
+    df: DataFrame, groups: list[str], value: str, out: str, slices: int = 64
 ) -> DataFrame:
     """``percent_rank`` of a value inside large groups, without one task per group.
 
-    Equal values are counted together first.  Quantiles cut each group into slices of
-    whole values; a row's rank is the number of rows in lower slices plus the number
-    with smaller values in its own.  Rough quantiles only make slices uneven.  They are
-    settled so that both uses see the same cuts.  Raise ``slices`` with the largest group.
-    Spark chooses the joins by size."""
-    ranked = df.where(F.col(value).isNotNull())
-    counts = ranked.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__n"))
-    steps = [i / slices for i in range(1, slices)]
-    cuts = settled(
-        counts.groupBy(*groups).agg(F.percentile_approx(value, steps).alias("__cuts"))
-    )
-    sliced = (
-        counts.join(cuts, groups)
-        .withColumn("__slice", F.size(F.filter("__cuts", lambda c: c < F.col(value))))
-        .drop("__cuts")
-    )
-    by_slice = Window.partitionBy(*groups).orderBy("__slice")
-    totals = (
-        sliced.groupBy(*groups, "__slice")
-        .agg(F.sum("__n").alias("__in_slice"))
-        .select(
-            *groups,
-            "__slice",
-            F.coalesce(
-                F.sum("__in_slice").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ).alias("__lower"),
-            F.sum("__in_slice").over(Window.partitionBy(*groups)).alias("__all"),
-        )
-    )
-    smaller = F.sum("__n").over(
-        Window.partitionBy(*groups, "__slice")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranks = (
-        sliced.withColumn("__smaller", F.coalesce(smaller, F.lit(0)))
-        .join(totals, [*groups, "__slice"])
-        .select(
-            *groups,
-            value,
-            F.when(F.col("__all") == 1, F.lit(0.0))
-            .otherwise(
-                (F.col("__lower") + F.col("__smaller")).cast("double")
-                / F.nullif((F.col("__all") - 1).cast("double"), F.lit(0.0))
-            )
-            .alias(out),
-        )
+    A histogram of each group, with bins as wide as a fixed share of the value, says how many rows
+    lie in lower bins; it is a sum, so it is combined before the exchange and may be kept and added to.
+    Inside a bin rows are ranked exactly.  No task sees more of a group than one bin."""
+    ranked = df.where(F.col(value).isNotNull()).withColumn("__bin", _bin(value, slices))
+    by_bin = Window.partitionBy(*groups).orderBy("__bin")
+    histogram = ranked.groupBy(*groups, "__bin").agg(F.count(F.lit(1)).alias("__n")).select(
+        *groups, "__bin",
+        F.coalesce(F.sum("__n").over(by_bin.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__lower"),
+        F.sum("__n").over(Window.partitionBy(*groups)).alias("__all"),
+    )
+    inside = F.rank().over(Window.partitionBy(*groups, "__bin").orderBy(value)) - 1
+    place = (F.col("__lower") + F.col("__inside")).cast("double") / F.nullif((F.col("__all") - 1).cast("double"), F.lit(0.0))
+    return (
+        ranked.withColumn("__inside", inside)
+        .join(histogram, [*groups, "__bin"])
+        .withColumn(out, F.coalesce(place, F.lit(0.0)))
+        .drop("__bin", "__inside", "__lower", "__all")
     )
-    return ranked.join(ranks, [*groups, value])
 
 
 SCORES = ["score_rs", "score_rvr", "score_band"]
@@ -207,16 +179,9 @@ def scores(
 ) -> DataFrame:
     """Mean of the percent ranks of the three scores among all symbols of a week.  With
     the scores already ``done``, only newer weeks are ranked unless forced."""
-    rows = score_rs(signals).join(
-        signals.select(
-            "symbol", "week_start", F.col("cycle_rvr").alias("score_rvr"),
-            band_position().alias("score_band"),
-        ),
-        ["symbol", "week_start"],
-    )
+    rows = score_rs(signals, kept=[F.col("cycle_rvr").alias("score_rvr"), band_position().alias("score_band")])
     if done is not None:
         rows = new_weeks_only(rows, done, force)
-    rows = settled(rows)  # read three times below
     metric = F.explode(
         F.array(*[F.struct(F.lit(s).alias("metric"), F.col(s).alias("value")) for s in SCORES])
     )
