@@ -154,11 +154,16 @@ def scan(docs: DataFrame, model: Model, threshold: float = 0.8, template_share:
     pairs_of_lines = F.arrays_zip(split.alias("line"), F.slice(split, F.lit(2), F.greatest(F.size(split), F.lit(1))).alias("next"))
     lines = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(pairs_of_lines).alias("paragraph", "l"))
     lines = lines.select("doc_id", "mark", "paragraph", _words("l.line").alias("words"), F.col("l.next").alias("next"))
-    marked = lines.where(F.arrays_overlap("words", F.array(*[F.lit(m) for m in model.markers])))
-    marked = marked.withColumn("next", _words("next")).dropDuplicates(["doc_id", "mark", "paragraph"])
+    markers = F.array(*[F.lit(m) for m in model.markers])
+    marked = lines.where(F.arrays_overlap("words", markers)).withColumn("next", _words("next"))
+    # A following line with a marker is a row of its own.
+    marked = marked.withColumn("next", F.when(~F.arrays_overlap("next", markers), F.col("next")))
+    # One exchange for the copies and for the order of a text's lines.
+    marked = marked.repartition("doc_id", "mark").dropDuplicates(["doc_id", "mark", "paragraph"])
     order = Window.partitionBy("doc_id", "mark").orderBy("paragraph")
     gap = F.col("paragraph") - F.lag("paragraph").over(order)
-    apart = F.coalesce((gap > 2) | ((gap == 2) & (F.size(F.lag("next").over(order)) == 0)), F.lit(True))
+    empty = F.size("next") == 0
+    apart = F.coalesce((gap > 2) | ((gap == 2) & F.lag(empty).over(order)), F.lit(True))
     marked = marked.withColumn("apart", apart.cast("int"))
     follows = F.coalesce((F.lead("paragraph").over(order) == F.col("paragraph") + 1) & (F.lead("apart").over(order) == 0), F.lit(False))
     marked = marked.withColumn("run", F.sum("apart").over(order)).withColumn("follows", follows)
