@@ -45,11 +45,11 @@ def _finish(store: Store, stage: str, symbols: DataFrame, inputs: DataFrame, rea
     store.clear_dirty(symbols, stage, read)
 
 
-def _rewrite(store: Store, table: str, rows: DataFrame, symbols: DataFrame) -> None:
-    """Write the rows of all buckets that hold one of the symbols; slices of these buckets that
-    have no row any more are emptied."""
+def _rewrite(store: Store, table: str, rows: DataFrame, symbols: DataFrame, source: DataFrame) -> None:
+    """Write the rows of all buckets that hold one of the symbols, one for each bar of ``source``;
+    slices of these buckets that have no row any more are emptied."""
     scope = store.same_buckets(table, symbols).select(*SLICES).distinct() if store.exists(table) else None
-    store.write_bars(rows, table, None if scope is None else store.staged(scope))
+    store.write_bars(rows, table, None if scope is None else store.staged(scope), source)
 
 
 def run_indicators(store: Store, period: str = "weekly", force: bool = False) -> bool:
@@ -64,7 +64,7 @@ def run_indicators(store: Store, period: str = "weekly", force: bool = False) ->
         return False
     daily = store.same_buckets("daily", symbols).drop(*SLICES, "arrival")
     candles = resample_weekly(daily) if period == "weekly" else daily
-    _rewrite(store, f"{period}_indicators", compute_indicators(candles, period), symbols)
+    _rewrite(store, f"{period}_indicators", compute_indicators(candles, period), symbols, candles)
     if period == "weekly":
         store.mark_dirty(symbols, "weekly")
     _finish(store, stage, symbols, newest, read)
@@ -82,7 +82,7 @@ def run_signals(store: Store, force: bool = False) -> bool:
         store.clean()
         return False
     bars = store.same_buckets("weekly_indicators", symbols).drop(*SLICES)
-    _rewrite(store, "weekly", signals_from_indicators(bars), symbols)
+    _rewrite(store, "weekly", signals_from_indicators(bars), symbols, bars)
     write_snapshot(store)
     _finish(store, "weekly", symbols, inputs, read)
     store.clean()

@@ -190,9 +190,12 @@ class Store:
         self._delete(f"{path}.old")
         self.spark.catalog.refreshByPath(path)
 
-    def write_bars(self, df: DataFrame, table: str, scope: DataFrame | None = None) -> None:
+    def write_bars(
+        self, df: DataFrame, table: str, scope: DataFrame | None = None, source: DataFrame | None = None
+    ) -> None:
         """Replace exactly the slices (year, bucket) that occur in df, and empty those of
-        ``scope`` (rows of slices) that do not.  Rebalancing lets Spark size the files: small
+        ``scope`` (rows of slices) that do not.  ``source`` are the bars that df was computed from, one
+        for each of its rows: their slices are known without computing df twice.  Rebalancing lets Spark size the files: small
         slices share a task, large ones are split."""
         buckets, known = self._layout(table)
         ts = time_column(df.columns)
@@ -200,7 +203,9 @@ class Store:
         gone = []
         if scope is not None:
             # One row per slice: years times buckets at most.
-            gone = scope.select(*SLICES).distinct().join(laid_out.select(*SLICES).distinct(), SLICES, "left_anti").collect()
+            bars = df if source is None else source
+            present = bars.select(F.year(ts).alias("year"), self.bucket(buckets=buckets).alias("bucket")).distinct()
+            gone = scope.select(*SLICES).distinct().join(present, SLICES, "left_anti").collect()
         schema = StructType([f for f in laid_out.schema.fields if f.name not in SLICES])
         for f in known.fields if known is not None else []:
             if f.name not in schema.names and f.name not in SLICES:
