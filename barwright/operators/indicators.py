@@ -23,9 +23,8 @@ from barwright.operators.windows import (
     month_counter,
     pack,
     recursive_means,
-    rolling_std,
     rsi_from_means,
-    sma,
+    sliding,
     true_range,
     unpack,
     value_counters,
@@ -48,9 +47,7 @@ def with_price_basis(df: DataFrame) -> DataFrame:
 
 
 def base_mas(df: DataFrame, bars: Bars) -> DataFrame:
-    df = df.withColumns(
-        {"sma_20": sma(F.col("close"), 20, bars), "sma_33": sma(F.col("close"), 33, bars)}
-    )
+    df = slides(df, bars, ["sma_20", "sma_33"])
     return ema(df, bars, {"ema_20": ("close", 20), "ema_33": ("close", 33)})
 
 
@@ -65,9 +62,7 @@ def _bands(prefix: str) -> dict[str, Column]:
 
 def fvb33(df: DataFrame, bars: Bars) -> DataFrame:
     """Centre line and width of the 33-bar fair-value band."""
-    return df.withColumns(
-        {"fvb_basis": sma(F.col("fvb_src"), 33, bars), "fvb_dev": sma(F.col("__tr"), 66, bars)}
-    )
+    return slides(df, bars, ["fvb_basis", "fvb_dev"])
 
 
 def fvb33_bands(df: DataFrame) -> DataFrame:
@@ -83,9 +78,7 @@ def fvb33_color(df: DataFrame, bars: Bars) -> DataFrame:
 
 def fvb20(df: DataFrame, bars: Bars) -> DataFrame:
     """20-bar variant; its colour follows the close, not the typical price."""
-    df = df.withColumns(
-        {"fvb20_basis": sma(F.col("fvb_src"), 20, bars), "fvb20_dev": sma(F.col("__tr"), 40, bars)}
-    ).withColumns(_bands("fvb20"))
+    df = slides(df, bars, ["fvb20_basis", "fvb20_dev"]).withColumns(_bands("fvb20"))
     df = ema(df, bars, {"__close_ema5": ("close", 5)})
     return df.withColumn(
         "fvb20_band_green", flag(F.col("__close_ema5") >= F.col("fvb20_basis"))
@@ -267,7 +260,7 @@ def _rsi_one_month_more() -> str:
 
 def volume_stats(df: DataFrame, bars: Bars) -> DataFrame:
     volume = F.col("volume").cast("double")
-    df = df.withColumn("avg_vol_20w", sma(volume, 20, bars))
+    df = slides(df, bars, ["avg_vol_20w"])
     return df.withColumns(
         {
             "rel_vol": ratio(volume, F.col("avg_vol_20w")),
@@ -277,10 +270,9 @@ def volume_stats(df: DataFrame, bars: Bars) -> DataFrame:
 
 
 def dbb_upper(df: DataFrame, bars: Bars) -> DataFrame:
-    close = F.col("close")
-    return df.withColumn(
-        "dbb_upper", sma(close, 20, bars) + DOUBLE_BAND_DEVIATIONS * rolling_std(close, 20, bars)
-    )
+    df = sliding(df, bars, {"__sma_20": SLIDES["sma_20"]}, {"__std_20": ("close", 20)})
+    upper = F.col("__sma_20") + DOUBLE_BAND_DEVIATIONS * F.col("__std_20")
+    return df.withColumn("dbb_upper", upper).drop("__sma_20", "__std_20")
 
 
 def legacy_signals(df: DataFrame) -> DataFrame:
@@ -300,7 +292,7 @@ def legacy_signals(df: DataFrame) -> DataFrame:
 def tpx(df: DataFrame, bars: Bars) -> DataFrame:
     """Target prices above the 20-bar typical-price mean."""
     df = ema(df, bars, {"__tr_ema": ("__tr", 66)}, differences=["__tr"])
-    df = df.withColumn("fvb20_basis", sma(F.col("fvb_src"), 20, bars))
+    df = slides(df, bars, ["fvb20_basis"])
     return df.withColumns(_targets()).drop("__tr_ema")
 
 
@@ -310,24 +302,23 @@ def _targets() -> dict[str, Column]:
     }
 
 
-def _slides(bars: Bars, names: Iterable[str]) -> dict[str, Column]:
-    close, volume = F.col("close"), F.col("volume").cast("double")
-    known = {
-        "sma_20": lambda: sma(close, 20, bars),
-        "sma_33": lambda: sma(close, 33, bars),
-        "fvb_basis": lambda: sma(F.col("fvb_src"), 33, bars),
-        "fvb_dev": lambda: sma(F.col("__tr"), 66, bars),
-        "fvb20_basis": lambda: sma(F.col("fvb_src"), 20, bars),
-        "fvb20_dev": lambda: sma(F.col("__tr"), 40, bars),
-        "avg_vol_20w": lambda: sma(volume, 20, bars),
-        "__std_20": lambda: rolling_std(close, 20, bars),
-    }
-    return {name: known[name]() for name in names}
+SLIDES = {
+    "sma_20": ("close", 20),
+    "sma_33": ("close", 33),
+    "fvb_basis": ("fvb_src", 33),
+    "fvb_dev": ("__tr", 66),
+    "fvb20_basis": ("fvb_src", 20),
+    "fvb20_dev": ("__tr", 40),
+    "avg_vol_20w": ("volume", 20),
+}
+
+
+def slides(df: DataFrame, bars: Bars, names: Iterable[str], deviations: Mapping[str, tuple[str, int]] | None = None) -> DataFrame:
+    """Append sliding means by their names; a column that was there already is replaced."""
+    names = list(names)
+    return sliding(df.drop(*names), bars, {name: SLIDES[name] for name in names}, deviations)
 
 
-ALL_SLIDES = [
-    "sma_20", "sma_33", "fvb_basis", "fvb_dev", "fvb20_basis", "fvb20_dev", "avg_vol_20w", "__std_20",
-]
 BAR_COLUMNS = ["open", "high", "low", "volume", "trading_days"]
 
 
@@ -335,8 +326,8 @@ def append_indicators(df: DataFrame, bars: Bars, weekly: bool) -> DataFrame:
     """The whole chain.  Columns are grouped by the depth of their dependencies, so
     that each level is one window pass over the same sorted rows, and finished columns
     travel packed."""
-    df = with_price_basis(df).withColumns(_slides(bars, ALL_SLIDES))
-    packed = ["fvb_src", *ALL_SLIDES, *[c for c in BAR_COLUMNS if c in df.columns]]
+    df = slides(with_price_basis(df), bars, SLIDES, {"__std_20": ("close", 20)})
+    packed = ["fvb_src", *SLIDES, "__std_20", *[c for c in BAR_COLUMNS if c in df.columns]]
     df = df.withColumn("__src", F.col("fvb_src"))
     df = pack(df, packed)
     means = {
@@ -366,9 +357,9 @@ def append_indicators(df: DataFrame, bars: Bars, weekly: bool) -> DataFrame:
 
 def append_signal_inputs(df: DataFrame, bars: Bars) -> DataFrame:
     """Only the weekly columns that signals, cycles and the screens read."""
-    slides = ["fvb_basis", "fvb_dev", "fvb20_basis"]
-    df = with_price_basis(df).withColumns(_slides(bars, slides))
-    df = pack(df.withColumn("__src", F.col("fvb_src")), [*slides, "open", "high", "low"])
+    bases = ["fvb_basis", "fvb_dev", "fvb20_basis"]
+    df = slides(with_price_basis(df), bars, bases)
+    df = pack(df.withColumn("__src", F.col("fvb_src")), [*bases, "open", "high", "low"])
     means = {"fvb_smooth_vwap": ("__src", 5), "__tr_ema": ("__tr", 66)}
     df = unpack(oscillators(df, bars, chart=True, months=True, means=means))
     bands = {k: v for k, v in _bands("fvb").items() if k.endswith("thresh")}
@@ -378,7 +369,7 @@ def append_signal_inputs(df: DataFrame, bars: Bars) -> DataFrame:
             **_targets(),
             "fvb_band_green": flag(F.col("fvb_smooth_vwap") >= F.col("fvb_basis")),
         }
-    ).drop("__src", "__tr", "__tr_ema", "fvb_smooth_vwap", "fvb_src", *slides)
+    ).drop("__src", "__tr", "__tr_ema", "fvb_smooth_vwap", "fvb_src", *bases)
 
 
 def compute_indicators(candles: DataFrame, period: str) -> DataFrame:

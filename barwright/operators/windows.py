@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -195,6 +195,69 @@ def rolling_std(x: Column, n: int, bars: Bars) -> Column:
     return F.when(F.count(x).over(bars.last(n)) == n, F.stddev_samp(x).over(bars.last(n)))
 
 
+BLOCK = 4
+
+
+def _balanced(terms: list[str]) -> str:
+    """A sum added up pair by pair, so that n equal terms give n times the term."""
+    if len(terms) == 1:
+        return terms[0]
+    half = (len(terms) + 1) // 2
+    return f"({_balanced(terms[:half])} + {_balanced(terms[half:])})"
+
+
+def sliding(
+    df: DataFrame, bars: Bars, means: Mapping[str, tuple[str, int]], deviations: Mapping[str, tuple[str, int]] | None = None
+) -> DataFrame:
+    """Append means and sample standard deviations of the last n bars (output -> (SQL input, n)),
+    the figures of ``sma`` and ``rolling_std``, for long frames and many of them.
+
+    A frame that slides is added up anew on every row.  Here each row adds up its block of four
+    bars once, and a frame is put together from every fourth row's block: two passes of lags.  Values
+    are only ever added, so nothing is left behind by bars that have gone out of the frame, and a
+    missing value makes a sum NULL just as long as it is in the frame."""
+    deviations = dict(deviations or {})
+    kept = [f"`{c}`" for c in df.columns]
+    values = {x: f"__v{i}" for i, x in enumerate(dict.fromkeys(x for x, _ in [*means.values(), *deviations.values()]))}
+    spread = {values[x] for x, _ in deviations.values()}
+    over = f"over ({bars.sql_order})"
+    needed: dict[tuple[str, int], str] = {}
+
+    def back(column: str, k: int) -> str:
+        return needed.setdefault((column, k), f"{column}_{k}") if k else column
+
+    def fetched(df: DataFrame) -> DataFrame:
+        df = df.selectExpr("*", *[f"lag({c}, {k}) {over} as {name}" for (c, k), name in needed.items()])
+        needed.clear()
+        return df
+
+    df = df.selectExpr("*", *[f"cast({x} as double) as {v}" for x, v in values.items()])
+    blocks = {v: [back(v, k) for k in range(BLOCK)] for v in values.values()}
+    df = fetched(df).selectExpr(
+        *kept, *blocks, *[f"{_balanced(b)} as {v}s" for v, b in blocks.items()],
+        *[f"{_squares(b, f'{_balanced(b)} / {BLOCK}D')} as {v}q" for v, b in blocks.items() if v in spread],
+    )
+    results = []
+    for outputs, finish in ((means, None), (deviations, "q")):
+        for out, (x, n) in outputs.items():
+            v, full = values[x], n // BLOCK
+            sums = [back(f"{v}s", BLOCK * j) for j in range(full)]
+            rest = [back(v, k) for k in range(BLOCK * full, n)]
+            mean = f"({_balanced([*sums, *rest])} / {n}D)"
+            if finish is None:
+                results.append(f"{mean} as {out}")
+                continue
+            inside = [back(f"{v}q", BLOCK * j) for j in range(full)]
+            between = _squares([f"({s} / {BLOCK}D)" for s in sums], mean, f"{BLOCK}D * ") if sums else "0D"
+            squares = _balanced([*inside, between, *([_squares(rest, mean)] if rest else [])])
+            results.append(f"sqrt({squares} / nullif({n}D - 1D, 0D)) as {out}")
+    return fetched(df).selectExpr(*kept, *results)
+
+
+def _squares(terms: list[str], mean: str, weight: str = "") -> str:
+    return weight + _balanced([f"({t} - {mean}) * ({t} - {mean})" for t in terms])
+
+
 def rolling_high(x: Column, n: int, bars: Bars) -> Column:
     return F.max(x).over(bars.last(n))
 
@@ -401,8 +464,9 @@ def wilder_rsi(
     )
     df, counts = value_counters(df, bars, ["__up"], differences=["__up"])
     counter = counts["__up"]
+    fallen = replace(counter, value=bars.own("__down"))  # as many as of the other, but its own values
     df = recursive_means(
-        df, bars, {"__gain": ("__up", 1.0 / n, counter), "__loss": ("__down", 1.0 / n, counter)}
+        df, bars, {"__gain": ("__up", 1.0 / n, counter), "__loss": ("__down", 1.0 / n, fallen)}
     )
     value = rsi_from_means("__gain", "__loss")
     return df.selectExpr(*kept, f"if({counter.seen} >= {n}, {value}, null) as {out}")

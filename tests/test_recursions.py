@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -181,3 +182,39 @@ def test_a_span_that_is_too_short_for_the_layout_is_refused(spark):
     df, bars = win.lay_out(spark.createDataFrame([("A", dt.date(2000, 1, 1), 1.0)], "symbol string, date date, close double"), "date")
     with pytest.raises(ValueError):
         win.ema(df, bars, {"e": ("close", 3)})
+
+
+def test_sliding_means_and_deviations_equal_plain_frames(spark):
+    closes = walk(5, 90)
+    closes[40] = None
+    closes[70] = 1e15  # leaves nothing behind once it is out of the frame
+    histories = {"A": closes, "B": [0.1] * 90, "C": walk(6, 3)}
+    rows = [
+        (symbol, START + dt.timedelta(days=7 * i), c) for symbol, xs in histories.items() for i, c in enumerate(xs)
+    ]
+    df = spark.createDataFrame(rows, "symbol string, week_start date, close double")
+    lengths = (1, 3, 4, 5, 20, 33)
+    slid = win.sliding(
+        df, win.PLAIN_WEEKLY, {f"mean_{n}": ("close", n) for n in lengths}, {f"std_{n}": ("close", n) for n in lengths if n > 1}
+    )
+    assert slid.columns[:3] == ["symbol", "week_start", "close"]
+    for r in slid.collect():
+        i = (r["week_start"] - START).days // 7
+        for n in lengths:
+            frame = histories[r["symbol"]][max(0, i + 1 - n): i + 1]
+            known = len(frame) == n and None not in frame
+            assert r[f"mean_{n}"] == (pytest.approx(sum(frame) / n, rel=1e-13) if known else None)
+            if n > 1:
+                assert r[f"std_{n}"] == (pytest.approx(statistics.stdev(frame), rel=1e-9, abs=1e-15) if known else None)
+
+
+def test_rsi_has_its_own_losses(spark):
+    closes = walk(9, 60)
+    df, bars = win.lay_out(frame(spark, {"A": closes}), "week_start", days_per_bar=7)
+    got = [r["rsi"] for r in win.wilder_rsi(df, bars, "close", 14, "rsi").orderBy("week_start").collect()]
+    gain = loss = None
+    for i, (was, now) in enumerate(itertools.pairwise(closes), 1):
+        up, down = max(now - was, 0.0), max(was - now, 0.0)
+        gain = up if gain is None else gain * 13 / 14 + up / 14
+        loss = down if loss is None else loss * 13 / 14 + down / 14
+        assert got[i] == (pytest.approx(100 - 100 / (1 + gain / loss), rel=1e-9) if i >= 14 else None)
