@@ -344,17 +344,11 @@ class Store:
         if batch is not None and self.was_applied(*batch):
             return
         ts = TIME_COLUMN["weekly" if "weekly" in table else "daily"]
-        fresh = self.staged(newest_record(flatten(landing), ["symbol", ts], keep_arrival=True))
-        rows, changed = fresh, fresh.select("symbol", ts)
         if self.exists(table):
-            stored = self.same_slices(table, fresh).drop(*SLICES)
-            if "arrival" not in stored.columns:
-                stored = stored.withColumn("arrival", F.lit(None).cast(fresh.schema["arrival"].dataType))
-            both = stored.unionByName(fresh, allowMissingColumns=True)
-            rows = self.staged(newest_record(both, ["symbol", ts], keep_arrival=True))
-            values = [c for c in rows.columns if c != "arrival"]
-            before = stored.unionByName(rows.limit(0), allowMissingColumns=True)
-            changed = self.staged(rows.select(*values).subtract(before.select(*values)).select("symbol", ts))
+            rows, changed = self._merged(self.staged(flatten(landing)), table, ts)
+        else:
+            rows = self.staged(newest_record(flatten(landing), ["symbol", ts], keep_arrival=True))
+            changed = rows.select("symbol", ts)
         if not changed.isEmpty():
             if table == "daily":  # marked first: a stop before the bars are written costs a recompute, not a change
                 since = changed.groupBy("symbol").agg(F.min(ts).alias("since"))
@@ -364,6 +358,26 @@ class Store:
             self._apply(*batch)
         self.clean()
 
+    def _merged(self, fresh: DataFrame, table: str, ts: str) -> tuple[DataFrame, DataFrame]:
+        """Staged rows of the slices that landed bars fall into, the newest record per (symbol, time), and
+        those (symbol, time) whose values are not those of the newest stored record.  Landed and stored
+        rows meet in one exchange, which finds both."""
+        stored = self.same_slices(table, fresh).drop(*SLICES)
+        if "arrival" not in stored.columns:
+            stored = stored.withColumn("arrival", F.lit(None).cast(fresh.schema["arrival"].dataType))
+        mine = stored.withColumn("__stored", F.lit(True))
+        both = mine.unionByName(fresh.withColumn("__stored", F.lit(False)), allowMissingColumns=True)
+        rest = [c for c in both.columns if c not in ("symbol", ts, "arrival", "__stored")]
+        record = F.struct("arrival", *rest)
+        newest = both.groupBy("symbol", ts).agg(
+            F.max(record).alias("r"), F.max(F.when(F.col("__stored"), record)).alias("was")
+        )
+        same = F.col("was").isNotNull()
+        for c in rest:
+            same = same & F.col("r")[c].eqNullSafe(F.col("was")[c])
+        rows = self.staged(newest.select("symbol", ts, "r.*", (~same).alias("__changed")))
+        return rows.drop("__changed"), rows.where("__changed").select("symbol", ts)
+
     def sync_sectors(self, landing: DataFrame) -> None:
         """Refresh sectors from a bulk file; a symbol the file lacks, or lists without a
         sector, stays in the table."""

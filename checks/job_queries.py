@@ -79,7 +79,7 @@ def _(x):
     from barwright.streaming.landing import drain_landing
 
     store = x.store()
-    first = x.daily().withColumn("arrival", F.lit(1))
+    first = x.settled(x.daily().withColumn("arrival", F.lit(1)))  # the lines are read once
     third = F.datediff("date", F.lit("1990-01-01").cast("date")) % 3 == 0
     fixed = first.where(third).withColumns({"volume": F.col("volume") + 1, "arrival": F.lit(2)})
     early = F.col("date") < F.lit("1998-01-01").cast("date")
@@ -97,8 +97,9 @@ def _(x):
 @register("ingest_late_record", query(f"SELECT {columns('symbol date ' + BAR)} FROM daily"))
 def _(x):
     store = x.store()
-    store.ingest_bars(x.daily().withColumn("arrival", F.lit(2)))
-    store.ingest_bars(x.daily().withColumns({"arrival": F.lit(1), "close": F.lit(-1.0)}))
+    daily = x.settled(x.daily())  # the lines are read once
+    store.ingest_bars(daily.withColumn("arrival", F.lit(2)))
+    store.ingest_bars(daily.withColumns({"arrival": F.lit(1), "close": F.lit(-1.0)}))
     return store.read("daily")
 
 

@@ -174,3 +174,23 @@ def test_a_half_done_replacement_is_finished(spark):
     spark.range(4).write.parquet(store.path("small.next"))
     store._rename(store.path("small"), store.path("small.old"))
     assert store.read("small").count() == 4 and not store.exists("other")
+
+
+def test_a_load_stages_landed_and_merged_rows_once(spark, monkeypatch):
+    """Landed and stored bars meet in one pass, which also finds what has changed."""
+    store = Store(spark, new_workspace(spark), buckets=2)
+    schema = "symbol string, date date, close double, arrival int"
+    days = [dt.date(2020, 1, d) for d in (6, 7, 8)]
+    store.ingest_bars(spark.createDataFrame([("A", d, 1.0, 2) for d in days] + [("B", days[0], None, 2)], schema))
+    store.clear_dirty(store.read("daily").select("symbol").distinct(), "weekly_rolled", store.newest_mark())
+    staged = []
+    once = Store.staged
+    monkeypatch.setattr(Store, "staged", lambda self, df: staged.append(df.columns) or once(self, df))
+    landing = [("A", days[0], 9.0, 1), ("A", days[1], 5.0, 3), ("A", days[2], 1.0, 3), ("A", days[2], 8.0, 0), ("B", days[0], None, 4), ("C", days[0], 7.0, 1)]
+    store.ingest_bars(spark.createDataFrame(landing, schema))
+    assert len(staged) == 2
+    assert rows(store.read("daily")) == [
+        ("1.0", "2020-01-06", "A"), ("1.0", "2020-01-08", "A"), ("5.0", "2020-01-07", "A"), ("7.0", "2020-01-06", "C"), ("None", "2020-01-06", "B")
+    ]
+    marks = {(r["symbol"], r["since"]) for r in store.read_dirty("weekly_rolled").collect()}
+    assert marks == {("A", days[1]), ("C", days[0])}
