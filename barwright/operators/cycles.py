@@ -48,19 +48,25 @@ def cycle_levels(bars: Bars) -> list[list[str]]:
 
 def with_drawdown(df: DataFrame, bars: Bars | None = None) -> DataFrame:
     """``__drawdown``: lowest low against the running peak close of the same run, in
-    percent.  Runs need their own sort, but stay in the symbol's partition.  Run 0 of a seeded
-    frame goes on from the stored peak and drawdown."""
-    run = Window.partitionBy("symbol", "__run").orderBy(ERA, "week_start").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
+    percent.  Runs are numbered in the order of time, so the greatest (run, close) so far holds the
+    peak of the present run, and the rows need no sort by runs.  Run 0 of a seeded frame goes on
+    from the stored peak and drawdown."""
+    upto = Window.partitionBy("symbol").orderBy(ERA, "week_start").rowsBetween(Window.unboundedPreceding, 0)
+
+    def highest(x: Column) -> Column:
+        return F.max(F.struct("__run", x.alias("x"))).over(upto)["x"]
+
+    def lowest(x: Column) -> Column:
+        return F.min(F.struct(-F.col("__run"), x.isNull(), x.alias("x"))).over(upto)["x"]
+
     if bars is None or not bars.seeded:
-        peak = df.withColumn("__peak", F.max("close").over(run))
+        peak = df.withColumn("__peak", highest(F.col("close")))
         dip = ratio(F.col("low"), F.col("__peak")) - 1.0
-        return peak.withColumn("__drawdown", F.min(dip).over(run) * 100.0)
+        return peak.withColumn("__drawdown", lowest(dip) * 100.0)
     goes_on = F.col("__run") == 0
-    df = df.withColumn("__peak", F.greatest(F.max(F.expr(bars.own("close"))).over(run), F.when(goes_on, F.col(f"{SEED}.peak"))))
+    df = df.withColumn("__peak", F.greatest(highest(F.expr(bars.own("close"))), F.when(goes_on, F.col(f"{SEED}.peak"))))
     dip = F.when(~F.col(HALO), ratio(F.col("low"), F.col("__peak")) - 1.0)
-    return df.withColumn("__drawdown", F.least(F.min(dip).over(run) * 100.0, F.when(goes_on, F.col(f"{SEED}.drawdown"))))
+    return df.withColumn("__drawdown", F.least(lowest(dip) * 100.0, F.when(goes_on, F.col(f"{SEED}.drawdown"))))
 
 
 def closing_marks() -> dict[str, Column]:

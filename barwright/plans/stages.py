@@ -16,7 +16,7 @@ from barwright.operators.cycles import (
     finish_cycle_stats,
     with_drawdown,
 )
-from barwright.operators.indicators import append_signal_inputs, compute_indicators
+from barwright.operators.indicators import append_indicators, append_signal_inputs
 from barwright.operators.signals import (
     EXIT_GAIN,
     SIGNAL_COLUMNS,
@@ -88,9 +88,19 @@ def signals_from_indicators(weekly: DataFrame) -> DataFrame:
     return drop_internal(append_signal_stage(df, bars))
 
 
-def full_weekly(candles: DataFrame) -> DataFrame:
-    """Every weekly column: indicators, signals, cycles and statistics."""
-    return signals_from_indicators(compute_indicators(candles, "weekly"))
+def full_weekly(candles: DataFrame, newest_only: bool = False) -> DataFrame:
+    """Every weekly column: indicators, signals, cycles and statistics, on one layout of the bars.
+    ``newest_only`` keeps each symbol's last bar."""
+    df, bars = lay_out(candles, "week_start", days_per_bar=7)
+    laid_out = [NEWEST, ERA, CLOSE_WAS]
+    df = append_indicators(df, bars, weekly=True)
+    shown = [c for c in df.columns if not c.startswith("__")]
+    ohlcv = [c for c in candles.columns if c in shown]
+    df = df.select(*ohlcv, *[c for c in shown if c not in ohlcv], *laid_out)
+    df = append_signal_stage(df, bars)
+    if newest_only:
+        df = df.where(NEWEST)
+    return drop_internal(df)
 
 
 def build_snapshot(weekly: DataFrame) -> DataFrame:

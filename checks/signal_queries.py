@@ -427,4 +427,4 @@ FULL = [*ALL_DOUBLES, "tpx1", "tpx2", "sig_entry_price", "cycle_pct", *BT_DOUBLE
 def _(x):
     from barwright.plans.stages import build_snapshot
 
-    return build_snapshot(full_weekly(x.weekly()))
+    return build_snapshot(full_weekly(x.weekly(), newest_only=True))

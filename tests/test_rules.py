@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from barwright.functions.numeric import half_up, pct_from, ratio, round_doubles
 from barwright.operators import quality, signals
 from barwright.operators import windows as win
+from barwright.operators.cycles import with_drawdown
 from barwright.operators.indicators import compute_indicators
 from barwright.operators.portfolio import percent_rank_within, select_top_by_upside
 from barwright.operators.screens import position_summary
 from barwright.plans.stages import append_signal_stage, full_weekly
 from barwright.sources.candles import symbol_name
+from checks.registry import Inputs
 
 MONDAY = dt.date(2020, 1, 6)
 BAR = "symbol string, week_start date, high double, low double, close double, fvb_upper_thresh double, fvb_lower_thresh double, fvb_band_green int, bx_monthly_dark_red int, tpx1 double"
@@ -200,3 +202,19 @@ def test_band_order(spark, sf_dir):
         " and fvb_upper_thresh <= fvb_upper_x1 and fvb_upper_x1 <= fvb_upper_x2)"
     )
     assert wrong.count() == 0
+
+
+def test_all_weekly_columns_come_from_one_sort_of_the_bars(spark, sf_dir):
+    """Neither the second half of the chain nor the drawdown of cycles sorts the wide rows again."""
+    weekly = Inputs(spark, sf_dir).weekly()
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (full_weekly(weekly), weekly)]
+    assert plans[0].count("Sort [") == plans[1].count("Sort [") + 1
+
+
+def test_drawdown_of_each_run_starts_anew(spark):
+    closes = [(10.0, 9.0, 1), (20.0, 8.0, 1), (5.0, None, 2), (4.0, 1.0, 2), (None, 3.0, 2), (8.0, 2.0, 3)]
+    days = [(dt.date(2020, 1, 6) + dt.timedelta(days=7 * i), *c) for i, c in enumerate(closes)]
+    df = spark.createDataFrame([("A", 0, *d) for d in days], "symbol string, __era int, week_start date, close double, low double, __run bigint")
+    got = [r["__drawdown"] for r in with_drawdown(df).orderBy("week_start").collect()]
+    want = [-10.0, -60.0, None, -80.0, -80.0, -75.0]
+    assert got == [w if w is None else pytest.approx(w) for w in want]
