@@ -6,8 +6,10 @@ last pair.  Whether a window is kept depends on its own tokens only, so an edit
 anchors it touches and no others.  Three start marks stand before the first token, so that a
 text of n tokens has n windows and short texts have anchors as well.
 
-A fingerprint is the 64 smallest distinct anchor hashes.  Everything is built from array
-expressions; no Python runs on rows."""
+A fingerprint is the 64 smallest distinct anchor hashes, each with the place of its first anchor.  Two
+fingerprints match by place: of the hashes in both, those count whose places lie the commonest
+distance apart, so that passages in another order are not taken for the same text.  Everything is built from
+array expressions; no Python runs on rows."""
 
 from __future__ import annotations
 
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from barwright.llm.common import staged
 
 SKETCH = 64
+PLACE_BITS = 24  # the low bits of a fingerprint's entries: the place, counted modulo 2 ** 24
 EDGE_ROWS = 500_000  # rows of a range whose neighbours are found together
 
 
@@ -42,25 +45,53 @@ def anchors(df: DataFrame, text: str = "text", name: str = "anchors") -> DataFra
     return df.withColumn(name, F.filter(each, lambda a: a["hash"].isNotNull())).drop("__pairs")
 
 
+def _entry(hashed: Column, place: Column | int) -> Column:
+    """The leading 40 bits of a hash and a place as one long, ordered by hash, then place."""
+    places = F.lit((1 << PLACE_BITS) - 1).cast("long")
+    return hashed.bitwiseAND(F.bitwise_not(places)).bitwiseOR((F.lit(place) if isinstance(place, int) else place).cast("long").bitwiseAND(places))
+
+
+def _hash_of(entry: Column) -> Column:
+    return F.shiftright(entry, PLACE_BITS)
+
+
 def with_sketch(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Add the fingerprint of a text as an array of hashes.  A text so short that no window
-    is a syncmer has the hash of all its tokens."""
+    """Add the fingerprint of a text as an array of entries (hash and place of its first anchor).  A text
+    so short that no window is a syncmer has the hash of all its tokens, at place 0."""
     df = with_pairs(df, text, "__pairs")
-    each = F.filter(F.transform(F.col("__pairs"), lambda _, i: _anchor("__pairs", i)), lambda h: h.isNotNull())
-    df = df.withColumn(name, F.slice(F.sort_array(F.array_distinct(each)), 1, SKETCH))
-    return df.withColumn(name, F.when(F.size(name) > 0, F.col(name)).otherwise(F.array(F.xxhash64("__pairs")))).drop("__pairs")
+    each = F.transform(F.col("__pairs"), lambda _, i: _entry(_anchor("__pairs", i), i))
+    df = df.withColumn("__entries", F.sort_array(F.filter(each, lambda e: e.isNotNull())))
+    first = F.filter("__entries", lambda e, i: (i == 0) | (_hash_of(e) != _hash_of(F.get(F.col("__entries"), i - 1))))
+    df = df.withColumn(name, F.slice(first, 1, SKETCH))
+    whole = F.array(_entry(F.xxhash64("__pairs"), 0))
+    return df.withColumn(name, F.when(F.size(name) > 0, F.col(name)).otherwise(whole)).drop("__pairs", "__entries")
 
 
 def as_text(sketch: str) -> Column:
-    """A fingerprint as hexadecimal text, the leading 32 bits of each hash."""
-    return F.concat_ws("", F.transform(sketch, lambda h: F.lpad(F.hex(F.shiftrightunsigned(h, 32)), 8, "0")))
+    """A fingerprint as hexadecimal text: 10 digits of each hash and 6 of its place."""
+    return F.concat_ws("", F.transform(sketch, lambda e: F.lpad(F.hex(e), 16, "0")))
 
 
 def likeness(a: str, b: str) -> Column:
-    """Share of anchors that two texts have in common (Dice), estimated from the smallest
-    hashes of both; exact while neither has more than 64."""
-    smallest = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    shared = F.size(F.array_intersect(smallest, F.array_intersect(a, b)))
+    """Share of anchors that two texts have in common at one distance (Dice), estimated from the
+    smallest hashes of both; exact while neither has more than 64.
+
+    Of the hashes in both texts, those count whose places lie the commonest distance apart: the longest
+    run of equal distances, in order."""
+    hashes = {x: F.transform(x, _hash_of) for x in (a, b)}
+    smallest = F.slice(F.sort_array(F.array_union(hashes[a], hashes[b])), 1, SKETCH)
+    inside = F.array_intersect(smallest, F.array_intersect(hashes[a], hashes[b]))
+    # Entries ascend by hash, so those of the hashes in both stand in the same order in a and b.
+    mine, theirs = (F.filter(x, lambda e: F.array_contains(inside, _hash_of(e))) for x in (a, b))
+    places = F.lit((1 << PLACE_BITS) - 1).cast("long")
+    apart = F.sort_array(F.zip_with(mine, theirs, lambda x, y: (x - y).bitwiseAND(places)))
+    start = F.struct(F.lit(-1).cast("long").alias("at"), F.lit(0).alias("run"), F.lit(0).alias("longest"))
+
+    def step(acc: Column, d: Column) -> Column:
+        run = F.when(acc["at"] == d, acc["run"] + 1).otherwise(F.lit(1))
+        return F.struct(d.alias("at"), run.alias("run"), F.greatest(acc["longest"], run).alias("longest"))
+
+    shared = F.aggregate(apart, start, step, lambda acc: acc["longest"])
     return (2.0 * shared / F.greatest(shared + F.size(smallest), F.lit(1))).cast("double")
 
 

@@ -265,6 +265,34 @@ def test_shingles_of_short_rows():
     assert sets[0] == sets[1] != sets[2] and sets[3] == sets[4] == [] and len(sets[5]) == 2 and set(sets[6]) <= set(sets[5])
 
 
+def test_fingerprints_match_by_place(spark):
+    """A text with its passages in another order, one moved as a whole, and a plain count of the matches."""
+    import random
+
+    pick = random.Random(5)
+    words = lambda n: " ".join(f"w{pick.randrange(10**6)}" for _ in range(n))
+    passages = [words(20) for _ in range(4)]
+    rows = [(0, " ".join(passages), " ".join(reversed(passages))), (1, " ".join(passages), words(9) + " " + " ".join(passages)),
+            (2, passages[0], passages[0]), (3, passages[0], words(20)), (4, "", "")]
+    df = spark.createDataFrame(rows, "doc_id long, a string, b string")
+    for side in "ab":
+        df = syncmers.anchors(syncmers.with_sketch(df, side, f"s{side}"), side, f"places_{side}")
+    got = {r.doc_id: r for r in df.withColumn("near", syncmers.likeness("sa", "sb")).collect()}
+    for r in list(got.values())[:4]:
+        sides = []
+        for anchors in (r.places_a, r.places_b):
+            first = {}
+            for x in anchors:
+                first.setdefault(x.hash >> syncmers.PLACE_BITS, x.position)
+            sides.append(first)
+        mine, theirs = sides
+        small = sorted({*mine, *theirs})[: syncmers.SKETCH]
+        apart = [mine[h] - theirs[h] for h in small if h in mine and h in theirs]
+        shared = max((apart.count(d) for d in apart), default=0)
+        assert abs(r.near - 2 * shared / (shared + len(small))) < 1e-12, r.doc_id
+    assert got[0].near < 0.5 < 0.75 < got[1].near < 1 and got[2].near == got[4].near == 1.0 and got[3].near < 0.2
+
+
 def test_fingerprints(spark, odd, none):
     docs = odd.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     got = {r.doc_id: r for r in syncmers.fingerprints(docs).collect()}
