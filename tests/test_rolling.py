@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from barwright.plans import jobs, rolling
 from barwright.session import new_workspace
+from barwright.sources.candles import resample_weekly
 from barwright.sources.tables import Store
 
 BAR = "symbol string, date date, open double, high double, low double, close double, volume double, arrival int"
@@ -305,3 +306,13 @@ def test_a_replayed_batch_is_passed_over(spark):
     assert store.newest_mark() == mark + 1
     store.ingest_bars(first.withColumns({"close": F.lit(2.0), "arrival": F.lit(99)}), batch=("other", 1))
     assert store.newest_mark() == mark + 2
+
+
+def test_only_the_cut_carries_the_next_state(spark):
+    """The state as of the cut is built on one row per symbol, and the indicators' own columns end with them."""
+    weeks = resample_weekly(days(spark, "AB", 0, 400).drop("arrival"))
+    none = F.lit(None).cast(rolling.SEED_TYPE).alias(rolling.SEED)
+    out = rolling.with_state_columns(weeks.select("symbol", *rolling.BAR, F.lit(False).alias(rolling.HALO), none))
+    ages = [(r["symbol"], r[rolling.AGE]) for r in out.where("__after IS NOT NULL").select("symbol", rolling.AGE).collect()]
+    assert sorted(ages) == [("A", 1), ("B", 1)] and out.count() == weeks.count()
+    assert not {"__row", "__tr", "__src", "__mclose", "__done", "__ind"} & set(out.columns)
