@@ -80,7 +80,14 @@ def likeness(a: str, b: str) -> Column:
     run of equal distances, in order."""
     hashes = {x: F.transform(x, _hash_of) for x in (a, b)}
     smallest = F.slice(F.sort_array(F.array_union(hashes[a], hashes[b])), 1, SKETCH)
-    inside = F.array_intersect(smallest, F.array_intersect(hashes[a], hashes[b]))
+    both = F.array_intersect(smallest, F.array_intersect(hashes[a], hashes[b]))
+    found = F.struct(both.alias("inside"), F.size(smallest).alias("smallest"))
+    # A lambda works out what it refers to for each entry; bound by an outer one it is worked out once.
+    return F.get(F.transform(F.array(found), lambda f: _in_place(a, b, f["inside"], f["smallest"])), 0)
+
+
+def _in_place(a: str, b: str, inside: Column, smallest: Column) -> Column:
+    """Dice over the hashes ``inside`` both that agree on the commonest distance."""
     # Entries ascend by hash, so those of the hashes in both stand in the same order in a and b.
     mine, theirs = (F.filter(x, lambda e: F.array_contains(inside, _hash_of(e))) for x in (a, b))
     places = F.lit((1 << PLACE_BITS) - 1).cast("long")
@@ -92,7 +99,7 @@ def likeness(a: str, b: str) -> Column:
         return F.struct(d.alias("at"), run.alias("run"), F.greatest(acc["longest"], run).alias("longest"))
 
     shared = F.aggregate(apart, start, step, lambda acc: acc["longest"])
-    return (2.0 * shared / F.greatest(shared + F.size(smallest), F.lit(1))).cast("double")
+    return (2.0 * shared / F.greatest(shared + smallest, F.lit(1))).cast("double")
 
 
 def neighbours(keys: DataFrame) -> DataFrame:

@@ -293,6 +293,13 @@ def test_fingerprints_match_by_place(spark):
     assert got[0].near < 0.5 < 0.75 < got[1].near < 1 and got[2].near == got[4].near == 1.0 and got[3].near < 0.2
 
 
+def test_common_hashes_are_worked_out_once(spark):
+    """Not for each entry: what a lambda refers to is evaluated with every call of it."""
+    df = spark.createDataFrame([([1 << 24], [1 << 24])], "sa array<long>, sb array<long>").select(syncmers.likeness("sa", "sb").alias("near"))
+    for call in df._jdf.queryExecution().optimizedPlan().toString().split("array_contains(")[1:]:
+        assert not call.startswith("array_intersect")
+
+
 def test_fingerprints(spark, odd, none):
     docs = odd.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     got = {r.doc_id: r for r in syncmers.fingerprints(docs).collect()}
