@@ -28,6 +28,16 @@ def select_candles(
     return df
 
 
+BARS_PER_TASK = 250_000
+
+
+def by_symbol(bars: DataFrame) -> DataFrame:
+    """Stored bars dealt by symbol into parts of some ``BARS_PER_TASK`` rows.  Joins and groups by symbol, or
+    by symbol and week, then need no exchange of their own, and what a task keeps in sorters and hash
+    tables depends neither on the number of bars nor on a session's settings."""
+    return bars.repartition(1 + bars.count() // BARS_PER_TASK, "symbol")
+
+
 def register_views(daily: DataFrame, weekly: DataFrame) -> None:
     daily.createOrReplaceTempView("daily")
     weekly.createOrReplaceTempView("weekly")

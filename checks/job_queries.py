@@ -10,7 +10,7 @@ from barwright.plans import jobs, rolling
 from barwright.operators.indicators import compute_indicators
 from barwright.plans.stages import build_snapshot
 from barwright.sources import tables
-from barwright.sources.candles import resample_monthly_close, resample_weekly
+from barwright.sources.candles import by_symbol, resample_monthly_close, resample_weekly
 from checks import base_sql
 from checks.base_sql import columns, query, rounded, table
 from checks.registry import Inputs, register
@@ -263,7 +263,7 @@ RECONCILED = query(f"""SELECT symbol, week_start, {rounded('a')} AS source_close
 
 
 def four_layers(x: Inputs):
-    daily = x.settled(x.daily())  # the lines are read once; all layers start from stored bars
+    daily = by_symbol(x.settled(x.daily()))  # the lines are read once; all layers start from stored bars
     state = daily.groupBy("symbol").agg(F.max("date").alias("newest"))
     shift = (number() % 3 * 7).cast("int")
     dated = daily.join(state, "symbol")

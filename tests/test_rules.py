@@ -14,6 +14,7 @@ from barwright.operators.indicators import compute_indicators
 from barwright.operators.portfolio import percent_rank_within, select_top_by_upside
 from barwright.operators.screens import position_summary
 from barwright.plans.stages import append_signal_stage, full_weekly
+from barwright.sources import candles
 from barwright.sources.candles import symbol_name
 from checks.registry import Inputs
 
@@ -218,3 +219,13 @@ def test_drawdown_of_each_run_starts_anew(spark):
     got = [r["__drawdown"] for r in with_drawdown(df).orderBy("week_start").collect()]
     want = [-10.0, -60.0, None, -80.0, -80.0, -75.0]
     assert got == [w if w is None else pytest.approx(w) for w in want]
+
+
+def test_parts_of_stored_bars_follow_their_number(spark, monkeypatch):
+    monkeypatch.setattr(candles, "BARS_PER_TASK", 100)
+    for n in (300, 1200):
+        bars = spark.range(n).selectExpr("concat('S', id % 40) as symbol", "id")
+        parts = candles.by_symbol(bars)
+        assert parts.rdd.getNumPartitions() == 1 + n // 100 and parts.count() == n
+        plan = parts.groupBy("symbol", "id").count()._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1  # the groups need none of their own
