@@ -108,9 +108,10 @@ def signals_by_slice(df: DataFrame, slice_column: str = "slice") -> DataFrame:
         F.max_by("__opened", "week_start").alias("__opened"), F.max("__trade_here").alias("__trades")
     )
     order = Window.partitionBy("symbol").orderBy(slice_column).rowsBetween(Window.unboundedPreceding, -1)
-    before = carried_in(ends, slice_column, {"__opened": "__open_before"}).join(
-        ends.select("symbol", slice_column, F.coalesce(F.sum("__trades").over(order), F.lit(0)).alias("__trades_before")),
-        ["symbol", slice_column],
+    # One frame: what the bars of a slice come to is worked out once for both columns.
+    before = ends.select(
+        "symbol", slice_column, F.last("__opened", ignorenulls=True).over(order).alias("__open_before"),
+        F.coalesce(F.sum("__trades").over(order), F.lit(0)).alias("__trades_before"),
     )
     both = own.join(before, ["symbol", slice_column]).withColumn("__entry", F.coalesce("__opened", "__open_before"))
     both = both.withColumns({

@@ -148,6 +148,16 @@ def test_any_cut_gives_the_same_positions_trades_and_cycles(spark, width):
     same(stats, whole.select(stats.columns).distinct(), ("symbol",))
 
 
+def test_ends_of_slices_are_worked_out_once(spark):
+    """Three groupings: the maps of the slices, for their bars and for where they end, and these ends."""
+    from barwright.operators import slices
+
+    columns = "symbol string, week_start date, slice int, high double, close double, fvb_band_green int, bx_monthly_dark_red int, tpx1 double"
+    bars = spark.createDataFrame([], columns + ", fvb_lower_thresh double, fvb_upper_thresh double")
+    plan = slices.signals_by_slice(bars)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Aggregate [") == 3
+
+
 def test_maps_compose_in_any_grouping(spark):
     import itertools
 
