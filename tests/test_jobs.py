@@ -194,3 +194,16 @@ def test_a_load_stages_landed_and_merged_rows_once(spark, monkeypatch):
     ]
     marks = {(r["symbol"], r["since"]) for r in store.read_dirty("weekly_rolled").collect()}
     assert marks == {("A", days[1]), ("C", days[0])}
+
+
+def test_snapshot_reads_whole_rows_of_few_slices_only(spark):
+    """The newest bar of a symbol that ended early or has no week is found as well."""
+    store = Store(spark, new_workspace(spark), buckets=2)
+    weeks = [dt.date(y, 3, 1) - dt.timedelta(days=dt.date(y, 3, 1).weekday()) for y in range(1990, 2002)]
+    bars = [(s, w, float(i)) for s in "ABCDEF" for i, w in enumerate(weeks)]
+    bars += [("GONE", weeks[4], 7.0), ("NEVER", None, 8.0), (None, weeks[2], 9.0)]
+    store.write_bars(spark.createDataFrame(bars, "symbol string, week_start date, close double"), "weekly")
+    whole = jobs.newest_slices(store, "weekly")
+    assert {r[0] for r in whole.select(F.year("week_start")).distinct().collect()} == {1994, 1992, 2001, None}
+    assert jobs.write_snapshot(store) == 9
+    assert rows(store.read("weekly_snapshot")) == rows(jobs.build_snapshot(store.read("weekly")))
