@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import random
+import re
 import statistics
 
 import pytest
@@ -208,6 +209,21 @@ def test_sliding_means_and_deviations_equal_plain_frames(spark):
                 assert r[f"std_{n}"] == (pytest.approx(statistics.stdev(frame), rel=1e-9, abs=1e-15) if known else None)
 
 
+def test_sliding_frames_need_few_distances_of_lags(spark):
+    """Each distance is compiled by itself, and Spark keeps a hundred compiled classes."""
+    df = spark.createDataFrame([("A", START, 1.0)], "symbol string, week_start date, close double")
+    slid = win.sliding(df, win.PLAIN_WEEKLY, {f"m{n}": ("close", n) for n in (20, 33, 40, 66)}, {"std": ("close", 20)})
+    plan = slid._jdf.queryExecution().optimizedPlan().toString()
+    assert len(set(re.findall(r"specifiedwindowframe\(RowFrame, (-\d+), -\d+\)", plan))) <= 10
+
+
+def test_constant_values_have_exact_means_in_long_frames(spark):
+    rows = [("A", START + dt.timedelta(days=7 * i), 0.1) for i in range(80)]
+    df = spark.createDataFrame(rows, "symbol string, week_start date, close double")
+    last = win.sliding(df, win.PLAIN_WEEKLY, {f"m{n}": ("close", n) for n in (20, 33, 40, 66)}).orderBy("week_start").tail(1)[0]
+    assert [last[f"m{n}"] for n in (20, 33, 40, 66)] == [0.1] * 4
+
+
 def test_rsi_has_its_own_losses(spark):
     closes = walk(9, 60)
     df, bars = win.lay_out(frame(spark, {"A": closes}), "week_start", days_per_bar=7)
