@@ -18,8 +18,10 @@ pieces have is spread over many tasks."""
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ from barwright.llm.tokens import ENCODE_BYTES, encode_rows
 
 RANK_ROWS = 200_000  # pieces a ranking task gets on average
 BLOCK_IDS = 4_000_000  # ids of a block
+BATCH_IDS = 250_000  # ids that leave a task at a time
 FULL = 0.98  # share of the capacity from which a sequence of a block is left as it is
 
 
@@ -140,9 +143,10 @@ def ranked(rows: DataFrame, keys: list[str], order: list[str], total: int) -> Da
     return numbered.join(sizes, [*keys, "__salt"]).withColumn("rank", F.col("__base") + F.col("__i")).drop("__salt", "__base", "__i")
 
 
-def block_sequences(block: dict[str, np.ndarray], capacity: int) -> tuple[pa.RecordBatch, int]:
+def block_sequences(block: dict[str, np.ndarray], capacity: int) -> tuple[Iterator[pa.RecordBatch], int]:
     """Sequences of one block: those filled enough, and for the rest a row per piece (``done`` is
-    false, with the crc of its ids).  ``sequence_id`` counts from 0; also returns how many there are."""
+    false, with the crc of its ids).  ``sequence_id`` counts from 0; also returns how many there are.
+    Ids are put together for some ``BATCH_IDS`` at a time, so that a block is never held twice."""
     length = block["length"]
     plan = Plan(dict(zip(*(x.tolist() for x in np.unique(length, return_counts=True)), strict=True)), capacity)
     by_length = np.argsort(length, kind="stable")
@@ -157,25 +161,36 @@ def block_sequences(block: dict[str, np.ndarray], capacity: int) -> tuple[pa.Rec
     row = np.where(done[sequence], sequence, plan.sequences + np.arange(len(length)))
     offset = np.where(done[sequence], offset, 0)
     order = np.lexsort((offset, row))
-    edges = np.flatnonzero(np.diff(row[order], prepend=-1))
-    at = np.append(0, np.cumsum(length))[:-1][order]
-    size = length[order]
-    total = np.cumsum(size)
-    ids = block["ids"][np.repeat(at - (total - size), size) + np.arange(total[-1])]
-    parts = pa.StructArray.from_arrays(
-        [pa.array(offset[order]), pa.array(block["doc_id"][order], mask=~block["known"][order]),
-         *(pa.array(block[c][order]) for c in ("piece", "start", "length"))],
-        ["offset", "doc_id", "piece", "start", "length"],
-    )
-    id_edges = np.append((total - size)[edges], total[-1])
-    finished = done[sequence[order][edges]]
-    view = memoryview(ids.astype("<u4", copy=False)).cast("B")
-    crc = [0 if f else zlib.crc32(view[4 * a : 4 * b]) for a, b, f in zip(id_edges[:-1], id_edges[1:], finished, strict=True)]
-    return pa.RecordBatch.from_pydict({
-        "sequence_id": pa.array(np.where(finished, row[order][edges], -1)), "done": pa.array(finished), "crc": pa.array(crc, pa.int64()),
-        "ids": pa.ListArray.from_arrays(id_edges.astype(np.int32), pa.array(ids.astype(np.int32))),
-        "pieces": pa.ListArray.from_arrays(np.append(edges, len(order)).astype(np.int32), parts),
-    }), plan.sequences
+    edges = np.append(np.flatnonzero(np.diff(row[order], prepend=-1)), len(order))
+    begin_id = np.append(0, np.cumsum(length))[:-1][order]
+    total = np.append(0, np.cumsum(length[order]))
+
+    def rows(low: int, high: int) -> pa.RecordBatch:
+        """The rows from one edge to another."""
+        mine = order[edges[low] : edges[high]]
+        size = length[mine]
+        upto = np.cumsum(size)
+        at = begin_id[edges[low] : edges[high]]
+        ids = block["ids"][np.repeat(at - (upto - size), size) + np.arange(upto[-1])]
+        parts = pa.StructArray.from_arrays(
+            [pa.array(offset[mine]), pa.array(block["doc_id"][mine], mask=~block["known"][mine]),
+             *(pa.array(block[c][mine]) for c in ("piece", "start", "length"))],
+            ["offset", "doc_id", "piece", "start", "length"],
+        )
+        first = edges[low:high] - edges[low]
+        id_edges = np.append((upto - size)[first], upto[-1])
+        finished = done[sequence[mine][first]]
+        view = memoryview(ids.astype("<u4", copy=False)).cast("B")
+        crc = [0 if f else zlib.crc32(view[4 * a : 4 * b]) for a, b, f in zip(id_edges[:-1], id_edges[1:], finished, strict=True)]
+        return pa.RecordBatch.from_pydict({
+            "sequence_id": pa.array(np.where(finished, row[mine][first], -1)), "done": pa.array(finished), "crc": pa.array(crc, pa.int64()),
+            "ids": pa.ListArray.from_arrays(id_edges.astype(np.int32), pa.array(ids.astype(np.int32, copy=False))),
+            "pieces": pa.ListArray.from_arrays(np.append(first, len(mine)).astype(np.int32), parts),
+        })
+
+    # A row ends at most ``capacity`` ids after the mark of its batch.
+    cuts = np.unique(np.append(np.searchsorted(total[edges], np.arange(0, total[-1], BATCH_IDS)), len(edges) - 1))
+    return (rows(a, b) for a, b in itertools.pairwise(cuts.tolist())), plan.sequences
 
 
 def packed_sequences(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
@@ -193,21 +208,21 @@ def packed_sequences(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity
 
         def close():
             nonlocal base
-            block = {name: np.concatenate([h[name] for h in held]) for name in held[0]}
-            batch, n = block_sequences(block, capacity)
-            numbers = pa.array(np.asarray(batch.column("sequence_id")) + base)
+            block = {name: np.concatenate([h.pop(name) for h in held]) for name in list(held[0])}
+            batches, n = block_sequences(block, capacity)
+            for batch in batches:
+                yield batch.set_column(0, "sequence_id", pa.array(np.asarray(batch.column("sequence_id")) + base))
             base += n
-            return batch.set_column(0, "sequence_id", numbers)
 
         for part in slices(batches, size=ENCODE_BYTES):
             if part.num_rows:
                 held.append(pieces_in(part, vocabulary, end_id, capacity))
                 size += len(held[-1]["ids"])
             if size >= BLOCK_IDS:
-                yield close()
+                yield from close()
                 held, size = [], 0
         if held:
-            yield close()
+            yield from close()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     first = staged(rows.mapInArrow(blocks, schema), "blocks")

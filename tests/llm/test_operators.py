@@ -686,3 +686,26 @@ def test_licences_equal_plain_scoring(spark):
         want.append((i, family, pytest.approx(float(chance.max()), abs=1e-5), pytest.approx(max(shares))))
     got = sorted((r.doc_id, r.family, r.probability, r.template_share) for r in licences.scan(rows_of(spark, lines), model).collect())
     assert len(want) > 20 and len(got) == len(want) and all(g == w for g, w in zip(got, want, strict=True))
+
+
+def test_blocks_leave_in_batches_of_few_ids():
+    """The rows do not depend on it: ids, pieces and places of a block in any batches."""
+    lengths = np.array([1024] * 300 + [700, 300, 24] * 150 + [9] * 40)
+    block = {
+        "doc_id": np.arange(len(lengths)), "known": np.arange(len(lengths)) % 7 > 0, "piece": np.zeros(len(lengths), np.int32),
+        "start": np.zeros(len(lengths), np.int64), "length": lengths, "ids": np.arange(lengths.sum(), dtype=np.uint32),
+    }
+    batches, n = packing.block_sequences(block, 1024)
+    batches = list(batches)
+    sizes = [len(b.column("ids").flatten()) for b in batches]
+    assert len(batches) > 1 and max(sizes) <= packing.BATCH_IDS + 1024 and sum(sizes) == lengths.sum()
+    begin = np.append(0, np.cumsum(lengths))
+    names, docs = [], []
+    for r in (r for b in batches for r in b.to_pylist()):
+        names += [r["sequence_id"]] if r["done"] else []
+        for p in r["pieces"]:
+            found = r["ids"][p["offset"]: p["offset"] + p["length"]]
+            docs.append(found[0])
+            at = int(np.searchsorted(begin, found[0]))
+            assert found == list(range(begin[at], begin[at + 1])) and p["doc_id"] == (at if at % 7 else None)
+    assert sorted(docs) == begin[:-1].tolist() and len(set(names)) == len(names) and max(names) < n
