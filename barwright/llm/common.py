@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barwright.session import new_workspace
+from barwright.session import new_workspace, shuffles_go
 
 SLICE_BYTES = 2_000_000
 
@@ -29,7 +29,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: a cut of the lineage that
     outlives any executor."""
     place = f"{new_workspace(df.sparkSession)}/{name}"
-    df.write.parquet(place)
+    with shuffles_go(df.sparkSession):
+        df.write.parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 

@@ -238,6 +238,25 @@ def _apart(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     members = rows.groupBy("pivot", "node").agg(*[F.first(c).alias(c) for c in ("n", "pivot_n", "component", "pivot_component")])
     members = members.where("pivot != node").withColumn("outside", F.col("component") != F.col("pivot_component"))
     apart = staged(_differences(members, sets), "differences")
+    met = _candidates(apart, percent)
+    # Two sets differ exactly in what only one of their differences from the pivot has.
+    left = apart.select("pivot", F.col("node").alias("a"), F.col("n").alias("na"), F.col("parts").alias("pa"))
+    right = apart.select("pivot", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parts").alias("pb"))
+    both = met.join(left, ["pivot", "a"]).join(right, ["pivot", "b"])
+    differing = F.size("pa") + F.size("pb") - 2 * F.size(F.array_intersect("pa", "pb"))
+    total = F.col("na") + F.col("nb")
+    # common = (total - differing) / 2 and union = (total + differing) / 2
+    linked = 100 * (total - differing) >= percent * (total + differing)
+    found = staged(both.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "apart")
+    drop_staged(apart)
+    return found
+
+
+def _candidates(apart: DataFrame, percent: int) -> DataFrame:
+    """Pairs (pivot, a, b) that may link: they share one of their rarest parts.  All that they share comes
+    at or after the first part they share, so its places say how much they can share at most; a pair for
+    which that is too little for a link is not formed at this part.  Where edits were made
+    independently, most parts of a class are its own and come first, so hardly any pair is left."""
     parts = apart.select("pivot", "node", F.explode("parts").alias("part"))
     seen = parts.groupBy("pivot", "part").agg(F.count(F.lit(1)).alias("seen"))
     order = Window.partitionBy("pivot", "node").orderBy("seen", "part")
@@ -248,22 +267,15 @@ def _apart(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     least = F.greatest(F.floor((1 - s) / 2 * size - 1e-6) + 1, F.lit(1))
     outside_least = F.greatest(F.ceil((size - s * (F.col("n") + F.col("pivot_n")) + 1 - s) / 2 - 1e-6), F.lit(1))
     about = apart.select(
-        "pivot", "node", "n", "component", "outside", (size - least + 1).alias("inside_i"), (size - outside_least + 1).alias("outside_i")
+        "pivot", "node", "n", "component", "outside", size.alias("d"), (size - least + 1).alias("inside_i"), (size - outside_least + 1).alias("outside_i")
     )
     keyed = ranked.join(about, ["pivot", "node"])
-    out = keyed.where("outside AND i <= outside_i").select("pivot", "part", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    every = keyed.where("i <= inside_i").select("pivot", "part", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    met = out.join(every, ["pivot", "part"]).where((F.col("ca") != F.col("cb")) & _similar_sizes("na", "nb", percent))
-    met = met.select("pivot", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    # Two sets differ exactly in what only one of their differences from the pivot has.
-    left = apart.select("pivot", F.col("node").alias("a"), F.col("n").alias("na"), F.col("parts").alias("pa"))
-    right = apart.select("pivot", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parts").alias("pb"))
-    both = met.join(left, ["pivot", "a"]).join(right, ["pivot", "b"])
-    differing = F.size("pa") + F.size("pb") - 2 * F.size(F.array_intersect("pa", "pb"))
-    total = F.col("na") + F.col("nb")
-    # common = (total - differing) / 2 and union = (total + differing) / 2
-    linked = 100 * (total - differing) >= percent * (total + differing)
-    return both.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
+    out = keyed.where("outside AND i <= outside_i").select("pivot", "part", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("i").alias("ia"), F.col("d").alias("da"))
+    every = keyed.where("i <= inside_i").select("pivot", "part", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("i").alias("ib"), F.col("d").alias("db"))
+    shared = 1 + F.least(F.col("da") - F.col("ia"), F.col("db") - F.col("ib"))
+    enough = 2 * shared >= F.col("da") + F.col("db") - s * (F.col("na") + F.col("nb")) - 1e-6
+    met = out.join(every, ["pivot", "part"]).where((F.col("ca") != F.col("cb")) & _similar_sizes("na", "nb", percent) & enough)
+    return met.select("pivot", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _named(classes: DataFrame) -> DataFrame:
@@ -318,7 +330,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     stars = crowded.where("node != pivot").where(_similar_sizes("n", "pivot_n", percent))
     stars = stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = staged(_confirmed(stars, classes, sets, percent), "links")
+    links = first_links = staged(_confirmed(stars, classes, sets, percent), "links")
     # A doc_id with several texts ties their classes together.
     owners = known.select("doc_id", "set_key").join(classes.select("set_key", "owner"), "set_key")
     shared = owners.groupBy("doc_id").agg(F.min("owner").alias("u"), F.max("owner").alias("v"), F.collect_set("owner").alias("all"))
@@ -339,6 +351,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     late = few.unionByName(far).distinct().join(stars, ["a", "b"], "left_anti")
     late = _confirmed(late, classes, sets, percent)
     late = staged(late.unionByName(_apart(crowds.where("NOT far").drop("marks"), sets, percent)), "links")
+    for used in (crowded, sets, open_rows, crowds):
+        drop_staged(used)
     if not late.isEmpty():
         labels = _class_components(links.unionByName(late), others)
     named = classes.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
@@ -348,7 +362,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     found = found.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
     found = found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     result = staged(found.select("doc_id", "n_shingles", "component_id", "kept"), "groups")
-    for used in (rows, classes, others, crowded, sets, open_rows):
+    for used in (rows, classes, others, first_links, late):
         drop_staged(used)
     return result
 

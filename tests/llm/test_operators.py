@@ -709,3 +709,23 @@ def test_blocks_leave_in_batches_of_few_ids():
             at = int(np.searchsorted(begin, found[0]))
             assert found == list(range(begin[at], begin[at + 1])) and p["doc_id"] == (at if at % 7 else None)
     assert sorted(docs) == begin[:-1].tolist() and len(set(names)) == len(names) and max(names) < n
+
+
+def test_classes_with_edits_of_their_own_form_no_pairs(spark):
+    """300 classes just off their pivot, each with other changes, and two that link: without the bound by
+    places nearly all pairs meet at a part that many of them lack."""
+    import random
+
+    from barwright.llm.hyperminhash import _candidates
+
+    rng, pivot = random.Random(5), range(100)
+    sets = []
+    for i in range(300):
+        gone = set(rng.sample(pivot, 13))
+        sets.append(set(pivot) - gone | {1000 * (i + 1) + j for j in range(13)})
+    sets.append(set(sets[7]) - {7000, 8000} | {5})
+    made = [(0, i + 1, len(x), 100, i + 1, True, sorted(x ^ set(pivot))) for i, x in enumerate(sets)]
+    apart = spark.createDataFrame(made, "pivot long, node long, n long, pivot_n long, component long, outside boolean, parts array<long>")
+    found = {(r["a"], r["b"]) for r in _candidates(apart, 80).collect()}
+    links = {(i + 1, j + 1) for i, x in enumerate(sets) for j, y in enumerate(sets) if i < j and 100 * len(x & y) >= 80 * len(x | y)}
+    assert links and links <= found and len(found) < 300
